@@ -153,3 +153,12 @@ def registry_frame(spark: SparkSession) -> DataFrame:
     rows = [(t.task_id, t.name, t.source, t.config, t.input_col, t.label_col, t.prefix,
              t.system_prompt, t.max_tokens, t.train_cap) for t in TASKS]
     return spark.createDataFrame(rows, REGISTRY_SCHEMA)
+
+
+def registry_label_table(spark: SparkSession, task_id: str) -> DataFrame:
+    """Label map of a task as a (code_int, code, word) table: at most a handful
+    of rows, so it is safe to broadcast."""
+    task = get_task(task_id)
+    rows = [(int(k), str(k), v) for k, v in task.label_map.items()]
+    schema = "code_int int, code string, word string"
+    return spark.createDataFrame(rows, schema)
