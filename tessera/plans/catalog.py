@@ -840,3 +840,7 @@ def _make_task_query(tid: str):
 
 for _t in TASKS:
     register(f"t{_t.task_id}_prepare_{_t.name}", _task_sql(_t.task_id))(_make_task_query(_t.task_id))
+
+
+# metric families register themselves on import
+from . import catalog_text  # noqa: E402,F401

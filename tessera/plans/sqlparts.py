@@ -96,3 +96,61 @@ def bio_cte() -> str:
             "tok2 AS (SELECT doc_id, pos, token, CASE WHEN pos > 0 THEN toks[pos] END AS prev_token FROM tok), "
             f"bio AS (SELECT doc_id, CAST(pos AS BIGINT) AS pos, token, {tag(False)} AS gold_tag, "
             f"{tag(True)} AS pred_tag FROM tok2)")
+
+
+# ---------------------------------------------------------------- n-grams
+
+def word_grams(t: str, n: int) -> str:
+    return f"list_transform(generate_series(1, len({t}) - {n} + 1), lambda i: array_to_string({t}[i:i + {n} - 1], ' '))"
+
+
+def char_grams(s: str, n: int) -> str:
+    t = f"regexp_replace(coalesce({s}, ''), '\\s', '', 'g')"
+    return f"list_transform(generate_series(1, length({t}) - {n} + 1), lambda i: substring({t}, i, {n}))"
+
+
+def gram_counts(base: str, keys: list[str], sides: dict[str, dict[int, str]]) -> str:
+    """SELECT producing (keys, n, g, <side counts>) from relation ``base``."""
+    k = ", ".join(keys)
+    names = list(sides)
+    branches = []
+    for si, name in enumerate(names):
+        for n, expr in sides[name].items():
+            branches.append(f"SELECT {k}, {n} AS n, unnest({expr}) AS g, {si} AS s FROM {base}")
+    sums = ", ".join(f"CAST(sum(CASE WHEN s = {si} THEN 1 ELSE 0 END) AS BIGINT) AS {name}"
+                     for si, name in enumerate(names))
+    return f"SELECT {k}, n, g, {sums} FROM ({' UNION ALL '.join(branches)}) x GROUP BY {k}, n, g"
+
+
+def normalise(x: str) -> str:
+    s = f"regexp_replace(lower({nz(x)}), '[^\\p{{L}}\\p{{N}}_\\s]', '', 'g')"
+    s = f"regexp_replace({s}, '\\s+', ' ', 'g')"
+    return strip(s)
+
+
+def norm_tokens(x: str) -> str:
+    n = normalise(x)
+    return f"(CASE WHEN {n} = '' THEN []::VARCHAR[] ELSE string_split({n}, ' ') END)"
+
+
+def overlap_stats(src: str, keys: list[str], cand: str, ref: str, orders: list[int]) -> str:
+    """CTE text: tk, cnt, st0, st (keys, n, overlap, c_total, r_total) over relation src."""
+    k = ", ".join(keys)
+    ords = ", ".join(str(n) for n in orders)
+    return (f"tk AS (SELECT {k}, {tokens(cand, True)} AS c, {tokens(ref, True)} AS r FROM {src}), "
+            f"cnt AS ({gram_counts('tk', keys, {'c': {n: word_grams('c', n) for n in orders}, 'r': {n: word_grams('r', n) for n in orders}})}), "
+            f"st0 AS (SELECT {k}, n, sum(least(c, r)) AS overlap, sum(c) AS c_total, sum(r) AS r_total FROM cnt GROUP BY {k}, n), "
+            f"grid AS (SELECT {k}, unnest([{ords}]) AS n FROM {src}), "
+            f"st AS (SELECT grid.*, coalesce(overlap, 0) AS overlap, coalesce(c_total, 0) AS c_total, "
+            f"coalesce(r_total, 0) AS r_total FROM grid LEFT JOIN st0 USING ({k}, n))")
+
+
+def bleu_select(per_order: str, max_n: int, num: str = "overlap", den: str = "c_total", out: str = "bleu",
+                digits: int = 6) -> str:
+    ps = ", ".join(f"round(max(CASE WHEN n = {k} THEN p END), 6) AS p{k}" for k in range(1, max_n + 1))
+    return (f"SELECT round(CASE WHEN coalesce(min(p), 0) <= 0 THEN 0.0 ELSE any_value(bp) * exp(avg(CASE WHEN p > 0 THEN ln(p) END)) END, {digits}) AS {out}, "
+            f"round(any_value(bp), 6) AS bp, {ps} FROM ("
+            f"SELECT n, CASE WHEN {den} = 0 THEN 0.0 ELSE {num} / {den} END AS p, "
+            f"CASE WHEN coalesce(max(CASE WHEN n = 1 THEN c_total END) OVER (), 0) = 0 THEN 0.0 "
+            f"ELSE least(1.0, exp(1 - max(CASE WHEN n = 1 THEN r_total END) OVER () / max(CASE WHEN n = 1 THEN c_total END) OVER ())) END AS bp "
+            f"FROM {per_order}) z")
