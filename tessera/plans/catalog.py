@@ -845,3 +845,4 @@ for _t in TASKS:
 # metric families register themselves on import
 from . import catalog_text  # noqa: E402,F401
 from . import catalog_structured  # noqa: E402,F401
+from . import catalog_tokens  # noqa: E402,F401
