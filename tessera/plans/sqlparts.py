@@ -154,3 +154,13 @@ def bleu_select(per_order: str, max_n: int, num: str = "overlap", den: str = "c_
             f"CASE WHEN coalesce(max(CASE WHEN n = 1 THEN c_total END) OVER (), 0) = 0 THEN 0.0 "
             f"ELSE least(1.0, exp(1 - max(CASE WHEN n = 1 THEN r_total END) OVER () / max(CASE WHEN n = 1 THEN c_total END) OVER ())) END AS bp "
             f"FROM {per_order}) z")
+
+
+def option_label(i: str, width: int = 4) -> str:
+    """SQL twin of functions.prompts.option_label (0-based index i)."""
+    n = f"({i} + 1)"
+    digits = []
+    for _ in range(width):
+        digits.append(f"(CASE WHEN {n} > 0 THEN chr(CAST(65 + ({n} - 1) % 26 AS INTEGER)) ELSE '' END)")
+        n = f"(CASE WHEN {n} > 0 THEN ({n} - 1) // 26 ELSE 0 END)"
+    return " || ".join(reversed(digits))

@@ -1,0 +1,46 @@
+"""Bit-parallel LCS / edit distance against the textbook DP."""
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tessera.operators.kernels import edit_distance, lcs_length
+
+
+def dp_lcs(a, b):
+    m = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            m[i][j] = m[i - 1][j - 1] + 1 if a[i - 1] == b[j - 1] else max(m[i - 1][j], m[i][j - 1])
+    return m[-1][-1]
+
+
+def dp_edit(a, b):
+    prev = list(range(len(b) + 1))
+    for i in range(1, len(a) + 1):
+        cur = [i] + [0] * len(b)
+        for j in range(1, len(b) + 1):
+            cur[j] = min(prev[j] + 1, cur[j - 1] + 1, prev[j - 1] + (a[i - 1] != b[j - 1]))
+        prev = cur
+    return prev[-1]
+
+
+words = st.lists(st.sampled_from(["a", "b", "c", "the", "x"]), max_size=90)
+
+
+@settings(max_examples=300, deadline=None)
+@given(words, words)
+def test_lcs_matches_dp(a, b):
+    assert lcs_length(a, b) == dp_lcs(a, b)
+
+
+@settings(max_examples=300, deadline=None)
+@given(words, words)
+def test_edit_distance_matches_dp(a, b):
+    assert edit_distance(a, b) == dp_edit(a, b)
+
+
+def test_edges():
+    assert lcs_length([], ["a"]) == 0
+    assert edit_distance([], ["a", "b"]) == 2
+    assert edit_distance(["a"], []) == 1
+    assert edit_distance(list("kitten"), list("sitting")) == 3
