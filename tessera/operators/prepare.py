@@ -119,9 +119,13 @@ def head_by_ratio(first: DataFrame, second: DataFrame, num: int, den: int,
     """L2: first floor(num·|first|/den) rows of ``second`` in order (at most
     all of it). The size of ``first`` is a scalar subquery; the rank is the
     distributed numbering, because the cap grows with the data."""
+    order_by = list(order_by)
     k = first.select((F.floor(F.count(F.lit(1)) * F.lit(num) / F.lit(den))).alias("k")).scalar()
-    numbered = number_within(second, list(order_by), pos_col="_ratio_pos")
-    return numbered.where(F.col("_ratio_pos") < k).drop("_ratio_pos")
+    # only the order key goes through the numbering (Arrow pass + checkpoint);
+    # the chosen keys select whole rows with a semi join
+    numbered = number_within(second.select(*order_by), order_by, pos_col="_ratio_pos")
+    chosen = numbered.where(F.col("_ratio_pos") < k).select(*order_by)
+    return second.join(chosen, order_by, "left_semi")
 
 
 def with_split_fallback(df: DataFrame, split: str, n: int, order_by: Sequence[str],

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import shuffle_partitions
+from ..session import ensure_checkpoint_dir, shuffle_partitions
 
 
 def _partition_tag(values) -> int:
@@ -85,15 +85,16 @@ def _local_pass(by: list[str], keys: list[str], sums: list[str]):
 
 def number_within(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
                   sums: Sequence[str] = (), partitions: int | None = None,
-                  pos_col: str = "pos") -> DataFrame:
+                  pos_col: str = "pos", materialize: bool = True) -> DataFrame:
     """Add ``pos`` (0-based position inside each ``by`` group in ``order``) and
     ``cum_<c>`` (inclusive running sum of integer column c inside the group).
 
     ``by + order`` must identify a row (a unique tiebreaker such as an id is
     part of ``order``), which makes every recomputation identical. Project the
     frame to the columns you need first: rows pass through Arrow once.
-    Shuffles: one range exchange (reused by the summary branch); the summary
-    is one row per range partition and is broadcast back.
+    Shuffles: one range exchange; the locally numbered rows are checkpointed
+    once (``materialize``), the summary is one row per range partition and is
+    broadcast back.
     """
     by, order, sums = list(by), list(order), list(sums)
     spark = df.sparkSession
@@ -105,6 +106,12 @@ def number_within(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
                                            T.StructField("_lpos", T.LongType())]
     fields += [T.StructField(f"_lcum_{s}", T.LongType()) for s in sums]
     local = ranged.mapInPandas(_local_pass(by, keys, sums), T.StructType(fields))
+    if materialize:
+        # One reliable checkpoint (shared folder from spark.checkpoint.dir):
+        # the summary branch and the row branch read the same bytes, the
+        # sort + Arrow pass runs once, and a lost executor does not redo it.
+        ensure_checkpoint_dir(spark)
+        local = local.checkpoint(eager=True)
 
     key_col = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("k"))
     ord_col = F.struct(*[F.col(c) for c in keys])

@@ -82,14 +82,52 @@ def bio_to_spans(tokens: DataFrame, tag: str, doc: str = "doc_id", pos: str = "p
     return spans.drop("_span")
 
 
+def spans_from_tags(df: DataFrame, tags: str, doc: str = "doc_id") -> DataFrame:
+    """M16 on a per-document tag array, inside the row: no explode of tokens,
+    no shuffle, no window. Spans never overlap, so the k-th span start pairs
+    with the k-th span end; both are found with one pass over the indices.
+    Output: (doc, start, end, type) with 0-based inclusive positions."""
+    t = F.col(tags)
+    n = F.size(t)
+    idx = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+    def tag(i):
+        return F.get(t, i)
+
+    def cont(i):
+        cur, prev = tag(i), tag(i - 1)
+        return F.coalesce(cur.startswith("I-") & prev.isNotNull() & (prev != "O") & (_etype(prev) == _etype(cur)),
+                          F.lit(False))
+
+    def ent(i):
+        return F.coalesce(tag(i) != "O", F.lit(False))
+
+    starts = F.filter(idx, lambda i: ent(i) & ~cont(i))
+    ends = F.filter(idx, lambda i: ent(i) & ~cont(i + 1))
+    z = df.select(doc, tags, F.arrays_zip(starts.alias("s"), ends.alias("e")).alias("_z"))
+    ex = z.select(doc, tags, F.explode_outer("_z").alias("x")).where(F.col("x").isNotNull())
+    return ex.select(doc, F.col("x.s").cast("long").alias("start"), F.col("x.e").cast("long").alias("end"),
+                     _etype(F.get(F.col(tags), F.col("x.s"))).alias("type"))
+
+
 def span_f1(tokens: DataFrame, gold_tag: str = "gold_tag", pred_tag: str = "pred_tag",
             doc: str = "doc_id") -> DataFrame:
-    """Entity span micro F1 and per-type / macro F1."""
+    """Entity span micro F1 and per-type / macro F1 from exploded token
+    rows (window decoding)."""
     g = bio_to_spans(tokens, gold_tag, doc)
     p = bio_to_spans(tokens, pred_tag, doc)
     return set_prf(g, p, [doc, "start", "end", "type"], by=["type"])
 
 
+def span_f1_arrays(df: DataFrame, gold_tags: str = "gold_tags", pred_tags: str = "pred_tags",
+                   doc: str = "doc_id") -> DataFrame:
+    """M17 from per-document tag arrays (in-row decoding; only the spans are
+    shuffled, by the set kernel)."""
+    g = spans_from_tags(df, gold_tags, doc)
+    p = spans_from_tags(df, pred_tags, doc)
+    return set_prf(g, p, [doc, "start", "end", "type"], by=["type"])
+
+
 # ------------------------------------------------------------------ M18
 
 TRIPLE_SCHEMA = "array<struct<head:string,relation:string,tail:string>>"
@@ -225,7 +263,8 @@ def json_fields(df: DataFrame, example: str, col: str) -> DataFrame:
     """Top-level fields of a JSON object as (example, field, value) rows
     (unparseable text yields none)."""
     m = F.from_json(F.col(col), "map<string,string>")
-    return df.select(example, F.explode(F.coalesce(m, F.create_map().cast("map<string,string>"))).alias("field", "value"))
+    return (df.select(example, F.explode_outer(m).alias("field", "value"))
+            .where(F.col("field").isNotNull()))
 
 
 def field_prf(df: DataFrame, example: str, gold: str, pred: str) -> DataFrame:
@@ -246,8 +285,14 @@ def anls(df: DataFrame, keys: Sequence[str], pred: str, golds: Sequence[str], th
     for g in golds:
         gs = strip(F.lower(null_to_empty(F.col(g))))
         mx = F.greatest(F.length(p), F.length(gs))
-        nl = F.when(mx == 0, F.lit(0.0)).otherwise(F.levenshtein(p, gs).cast("double") / mx)
-        s = F.when(F.col(g).isNull(), F.lit(0.0)).when(nl < threshold, 1 - nl).otherwise(F.lit(0.0))
+        # only distances below threshold·max_len matter: the banded form stops
+        # early and returns -1 beyond the band
+        band = (F.ceil(F.lit(threshold) * mx) - 1).cast("int")
+        d = F.when(band >= 0, F.call_function("levenshtein", p, gs, band))
+        s = (F.when(F.col(g).isNull(), F.lit(0.0))
+             .when(mx == 0, F.lit(1.0))
+             .when(d.isNull() | (d < 0), F.lit(0.0))
+             .otherwise(1 - d.cast("double") / mx))
         sims.append(s)
         hits.append(F.when(F.col(g).isNotNull() & (normalise_answer(F.col(pred)) == normalise_answer(F.col(g))), 1)
                     .otherwise(0))
@@ -296,7 +341,8 @@ def constraint_checks(df: DataFrame, prompt: str, response: str, rules: Column)
     prompt (the prompt's own instructions). One row per (prompt, rule) with
     its pass flag; no join with a rule table is needed."""
     r = null_to_empty(F.col(response))
-    ex = df.select(prompt, r.alias("_r"), F.explode(rules).alias("x")).select(prompt, "_r", "x.rule", "x.arg")
+    ex = (df.select(prompt, r.alias("_r"), F.explode_outer(rules).alias("x")).where(F.col("x").isNotNull())
+          .select(prompt, "_r", "x.rule", "x.arg"))
     n_words = F.size(word_tokens(F.col("_r")))
     ok = (F.when(F.col("rule") == "max_words", n_words <= F.col("arg").cast("int"))
           .when(F.col("rule") == "min_words", n_words >= F.col("arg").cast("int"))

@@ -13,6 +13,11 @@ Contracts (the reference names these metrics without code):
 - BLEU: exp(mean ln p_n) · min(1, exp(1 − R/C)); p_n are corpus sums; 0 if any
   p_n is 0; no smoothing.
 - zero denominators give 0.
+
+Computed arrays are exploded with ``explode_outer`` plus a null filter: a
+plain ``explode`` makes the optimizer infer ``size(array) > 0`` and push it
+below the projection, where the array expression (regex tokeniser, lambdas)
+is inlined and re-evaluated per element.
 """
 
 from __future__ import annotations
@@ -65,7 +70,8 @@ def gram_counts(df: DataFrame, keys: Sequence[str], sides: dict[str, dict[int, C
         for n, arr in sides[name].items():
             parts.append(F.transform(arr, _tagger(n, si)))
     exploded = (df.repartition(*keys)
-                .select(*keys, F.explode(F.concat(*parts)).alias("x"))
+                .select(*keys, F.explode_outer(F.concat(*parts)).alias("x"))
+                .where(F.col("x").isNotNull())
                 .select(*keys, "x.n", "x.g", "x.s"))
     aggs = [F.sum(F.when(F.col("s") == si, 1).otherwise(0)).cast("long").alias(name) for si, name in enumerate(names)]
     return exploded.groupBy(*keys, "n", "g").agg(*aggs)

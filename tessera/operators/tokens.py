@@ -28,7 +28,7 @@ from .sequence import number_within
 
 def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
     """K2: (word, freq) over all pre-tokens of ``text`` (map-side combined)."""
-    return (df.select(F.explode(word_tokens(text)).alias("word"))
+    return (df.select(F.explode_outer(word_tokens(text)).alias("word")).where(F.col("word").isNotNull())
             .groupBy("word").agg(F.count(F.lit(1)).alias("freq")))
 
 
@@ -42,7 +42,8 @@ def pair_counts(words: DataFrame, symbols: str = "symbols", freq: str = "freq")
     s = F.col(symbols)
     pairs = F.transform(F.sequence(F.lit(1), F.size(s) - 1), lambda i: F.struct(
         F.element_at(s, i).alias("left"), F.element_at(s, i + 1).alias("right")))
-    ex = words.where(F.size(s) >= 2).select(F.explode(pairs).alias("p"), F.col(freq).alias("f"))
+    ex = words.where(F.size(s) >= 2).select(F.explode_outer(pairs).alias("p"), F.col(freq).alias("f")) \
+        .where(F.col("p").isNotNull())
     return ex.groupBy("p.left", "p.right").agg(F.sum("f").cast("long").alias("count"))
 
 
@@ -70,12 +71,13 @@ def _new_pair_bounds(table: DataFrame, batch: list[tuple[str, str]]) -> list[int
     firsts = F.array(*[F.lit(a) for a, _ in batch])
     relevant = F.exists(firsts, lambda x: F.array_contains(F.col("symbols"), x))
     ex = (table.where(relevant & (F.size("symbols") >= 2))
-          .select("freq", F.explode(F.array(*arrays)).alias("x"))
+          .select("freq", F.explode_outer(F.array(*arrays)).alias("x")).where(F.col("x").isNotNull())
           .select("freq", "x.i", "x.t", "x.m"))
     m = F.col("m")
     pairs = F.transform(F.sequence(F.lit(1), F.size(m) - 1), lambda k: F.struct(
         F.element_at(m, k).alias("l"), F.element_at(m, k + 1).alias("r")))
-    pe = ex.where(F.size(m) >= 2).select("i", "t", "freq", F.explode(pairs).alias("p")) \
+    pe = ex.where(F.size(m) >= 2).select("i", "t", "freq", F.explode_outer(pairs).alias("p")) \
+        .where(F.col("p").isNotNull()) \
         .where((F.col("p.l") == F.col("t")) | (F.col("p.r") == F.col("t")))
     cnt = pe.groupBy("i", "p.l", "p.r").agg(F.sum("freq").alias("c")).groupBy("i").agg(F.max("c").alias("u"))
     got = {r["i"]: int(r["u"]) for r in cnt.collect()}
@@ -252,7 +254,8 @@ def pack(df: DataFrame, n_tokens: str, max_length: int, order_by: Sequence[str],
     end = F.col("cum__len")
     start = end - F.col("_len")
     blocks = F.sequence(F.floor(start / max_length).cast("long"), F.floor((end - 1) / max_length).cast("long"))
-    ex = num.where(F.col("_len") > 0).select(start.alias("s"), end.alias("e"), F.explode(blocks).alias("block_id"))
+    ex = num.where(F.col("_len") > 0).select(start.alias("s"), end.alias("e"), F.explode_outer(blocks).alias("block_id")) \
+        .where(F.col("block_id").isNotNull())
     part = F.least(F.col("e"), (F.col("block_id") + 1) * max_length) - F.greatest(F.col("s"), F.col("block_id") * max_length)
     return ex.groupBy("block_id").agg(F.sum(part).cast("long").alias("n_tokens"),
                                       F.count(F.lit(1)).alias("n_examples"))

@@ -182,7 +182,7 @@ def p7_check_prompts(spark, sf):
 
 def _t01_frame(spark, sf):
     lab = fx.labelled(spark, sf)
-    return lab.select(F.col("doc_id").alias("id"), "text",
+    return lab.select(F.col("doc_id").alias("id"), "text", "lang",
                       F.when(F.col("toxic") == 1, F.lit(2)).otherwise(F.col("quality")).alias("label"))
 
 
@@ -445,11 +445,15 @@ SELECT split, lang, CAST(count(*) AS BIGINT) AS n_rows FROM mixed GROUP BY split
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """documents ⋈ labels → split → strip/decode/render (task 01) → 70/30 mix
     of English and the other languages → rows per split and language."""
-    lab = fx.with_split(_t01_frame(spark, sf).join(read_table(spark, sf, "documents").select(
-        F.col("doc_id").alias("id"), "lang"), "id"), "id")
+    lab = fx.with_split(_t01_frame(spark, sf), "id")
     prepared = pp.prepare_task(lab, "01", keep=("id", "split", "lang"))
-    en = prepared.where(F.col("lang") == "en")
-    other = prepared.where(F.col("lang") != "en")
+    # written once, partitioned by (split, lang): every branch of the mix
+    # below reads only the partitions its filter names
+    path = scratch_path(spark, "prepared-task01")
+    save_prepared(prepared, path, ["split", "lang"])
+    stored = load_prepared(spark, path)
+    en = stored.where(F.col("lang") == "en")
+    other = stored.where(F.col("lang") != "en")
     mixed = pp.mix([en, other], [7, 3], ["id"])
     return pp.split_stats(mixed, ["split", "lang"])
 

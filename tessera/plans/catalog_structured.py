@@ -77,7 +77,7 @@ WITH {q.bio_cte()}, {_spans_sql('gold_tag', 'gs')}
 SELECT doc_id, CAST(start AS BIGINT) AS start, CAST("end" AS BIGINT) AS "end", type FROM gs
 """)
 def m16_bio_to_spans(spark, sf):
-    return st.bio_to_spans(fx.bio(spark, sf), "gold_tag").select("doc_id", "start", "end", "type")
+    return st.spans_from_tags(fx.bio_arrays(spark, sf), "gold_tags").select("doc_id", "start", "end", "type")
 
 
 @register("m17_span_f1", f"""
@@ -85,7 +85,7 @@ WITH {q.bio_cte()}, {_spans_sql('gold_tag', 'gs')}, {_spans_sql('pred_tag', 'ps'
 {_prf_sql(_flags('gs', 'ps', 'doc_id, start, "end", type'), by='type')}
 """)
 def m17_span_f1(spark, sf):
-    return _prf_out(st.span_f1(fx.bio(spark, sf)), ["scope", "type"])
+    return _prf_out(st.span_f1_arrays(fx.bio_arrays(spark, sf)), ["scope", "type"])
 
 
 def _triples_frame(spark, sf):

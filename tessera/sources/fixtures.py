@@ -100,19 +100,25 @@ def _tag(tok: Column, prev_tok: Column, restrict: bool) -> Column:
             .otherwise(F.concat(F.lit("B-"), etype)))
 
 
-def bio(spark: SparkSession, sf: str) -> DataFrame:
-    """Exploded token rows (doc_id, pos, token, gold_tag, pred_tag).
-
-    The documents are hash-partitioned by doc_id *before* the explode, so the
-    per-document window of span decoding needs no second shuffle (Generate
-    keeps its child's partitioning)."""
+def bio_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    """Per document: (doc_id, tokens, gold_tags, pred_tags) as arrays — tags
+    are computed inside the row from each token and the one before it."""
     docs = read_table(spark, sf, "documents").select("doc_id", "text")
-    toks = docs.repartition("doc_id").select("doc_id", word_tokens("text").alias("toks"))
-    ex = toks.select("doc_id", "toks", F.posexplode("toks").alias("pos", "token"))
-    prev = F.when(F.col("pos") > 0, F.element_at("toks", F.col("pos").cast("int")))
-    return ex.select("doc_id", F.col("pos").cast("long").alias("pos"), "token",
-                     _tag(F.col("token"), prev, False).alias("gold_tag"),
-                     _tag(F.col("token"), prev, True).alias("pred_tag"))
+    toks = docs.select("doc_id", word_tokens("text").alias("tokens"))
+    prev = lambda i: F.get(F.col("tokens"), i - 1)  # noqa: E731 - null before the first token
+    return toks.select(
+        "doc_id", "tokens",
+        F.transform("tokens", lambda t, i: _tag(t, prev(i), False)).alias("gold_tags"),
+        F.transform("tokens", lambda t, i: _tag(t, prev(i), True)).alias("pred_tags"))
+
+
+def bio(spark: SparkSession, sf: str) -> DataFrame:
+    """Exploded token rows (doc_id, pos, token, gold_tag, pred_tag)."""
+    a = bio_arrays(spark, sf)
+    ex = (a.select("doc_id", F.posexplode_outer(F.arrays_zip("tokens", "gold_tags", "pred_tags")).alias("pos", "z"))
+          .where(F.col("pos").isNotNull()))
+    return ex.select("doc_id", F.col("pos").cast("long").alias("pos"), F.col("z.tokens").alias("token"),
+                     F.col("z.gold_tags").alias("gold_tag"), F.col("z.pred_tags").alias("pred_tag"))
 
 
 def boundaries(spark: SparkSession, sf: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,9 +47,12 @@ def read_source(spark: SparkSession, task_id: str, path: str, config: str | None
     return df
 
 
-def save_prepared(df: DataFrame, path: str, split_col: str = "split") -> None:
-    """Write a prepared dataset partitioned by split (overwrite)."""
-    df.write.mode("overwrite").partitionBy(split_col).parquet(path)
+def save_prepared(df: DataFrame, path: str, split_col: str | Sequence[str] = "split") -> None:
+    """Write a prepared dataset partitioned by split (and any further
+    partition columns), overwriting. Readers then prune to the partitions
+    their filters name."""
+    cols = [split_col] if isinstance(split_col, str) else list(split_col)
+    df.write.mode("overwrite").partitionBy(*cols).parquet(path)
 
 
 def load_prepared(spark: SparkSession, path: str) -> DataFrame:
