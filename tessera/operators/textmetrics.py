@@ -35,10 +35,27 @@ def _empty():
     return F.array().cast("array<string>")
 
 
+def _shift_join(arr: Column, n: int, sep: str) -> Column:
+    """n-grams of an array as strings: the array sliced n times (offset 0 to
+    n-1, equal lengths) and folded with ``zip_with``. The lambdas only see
+    their own arguments, so no outer expression is re-evaluated per element."""
+    m = F.greatest(F.size(arr) - n + 1, F.lit(0))
+    grams = F.slice(arr, 1, m)
+    for k in range(1, n):
+        grams = F.zip_with(grams, F.slice(arr, k + 1, m), lambda a, b: F.concat(a, F.lit(sep), b))
+    return grams
+
+
 def word_grams(toks: Column, n: int) -> Column:
-    """Word n-grams (joined by a space) of a token array."""
-    grams = F.transform(F.sequence(F.lit(1), F.size(toks) - n + 1), lambda i: F.array_join(F.slice(toks, i, n), " "))
-    return F.when(F.size(toks) >= n, grams).otherwise(_empty())
+    """Word n-grams (tokens joined by a space) of a token array.
+
+    Tokens never contain white space, so the grams are read off the
+    space-joined text with one lookahead regex per order: every token start
+    yields the n tokens that follow. One JVM regex pass per row and order —
+    several times faster than building them with array lambdas."""
+    joined = F.array_join(toks, " ")
+    pattern = r"(?:^|(?<= ))(?=(" + r"(?:\S+ ){%d}\S+" % (n - 1) + "))"
+    return F.when(F.size(toks) >= n, F.regexp_extract_all(joined, F.lit(pattern), 1)).otherwise(_empty())
 
 
 def squeeze(s: Column) -> Column:
@@ -47,10 +64,19 @@ def squeeze(s: Column) -> Column:
 
 
 def char_grams(t: Column, n: int) -> Column:
-    """Character n-grams of an already squeezed string column. Pass a column
-    reference: the lambda re-evaluates its free expressions per element."""
-    grams = F.transform(F.sequence(F.lit(1), F.length(t) - n + 1), lambda i: F.substring(t, i, n))
-    return F.when(F.length(t) >= n, grams).otherwise(_empty())
+    """Character n-grams of an already squeezed string (overlapping
+    lookahead matches, one per position)."""
+    return F.when(F.length(t) >= n, F.regexp_extract_all(t, F.lit("(?s)(?=(.{%d}))" % n), 1)).otherwise(_empty())
+
+
+def shift_grams(arr: Column, n: int, sep: str) -> Column:
+    """n-grams of any array as strings: the array sliced n times and folded
+    with ``zip_with`` (lambdas see only their own arguments)."""
+    m = F.greatest(F.size(arr) - n + 1, F.lit(0))
+    grams = F.slice(arr, 1, m)
+    for k in range(1, n):
+        grams = F.zip_with(grams, F.slice(arr, k + 1, m), lambda a, b: F.concat(a, F.lit(sep), b))
+    return grams
 
 
 def _tagger(n: int, si: int):

@@ -63,3 +63,17 @@ def test_gulpease(spark):
     r = {x.id: x for x in tm.gulpease(df).collect()}
     assert r[1].gulpease == pytest.approx(89 + (300 * 2 - 10 * 14) / 3)
     assert r[2].gulpease is None
+
+
+def test_gram_builders_agree(spark):
+    df = spark.createDataFrame([("a bb c, d! e",), ("",), ("x",), ("àé ßü  ç",)], "t string")
+    from tessera.functions.text import word_tokens
+    toks = df.select(word_tokens("t", lower=True).alias("w"), tm.squeeze(F.col("t")).alias("s")).collect()
+    for r in toks:
+        for n in range(1, 5):
+            exp_w = [" ".join(r.w[i:i + n]) for i in range(len(r.w) - n + 1)]
+            got_w = spark.createDataFrame([(r.w,)], "w array<string>").select(tm.word_grams(F.col("w"), n)).first()[0]
+            assert got_w == exp_w
+            exp_c = [r.s[i:i + n] for i in range(len(r.s) - n + 1)]
+            got_c = spark.createDataFrame([(r.s,)], "s string").select(tm.char_grams(F.col("s"), n)).first()[0]
+            assert got_c == exp_c
