@@ -61,11 +61,15 @@ def decode_label(c: Column | str, mapping: Mapping, default: str | None = None)
     return F.coalesce(F.element_at(m, key), fallback)
 
 
-def decode_passthrough(c: Column | str, mapping: Mapping[str, str]) -> Column:
+def decode_passthrough(c: Column | str, mapping: Mapping[str, str], as_written: bool = False) -> Column:
     """Mapped when the value is all digits and known, else the raw value as
-    text (digit guard first, so "-1" is passed through untouched)."""
+    text (digit guard first, so "-1" is passed through untouched).
+
+    ``as_written=True`` reproduces the recipes' lookup as written: the maps
+    have string keys but are probed with an integer, so nothing is ever found
+    and every label stays its raw code ("0", not "World")."""
     raw = null_to_empty(c)
-    if not mapping:
+    if not mapping or as_written:
         return raw
     m = F.create_map(*chain.from_iterable((F.lit(str(k)), F.lit(v)) for k, v in mapping.items()))
     return F.when(raw.rlike(r"^[0-9]+$"),

@@ -36,7 +36,11 @@ def set_prf(gold: DataFrame, pred: DataFrame, keys: Sequence[str], by: Sequence[
     """Micro precision/recall/F-β over keyed items (``by`` columns must
     be part of ``keys``); with ``by``, one row per group plus the macro mean
     of the group scores in a row whose group columns are null."""
-    flags = item_flags(gold, pred, keys)
+    return prf_from_flags(item_flags(gold, pred, keys), by, beta)
+
+
+def prf_from_flags(flags: DataFrame, by: Sequence[str] = (), beta: float = 1.0) -> DataFrame:
+    """Scores from (item..., g, p) flags."""
     agg = [F.sum(F.col("g") * F.col("p")).cast("long").alias("tp"),
            F.sum((1 - F.col("g")) * F.col("p")).cast("long").alias("fp"),
            F.sum(F.col("g") * (1 - F.col("p"))).cast("long").alias("fn")]
@@ -82,12 +86,13 @@ def bio_to_spans(tokens: DataFrame, tag: str, doc: str = "doc_id", pos: str = "p
     return spans.drop("_span")
 
 
-def spans_from_tags(df: DataFrame, tags: str, doc: str = "doc_id") -> DataFrame:
-    """M16 on a per-document tag array, inside the row: no explode of tokens,
-    no shuffle, no window. Spans never overlap, so the k-th span start pairs
-    with the k-th span end; both are found with one pass over the indices.
-    Output: (doc, start, end, type) with 0-based inclusive positions."""
-    t = F.col(tags)
+def span_array(tags: Column) -> Column:
+    """M16 inside a row: array<struct<start, end, type>> of the spans of a
+    BIO tag array. Spans never overlap, so the k-th span start pairs with the
+    k-th span end; both come from one pass over the indices (no explode of
+    tokens, no shuffle, no window). Pass a column reference: the lambdas
+    index into it."""
+    t = tags
     n = F.size(t)
     idx = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
@@ -104,10 +109,15 @@ def spans_from_tags(df: DataFrame, tags: str, doc: str = "doc_id") -> DataFrame:
 
     starts = F.filter(idx, lambda i: ent(i) & ~cont(i))
     ends = F.filter(idx, lambda i: ent(i) & ~cont(i + 1))
-    z = df.select(doc, tags, F.arrays_zip(starts.alias("s"), ends.alias("e")).alias("_z"))
-    ex = z.select(doc, tags, F.explode_outer("_z").alias("x")).where(F.col("x").isNotNull())
-    return ex.select(doc, F.col("x.s").cast("long").alias("start"), F.col("x.e").cast("long").alias("end"),
-                     _etype(F.get(F.col(tags), F.col("x.s"))).alias("type"))
+    return F.zip_with(starts, ends, lambda s_, e_: F.struct(s_.cast("long").alias("start"), e_.cast("long").alias("end"),
+                                                            _etype(F.get(t, s_)).alias("type")))
+
+
+def spans_from_tags(df: DataFrame, tags: str, doc: str = "doc_id") -> DataFrame:
+    """M16 as rows: (doc, start, end, type), 0-based inclusive positions."""
+    z = df.select(doc, span_array(F.col(tags)).alias("_sp"))
+    return (z.select(doc, F.explode_outer("_sp").alias("x")).where(F.col("x").isNotNull())
+            .select(doc, "x.start", "x.end", "x.type"))
 
 
 def span_f1(tokens: DataFrame, gold_tag: str = "gold_tag", pred_tag: str = "pred_tag",
@@ -121,11 +131,24 @@ def span_f1(tokens: DataFrame, gold_tag: str = "gold_tag", pred_tag: str = "pred
 
 def span_f1_arrays(df: DataFrame, gold_tags: str = "gold_tags", pred_tags: str = "pred_tags",
                    doc: str = "doc_id") -> DataFrame:
-    """M17 from per-document tag arrays (in-row decoding; only the spans are
-    shuffled, by the set kernel)."""
-    g = spans_from_tags(df, gold_tags, doc)
-    p = spans_from_tags(df, pred_tags, doc)
-    return set_prf(g, p, [doc, "start", "end", "type"], by=["type"])
+    """M17 from per-document tag arrays: both sides decoded in the same row
+    and exploded once as flagged items, so the tokeniser and the tags run a
+    single time; only spans reach the shuffle of the set kernel."""
+    # one projection straight over the tag columns: an intermediate column
+    # holding the span arrays would be inlined by the optimizer and the tags
+    # recomputed for every reference
+    tagged = F.concat(
+        F.transform(span_array(F.col(gold_tags)), lambda x: F.struct(
+            x["start"].alias("start"), x["end"].alias("end"), x["type"].alias("type"),
+            F.lit(1).alias("g"), F.lit(0).alias("p"))),
+        F.transform(span_array(F.col(pred_tags)), lambda x: F.struct(
+            x["start"].alias("start"), x["end"].alias("end"), x["type"].alias("type"),
+            F.lit(0).alias("g"), F.lit(1).alias("p"))))
+    items = (df.select(doc, F.explode_outer(tagged).alias("x")).where(F.col("x").isNotNull())
+             .select(doc, "x.start", "x.end", "x.type", "x.g", "x.p"))
+    keys = [doc, "start", "end", "type"]
+    flags = items.groupBy(*keys).agg(F.max("g").alias("g"), F.max("p").alias("p"))
+    return prf_from_flags(flags, by=["type"])
 
 
 # ------------------------------------------------------------------ M18

@@ -54,3 +54,10 @@ def test_option_labels(spark):
     labels = [r[0] for r in df.select(pr.option_label(F.col("id"))).orderBy("id").collect()]
     assert labels[:3] == ["A", "B", "C"] and labels[25] == "Z" and labels[26] == "AA" and labels[701] == "ZZ"
     assert labels[702] == "AAA" and len(set(labels)) == 800
+
+
+def test_label_map_as_written_never_hits(spark):
+    m = get_task("03").label_map
+    raw = spark.createDataFrame([("0",), ("3",)], "r string")
+    assert [r[0] for r in raw.select(tx.decode_passthrough("r", m, as_written=True)).collect()] == ["0", "3"]
+    assert [r[0] for r in raw.select(tx.decode_passthrough("r", m)).collect()] == ["World", "Sci-Tech"]
