@@ -56,7 +56,7 @@ def decode_label(c: Column | str, mapping: Mapping, default: str | None = None)
         return null_to_empty(c) if default is None else F.coalesce(_c(c).cast("string"), F.lit(default))
     keys_are_int = all(isinstance(k, int) for k in mapping)
     m = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in mapping.items()))
-    key = _c(c).cast("int") if keys_are_int else _c(c).cast("string")
+    key = _c(c).try_cast("int") if keys_are_int else _c(c).cast("string")
     fallback = F.lit(default) if default is not None else _c(c).cast("string")
     return F.coalesce(F.element_at(m, key), fallback)
 
@@ -73,7 +73,7 @@ def decode_passthrough(c: Column | str, mapping: Mapping[str, str], as_written:
         return raw
     m = F.create_map(*chain.from_iterable((F.lit(str(k)), F.lit(v)) for k, v in mapping.items()))
     return F.when(raw.rlike(r"^[0-9]+$"),
-                  F.coalesce(F.element_at(m, raw.cast("int").cast("string")), raw)).otherwise(raw)
+                  F.coalesce(F.element_at(m, raw.try_cast("int").cast("string")), raw)).otherwise(raw)
 
 
 def stars_to_class(c: Column | str, zero_based: bool = True) -> Column:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir, shuffle_partitions
+from ..session import ensure_checkpoint_dir
 
 
 def _partition_tag(values) -> int:
@@ -98,9 +98,13 @@ def number_within(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
     """
     by, order, sums = list(by), list(order), list(sums)
     spark = df.sparkSession
-    n = partitions or max(shuffle_partitions(spark), 1)
     keys = by + order
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # Without an explicit count the range exchange is sized by AQE (coalesced
+    # towards the advisory partition size), so small inputs do not pay for
+    # spark.sql.shuffle.partitions Python tasks; coalesced partitions are
+    # still contiguous key ranges, which is all the offsets need.
+    ranged = (df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)) \
+        .sortWithinPartitions(*keys)
 
     fields = list(ranged.schema.fields) + [T.StructField("_pid", T.LongType()),
                                            T.StructField("_lpos", T.LongType())]
