@@ -62,26 +62,23 @@ def merge_pair(symbols: Column, left: str, right: str) -> Column:
 
 # ------------------------------------------------------------------ K4
 
-def _new_pair_bounds(table: DataFrame, batch: list[tuple[str, str]]) -> list[int]:
-    """For each candidate merge (a, b) alone: the largest count of any pair
-    containing the token a+b after that merge (an upper bound on the count of
-    every pair the merge can create, whatever disjoint merges run with it)."""
-    arrays = [F.struct(F.lit(i).alias("i"), F.lit(a + b).alias("t"), merge_pair(F.col("symbols"), a, b).alias("m"))
-              for i, (a, b) in enumerate(batch)]
-    firsts = F.array(*[F.lit(a) for a, _ in batch])
-    relevant = F.exists(firsts, lambda x: F.array_contains(F.col("symbols"), x))
-    ex = (table.where(relevant & (F.size("symbols") >= 2))
-          .select("freq", F.explode_outer(F.array(*arrays)).alias("x")).where(F.col("x").isNotNull())
-          .select("freq", "x.i", "x.t", "x.m"))
-    m = F.col("m")
-    pairs = F.transform(F.sequence(F.lit(1), F.size(m) - 1), lambda k: F.struct(
-        F.element_at(m, k).alias("l"), F.element_at(m, k + 1).alias("r")))
-    pe = ex.where(F.size(m) >= 2).select("i", "t", "freq", F.explode_outer(pairs).alias("p")) \
-        .where(F.col("p").isNotNull()) \
-        .where((F.col("p.l") == F.col("t")) | (F.col("p.r") == F.col("t")))
-    cnt = pe.groupBy("i", "p.l", "p.r").agg(F.sum("freq").alias("c")).groupBy("i").agg(F.max("c").alias("u"))
-    got = {r["i"]: int(r["u"]) for r in cnt.collect()}
-    return [got.get(i, 0) for i in range(len(batch))]
+def pair_counts_with_bounds(words: DataFrame, symbols: str = "symbols", freq: str = "freq") -> DataFrame:
+    """Pair counts plus, per pair (a, b), an upper bound on the count of any
+    pair that merging (a, b) creates: every occurrence of (x, ab) or (ab, y)
+    after the merge comes from a symbol triple (x, a, b) or (a, b, y) before
+    it, so the bound is the largest such triple count."""
+    s = F.col(symbols)
+    pairs = pair_counts(words, symbols, freq)
+    tri = F.transform(F.sequence(F.lit(1), F.size(s) - 2), lambda i: F.struct(
+        F.element_at(s, i).alias("x"), F.element_at(s, i + 1).alias("y"), F.element_at(s, i + 2).alias("z")))
+    t = (words.where(F.size(s) >= 3).select(F.explode_outer(tri).alias("t"), F.col(freq).alias("f"))
+         .where(F.col("t").isNotNull())
+         .groupBy("t.x", "t.y", "t.z").agg(F.sum("f").alias("c")))
+    as_suffix = t.groupBy(F.col("y").alias("left"), F.col("z").alias("right")).agg(F.max("c").alias("b1"))
+    as_prefix = t.groupBy(F.col("x").alias("left"), F.col("y").alias("right")).agg(F.max("c").alias("b2"))
+    return (pairs.join(as_suffix, ["left", "right"], "left").join(as_prefix, ["left", "right"], "left")
+            .select("left", "right", "count",
+                    F.greatest(F.coalesce("b1", F.lit(0)), F.coalesce("b2", F.lit(0))).cast("long").alias("bound")))
 
 
 def train_bpe(words: DataFrame, vocab_size: int = BPE_VOCAB_SIZE,
@@ -91,13 +88,13 @@ def train_bpe(words: DataFrame, vocab_size: int = BPE_VOCAB_SIZE,
 
     Vocabulary = special tokens, then the alphabet (sorted), then one token
     per merge. Each merge is the most frequent adjacent pair, ties broken by
-    (left, right) order — exactly the one-merge-at-a-time rule — but several
-    merges are committed per pass when that provably gives the same result:
-    candidates are the top pairs in order, cut at the first one sharing a
-    symbol with an earlier one; candidate j is kept when its count exceeds,
-    for every earlier kept merge, the largest count any pair created by that
-    merge can reach. Two jobs per pass; the word table is cached per pass and
-    checkpointed to the shared folder every ``checkpoint_every`` passes.
+    (left, right) order — exactly the one-merge-at-a-time rule — but one job
+    commits several merges when that provably gives the same result: the
+    candidates are the top pairs in order, cut at the first one that shares a
+    symbol with an earlier one or makes an existing symbol, or whose count
+    does not exceed the bound (``pair_counts_with_bounds``) of an earlier
+    kept merge. The word table is cached per pass and checkpointed to the
+    shared folder every ``checkpoint_every`` passes.
     Returns (vocab, merges), both bounded by ``vocab_size``."""
     spark = words.sparkSession
     ensure_checkpoint_dir(spark)
@@ -105,40 +102,33 @@ def train_bpe(words: DataFrame, vocab_size: int = BPE_VOCAB_SIZE,
     table = base.checkpoint()
     n_words = table.count()
     n_parts = max(1, -(-n_words // words_per_partition))
-    # one partition (SinglePartition) lets the per-pass aggregation run without an exchange
     table = (table.coalesce(1) if n_parts == 1 else table.repartition(n_parts)).checkpoint()
     alphabet = [r["c"] for r in table.select(F.explode("symbols").alias("c")).distinct().orderBy("c").collect()]
     vocab = list(special) + [c for c in alphabet if c not in special]
+    symbols_seen = set(vocab)
     merges: list[tuple[str, str]] = []
     previous = None
     passes = 0
     while len(vocab) < vocab_size:
         table = table.persist(StorageLevel.MEMORY_AND_DISK)
-        top = pair_counts(table).orderBy(F.col("count").desc(), "left", "right").limit(candidates).collect()
+        top = (pair_counts_with_bounds(table).orderBy(F.col("count").desc(), "left", "right")
+               .limit(candidates).collect())
         if previous is not None:
             previous.unpersist()
         previous = table
         if not top:
             break
         room = vocab_size - len(vocab)
-        batch, used, tokens = [], set(), set()
+        kept, used, worst = [], set(), -1
         for r in top:
-            a, b = r["left"], r["right"]
-            if a in used or b in used or (a + b) in tokens or len(batch) >= room:
+            a, b, c = r["left"], r["right"], int(r["count"])
+            if kept and (a in used or b in used or (a + b) in symbols_seen or c <= worst or len(kept) >= room):
                 break
-            batch.append((a, b, int(r["count"])))
+            kept.append((a, b))
             used.update((a, b))
-            tokens.add(a + b)
-        kept = [batch[0]]
-        if len(batch) > 1:
-            bounds = _new_pair_bounds(table, [(a, b) for a, b, _ in batch])
-            worst = bounds[0]
-            for j in range(1, len(batch)):
-                if batch[j][2] <= worst:
-                    break
-                kept.append(batch[j])
-                worst = max(worst, bounds[j])
-        for a, b, _ in kept:
+            symbols_seen.add(a + b)
+            worst = max(worst, int(r["bound"]))
+        for a, b in kept:
             merges.append((a, b))
             vocab.append(a + b)
             table = table.withColumn("symbols", merge_pair(F.col("symbols"), a, b))
