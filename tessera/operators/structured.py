@@ -51,10 +51,15 @@ def prf_from_flags(flags: DataFrame, by: Sequence[str] = (), beta: float = 1.0)
         return df.withColumn("precision", p).withColumn("recall", r) \
             .withColumn("f", f_beta(F.col("precision"), F.col("recall"), beta))
 
-    micro = scores(flags.agg(*agg)).withColumn("scope", F.lit("micro"))
     if not by:
-        return micro
-    per = scores(flags.groupBy(*by).agg(*agg)).withColumn("scope", F.lit("type"))
+        return scores(flags.agg(*agg)).withColumn("scope", F.lit("micro"))
+    # every item has one group value, so micro counts are sums of the group
+    # counts: all three outputs derive from the small per-group table and
+    # the item-level data is aggregated once
+    counts = flags.groupBy(*by).agg(*agg)
+    per = scores(counts).withColumn("scope", F.lit("type"))
+    micro = scores(counts.agg(F.sum("tp").cast("long").alias("tp"), F.sum("fp").cast("long").alias("fp"),
+                              F.sum("fn").cast("long").alias("fn"))).withColumn("scope", F.lit("micro"))
     macro = per.agg(F.sum("tp").cast("long").alias("tp"), F.sum("fp").cast("long").alias("fp"),
                     F.sum("fn").cast("long").alias("fn"), F.avg("precision").alias("precision"),
                     F.avg("recall").alias("recall"), F.avg("f").alias("f")).withColumn("scope", F.lit("macro"))
@@ -131,24 +136,11 @@ def span_f1(tokens: DataFrame, gold_tag: str = "gold_tag", pred_tag: str = "pred
 
 def span_f1_arrays(df: DataFrame, gold_tags: str = "gold_tags", pred_tags: str = "pred_tags",
                    doc: str = "doc_id") -> DataFrame:
-    """M17 from per-document tag arrays: both sides decoded in the same row
-    and exploded once as flagged items, so the tokeniser and the tags run a
-    single time; only spans reach the shuffle of the set kernel."""
-    # one projection straight over the tag columns: an intermediate column
-    # holding the span arrays would be inlined by the optimizer and the tags
-    # recomputed for every reference
-    tagged = F.concat(
-        F.transform(span_array(F.col(gold_tags)), lambda x: F.struct(
-            x["start"].alias("start"), x["end"].alias("end"), x["type"].alias("type"),
-            F.lit(1).alias("g"), F.lit(0).alias("p"))),
-        F.transform(span_array(F.col(pred_tags)), lambda x: F.struct(
-            x["start"].alias("start"), x["end"].alias("end"), x["type"].alias("type"),
-            F.lit(0).alias("g"), F.lit(1).alias("p"))))
-    items = (df.select(doc, F.explode_outer(tagged).alias("x")).where(F.col("x").isNotNull())
-             .select(doc, "x.start", "x.end", "x.type", "x.g", "x.p"))
-    keys = [doc, "start", "end", "type"]
-    flags = items.groupBy(*keys).agg(F.max("g").alias("g"), F.max("p").alias("p"))
-    return prf_from_flags(flags, by=["type"])
+    """M17 from per-document tag arrays: spans are decoded inside the rows
+    (``span_array``); only spans reach the shuffle of the set kernel."""
+    g = spans_from_tags(df, gold_tags, doc)
+    p = spans_from_tags(df, pred_tags, doc)
+    return set_prf(g, p, [doc, "start", "end", "type"], by=["type"])
 
 
 # ------------------------------------------------------------------ M18
