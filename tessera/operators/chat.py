@@ -28,6 +28,15 @@ def _role(c, role_map: Mapping[str, str] | None):
     return F.coalesce(F.try_element_at(m, c), null_to_empty(c))
 
 
+def render_chat_blocks(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
+                       text: str = "text", role_map: Mapping[str, str] | None = None) -> DataFrame:
+    """P5 in long form: one rendered block per message (conv, turn, block),
+    nothing gathered. The chat text is the blocks in turn order joined by a
+    newline plus the open model turn; use this form for a conversation too
+    large to be one value, e.g. to write it out in order."""
+    return df.select(conv, turn, _block(_role(F.col(role), role_map), F.col(text)).alias("block"))
+
+
 def render_chat(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
                 text: str = "text", role_map: Mapping[str, str] | None = None) -> DataFrame:
     """P5: one block per message in turn order, then an open model turn.

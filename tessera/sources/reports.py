@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
+from ..operators.sequence import neighbour, number_within
 from ..session import scratch_path
 
 REPORT_SCHEMA = T.StructType([
@@ -67,10 +67,10 @@ def logs_from_events(events: DataFrame) -> DataFrame:
     order, loss = value / 100, num_tokens = running Σ (k + 1)."""
     run = F.concat(F.col("user_id").cast("string"), F.lit("_"), F.date_format("ts", "yyyyMMdd"))
     e = events.select(run.alias("run_id"), "ts", "event_id", (F.col("value") / 100.0).alias("loss"),
-                      (F.get_json_object("props", "$.k").cast("long") + 1).alias("k"))
-    w = Window.partitionBy("run_id").orderBy("ts", "event_id")
-    e = e.withColumn("step", F.row_number().over(w).cast("long")) \
-        .withColumn("num_tokens", F.sum("k").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("double"))
+                      (F.get_json_object("props", "$.k").try_cast("long") + 1).alias("k"))
+    # steps and running token counts per run without a per-run window task
+    e = number_within(e, ["ts", "event_id"], ["run_id"], sums=["k"], pos_col="_pos")
+    e = e.withColumn("step", (F.col("_pos") + 1).cast("long")).withColumn("num_tokens", F.col("cum_k").cast("double"))
     return e.groupBy("run_id").agg(
         F.max("step").alias("global_step"),
         F.array_sort(F.collect_list(F.struct("step", "loss", "num_tokens"))).alias("log_history"))
@@ -80,11 +80,15 @@ def explode_run_log(spark: SparkSession, path: str) -> DataFrame:
     """One row per logged step with tokens in the interval since the
     previous log line and perplexity exp(loss)."""
     logs = spark.read.schema(LOG_SCHEMA).json(path)
-    ex = logs.select("run_id", F.explode("log_history").alias("h")).select("run_id", "h.*")
-    w = Window.partitionBy("run_id").orderBy("step")
-    return ex.select("run_id", "step", "loss", "num_tokens",
-                     (F.col("num_tokens") - F.coalesce(F.lag("num_tokens").over(w), F.lit(0.0))).alias("interval_tokens"),
-                     F.exp("loss").alias("perplexity"))
+    ex = (logs.select("run_id", F.explode_outer("log_history").alias("h")).where(F.col("h").isNotNull())
+          .select("run_id", "h.*"))
+    # lag(num_tokens) over (run order by step) as a join with the previous
+    # logged step (steps need not be contiguous)
+    num = number_within(ex, ["step"], ["run_id"], pos_col="_pos")
+    prev = neighbour(num, ["run_id"], -1, ["num_tokens"], "prev_", pos_col="_pos")
+    return prev.select("run_id", "step", "loss", "num_tokens",
+                       (F.col("num_tokens") - F.coalesce(F.col("prev_num_tokens"), F.lit(0.0))).alias("interval_tokens"),
+                       F.exp("loss").alias("perplexity"))
 
 
 def write_logs(df: DataFrame, path: str) -> None:
