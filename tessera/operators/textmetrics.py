@@ -223,11 +223,21 @@ def self_bleu(df: DataFrame, keys: Sequence[str], cand: str, source: str, max_n:
 
 def ibleu(df: DataFrame, keys: Sequence[str], hyp: str, ref: str, source: str, alpha: float = 0.9,
           max_n: int = 4) -> DataFrame:
-    """M9: α·BLEU(hyp, ref) − (1 − α)·BLEU(hyp, source)."""
-    b1 = bleu(df, keys, hyp, ref, max_n).select(F.lit("ref").alias("k"), "bleu")
-    b2 = bleu(df, keys, hyp, source, max_n).select(F.lit("src").alias("k"), "bleu")
-    out = b1.unionByName(b2).agg(F.max(F.when(F.col("k") == "ref", F.col("bleu"))).alias("bleu_ref"),
-                                 F.max(F.when(F.col("k") == "src", F.col("bleu"))).alias("bleu_src"))
+    """M9: α·BLEU(hyp, ref) − (1 − α)·BLEU(hyp, source). Both BLEUs come from
+    one three-sided n-gram count (one explode, one aggregation)."""
+    keys = list(keys)
+    orders = list(range(1, max_n + 1))
+    tok = lambda c: word_tokens(c, lower=True)
+    base = df.select(*keys, tok(F.col(hyp)).alias("_h"), tok(F.col(ref)).alias("_r"), tok(F.col(source)).alias("_s"))
+    counts = gram_counts(base, keys, {"h": {n: word_grams(F.col("_h"), n) for n in orders},
+                                      "r": {n: word_grams(F.col("_r"), n) for n in orders},
+                                      "s": {n: word_grams(F.col("_s"), n) for n in orders}})
+    per = counts.groupBy("n").agg(F.sum(F.least("h", "r")).alias("ov_r"), F.sum(F.least("h", "s")).alias("ov_s"),
+                                  F.sum("h").alias("c_total"), F.sum("r").alias("r_total"), F.sum("s").alias("s_total"))
+    b_ref = _bleu_from_orders(per, max_n, num="ov_r", r_len="r_total").select(F.lit("ref").alias("k"), "bleu")
+    b_src = _bleu_from_orders(per, max_n, num="ov_s", r_len="s_total").select(F.lit("src").alias("k"), "bleu")
+    out = b_ref.unionByName(b_src).agg(F.max(F.when(F.col("k") == "ref", F.col("bleu"))).alias("bleu_ref"),
+                                       F.max(F.when(F.col("k") == "src", F.col("bleu"))).alias("bleu_src"))
     return out.withColumn("ibleu", F.lit(alpha) * F.col("bleu_ref") - F.lit(1 - alpha) * F.col("bleu_src"))
 
 
