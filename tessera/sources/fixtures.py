@@ -64,27 +64,40 @@ def preds(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _aligned_turns(conv: DataFrame, parts: list[tuple[str, Column, int]]) -> DataFrame:
+    """Rows of one conversation aligned on turn offsets without joins: each
+    part (name, filter, offset) contributes ``text`` re-keyed to
+    ``turn - offset``; one ``groupBy(conv_id, turn)`` puts them side by side
+    (a single shuffle instead of one sort-merge join per neighbour)."""
+    union = None
+    for i, (_name, cond, offset) in enumerate(parts):
+        part = conv.where(cond).select("conv_id", (F.col("turn") - F.lit(offset)).alias("turn"),
+                                       F.lit(i).alias("_k"), "text")
+        union = part if union is None else union.unionByName(part)
+    return union.groupBy("conv_id", "turn").agg(
+        *[F.max(F.when(F.col("_k") == i, F.col("text"))).alias(name) for i, (name, _c, _o) in enumerate(parts)],
+        *[F.max((F.col("_k") == i).cast("int")).alias(f"_has_{name}") for i, (name, _c, _o) in enumerate(parts)])
+
+
 def pairs(spark: SparkSession, sf: str) -> DataFrame:
     """(conv_id, turn, candidate, reference, reference2). Turn numbers have no
-    gaps, so the neighbouring turns are equi-joins on turn ± 1."""
+    gaps, so the neighbouring turns are the rows at turn ± 1."""
     conv = read_table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
-    cand = conv.where(F.col("role") == "assistant").select("conv_id", "turn", F.col("text").alias("_cand"))
-    prev = conv.where(F.col("role") == "user").select(
-        "conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("reference"))
-    nxt = conv.where(F.col("role") == "user").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reference2"))
-    j = cand.join(prev, ["conv_id", "turn"]).join(nxt, ["conv_id", "turn"], "left")
+    role = F.col("role")
+    al = _aligned_turns(conv, [("_cand", role == "assistant", 0), ("reference", role == "user", -1),
+                               ("reference2", role == "user", 1)])
+    al = al.where((F.col("_has__cand") == 1) & (F.col("_has_reference") == 1))
     candidate = F.when(F.pmod(F.col("conv_id"), F.lit(10)) == 0,
                        F.upper(F.replace(F.col("reference"), F.lit("ß"), F.lit("ss")))).otherwise(F.col("_cand"))
-    return j.select("conv_id", "turn", candidate.alias("candidate"), "reference", "reference2")
+    return al.select("conv_id", "turn", candidate.alias("candidate"), "reference", "reference2")
 
 
 def src_ref_hyp(spark: SparkSession, sf: str) -> DataFrame:
     conv = read_table(spark, sf, "conversations").select("conv_id", "turn", "text")
-    a = conv.select("conv_id", "turn", F.col("text").alias("source"))
-    b = conv.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reference"))
-    c = conv.select("conv_id", (F.col("turn") - 2).alias("turn"), F.col("text").alias("hypothesis"))
-    return a.join(b, ["conv_id", "turn"]).join(c, ["conv_id", "turn"])
+    al = _aligned_turns(conv, [("source", F.lit(True), 0), ("reference", F.lit(True), 1),
+                               ("hypothesis", F.lit(True), 2)])
+    al = al.where((F.col("_has_source") == 1) & (F.col("_has_reference") == 1) & (F.col("_has_hypothesis") == 1))
+    return al.select("conv_id", "turn", "source", "reference", "hypothesis")
 
 
 def _tag(tok: Column, prev_tok: Column, restrict: bool) -> Column:
