@@ -74,3 +74,13 @@ def test_json_validity_and_fields(spark):
     assert v == [True, False, False]
     micro = [r for r in st.field_prf(df, "example_id", "gold", "pred").collect() if r.scope == "micro"][0]
     assert (micro.tp, micro.fp, micro.fn) == (1, 1, 2)
+
+
+def test_execution_accuracy(spark):
+    from conftest import SF0001
+    spark.read.parquet(f"{SF0001}/nation.parquet").createOrReplaceTempView("nation")
+    pairs = [(1, "SELECT n_name FROM nation WHERE n_regionkey = 1", "SELECT n_name FROM nation WHERE 1 = n_regionkey"),
+             (2, "SELECT n_name FROM nation", "SELECT n_name FROM nation WHERE n_nationkey < 3"),
+             (3, "SELECT n_name FROM nation", "DROP TABLE nation"),
+             (4, "SELECT n_name FROM nation", "SELECT no_such_column FROM nation")]
+    assert st.execution_accuracy(spark, pairs) == [(1, True), (2, False), (3, False), (4, False)]
