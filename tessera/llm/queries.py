@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import documents
 from .sharding import shard_rows
+from .mixing import mix
 
 
 def op9_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +15,13 @@ def op9_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(documents(spark, sf_dir), shards=8)
 
 
+def op1_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document, with the shard of each copy."""
+    mixed = mix(documents(spark, sf_dir))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", F.transform("copies", lambda c: c["shard"]).alias("shards"))
+
+
 QUERIES = {
+    "op1_mix_to_targets": (op1_mix_to_targets, None),
     "op9_feistel_shards": (op9_feistel_shards, None),
 }
