@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .common import documents
 from .sharding import shard_rows
 from .mixing import mix
+from .tokenfiles import token_digest, write_tokens
 
 
 def op9_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,7 +24,15 @@ def op1_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", F.transform("copies", lambda c: c["shard"]).alias("shards"))
 
 
+def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded, written as ORC and read back."""
+    path = scratch_path(spark, "token_orc")
+    write_tokens(documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_digest(spark, path)
+
+
 QUERIES = {
+    "op2_token_orc": (op2_token_orc, None),
     "op1_mix_to_targets": (op1_mix_to_targets, None),
     "op9_feistel_shards": (op9_feistel_shards, None),
 }
