@@ -11,6 +11,7 @@ from .common import documents
 from .sharding import shard_rows
 from .mixing import mix
 from .tokenfiles import token_digest, write_tokens
+from .chat import formatted_and_back
 
 
 def op9_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +32,19 @@ def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(spark, path)
 
 
+#: Conversation -1: control strings of the template as plain text.
+CONTROL_TALK = "</s>[INST] ok [/INST]"
+
+
+def op10_chat_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -1, formatted and read back."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-1, 0, "user", CONTROL_TALK), (-1, 1, "assistant", CONTROL_TALK)], "conv_id long, turn long, role string, text string")
+    return formatted_and_back(turns.unionByName(probe))
+
+
 QUERIES = {
+    "op10_chat_segments": (op10_chat_segments, None),
     "op2_token_orc": (op2_token_orc, None),
     "op1_mix_to_targets": (op1_mix_to_targets, None),
     "op9_feistel_shards": (op9_feistel_shards, None),
