@@ -12,6 +12,7 @@ from .sharding import shard_rows
 from .mixing import mix
 from .tokenfiles import token_digest, write_tokens
 from .chat import formatted_and_back
+from .rules import judge
 
 
 def op9_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +44,13 @@ def op10_chat_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formatted_and_back(turns.unionByName(probe))
 
 
+def op3_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base verdict and posterior verdict of all documents."""
+    return judge(documents(spark, sf_dir))
+
+
 QUERIES = {
+    "op3_weak_rules": (op3_weak_rules, None),
     "op10_chat_segments": (op10_chat_segments, None),
     "op2_token_orc": (op2_token_orc, None),
     "op1_mix_to_targets": (op1_mix_to_targets, None),
