@@ -13,6 +13,7 @@ from .mixing import mix
 from .tokenfiles import token_digest, write_tokens
 from .chat import formatted_and_back
 from .rules import judge
+from .ordinal import rate_documents
 
 
 def op9_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +50,13 @@ def op3_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(documents(spark, sf_dir))
 
 
+def op8_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade, tail probability and verdict of all documents."""
+    return rate_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {
+    "op8_ordinal_quality": (op8_ordinal_quality, None),
     "op3_weak_rules": (op3_weak_rules, None),
     "op10_chat_segments": (op10_chat_segments, None),
     "op2_token_orc": (op2_token_orc, None),
