@@ -26,6 +26,12 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text_or_empty(text), UPPER, UPPER.lower())
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row (a column that is
+    named twice in a lambda is computed anew for each use and element)."""
+    return F.transform(F.array(value), body)[0]
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once under the shared checkpoint folder and read it back:
     lineage ends there, every later use reads the same bytes, and a lost

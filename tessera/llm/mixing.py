@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved, words
+from .common import let, saved, words
 from .sharding import permuted
 
 #: Rows that one window of the stream order holds, about.
@@ -168,7 +168,7 @@ def _copy(c: Column, block_words: int, whole: bool, seed: int) -> Column:
     block = F.call_function("div", at, F.lit(block_words)).cast("long")
     inside = F.least(block, F.col("n_blocks") - 1)
     spot = F.when(room > 0, permuted(F.greatest(inside, F.lit(0)), F.greatest(F.col("n_blocks"), F.lit(1)), seed)).otherwise(F.lit(-1))
-    shard = F.size(F.filter("shard_ends", lambda e: e <= spot))
+    shard = let(spot, lambda p: F.size(F.filter("shard_ends", lambda e: e <= p)))
     return F.struct(c.alias("copy"), words_taken.alias("words"), block.alias("block"), shard.alias("shard"),
                     F.xxhash64(F.lit(seed + 1), F.col("doc_id"), c).alias("place"))
 

@@ -18,17 +18,12 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, UPPER, saved, text_or_empty, words
+from .common import SPACE, UPPER, let, saved, text_or_empty, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once per row."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _covered(hashes: Column) -> Column:
     """Words in windows whose hash occurs twice or more."""
 
@@ -40,9 +35,9 @@ def _covered(hashes: Column) -> Column:
 
     def exact(h: Column) -> Column:
         pairs = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("at"))))
-        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(_let(pairs, sorted_pairs))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(let(pairs, sorted_pairs))
 
-    return _let(hashes, exact)
+    return let(hashes, exact)
 
 
 def _windows(w: Column) -> Column:
@@ -64,8 +59,8 @@ def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         F.length(F.regexp_replace(t, SPACE + "+", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace(t, r"[^\p{L}\p{N}]+", "")).cast("long").alias("n_letters"),
         chars(SYMBOLS).alias("n_symbols"), chars(UPPER).alias("n_upper"), chars(".!?").alias("n_stops"),
-        _let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), F.size(F.array_distinct(x)).cast("long").alias("d"))).alias("l"),
-        _let(F.col("w"), lambda w: _covered(_windows(w))).cast("long").alias("n_repeat_words"),
+        let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), F.size(F.array_distinct(x)).cast("long").alias("d"))).alias("l"),
+        let(F.col("w"), lambda w: _covered(_windows(w))).cast("long").alias("n_repeat_words"),
     ).select("doc_id", "n_words", "word_chars", "n_letters", "n_symbols", "n_upper", "n_stops", F.col("l.n").alias("n_lines"),
              (F.col("l.n") - F.col("l.d")).alias("n_dup_lines"), "n_repeat_words")
 

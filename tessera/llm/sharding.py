@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved, text_or_empty
+from .common import let, saved, text_or_empty
 
 ROUNDS = 6
 #: Steps of cycle walking. The domain a*a (a = ceil(sqrt(n))) exceeds n by less
@@ -31,26 +31,32 @@ def _div(a: Column, b: Column) -> Column:
 
 def _rounds(x: Column, side: Column, seed: int) -> Column:
     """One pass of the Feistel network on Z_side x Z_side (a bijection of
-    0..side*side-1)."""
-    left, right = _div(x, side), F.pmod(x, side)
-    for k in range(ROUNDS):
-        mixed = F.pmod(F.xxhash64(right, F.lit(seed * 1000003 + k)), side)
-        left, right = right, F.pmod(left + mixed, side)
-    return left * side + right
+    0..side*side-1). Halves are carried through the rounds in a struct, so
+    that each round is evaluated once."""
+    start = F.struct(_div(x, side).alias("l"), F.pmod(x, side).alias("r"))
+    keys = F.array(*[F.lit(seed * 1000003 + k) for k in range(ROUNDS)])
+
+    def turn(s: Column, key: Column) -> Column:
+        return F.struct(s["r"].alias("l"), F.pmod(s["l"] + F.pmod(F.xxhash64(s["r"], key), side), side).alias("r"))
+
+    return F.aggregate(keys, start, turn, lambda s: s["l"] * side + s["r"])
 
 
 def permuted(x: Column, n: Column, seed: int) -> Column:
     """Position of number ``x`` (0 <= x < n) under the seed's permutation of
     0..n-1: Feistel network, walked until the value falls below n. Only the
     few values that miss at the first pass enter the loop."""
-    side = F.ceil(F.sqrt(n.cast("double"))).cast("long")
-    side = F.when(side * side < n, side + 1).otherwise(side)
-    first = _rounds(x, side, seed)
-    walked = F.aggregate(
-        F.sequence(F.lit(1), F.lit(WALK_STEPS)), first,
-        lambda y, _: F.when(y < n, y).otherwise(_rounds(y, side, seed)),
-        lambda y: F.when(y < n, y).otherwise(F.raise_error(F.lit("cycle walk unfinished")).cast("long")))
-    return F.when(first < n, first).otherwise(walked)
+    root = F.ceil(F.sqrt(n.cast("double"))).cast("long")
+    side = F.when(root * root < n, root + 1).otherwise(root)
+
+    def walk(s: Column) -> Column:
+        steps = F.sequence(F.lit(1), F.lit(WALK_STEPS))
+        return F.aggregate(steps, s["y"], lambda y, _: F.when(y < s["n"], y).otherwise(_rounds(y, s["a"], seed)),
+                           lambda y: F.when(y < s["n"], y).otherwise(F.raise_error(F.lit("cycle walk unfinished")).cast("long")))
+
+    given = let(F.struct(x.cast("long").alias("x"), n.cast("long").alias("n"), side.alias("a")),
+                lambda s: F.struct(_rounds(s["x"], s["a"], seed).alias("y"), s["n"].alias("n"), s["a"].alias("a")))
+    return let(given, lambda s: F.when(s["y"] < s["n"], s["y"]).otherwise(walk(s)))
 
 
 def global_rows(df: DataFrame, order: list[str], name: str = "row_number") -> DataFrame:
