@@ -14,6 +14,7 @@ from .tokenfiles import token_digest, write_tokens
 from .chat import formatted_and_back
 from .rules import judge
 from .ordinal import rate_documents
+from .hyperminhash import near_duplicates
 
 
 def op9_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +56,13 @@ def op8_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rate_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op7_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document: three words, similarity 0.85."""
+    return near_duplicates(documents(spark, sf_dir), shingle_words=3, percent=85)
+
+
 QUERIES = {
+    "op7_hyperminhash": (op7_hyperminhash, None),
     "op8_ordinal_quality": (op8_ordinal_quality, None),
     "op3_weak_rules": (op3_weak_rules, None),
     "op10_chat_segments": (op10_chat_segments, None),
