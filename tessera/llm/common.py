@@ -42,5 +42,11 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few(df: DataFrame, most: int) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``most`` rows (counted),
+    else as it is, to be joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

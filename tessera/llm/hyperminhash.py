@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, text_or_empty
+from .common import few, saved, text_or_empty
 from .components import connected_components
 
 BUCKET_BITS = 7
@@ -215,8 +215,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int,
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = saved(classes.select("node", "set_hash", "min_id").join(nodes, "node"), "near_wanted")
     ids = wanted.select(F.col("min_id").alias("_id")).distinct()
-    few = wanted.count() <= BROADCAST_IDS
-    chosen = texts.join(F.broadcast(ids) if few else ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    chosen = texts.join(few(ids, BROADCAST_IDS), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     sets = chosen.mapInArrow(_full_sets(size), "set_hash binary, shingles array<long>")
     sets = saved(wanted.join(sets, "set_hash").dropDuplicates(["node"]).select("node", "shingles"), "near_sets")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))

@@ -15,6 +15,7 @@ from .chat import formatted_and_back
 from .rules import judge
 from .ordinal import rate_documents
 from .hyperminhash import near_duplicates
+from .decontam import leaks
 
 
 def op9_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +62,13 @@ def op7_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), shingle_words=3, percent=85)
 
 
+def op4_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, verbatim or with other values."""
+    return leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES = {
+    "op4_template_leaks": (op4_template_leaks, None),
     "op7_hyperminhash": (op7_hyperminhash, None),
     "op8_ordinal_quality": (op8_ordinal_quality, None),
     "op3_weak_rules": (op3_weak_rules, None),
