@@ -16,6 +16,7 @@ from .rules import judge
 from .ordinal import rate_documents
 from .hyperminhash import near_duplicates
 from .decontam import leaks
+from .pii import find_personal_data
 
 
 def op9_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +68,13 @@ def op4_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op6_boosted_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and added spans of all documents."""
+    return find_personal_data(documents(spark, sf_dir)).drop("span_list")
+
+
 QUERIES = {
+    "op6_boosted_spans": (op6_boosted_spans, None),
     "op4_template_leaks": (op4_template_leaks, None),
     "op7_hyperminhash": (op7_hyperminhash, None),
     "op8_ordinal_quality": (op8_ordinal_quality, None),
