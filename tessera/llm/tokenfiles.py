@@ -29,8 +29,8 @@ SCHEMA = "doc_id long, tie long, start_in_file long, n_tokens long, ids array<in
 REMEMBER = 400_000
 #: Longer words are encoded each time.
 LONG_WORD = 48
-#: Ids in a batch that a task hands on, about.
-BATCH_IDS = 1_000_000
+#: Marks that may end a word.
+MARKS = ".,;:!?#$%&*|"
 
 
 def worker_state(name: str) -> dict:
@@ -54,21 +54,66 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-
-    def _learn(self, words: list[str], into: dict[str, bytes]) -> None:
-        """Encode ``words`` as one text and cut its ids by their offsets."""
-        for lo in range(0, len(words), 20_000):
-            part = words[lo:lo + 20_000]
-            ends = np.cumsum([len(w) + 1 for w in part])
+        self.tails: dict[str, bytes] = {}
+        self.code = [np.array([i], dtype="<u4").tobytes() for i in range(self.tokenizer.get_vocab_size())]
+        self.parts = self._takes_parts()
+
+    def _whole(self, words: list[str], into: dict[str, bytes]) -> None:
+        """Encode ``words`` as texts of some words and cut the ids by their offsets."""
+        for lo in range(0, len(words), 128):
+            part = words[lo:lo + 128]
             got = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
             ids = np.asarray(got.ids, dtype="<u4")
             at = np.fromiter((o[0] for o in got.offsets), dtype=np.int64, count=len(ids))
-            cut = np.searchsorted(at, ends)
+            cut = np.searchsorted(at, np.cumsum([len(w) + 1 for w in part]))
             raw, lo_id = ids.tobytes(), 0
             for w, hi_id in zip(part, cut.tolist()):
                 into[w] = raw[4 * lo_id:4 * hi_id]
                 lo_id = hi_id
 
+    def _learn(self, words: list[str], into: dict[str, bytes]) -> None:
+        """Ids of words, by their parts: a run of marks after a letter or
+        digit is a token run of its own, and the rest of an ASCII word counts
+        in lower case, so most forms of a word are encoded once. Lower-case
+        ASCII letters pass the steps before the merges unchanged and go to
+        the library's merges directly."""
+        if not self.parts:
+            return self._whole(words, into)
+        merge, code, old, rest = self.tokenizer.model.tokenize, self.code, self.old, []
+        for w in words:
+            core = w.rstrip(MARKS)
+            low = core.lower()
+            if not (low.isascii() and low.isalpha()):
+                rest.append(w)
+                continue
+            ids = into.get(low) or old.get(low)
+            if ids is None:
+                ids = into[low] = b"".join([code[t.id] for t in merge(low)])
+            into[w] = ids if core == w else ids + self._marks(w[len(core):])
+        # the others: any core that ends in a letter or digit, and whole words
+        cores = {w: w.rstrip(MARKS) for w in rest}
+        cores = {w: c if c and c[-1].isalnum() and "<" not in w else w for w, c in cores.items()}
+        known: dict[str, bytes] = {}
+        self._whole(list(set(cores.values())), known)
+        for w, c in cores.items():
+            into[w] = known[c] if c == w else known[c] + self._marks(w[len(c):])
+
+    def _marks(self, tail: str) -> bytes:
+        ids = self.tails.get(tail)
+        if ids is None:
+            ids = np.asarray(self.tokenizer.encode(tail, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            if len(self.tails) < 10_000:
+                self.tails[tail] = ids
+        return ids
+
+    def _takes_parts(self) -> bool:
+        """The steps before the merges are those that ``_learn`` relies on."""
+        norm, pre = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        if norm is None or pre is None or norm.normalize_str("AbcZ") != "abcz":
+            return False
+        split = [x for x, _ in pre.pre_tokenize_str("abcz,.!")]
+        return split == ["abcz", ",.!"] and [t.id for t in self.tokenizer.model.tokenize("abcz")] == self.tokenizer.encode("abcz", add_special_tokens=False).ids
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
@@ -82,10 +127,10 @@ class WordEncoder:
                 fresh.append(w)
             else:
                 known[w] = ids
-        self._learn(sorted(fresh), known)
+        self._learn(fresh, known)
         if long_words:
             extra: dict[str, bytes] = {}
-            self._learn(sorted(long_words), extra)
+            self._whole(list(long_words), extra)
             known = {**{w: known[w] for w in need - long_words}, **extra}
         look = known.__getitem__
         out = [b"".join(map(look, ws)) for ws in split]
