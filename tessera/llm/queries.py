@@ -17,6 +17,7 @@ from .ordinal import rate_documents
 from .hyperminhash import near_duplicates
 from .decontam import leaks
 from .pii import find_personal_data
+from .lbl import score_documents
 
 
 def op9_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +74,13 @@ def op6_boosted_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(documents(spark, sf_dir)).drop("span_list")
 
 
+def op5_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model scores of all documents."""
+    return score_documents(documents(spark, sf_dir))
+
+
 QUERIES = {
+    "op5_log_bilinear": (op5_log_bilinear, None),
     "op6_boosted_spans": (op6_boosted_spans, None),
     "op4_template_leaks": (op4_template_leaks, None),
     "op7_hyperminhash": (op7_hyperminhash, None),
