@@ -48,14 +48,17 @@ def render_io(c: Column | str) -> Column:
     return F.concat(F.lit(IO_TEMPLATE_INPUT), null_to_empty(_c(c)), F.lit(IO_TEMPLATE_OUTPUT))
 
 
-def option_label(i: Column, width: int = 4) -> Column:
+def option_label(i: Column) -> Column:
     """Spreadsheet-style label of the 0-based option index: A..Z, AA..ZZ,
-    AAA.. (bijective base 26, up to ``width`` letters)."""
-    n = i + 1
+    AAA.. (bijective base 26). Seven letters name more options than an array
+    can hold (its size is a 32-bit integer). Letter j from the right exists
+    from the number 1 + 26 + .. + 26^j on and turns every 26^j numbers."""
+    n = i.cast("long") + 1
     digits = []
-    for _ in range(width):
-        digits.append(F.when(n > 0, F.chr(F.lit(65) + F.pmod(n - 1, F.lit(26)))).otherwise(F.lit("")))
-        n = F.when(n > 0, F.floor((n - 1) / 26)).otherwise(F.lit(0))
+    for j in range(7):
+        least = (26 ** (j + 1) - 1) // 25
+        turn = F.call_function("div", n - least, F.lit(26 ** j))
+        digits.append(F.when(n >= least, F.chr(F.lit(65) + F.pmod(turn, F.lit(26)))).otherwise(F.lit("")))
     return F.concat(*reversed(digits))
 
 

@@ -41,13 +41,15 @@ def align(gold: DataFrame, predictions: DataFrame, systems: Sequence[str],
     """Gold (id, y_true) with long predictions (system, id, y_pred).
 
     Predictions are pivoted on the known system names (one aggregation keyed
-    by example, duplicates collapsed to the smallest value instead of fanning
-    out), left-joined to gold so a missing prediction stays null and counts as
-    wrong, then stacked back to (system, id, y_true, y_pred)."""
-    wide = (predictions.groupBy(id_col).pivot("system", list(systems)).agg(F.min("y_pred")))
+    by example, without a fan-out), left-joined to gold so a missing prediction
+    stays null and counts as wrong, then stacked back to (system, id, y_true,
+    y_pred, n_predictions). Repeated ids are an error row: n_predictions says
+    how many there were, and where they disagree y_pred is null."""
+    one = F.when(F.min("y_pred") == F.max("y_pred"), F.min("y_pred"))
+    wide = predictions.groupBy(id_col).pivot("system", list(systems)).agg(one.alias("p"), F.count(F.lit(1)).alias("n"))
     joined = gold.join(wide, id_col, "left")
-    args = ", ".join(f"'{s}', `{s}`" for s in systems)
-    return joined.select(id_col, "y_true", F.expr(f"stack({len(systems)}, {args}) as (system, y_pred)"))
+    args = ", ".join(f"'{s}', `{s}_p`, coalesce(`{s}_n`, 0L)" for s in systems)
+    return joined.select(id_col, "y_true", F.expr(f"stack({len(systems)}, {args}) as (system, y_pred, n_predictions)"))
 
 
 def confusion(long: DataFrame, by: Sequence[str] = ("system",), y: str = "y_true",
@@ -90,8 +92,9 @@ def macro_f1(long: DataFrame, labels: Sequence[str] | None = None, by: Sequence[
     scores = per_label_scores(label_counts(confusion(long, by, y, p), by))
     if labels is None:
         return scores.groupBy(*by).agg(F.avg("f1").alias("macro_f1"))
-    kept = scores.where(F.col("label").isin(*labels))
-    return kept.groupBy(*by).agg((F.sum("f1") / F.lit(float(len(labels)))).alias("macro_f1"))
+    # labels that a system never meets score 0, also if it meets none of them
+    listed = F.when(F.col("label").isin(*labels), F.col("f1")).otherwise(0.0)
+    return scores.groupBy(*by).agg((F.sum(listed) / F.lit(float(len(labels)))).alias("macro_f1"))
 
 
 def class_report(long: DataFrame, labels: Sequence[str] | None = None, by: Sequence[str] = ("system",),

@@ -2,10 +2,9 @@
 mixes and split fallbacks (S3, S4, P1-P3, P8-P15, P18, L1, L2, U1-U3, A1).
 
 Caps are explicit-order operations: the reference takes the first n rows in
-source order; we take the first n in an order key. Small caps (bounded by a
-parameter) use Spark's top-k (``orderBy().limit()`` → TakeOrderedAndProject);
-caps that grow with the data use the distributed numbering of
-``operators.sequence`` so that no single task merges them.
+source order; we take the first n in an order key. Only the order keys are
+ranked, by the distributed numbering of ``operators.sequence``, so that no
+single task merges them; the chosen keys select whole rows with a semi join.
 """
 
 from __future__ import annotations
@@ -17,13 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.prompts import render_inference, render_prompt
-from ..functions.text import decode_label, decode_passthrough, null_to_empty
+from ..functions.text import decode_label, decode_passthrough, null_to_empty, strip
 from ..registry import FALLBACK_TEST, FALLBACK_VALIDATION, NEUTRAL_WORD, Task, get_task
 from .sequence import number_within
 
 SPLITS = ("train", "validation", "test")
-# Largest cap served by a top-k merge in one task; above it, distributed ranking.
-TOPK_LIMIT = 100_000
 
 
 def as_text(df: DataFrame, name: str, role: str = "input") -> Column:
@@ -51,9 +48,13 @@ def as_text(df: DataFrame, name: str, role: str = "input") -> Column:
 
 
 def resolve_input(df: DataFrame, task: Task) -> Column:
-    """Input column of the task; the first column when it is absent."""
-    name = task.input_col if task.input_col in df.columns else df.columns[0]
-    return as_text(df, name, "input")
+    """Input column of the task; the first column when it is absent, or in
+    the rows where its text is empty (P18)."""
+    first = as_text(df, df.columns[0], "input")
+    if task.input_col not in df.columns:
+        return first
+    text = as_text(df, task.input_col, "input")
+    return F.when(strip(text) == "", first).otherwise(text)
 
 
 def resolve_label(df: DataFrame, task: Task) -> Column:
@@ -91,27 +92,33 @@ def prepare_inference(df: DataFrame, task_id: str, prefix: str | None = None,
     return df.select(*kept, prompt.alias("prompt"))
 
 
+def _keep_keys(df: DataFrame, chosen: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose keys (nulls included) are in ``chosen``."""
+    named = chosen.select(*[F.col(k).alias(f"_key_{k}") for k in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & df[k].eqNullSafe(named[f"_key_{k}"])
+    return df.join(named, same, "left_semi")
+
+
 def cap(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
-    """First n rows in ``order_by`` order (no-op when smaller)."""
+    """First n rows in ``order_by`` order, which identifies a row (no-op when
+    smaller)."""
     order_by = list(order_by)
-    if n <= TOPK_LIMIT:
-        return df.orderBy(*order_by).limit(n)
-    numbered = number_within(df, order_by, pos_col="_cap_pos")
-    return numbered.where(F.col("_cap_pos") < n).drop("_cap_pos")
+    numbered = number_within(df.select(*order_by), order_by, pos_col="_cap_pos")
+    return _keep_keys(df, numbered.where(F.col("_cap_pos") < n), order_by)
 
 
 def cap_splits(df: DataFrame, caps: Mapping[str, int], order_by: Sequence[str],
                split_col: str = "split") -> DataFrame:
     """L1 per split: each named split capped at its n; splits without a cap
-    pass through whole."""
-    parts = []
+    pass through whole. The keys of all splits are ranked in one numbering."""
+    order_by = list(order_by)
+    numbered = number_within(df.select(split_col, *order_by), order_by, [split_col], pos_col="_cap_pos")
+    over = F.lit(False)
     for name, n in caps.items():
-        parts.append(cap(df.where(F.col(split_col) == name), n, order_by))
-    rest = df.where(~F.col(split_col).isin(*caps.keys()) | F.col(split_col).isNull())
-    out = rest
-    for p in parts:
-        out = out.unionByName(p)
-    return out
+        over = over | (F.coalesce(F.col(split_col) == name, F.lit(False)) & (F.col("_cap_pos") >= n))
+    return _keep_keys(df, numbered.where(~over), [split_col, *order_by])
 
 
 def head_by_ratio(first: DataFrame, second: DataFrame, num: int, den: int,

@@ -6,15 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import null_to_empty
-from .sequence import neighbour, number_within
+from .sequence import number_within
 
 
 def page_pairs(pages: DataFrame, stream: str = "stream", page: str = "page", text: str = "text",
                lang: str = "lang") -> DataFrame:
     """Each page with the page before it in its stream; label 1 (B-DOC)
-    when the page opens a document (first page, or the language changes)."""
-    numbered = number_within(pages.select(stream, page, lang, text), [page], [stream])
-    withprev = neighbour(numbered, [stream], -1, [text, lang], "prev_")
+    when the page opens a document (first page, or the language changes).
+    The page before comes with the numbering, without a join."""
+    withprev = number_within(pages.select(stream, page, lang, text), [page], [stream], lags=[text, lang])
     pair = F.concat(F.lit("Pagina corrente: "), null_to_empty(F.col(text)), F.lit("\nPagina precedente: "),
                     null_to_empty(F.col("prev_" + text)))
     label = F.when(F.col("prev_" + lang).isNull() | (F.col("prev_" + lang) != F.col(lang)), 1).otherwise(0)

@@ -2,153 +2,78 @@
 
 A window ``partitionBy(stream).orderBy(ts)`` puts a whole stream in one task;
 one hot stream holding a third of the rows then holds a third of the work of
-one executor. ``number_within`` instead range-partitions the rows on
-(stream, order), so a hot stream is split over many tasks, computes positions
-and running sums inside each sorted partition (Arrow batches, numpy), and adds
-the counts of the earlier partitions a stream started in. Those per-partition
-offsets come from a summary with one row per range partition, so the table
-that is broadcast back is bounded by the partition count, not by the data.
-
-Neighbour access (lag/lead by k) is then an equi-join on (stream, pos + k),
-which spreads evenly over all (stream, position) keys.
+one executor. ``number_within`` range-partitions the rows on (stream, order)
+instead, so a hot stream is split over many tasks. The sorted rows are written
+once; windows then run inside (range partition, stream), and what a stream has
+in earlier range partitions is added from a summary with one row per range
+partition, the only broadcast. DataFrame functions only, so integers stay
+exact whatever nulls stand beside them.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ..session import ensure_checkpoint_dir
-
-
-def _partition_tag(values) -> int:
-    """Stable 64-bit id of a range partition, taken from its first sort key.
-
-    The task's partition index cannot be used: when the plan puts a Union in
-    the same stage, tasks are numbered over the union, not the range exchange.
-    """
-    digest = hashlib.blake2b(repr(tuple(values)).encode("utf-8"), digest_size=8).digest()
-    return int.from_bytes(digest, "little", signed=True)
-
 
-def _local_pass(by: list[str], keys: list[str], sums: list[str]):
-    """Per sorted partition: position and running sums inside each stream run."""
-
-    def run(batches):
-        pid = None
-        prev_key = None
-        carry_pos = 0
-        carry_cum = np.zeros(len(sums), dtype=np.int64)
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            if pid is None:
-                pid = _partition_tag(pdf[keys].iloc[0].tolist())
-            if by:
-                key_frame = pdf[by].astype(object).where(pdf[by].notna(), "\0null")
-                shifted = key_frame.shift(1)
-                changed = (key_frame != shifted).any(axis=1).to_numpy()
-                first_key = tuple(key_frame.iloc[0].tolist())
-                changed[0] = prev_key is None or first_key != prev_key
-                last_key = tuple(key_frame.iloc[-1].tolist())
-            else:
-                changed = np.zeros(n, dtype=bool)
-                changed[0] = prev_key is None
-                last_key = ()
-            run_id = np.cumsum(changed)  # 0 = continuation of the previous batch's run
-            groups = pd.Series(run_id)
-            pos = groups.groupby(run_id).cumcount().to_numpy().astype(np.int64)
-            cont = run_id == 0
-            pos[cont] += carry_pos
-            out = pdf.copy()
-            out["_pid"] = np.int64(pid)
-            out["_lpos"] = pos
-            for j, s in enumerate(sums):
-                vals = pd.Series(pdf[s].fillna(0).to_numpy().astype(np.int64))
-                cum = vals.groupby(run_id).cumsum().to_numpy()
-                cum[cont] += carry_cum[j]
-                out[f"_lcum_{s}"] = cum
-                carry_cum[j] = cum[-1]
-            carry_pos = int(pos[-1]) + 1
-            prev_key = last_key
-            yield out
-
-    return run
+from ..session import scratch_path
 
 
 def number_within(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
                   sums: Sequence[str] = (), partitions: int | None = None,
-                  pos_col: str = "pos", materialize: bool = True) -> DataFrame:
-    """Add ``pos`` (0-based position inside each ``by`` group in ``order``) and
-    ``cum_<c>`` (inclusive running sum of integer column c inside the group).
+                  pos_col: str = "pos", lags: Sequence[str] = ()) -> DataFrame:
+    """Add ``pos`` (0-based position inside each ``by`` group in ``order``),
+    ``cum_<c>`` (inclusive running sum of integer column c inside the group,
+    nulls as 0) and ``prev_<c>`` (c in the row before, null in a group's first).
 
     ``by + order`` must identify a row (a unique tiebreaker such as an id is
-    part of ``order``), which makes every recomputation identical. Project the
-    frame to the columns you need first: rows pass through Arrow once.
-    Shuffles: one range exchange; the locally numbered rows are checkpointed
-    once (``materialize``), the summary is one row per range partition and is
-    broadcast back.
+    part of ``order``). Project the frame to the columns you need first: rows
+    are range-exchanged, written and dealt by (range partition, group) once.
+    The write is a job of its own, run when this is called; the files lie
+    under the shared checkpoint folder.
     """
-    by, order, sums = list(by), list(order), list(sums)
+    by, order, sums, lags = list(by), list(order), list(sums), list(lags)
     spark = df.sparkSession
     keys = by + order
-    # Without an explicit count the range exchange is sized by AQE (coalesced
-    # towards the advisory partition size), so small inputs do not pay for
-    # spark.sql.shuffle.partitions Python tasks; coalesced partitions are
-    # still contiguous key ranges, which is all the offsets need.
-    ranged = (df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)) \
-        .sortWithinPartitions(*keys)
-
-    fields = list(ranged.schema.fields) + [T.StructField("_pid", T.LongType()),
-                                           T.StructField("_lpos", T.LongType())]
-    fields += [T.StructField(f"_lcum_{s}", T.LongType()) for s in sums]
-    local = ranged.mapInPandas(_local_pass(by, keys, sums), T.StructType(fields))
-    if materialize:
-        # One reliable checkpoint (shared folder from spark.checkpoint.dir):
-        # the summary branch and the row branch read the same bytes, the
-        # sort + Arrow pass runs once, and a lost executor does not redo it.
-        ensure_checkpoint_dir(spark)
-        local = local.checkpoint(eager=True)
-
-    key_col = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("k"))
-    ord_col = F.struct(*[F.col(c) for c in keys])
-    summary = local.groupBy("_pid").agg(
-        F.min(ord_col).alias("_start"),
-        F.min_by(key_col, ord_col).alias("_first"),
-        F.max_by(key_col, ord_col).alias("_last"),
-        (F.max_by(F.col("_lpos"), ord_col) + 1).alias("_tail_n"),
-        *[F.max_by(F.col(f"_lcum_{s}"), ord_col).alias(f"_tail_{s}") for s in sums],
-    )
-    p = summary.select("_pid", "_first", "_start")
-    q = summary.select(F.col("_start").alias("_qstart"), F.col("_last").alias("_qlast"), "_tail_n",
-                       *[f"_tail_{s}" for s in sums])
-    offsets = (p.join(q, (q["_qlast"] == p["_first"]) & (q["_qstart"] < p["_start"]), "inner")
-               .groupBy("_pid", "_first")
-               .agg(F.sum("_tail_n").alias("_off_n"), *[F.sum(f"_tail_{s}").alias(f"_off_{s}") for s in sums]))
-
-    joined = local.join(F.broadcast(offsets), "_pid", "left")
-    starts_here = joined["_first"].isNull() | (key_col != joined["_first"])
-    out = joined.withColumn(pos_col, F.col("_lpos") + F.when(starts_here, F.lit(0)).otherwise(F.col("_off_n")))
+    # Without an explicit count the range exchange is sized by AQE; coalesced
+    # partitions are still contiguous key ranges, which is all that is needed.
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    path = scratch_path(spark, "numbered")
+    stamped = ranged.sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
+    stamped.write.parquet(path)
+    local = spark.read.schema(stamped.schema).parquet(path).withColumn("_part", F.shiftrightunsigned("_at", 33))
+
+    run = Window.partitionBy("_part", *by).orderBy("_at")
+    upto = run.rowsBetween(Window.unboundedPreceding, 0)
+    group = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("k"))
+    rows = local.withColumn("_lpos", F.row_number().over(run).cast("long") - 1)
+    rows = rows.withColumns({f"_lcum_{s}": F.sum(F.coalesce(F.col(s), F.lit(0)).cast("long")).over(upto) for s in sums}) if sums else rows
+    rows = rows.withColumns({f"_lag_{c}": F.lag(c).over(run) for c in lags}) if lags else rows
+
+    # what each range partition begins and ends with
+    facts = local.groupBy("_part", *by).agg(
+        F.min("_at").alias("_lo"), F.max("_at").alias("_hi"), F.count(F.lit(1)).alias("n"),
+        *[F.sum(F.coalesce(F.col(s), F.lit(0)).cast("long")).alias(f"s_{s}") for s in sums],
+        *[F.max_by(F.struct(c), "_at").alias(f"l_{c}") for c in lags])
+    carried = ["n", *[f"s_{s}" for s in sums], *[f"l_{c}" for c in lags]]
+    ends = facts.groupBy("_part").agg(
+        F.min_by(group, "_lo").alias("_first"), F.max_by(group, "_hi").alias("_last"), F.max_by(F.struct(*carried), "_hi").alias("t"))
+    # tails in range order, and one question per partition: what came before of its first group
+    tails = ends.select(F.col("_last").alias("g"), "_part", F.lit(False).alias("asks"), *[F.col(f"t.{c}").alias(c) for c in carried])
+    asks = ends.select(F.col("_first").alias("g"), "_part", F.lit(True).alias("asks"),
+                       *[F.lit(None).cast(tails.schema[c].dataType).alias(c) for c in carried])
+    earlier = Window.partitionBy("g").orderBy("_part").rangeBetween(Window.unboundedPreceding, -1)
+    answers = tails.unionByName(asks).select(
+        "asks", F.col("_part").alias("_p"), F.col("g").alias("_first"),
+        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_o_{c}") for c in carried[:1 + len(sums)]],
+        *[F.last(f"l_{c}", ignorenulls=True).over(earlier).alias(f"_o_l_{c}") for c in lags]).where("asks").drop("asks")
+
+    joined = rows.join(F.broadcast(answers), F.col("_part") == F.col("_p"))
+    goes_on = group.eqNullSafe(F.col("_first"))
+    added = {pos_col: F.col("_lpos") + F.when(goes_on, F.col("_o_n")).otherwise(0)}
     for s in sums:
-        out = out.withColumn(f"cum_{s}", F.col(f"_lcum_{s}") + F.when(starts_here, F.lit(0))
-                             .otherwise(F.col(f"_off_{s}")))
-    drop = ["_pid", "_lpos", "_first", "_off_n"] + [f"_lcum_{s}" for s in sums] + [f"_off_{s}" for s in sums]
-    return out.drop(*drop)
-
-
-def neighbour(numbered: DataFrame, by: Sequence[str], offset: int, cols: Sequence[str],
-              prefix: str, pos_col: str = "pos", how: str = "left") -> DataFrame:
-    """Attach ``cols`` of the row at ``pos + offset`` of the same group
-    (offset -1 = previous row, like ``lag``) as ``prefix + col``.
-    An equi-join on (group, position): no window, no hot task."""
-    by = list(by)
-    other = numbered.select(*[F.col(c) for c in by], (F.col(pos_col) - F.lit(offset)).alias(pos_col),
-                            *[F.col(c).alias(prefix + c) for c in cols])
-    return numbered.join(other, by + [pos_col], how)
+        added[f"cum_{s}"] = F.col(f"_lcum_{s}") + F.when(goes_on, F.col(f"_o_s_{s}")).otherwise(0)
+    for c in lags:
+        added[f"prev_{c}"] = F.when(goes_on & (F.col("_lpos") == 0), F.col(f"_o_l_{c}").getField(c)).otherwise(F.col(f"_lag_{c}"))
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], *[v.alias(k) for k, v in added.items()])

@@ -8,13 +8,10 @@ makes a bigger partial aggregate, never a fan-out.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.text import normalise_answer, null_to_empty, strip, word_tokens
@@ -69,7 +66,7 @@ def prf_from_flags(flags: DataFrame, by: Sequence[str] = (), beta: float = 1.0)
 # ------------------------------------------------------------- M16, M17
 
 def _etype(tag: Column) -> Column:
-    return F.when(tag.startswith("B-") | tag.startswith("I-"), F.substring(tag, 3, 1000))
+    return F.when(tag.startswith("B-") | tag.startswith("I-"), F.substring(tag, 3, F.length(tag)))
 
 
 def bio_to_spans(tokens: DataFrame, tag: str, doc: str = "doc_id", pos: str = "pos") -> DataFrame:
@@ -172,72 +169,46 @@ def edit_f05(gold_edits: DataFrame, pred_edits: DataFrame,
 
 # ------------------------------------------------------------------ M19
 
-_CLAUSES = {
-    "select": r"(?i)^\s*select\s+(.*?)\s+from\s",
-    "from": r"(?i)\sfrom\s+(.*?)(\s+where\s|\s+group\s+by\s|\s+order\s+by\s|$)",
-    "where": r"(?i)\swhere\s+(.*?)(\s+group\s+by\s|\s+order\s+by\s|$)",
-    "group": r"(?i)\sgroup\s+by\s+(.*?)(\s+order\s+by\s|$)",
-    "order": r"(?i)\sorder\s+by\s+(.*?)$",
-}
-_SPLITTERS = {"select": ",", "from": ",", "where": r"(?i)\s+and\s+", "group": ",", "order": ","}
+# clauses in the order in which they follow each other, and what ends one
+_CLAUSES = ["select", "from", "where", "group by", "having", "order by", "limit"]
+_SPLITTERS = {"where": r"\s+and\s+", "having": r"\s+and\s+"}
 
 
-def clause_items(q: Column, clause: str) -> Column:
-    """Sorted, lower-cased, trimmed items of one clause (empty when absent)."""
-    body = F.regexp_extract(null_to_empty(q), _CLAUSES[clause], 1)
-    items = F.transform(F.split(F.lower(body), _SPLITTERS[clause]), lambda x: strip(x))
-    items = F.filter(items, lambda x: x != "")
-    return F.array_sort(F.array_distinct(items))
+def _folded(q: Column) -> Column:
+    """White space collapsed, lower case outside single-quoted literals."""
+    parts = F.split(strip(F.regexp_replace(null_to_empty(q), r"\s+", " ")), "'", -1)
+    return F.array_join(F.transform(parts, lambda x, i: F.when(i % 2 == 0, F.lower(x)).otherwise(x)), "'")
+
+
+def clause_items(folded: Column, clause: str) -> Column:
+    """Sorted distinct items of one clause of a folded query (empty when absent)."""
+    later = "|".join(c for c in _CLAUSES[_CLAUSES.index(clause) + 1:])
+    end = rf"(?: (?:{later}) |$)" if later else "$"
+    start = "^select " if clause == "select" else f" {clause} "
+    body = F.regexp_extract(folded, rf"{start}(.*?){end}", 1)
+    items = F.transform(F.split(body, _SPLITTERS.get(clause, ",")), lambda x: F.regexp_replace(strip(x), r"\s*([<>=!,()]+)\s*", "$1"))
+    return F.array_sort(F.array_distinct(F.filter(items, lambda x: x != "")))
 
 
 def clause_match(df: DataFrame, gold: str, pred: str) -> DataFrame:
-    """Exact set match — every clause has the same item set."""
-    same = None
+    """Exact set match — every clause has the same item set. A gold or
+    predicted text that is not SELECT .. FROM .. is not parsed and matches
+    nothing."""
+    g, p = _folded(F.col(gold)), _folded(F.col(pred))
+    same = F.lit(True)
+    for q in (g, p):
+        same = same & (F.size(clause_items(q, "select")) > 0) & (F.size(clause_items(q, "from")) > 0)
     for c in _CLAUSES:
-        eq = clause_items(F.col(gold), c) == clause_items(F.col(pred), c)
-        same = eq if same is None else (same & eq)
+        same = same & (clause_items(g, c) == clause_items(p, c))
     return df.select("*", same.alias("exact_set_match"))
 
 
-# ------------------------------------------------------------------ M20
-
-def execution_accuracy(spark, pairs_rows, max_rows: int = 100_000) -> list[tuple]:
-    """M20 (driver-side by nature: one Spark job per query pair). Each query
-    must be a single SELECT over registered views; a failing query is wrong.
-    Returns (pair_id, correct) tuples; the pair list is expected to be a
-    benchmark, not a data-sized table."""
-    out = []
-    for pair_id, gold_sql, pred_sql in pairs_rows:
-        ok = False
-        try:
-            for s in (gold_sql, pred_sql):
-                if not s.strip().lower().startswith("select") or ";" in s.strip().rstrip(";"):
-                    raise ValueError("only a single SELECT is allowed")
-            g = spark.sql(gold_sql)
-            p = spark.sql(pred_sql)
-            ok = (len(g.columns) == len(p.columns)
-                  and g.exceptAll(p.toDF(*g.columns)).isEmpty() and p.toDF(*g.columns).exceptAll(g).isEmpty())
-        except Exception:  # noqa: BLE001 - a failing query counts as wrong
-            ok = False
-        out.append((pair_id, ok))
-    return out
-
-
 # ------------------------------------------------------------------ M21
 
-def _pass_at_k_value(n: int, c: int, k: int) -> float:
-    if n - c < k:
-        return 1.0
-    # 1 - prod_{i=n-c+1..n} (1 - k/i) = 1 - C(n-c, k) / C(n, k), in log space
-    log_ratio = (math.lgamma(n - c + 1) - math.lgamma(n - c - k + 1)) - (math.lgamma(n + 1) - math.lgamma(n - k + 1))
-    return 1.0 - math.exp(log_ratio)
-
-
-def _pass_udf(k: int):
-    @F.pandas_udf(T.DoubleType())
-    def f(n: pd.Series, c: pd.Series) -> pd.Series:
-        return pd.Series([_pass_at_k_value(int(a), int(b), k) for a, b in zip(n, c)], dtype="float64")
-    return f
+def _pass_at_k_value(n: Column, c: Column, k: int) -> Column:
+    """1 - C(n-c, k) / C(n, k), the ratio as a product of k factors."""
+    miss = F.aggregate(F.sequence(F.lit(0), F.lit(k - 1)), F.lit(1.0), lambda a, j: a * (n - c - j) / (n - j))
+    return F.when(n - c < k, F.lit(1.0)).otherwise(1.0 - miss)
 
 
 def pass_at_k(attempts: DataFrame, ks: Sequence[int] = (1, 10), problem: str = "problem",
@@ -248,29 +219,32 @@ def pass_at_k(attempts: DataFrame, ks: Sequence[int] = (1, 10), problem: str = "
     formula sees one row per problem."""
     per = attempts.groupBy(problem).agg(F.count(F.lit(1)).alias("n"),
                                         F.sum(F.col(passed).cast("int")).cast("long").alias("c"))
-    outs = []
+    parts = []
     for k in ks:
         scored = F.col("n") >= k
-        v = F.when(scored, _pass_udf(k)("n", "c"))
-        outs.append(per.agg(F.lit(k).alias("k"), F.count_if(scored).alias("n_scored"),
-                            F.count_if(~scored).alias("n_skipped"), F.avg(v).alias("pass_at_k")))
-    res = outs[0]
-    for o in outs[1:]:
-        res = res.unionByName(o)
-    return res
+        parts += [F.count_if(scored).alias(f"s{k}"), F.count_if(~scored).alias(f"u{k}"),
+                  F.avg(F.when(scored, _pass_at_k_value(F.col("n"), F.col("c"), k))).alias(f"v{k}")]
+    rows = [F.struct(F.lit(k).alias("k"), F.col(f"s{k}").alias("n_scored"), F.col(f"u{k}").alias("n_skipped"),
+                     F.col(f"v{k}").alias("pass_at_k")) for k in ks]
+    return per.agg(*parts).select(F.inline(F.array(*rows)))
 
 
 # ------------------------------------------------------------------ M22, M23
 
-def json_validity(df: DataFrame, col: str, required: Sequence[str] = ("k",)) -> DataFrame:
-    """M22 per row: parses as a JSON object, required keys present with
-    integer values."""
+#: JSON type names of ``json_validity`` and the variant types they take.
+_JSON_TYPES = {"integer": r"^(BIGINT|INT|SMALLINT|TINYINT)$", "number": r"^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL.*)$",
+               "string": "^STRING$", "boolean": "^BOOLEAN$", "array": "^ARRAY", "object": "^OBJECT", "null": "^VOID$", "any": "."}
+
+
+def json_validity(df: DataFrame, col: str, required: Mapping[str, str]) -> DataFrame:
+    """M22 per row: parses as a JSON object and every required key (name to
+    JSON type) is there with a value of its type."""
     v = F.try_parse_json(F.col(col))
     is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
     ok = is_obj
-    for key in required:
-        t = F.schema_of_variant(F.variant_get(v, f"$.{key}", "variant"))
-        ok = ok & F.coalesce(t.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), F.lit(False))
+    for key, kind in required.items():
+        t = F.schema_of_variant(F.variant_get(v, f"$['{key}']", "variant"))
+        ok = ok & F.coalesce(t.rlike(_JSON_TYPES[kind]), F.lit(False))
     return df.select("*", v.isNotNull().alias("parses"), F.coalesce(ok, F.lit(False)).alias("valid"))
 
 
@@ -322,8 +296,9 @@ def anls(df: DataFrame, keys: Sequence[str], pred: str, golds: Sequence[str], th
 def fever_score(claims: DataFrame, gold_evidence: DataFrame, pred_evidence: DataFrame,
                 claim: str = "claim_id") -> DataFrame:
     """Label accuracy and FEVER score (label right and at least one gold
-    evidence set fully inside the predicted evidence). Set containment is a
-    left join of gold items to predicted items and a count per set."""
+    evidence set fully inside the predicted evidence; a claim without gold
+    evidence needs none). Set containment is a left join of gold items to
+    predicted items and a count per set."""
     ge = gold_evidence.alias("g")
     pe = pred_evidence.select(claim, "item", F.lit(1).alias("_hit")).distinct()
     j = ge.join(pe, [claim, "item"], "left")
@@ -333,7 +308,7 @@ def fever_score(claims: DataFrame, gold_evidence: DataFrame, pred_evidence: Data
     label_ok = (F.col("y_true") == F.col("y_pred"))
     return c.agg(F.count(F.lit(1)).alias("n"),
                  F.avg(F.when(label_ok, 1.0).otherwise(0.0)).alias("label_accuracy"),
-                 F.avg(F.when(label_ok & (F.coalesce(F.col("retrieved"), F.lit(0)) == 1), 1.0).otherwise(0.0))
+                 F.avg(F.when(label_ok & (F.coalesce(F.col("retrieved"), F.lit(1)) == 1), 1.0).otherwise(0.0))
                  .alias("fever_score"))
 
 

@@ -83,7 +83,7 @@ def pair_counts_with_bounds(words: DataFrame, symbols: str = "symbols", freq: st
 
 def train_bpe(words: DataFrame, vocab_size: int = BPE_VOCAB_SIZE,
               special: Sequence[str] = tuple(BPE_SPECIAL_TOKENS), checkpoint_every: int = 25,
-              words_per_partition: int = 2_000_000, candidates: int = 64):
+              candidates: int = 64):
     """K4: BPE vocabulary from a (word, freq) table.
 
     Vocabulary = special tokens, then the alphabet (sorted), then one token
@@ -99,10 +99,7 @@ def train_bpe(words: DataFrame, vocab_size: int = BPE_VOCAB_SIZE,
     spark = words.sparkSession
     ensure_checkpoint_dir(spark)
     base = words.select("word", "freq", symbols_of(F.col("word")).alias("symbols"))
-    table = base.checkpoint()
-    n_words = table.count()
-    n_parts = max(1, -(-n_words // words_per_partition))
-    table = (table.coalesce(1) if n_parts == 1 else table.repartition(n_parts)).checkpoint()
+    table = base.repartition("word").checkpoint()
     alphabet = [r["c"] for r in table.select(F.explode("symbols").alias("c")).distinct().orderBy("c").collect()]
     vocab = list(special) + [c for c in alphabet if c not in special]
     symbols_seen = set(vocab)

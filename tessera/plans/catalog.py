@@ -296,12 +296,12 @@ def p17_check_columns(spark, sf):
 
 
 @register("p18_first_column_fallback", f"""
-SELECT item_id, 'Input: ' || CAST(item_id AS VARCHAR) || chr(10) || 'Output: risposta' AS text FROM benchmark
+SELECT item_id, 'Input: ' || CASE WHEN item_id % 4 = 0 THEN CAST(item_id AS VARCHAR) ELSE text END || chr(10) || 'Output: risposta' AS text FROM benchmark
 """)
 def p18_first_column_fallback(spark, sf):
-    b = read_table(spark, sf, "benchmark")
-    task = get_task("13")  # its input column "tokens" is absent: the first column is used
-    inp = pp.resolve_input(b, task)
+    # every fourth text is blank: there the first column is used
+    b = read_table(spark, sf, "benchmark").select("item_id", F.when(F.pmod("item_id", F.lit(4)) == 0, "  ").otherwise(F.col("text")).alias("text"))
+    inp = pp.resolve_input(b, get_task("06"))
     return b.select("item_id", pr.render_io(inp).alias("text"))
 
 
@@ -603,23 +603,28 @@ def a10_hamming_loss(spark, sf):
 
 @register("j1_align", f"""
 WITH {q.PREDS},
-pl AS (SELECT 'base' AS system, example_id, y_base AS y_pred FROM preds
+pl0 AS (SELECT 'base' AS system, example_id, y_base AS y_pred FROM preds
+       UNION ALL SELECT 'base', example_id, y_base || 'x' FROM preds WHERE example_id % 11 = 0
        UNION ALL SELECT 'ft', example_id, y_ft FROM preds WHERE example_id % 13 <> 0),
+pl AS (SELECT system, example_id, CASE WHEN count(DISTINCT y_pred) = 1 THEN any_value(y_pred) END AS y_pred, count(*) AS k FROM pl0 GROUP BY ALL),
 g AS (SELECT example_id, y_true FROM preds),
-al AS (SELECT s.system, g.example_id, g.y_true, pl.y_pred FROM g CROSS JOIN (VALUES ('base'), ('ft')) s(system)
+al AS (SELECT s.system, g.example_id, g.y_true, pl.y_pred, pl.k FROM g CROSS JOIN (VALUES ('base'), ('ft')) s(system)
        LEFT JOIN pl ON pl.system = s.system AND pl.example_id = g.example_id)
 SELECT system, CAST(count(*) AS BIGINT) AS n, CAST(count(y_pred) AS BIGINT) AS n_predicted,
+       CAST(count(*) FILTER (WHERE k > 1) AS BIGINT) AS n_repeated,
        {R6("avg(CASE WHEN y_true = y_pred THEN 1.0 ELSE 0.0 END)")} AS accuracy FROM al GROUP BY system
 """)
 def j1_align(spark, sf):
     p = fx.preds(spark, sf)
     preds_long = (p.select(F.lit("base").alias("system"), "example_id", F.col("y_base").alias("y_pred"))
+                  .unionByName(p.where(F.pmod("example_id", F.lit(11)) == 0).select(
+                      F.lit("base").alias("system"), "example_id", F.concat("y_base", F.lit("x")).alias("y_pred")))
                   .unionByName(p.where(F.pmod("example_id", F.lit(13)) != 0)
                                .select(F.lit("ft").alias("system"), "example_id", F.col("y_ft").alias("y_pred"))))
     al = cl.align(p.select("example_id", "y_true"), preds_long, ["base", "ft"])
     hit = F.when(F.col("y_true") == F.col("y_pred"), F.lit(1.0)).otherwise(F.lit(0.0))
     return al.groupBy("system").agg(F.count(F.lit(1)).alias("n"), F.count("y_pred").alias("n_predicted"),
-                                    r6(F.avg(hit)).alias("accuracy"))
+                                    F.count_if(F.col("n_predictions") > 1).alias("n_repeated"), r6(F.avg(hit)).alias("accuracy"))
 
 
 @register("j2_compare", f"""
@@ -655,7 +660,7 @@ def _docs(spark, sf):
 
 def _pairs(spark, sf):
     p = fx.pairs(spark, sf)
-    return p.select((F.col("conv_id") * 100 + F.col("turn")).alias("id"), "reference", "candidate", "conv_id")
+    return p.select(F.concat_ws("-", "conv_id", "turn").alias("id"), "reference", "candidate", "conv_id")
 
 
 _TASK_BUILDERS: dict[str, tuple[Callable, str, str, str]] = {}
@@ -670,7 +675,7 @@ def _task(tid: str, src: str, inp_sql: str, lab_sql: str):
 
 _DOCS_SQL = f"(SELECT doc_id AS id, {q.SPLIT.format(c='doc_id')} AS split, * FROM documents) s"
 _LAB_SQL = f"(SELECT doc_id AS id, {q.SPLIT.format(c='doc_id')} AS split, * FROM labelled) s"
-_PAIRS_SQL = "(SELECT conv_id * 100 + turn AS id, * FROM pairs) s"
+_PAIRS_SQL = "(SELECT conv_id || '-' || turn AS id, * FROM pairs) s"
 
 
 @_task("01", _LAB_SQL, "text", _T01_LABEL_SQL)
@@ -730,11 +735,11 @@ def _t08(spark, sf):
                                     .alias("translation"))
 
 
-@_task("09", "(SELECT conv_id * 100 + turn AS id, * FROM pairs WHERE reference2 IS NOT NULL) s", "reference", "reference2")
+@_task("09", "(SELECT conv_id || '-' || turn AS id, * FROM pairs WHERE reference2 IS NOT NULL) s", "reference", "reference2")
 def _t09(spark, sf):
     """Paraphrase: label==1 pairs only, target is sentence2 (here: the next user turn)."""
     p = fx.pairs(spark, sf)
-    return p.select((F.col("conv_id") * 100 + F.col("turn")).alias("id"), F.col("reference").alias("sentence1"),
+    return p.select(F.concat_ws("-", "conv_id", "turn").alias("id"), F.col("reference").alias("sentence1"),
                     F.col("reference2").alias("sentence2"),
                     F.col("reference2").isNotNull().cast("int").alias("label")) \
         .where(F.col("label") == 1).drop("label").withColumnRenamed("sentence2", "label")

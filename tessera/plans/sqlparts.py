@@ -156,7 +156,7 @@ def bleu_select(per_order: str, max_n: int, num: str = "overlap", den: str = "c_
             f"FROM {per_order}) z")
 
 
-def option_label(i: str, width: int = 4) -> str:
+def option_label(i: str, width: int = 7) -> str:
     """SQL twin of functions.prompts.option_label (0-based index i)."""
     n = f"({i} + 1)"
     digits = []

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.sequence import neighbour, number_within
+from ..operators.sequence import number_within
 from ..session import scratch_path
 
 REPORT_SCHEMA = T.StructType([
@@ -80,12 +80,13 @@ def explode_run_log(spark: SparkSession, path: str) -> DataFrame:
     """One row per logged step with tokens in the interval since the
     previous log line and perplexity exp(loss)."""
     logs = spark.read.schema(LOG_SCHEMA).json(path)
-    ex = (logs.select("run_id", F.explode_outer("log_history").alias("h")).where(F.col("h").isNotNull())
-          .select("run_id", "h.*"))
-    # lag(num_tokens) over (run order by step) as a join with the previous
-    # logged step (steps need not be contiguous)
-    num = number_within(ex, ["step"], ["run_id"], pos_col="_pos")
-    prev = neighbour(num, ["run_id"], -1, ["num_tokens"], "prev_", pos_col="_pos")
+    # a log is one row: its lines are sorted and paired with the line before
+    # inside the row (steps need not be contiguous)
+    lines = F.transform(F.array(F.array_sort("log_history")), lambda h: F.transform(h, lambda x, i: F.struct(
+        x["step"].alias("step"), x["loss"].alias("loss"), x["num_tokens"].alias("num_tokens"),
+        F.get(h, i - 1)["num_tokens"].alias("prev_num_tokens"))))[0]
+    prev = (logs.select("run_id", F.explode_outer(lines).alias("h")).where(F.col("h").isNotNull())
+            .select("run_id", "h.*"))
     return prev.select("run_id", "step", "loss", "num_tokens",
                        (F.col("num_tokens") - F.coalesce(F.col("prev_num_tokens"), F.lit(0.0))).alias("interval_tokens"),
                        F.exp("loss").alias("perplexity"))

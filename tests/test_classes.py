@@ -33,7 +33,14 @@ def test_align_missing_and_duplicates(spark):
     al = cl.align(gold, preds, ["x", "y"])
     assert al.count() == 4  # no fan-out from the duplicate, missing kept
     acc = {r.system: r.accuracy for r in cl.accuracy(al).collect()}
-    assert acc == {"x": 0.5, "y": 0.5}
+    assert acc == {"x": 0.0, "y": 0.5}  # two answers to one example are none
+    n = {(r.system, r.example_id): (r.y_pred, r.n_predictions) for r in al.collect()}
+    assert n == {("x", 1): (None, 2), ("x", 2): (None, 0), ("y", 1): (None, 0), ("y", 2): ("b", 1)}
+
+
+def test_listed_labels_that_never_occur_score_zero(spark):
+    df = spark.createDataFrame([("a", "x", "x"), ("b", "x", "y")], "system string, y_true string, y_pred string")
+    assert {r.system: r.macro_f1 for r in cl.macro_f1(df, labels=["u", "v"]).collect()} == {"a": 0.0, "b": 0.0}
 
 
 def test_hamming_and_recall(spark):

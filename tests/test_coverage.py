@@ -1,5 +1,4 @@
-"""Every SURVEY §2 inventory id has a registered query (M20 is a documented
-driver-side function, see README)."""
+"""Every SURVEY §2 inventory id has a registered query, but for M20 (see README)."""
 
 import __spark_entry__ as entry
 
@@ -13,8 +12,3 @@ def test_every_inventory_id_is_registered():
     names = list(entry.queries())
     missing = [i for i in IDS if not any(n.startswith(i + "_") for n in names)]
     assert missing == []
-
-
-def test_execution_accuracy_exists_as_function():
-    from tessera.operators.structured import execution_accuracy
-    assert callable(execution_accuracy)

@@ -9,15 +9,21 @@ def _frame(spark, n, split="train", lang="en", start=0):
     return spark.createDataFrame([(start + i, split, lang) for i in range(n)], "id long, split string, lang string")
 
 
-def test_cap_topk_and_distributed_paths_agree(spark, monkeypatch):
-    df = _frame(spark, 500).unionByName(_frame(spark, 80, "validation", start=1000))
-    small = pp.cap_splits(df, {"train": 120, "validation": 30}, ["id"])
-    monkeypatch.setattr(pp, "TOPK_LIMIT", 10)  # force the distributed ranking path
+def test_caps_keep_the_first_rows(spark):
+    df = _frame(spark, 500).unionByName(_frame(spark, 80, "validation", start=1000)).unionByName(_frame(spark, 5, None, start=2000)) \
+        .unionByName(_frame(spark, 6, "test", start=3000)).repartition(7)
     big = pp.cap_splits(df, {"train": 120, "validation": 30}, ["id"])
-    assert sorted(r.id for r in small.collect()) == sorted(r.id for r in big.collect())
     counts = {r.split: r.n_rows for r in pp.split_stats(big).collect()}
-    assert counts == {"train": 120, "validation": 30}
+    assert counts == {"train": 120, "validation": 30, None: 5, "test": 6}
     assert big.where("split = 'train'").agg(F.max("id")).first()[0] == 119
+    assert sorted(r.id for r in pp.cap(df, 3, ["id"]).collect()) == [0, 1, 2]
+    assert pp.cap(df, 10**6, ["id"]).count() == 591
+
+
+def test_blank_input_takes_the_first_column(spark):
+    df = spark.createDataFrame([(7, "Bello", 1), (8, "  ", 1), (9, None, 0)], "first long, text string, label int")
+    got = [r.i for r in df.select(pp.resolve_input(df, pp.get_task("06")).alias("i")).collect()]
+    assert got == ["Bello", "8", "9"]
 
 
 def test_split_fallback_only_when_missing(spark):

@@ -61,3 +61,15 @@ def test_label_map_as_written_never_hits(spark):
     raw = spark.createDataFrame([("0",), ("3",)], "r string")
     assert [r[0] for r in raw.select(tx.decode_passthrough("r", m, as_written=True)).collect()] == ["0", "3"]
     assert [r[0] for r in raw.select(tx.decode_passthrough("r", m)).collect()] == ["World", "Sci-Tech"]
+
+
+def test_option_labels_do_not_wrap(spark):
+    def label(n):
+        out, n = "", n + 1
+        while n:
+            n, r = divmod(n - 1, 26)
+            out = chr(65 + r) + out
+        return out
+    some = [0, 25, 26, 701, 702, 18277, 18278, 475253, 475254, 475255, 12356629, 12356630, 2**31 - 1]
+    df = spark.createDataFrame([(n,) for n in some], "id int")
+    assert [r[0] for r in df.select(pr.option_label(F.col("id"))).collect()] == [label(n) for n in some]

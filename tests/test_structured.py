@@ -23,6 +23,23 @@ def test_bio_to_spans_rules(spark):
     assert spans == [(0, 1, "PER"), (3, 4, "LOC"), (5, 5, "PER"), (6, 6, "ORG"), (7, 7, "ORG")]
 
 
+def test_long_types_stay_apart(spark):
+    long = "x" * 1500
+    tags = [f"B-{long}a", f"I-{long}a", f"I-{long}b"]
+    df = spark.createDataFrame([(1, i, t) for i, t in enumerate(tags)], "doc_id int, pos long, tag string")
+    assert sorted((r.start, r.end, r.type[-1]) for r in st.bio_to_spans(df, "tag").collect()) == [(0, 1, "a"), (2, 2, "b")]
+    arr = spark.createDataFrame([(1, tags)], "doc_id int, tags array<string>")
+    assert sorted((r.start, r.end, r.type[-1]) for r in st.spans_from_tags(arr, "tags").collect()) == [(0, 1, "a"), (2, 2, "b")]
+
+
+def test_prompt_rates_past_turn_100(spark):
+    rows = [(1, 100, "a", [("ends_with", ".")]), (2, 0, "a.", [("ends_with", ".")])]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, text string, rules array<struct<rule:string,arg:string>>") \
+        .withColumn("prompt", F.struct("conv_id", "turn"))
+    got = {r.rule: (r.n, r.pass_rate) for r in st.constraint_pass_rates(st.constraint_checks(df, "prompt", "text", F.col("rules")), "prompt").collect()}
+    assert got["__prompt__"] == (2, 0.5)
+
+
 def _pass_brute(n, c, k):
     if n - c < k:
         return 1.0
@@ -53,6 +70,10 @@ def test_fever(spark):
     pe = spark.createDataFrame([(1, "c"), (3, "e")], "claim_id int, item string")
     r = st.fever_score(claims, ge, pe).first()
     assert r.label_accuracy == pytest.approx(2 / 3) and r.fever_score == pytest.approx(1 / 3)
+    # a claim without gold evidence needs none
+    more = claims.unionByName(spark.createDataFrame([(4, "N", "N"), (5, "N", "S")], claims.schema))
+    r = st.fever_score(more, ge, pe).first()
+    assert r.label_accuracy == pytest.approx(3 / 5) and r.fever_score == pytest.approx(2 / 5)
 
 
 def test_soft_match_identity(spark):
@@ -65,22 +86,22 @@ def test_clause_match(spark):
     df = spark.createDataFrame([("SELECT a, b FROM t WHERE x = 1 AND y = 2", "select b,a from t where y = 2 and x = 1"),
                                 ("SELECT a FROM t ORDER BY a", "SELECT a FROM t")], "g string, p string")
     assert [r.exact_set_match for r in st.clause_match(df, "g", "p").collect()] == [True, False]
+    more = [("SELECT a,\n b FROM t", "SELECT x,\n y FROM t", False), ("SELECT a FROM t\nWHERE x = 1", "SELECT a FROM t\nWHERE x = 2", False),
+            ("SELECT 1", "garbage", False), ("SELECT a FROM t", "garbage", False), ("SELECT a\nFROM t", "select  a from t", True),
+            ("SELECT a FROM t WHERE x = 'A'", "SELECT a FROM t WHERE x = 'a'", False),
+            ("SELECT a FROM t GROUP BY a HAVING n > 1", "SELECT a FROM t GROUP BY a HAVING n > 2", False),
+            ("SELECT a FROM t ORDER BY a LIMIT 1", "SELECT a FROM t ORDER BY a", False)]
+    got = st.clause_match(spark.createDataFrame(more, "g string, p string, want boolean"), "g", "p").collect()
+    assert [r.exact_set_match for r in got] == [r.want for r in got]
 
 
 def test_json_validity_and_fields(spark):
     df = spark.createDataFrame([(1, '{"k": 1}', '{"k": 1}'), (2, '{"k": 2}', '{"k": 2'), (3, '{"k": 3}', '{"k": "x"}')],
                                "example_id int, gold string, pred string")
-    v = [r.valid for r in st.json_validity(df, "pred").orderBy("example_id").collect()]
+    v = [r.valid for r in st.json_validity(df, "pred", {"k": "integer"}).orderBy("example_id").collect()]
     assert v == [True, False, False]
+    other = spark.createDataFrame([(1, '{"name": "a", "x y": [1], "b": true}'), (2, '{"name": 1, "x y": [1], "b": true}'), (3, '[1]')], "i int, j string")
+    v = st.json_validity(other, "j", {"name": "string", "x y": "array", "b": "boolean"}).orderBy("i").collect()
+    assert [r.valid for r in v] == [True, False, False]
     micro = [r for r in st.field_prf(df, "example_id", "gold", "pred").collect() if r.scope == "micro"][0]
     assert (micro.tp, micro.fp, micro.fn) == (1, 1, 2)
-
-
-def test_execution_accuracy(spark):
-    from conftest import SF0001
-    spark.read.parquet(f"{SF0001}/nation.parquet").createOrReplaceTempView("nation")
-    pairs = [(1, "SELECT n_name FROM nation WHERE n_regionkey = 1", "SELECT n_name FROM nation WHERE 1 = n_regionkey"),
-             (2, "SELECT n_name FROM nation", "SELECT n_name FROM nation WHERE n_nationkey < 3"),
-             (3, "SELECT n_name FROM nation", "DROP TABLE nation"),
-             (4, "SELECT n_name FROM nation", "SELECT no_such_column FROM nation")]
-    assert st.execution_accuracy(spark, pairs) == [(1, True), (2, False), (3, False), (4, False)]
