@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.prompts import render_inference, render_prompt
+from ..functions.prompts import render_inference, render_inputs, render_prompt
 from ..functions.text import decode_label, decode_passthrough, null_to_empty, strip
-from ..registry import FALLBACK_TEST, FALLBACK_VALIDATION, NEUTRAL_WORD, Task, get_task
+from ..registry import FALLBACK_EVALUATION, FALLBACK_TEST, FALLBACK_VALIDATION, NEUTRAL_WORD, Task, get_task
 from .sequence import number_within
 
 SPLITS = ("train", "validation", "test")
@@ -70,16 +70,19 @@ def resolve_label(df: DataFrame, task: Task) -> Column:
 
 
 def prepare_task(df: DataFrame, task_id: str, keep: Sequence[str] = ("id", "split"),
-                 input_col: str | None = None, label_col: str | None = None) -> DataFrame:
+                 input_col: str | None = None, label_col: str | None = None,
+                 inputs: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """Render the training text of one task; every other source column is
     dropped (Catalyst prunes them from the scan). ``input_col``/``label_col``
-    override the registry's column names (e.g. chat history and last turn)."""
+    override the registry's column names (e.g. chat history and last turn);
+    ``inputs`` names several input columns, each with its label (P24)."""
     task = get_task(task_id)
     if input_col or label_col:
         from dataclasses import replace
         task = replace(task, input_col=input_col or task.input_col, label_col=label_col or task.label_col)
     kept = [c for c in keep if c in df.columns]
-    text = render_prompt(resolve_input(df, task), resolve_label(df, task), task.system_prompt, task.prefix)
+    given = render_inputs([as_text(df, c) for c, _ in inputs], [lab for _, lab in inputs]) if inputs else resolve_input(df, task)
+    text = render_prompt(given, resolve_label(df, task), task.system_prompt, task.prefix)
     return df.select(*kept, text.alias("text"))
 
 
@@ -147,6 +150,13 @@ def with_split_fallback(df: DataFrame, split: str, n: int, order_by: Sequence[st
     return present.unionByName(fallback)
 
 
+def prepare_evaluation(df: DataFrame, task_id: str, order_by: Sequence[str], split_col: str = "split") -> DataFrame:
+    """Evaluation input: the test split, else the train head; capped (both at
+    200 rows, the recipes' value) and rendered as inference prompts."""
+    rows = cap(with_split_fallback(df, "test", FALLBACK_EVALUATION, order_by, split_col), FALLBACK_EVALUATION, order_by)
+    return prepare_inference(rows, task_id, keep=order_by)
+
+
 def mix(frames: Sequence[DataFrame], weights: Sequence[int], order_by: Sequence[str],
         split_col: str = "split") -> DataFrame:
     """U2 generalised: the first frame's train split whole, every other frame's

@@ -51,22 +51,38 @@ def stream_k(numbered: DataFrame, stream: str = "stream") -> DataFrame:
     return s.select(stream, "n", F.greatest(F.lit(2), F.round(F.col("n") / F.col("n_seg") / 2.0).cast("long")).alias("k"))
 
 
-def window_metrics(numbered: DataFrame, stream: str = "stream") -> DataFrame:
-    """M29 WindowDiff and M30 Pk, pooled over all windows of all streams.
+def segments_to_labels(segments: DataFrame, stream: str = "stream") -> DataFrame:
+    """M27 back: one row per position, B-DOC where a segment starts, else I-DOC."""
+    at = segments.select(stream, "start", F.explode_outer(F.sequence("start", "end")).alias("pos")).where(F.col("pos").isNotNull())
+    return at.select(stream, "pos", F.when(F.col("pos") == F.col("start"), "B-DOC").otherwise("I-DOC").alias("label"))
+
+
+def windows(numbered: DataFrame, stream: str = "stream", k: int | None = None) -> DataFrame:
+    """Running counts at both ends of every window (g0, p0, gk, pk).
 
     Window i compares position i with position i + k of the same stream (k
-    per stream); streams shorter than k + 1 have no windows. Both ends are
+    given, or per stream from ``stream_k``); streams shorter than k + 1 have no windows. Both ends are
     matched by an equi-join on (stream, position) — spread over all
     positions, so a hot stream is not one task. The per-stream k table is
     joined on the stream key; AQE's skew-join split handles a hot stream."""
-    ks = stream_k(numbered, stream).select(stream, "k")
-    x = numbered.select(stream, "pos", "cum_gold_b", "cum_pred_b").join(ks, stream)
+    x = numbered.select(stream, "pos", "cum_gold_b", "cum_pred_b")
+    x = x.withColumn("k", F.lit(k)) if k else x.join(stream_k(numbered, stream).select(stream, "k"), stream)
     ahead = x.select(stream, (F.col("pos") - F.col("k")).alias("pos"),
                      F.col("cum_gold_b").alias("g_k"), F.col("cum_pred_b").alias("p_k"))
-    w = x.join(ahead, [stream, "pos"])
-    wd = ((F.col("g_k") - F.col("cum_gold_b")) != (F.col("p_k") - F.col("cum_pred_b"))).cast("double")
-    pk = ((F.col("g_k") == F.col("cum_gold_b")) != (F.col("p_k") == F.col("cum_pred_b"))).cast("double")
-    return w.agg(F.count(F.lit(1)).alias("n_windows"), F.avg(wd).alias("window_diff"), F.avg(pk).alias("pk"))
+    return x.join(ahead, [stream, "pos"]).select(F.col("cum_gold_b").alias("g0"), F.col("cum_pred_b").alias("p0"),
+                                                 F.col("g_k").alias("gk"), F.col("p_k").alias("pk"))
+
+
+def window_diff(numbered: DataFrame, stream: str = "stream", k: int | None = None) -> DataFrame:
+    """M29 WindowDiff, pooled over all windows: the numbers of boundaries differ."""
+    wrong = (F.col("gk") - F.col("g0")) != (F.col("pk") - F.col("p0"))
+    return windows(numbered, stream, k).agg(F.count(F.lit(1)).alias("n_windows"), F.avg(wrong.cast("double")).alias("window_diff"))
+
+
+def pk_metric(numbered: DataFrame, stream: str = "stream", k: int | None = None) -> DataFrame:
+    """M30 Pk, pooled over all windows: the ends lie in one segment on one side only."""
+    wrong = (F.col("gk") == F.col("g0")) != (F.col("pk") == F.col("p0"))
+    return windows(numbered, stream, k).agg(F.count(F.lit(1)).alias("n_windows"), F.avg(wrong.cast("double")).alias("pk"))
 
 
 def panoptic_quality(numbered: DataFrame, stream: str = "stream") -> DataFrame:

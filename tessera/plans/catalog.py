@@ -16,7 +16,7 @@ from ..functions import prompts as pr
 from ..functions import text as tx
 from ..operators import classes as cl
 from ..operators import prepare as pp
-from ..registry import FALLBACK_TEST, FALLBACK_VALIDATION, TASKS, get_task
+from ..registry import FALLBACK_EVALUATION, FALLBACK_TEST, FALLBACK_VALIDATION, TASKS, get_task
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources.tables import load_prepared, read_table, save_prepared
@@ -82,6 +82,25 @@ def s4_split_fallback(spark, sf):
     return src.unionByName(val).unionByName(test)
 
 
+_T_EVAL = get_task("02")
+_EVAL_SQL = f"""
+WITH {q.LABELLED}, src AS (SELECT doc_id AS id, {q.SPLIT.format(c='doc_id')} AS split, text FROM labelled),
+test AS (SELECT id, text FROM src WHERE split = 'test' ORDER BY id LIMIT {FALLBACK_EVALUATION}),
+head AS (SELECT id, text FROM src WHERE split = 'train' ORDER BY id LIMIT {FALLBACK_EVALUATION})
+SELECT 'test' AS source, id, {q.inference('text', _T_EVAL.system_prompt, _T_EVAL.prefix)} AS prompt FROM test
+UNION ALL SELECT 'train', id, {q.inference('text', _T_EVAL.system_prompt, _T_EVAL.prefix)} FROM head
+"""
+
+
+@register("s4_evaluation_prompts", _EVAL_SQL)
+def s4_evaluation_prompts(spark, sf):
+    """Evaluation input of a source with a test split, and of one without."""
+    src = fx.with_split(fx.labelled(spark, sf)).select(F.col("doc_id").alias("id"), "split", F.col("text").alias(_T_EVAL.input_col))
+    whole = pp.prepare_evaluation(src, "02", ["id"])
+    bare = pp.prepare_evaluation(src.where(F.col("split") == "train"), "02", ["id"])
+    return whole.select(F.lit("test").alias("source"), "id", "prompt").unionByName(bare.select(F.lit("train").alias("source"), "id", "prompt"))
+
+
 _T25 = get_task("25")
 _S5_SQL = f"""
 WITH {q.LABELLED}
@@ -438,13 +457,13 @@ mixed AS (
   UNION ALL SELECT id, split, lang FROM en WHERE split = 'test'
   UNION ALL SELECT id, 'test', lang FROM (SELECT * FROM en WHERE split = 'train' ORDER BY id LIMIT {FALLBACK_TEST})
             WHERE NOT EXISTS (SELECT 1 FROM en WHERE split = 'test'))
-SELECT split, lang, CAST(count(*) AS BIGINT) AS n_rows FROM mixed GROUP BY split, lang
+SELECT id, split, lang FROM mixed
 """
 
 
-def flagship(spark: SparkSession, sf: str) -> DataFrame:
+def _mixed(spark: SparkSession, sf: str) -> DataFrame:
     """documents ⋈ labels → split → strip/decode/render (task 01) → 70/30 mix
-    of English and the other languages → rows per split and language."""
+    of English and the other languages."""
     lab = fx.with_split(_t01_frame(spark, sf), "id")
     prepared = pp.prepare_task(lab, "01", keep=("id", "split", "lang"))
     # written once, partitioned by (split, lang): every branch of the mix
@@ -454,11 +473,17 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     stored = load_prepared(spark, path)
     en = stored.where(F.col("lang") == "en")
     other = stored.where(F.col("lang") != "en")
-    mixed = pp.mix([en, other], [7, 3], ["id"])
-    return pp.split_stats(mixed, ["split", "lang"])
+    return pp.mix([en, other], [7, 3], ["id"])
 
 
-register("u2_ratio_mix", _U2_SQL)(flagship)
+def flagship(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per split and language of the mix."""
+    return pp.split_stats(_mixed(spark, sf), ["split", "lang"])
+
+
+@register("u2_ratio_mix", _U2_SQL)
+def u2_ratio_mix(spark, sf):
+    return _mixed(spark, sf).select("id", "split", "lang")
 
 
 @register("u3_choose_source", "SELECT item_id, CAST(length(text) AS BIGINT) AS text_len FROM benchmark")
@@ -678,6 +703,25 @@ _LAB_SQL = f"(SELECT doc_id AS id, {q.SPLIT.format(c='doc_id')} AS split, * FROM
 _PAIRS_SQL = "(SELECT conv_id || '-' || turn AS id, * FROM pairs) s"
 
 
+def _two_inputs(tid: str, labels: tuple[str, str], answer_sql: str, answer):
+    """A query of one task with both of its inputs, each under its label."""
+    task = get_task(tid)
+    both = f"'{labels[0]}: ' || {q.strip('reference')} || chr(10) || '{labels[1]}: ' || {q.strip('candidate')}"
+
+    def fn(spark, sf):
+        p = fx.pairs(spark, sf).select(F.concat_ws("-", "conv_id", "turn").alias("id"), F.col("reference").alias("first"),
+                                       F.col("candidate").alias("second"), answer().alias(task.label_col))
+        return pp.prepare_task(p, tid, keep=("id",), inputs=[("first", labels[0]), ("second", labels[1])])
+
+    fn.__name__ = f"t{tid}_two_inputs"
+    register(fn.__name__, f"WITH {q.PAIRS} SELECT conv_id || '-' || turn AS id, {q.task_prompt(task, both, answer_sql)} AS text FROM pairs")(fn)
+
+
+_two_inputs("04", ("Premessa", "Ipotesi"), q.decode_passthrough("(conv_id % 4)", get_task("04").label_map), lambda: F.pmod("conv_id", F.lit(4)))
+_two_inputs("07", ("Contesto", "Domanda"), "coalesce(reference2, '')", lambda: F.col("reference2"))
+_two_inputs("24", ("Affermazione", "Evidenza"), q.decode_passthrough("(conv_id % 4)", get_task("24").label_map), lambda: F.pmod("conv_id", F.lit(4)))
+
+
 @_task("01", _LAB_SQL, "text", _T01_LABEL_SQL)
 def _t01(spark, sf):
     return fx.with_split(_t01_frame(spark, sf), "id")

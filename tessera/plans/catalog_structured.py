@@ -272,16 +272,15 @@ WITH pp0 AS (SELECT source AS stream, doc_id AS page, lang, text,
         lag(text) OVER (PARTITION BY source ORDER BY doc_id) AS prev_text,
         lag(lang) OVER (PARTITION BY source ORDER BY doc_id) AS prev_lang,
         row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos FROM documents)
-SELECT stream, page, CAST(pos AS BIGINT) AS pos, CAST(coalesce(length(prev_text), 0) AS BIGINT) AS prev_len,
+SELECT stream, page, CAST(pos AS BIGINT) AS pos,
+       md5('Pagina corrente: ' || coalesce(text, '') || chr(10) || 'Pagina precedente: ' || coalesce(prev_text, '')) AS pair_md5,
        CASE WHEN prev_lang IS NULL OR prev_lang <> lang THEN 1 ELSE 0 END AS label FROM pp0
 """)
 def m26_page_pairs(spark, sf):
     from ..operators.segments import page_pairs
     pages = fx.page_stream(spark, sf)
     p = page_pairs(pages)
-    prev_len = F.length(F.regexp_extract("pair_text", r"(?s)\nPagina precedente: (.*)$", 1))
-    return p.select("stream", "page", "pos",
-                    prev_len.cast("long").alias("prev_len"),
+    return p.select("stream", "page", "pos", F.md5("pair_text").alias("pair_md5"),
                     F.col("label").cast("int").alias("label"))
 
 
@@ -308,28 +307,45 @@ def m28_boundary_f1(spark, sf):
     return r.select("tp", "fp", "fn", *[r6(F.col(c)).alias(c) for c in ("precision", "recall", "f1")])
 
 
-_WIN_SQL = f"""
+def _window_sql(wrong: str, name: str, k: str | None = None) -> str:
+    return f"""
 WITH {q.BOUNDARIES},
-ks AS (SELECT stream, greatest(2, CAST(round(count(*) / (max(cum_gold_b) - min(cum_gold_b) + 1) / 2.0) AS BIGINT)) AS k
+ks AS (SELECT stream, {k or "greatest(2, CAST(round(count(*) / (max(cum_gold_b) - min(cum_gold_b) + 1) / 2.0) AS BIGINT))"} AS k
        FROM bpos GROUP BY stream),
 x AS (SELECT bpos.*, k FROM bpos JOIN ks USING (stream)),
 w AS (SELECT a.cum_gold_b AS g0, a.cum_pred_b AS p0, b.cum_gold_b AS gk, b.cum_pred_b AS pk
       FROM x a JOIN x b ON a.stream = b.stream AND b.pos = a.pos + a.k)
-SELECT CAST(count(*) AS BIGINT) AS n_windows,
-       round(avg(CASE WHEN (gk - g0) <> (pk - p0) THEN 1.0 ELSE 0.0 END), 6) AS window_diff,
-       round(avg(CASE WHEN (gk = g0) <> (pk = p0) THEN 1.0 ELSE 0.0 END), 6) AS pk
-FROM w
+SELECT CAST(count(*) AS BIGINT) AS n_windows, round(avg(CASE WHEN {wrong} THEN 1.0 ELSE 0.0 END), 6) AS {name} FROM w
 """
 
 
-def _windows(spark, sf):
-    n = sg.number_events(fx.boundaries(spark, sf))
-    w = sg.window_metrics(n)
-    return w.select("n_windows", r6(F.col("window_diff")).alias("window_diff"), r6(F.col("pk")).alias("pk"))
+_WD, _PK = "(gk - g0) <> (pk - p0)", "(gk = g0) <> (pk = p0)"
+
+
+@register("m29_window_diff", _window_sql(_WD, "window_diff"))
+def m29_window_diff(spark, sf):
+    w = sg.window_diff(sg.number_events(fx.boundaries(spark, sf)))
+    return w.select("n_windows", r6(F.col("window_diff")).alias("window_diff"))
+
+
+@register("m29_window_diff_k", _window_sql(_WD, "window_diff", "7"))
+def m29_window_diff_k(spark, sf):
+    w = sg.window_diff(sg.number_events(fx.boundaries(spark, sf)), k=7)
+    return w.select("n_windows", r6(F.col("window_diff")).alias("window_diff"))
 
 
-register("m29_window_diff", _WIN_SQL)(_windows)
-register("m30_pk", _WIN_SQL)(_windows)
+@register("m30_pk", _window_sql(_PK, "pk"))
+def m30_pk(spark, sf):
+    return sg.pk_metric(sg.number_events(fx.boundaries(spark, sf))).select("n_windows", r6(F.col("pk")).alias("pk"))
+
+
+@register("m27_segments_to_labels", f"""
+WITH {q.BOUNDARIES}
+SELECT stream, CAST(pos AS BIGINT) AS pos,
+       CASE WHEN pos = min(pos) OVER (PARTITION BY stream, cum_gold_b) THEN 'B-DOC' ELSE 'I-DOC' END AS label FROM bpos
+""")
+def m27_segments_to_labels(spark, sf):
+    return sg.segments_to_labels(sg.boundaries_to_segments(sg.number_events(fx.boundaries(spark, sf))))
 
 
 @register("m31_panoptic_quality", f"""

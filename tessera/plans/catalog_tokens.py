@@ -102,13 +102,13 @@ def k6_length_stats(spark, sf):
 WITH {_T01_TEXT_SQL}
 SELECT id, CAST(len({q.tokens('text')}) AS BIGINT) AS n_tokens,
        CAST(least(len({q.tokens('text')}), 512) AS BIGINT) AS n_kept,
-       {q.tokens('text')}[least(len({q.tokens('text')}), 512)] AS last_kept FROM t01
+       md5(array_to_string({q.tokens('text')}[1:512], ' ')) AS kept_md5 FROM t01
 """)
 def k7_truncate(spark, sf):
     p = _t01_prepared(spark, sf).select("id", word_tokens("text").alias("toks"))
     kept = tk.truncate_tokens(F.col("toks"), _T01.max_tokens)
     return p.select("id", F.size("toks").cast("long").alias("n_tokens"), F.size(kept).cast("long").alias("n_kept"),
-                    F.element_at(kept, -1).alias("last_kept"))
+                    F.md5(F.array_join(kept, " ")).alias("kept_md5"))
 
 
 @register("k8_pack", f"""

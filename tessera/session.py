@@ -1,9 +1,9 @@
 """Session helpers: building a local session for tests/bench and locating the
 shared folder used to cut lineage.
 
-On a cluster the shared folder is whatever ``spark.checkpoint.dir`` names; we
-only ever fall back to a private folder when that setting is absent (tests,
-local benches).
+On a cluster the shared folder is whatever ``spark.checkpoint.dir`` names, and
+it must be set; a private folder is used for a local master only (tests, local
+benches).
 """
 
 from __future__ import annotations
@@ -51,6 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
     if not configured:
+        master = sc.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"{_CHECKPOINT_KEY} must name a folder that driver and executors share (master {master})")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
