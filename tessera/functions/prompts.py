@@ -26,10 +26,6 @@ def render_prompt(user_text: Column, answer: Column, system: str, prefix: str) -
                     strip(null_to_empty(answer)), F.lit("\n" + END_TURN))
 
 
-def render_task_prompt(task: Task, user_text: Column, answer: Column) -> Column:
-    return render_prompt(user_text, answer, task.system_prompt, task.prefix)
-
-
 def render_inference(user_text: Column, system: str, prefix: str) -> Column:
     """Inference prompt: same head, no answer, ends at the open model turn.
     The input is used as given (not stripped)."""

@@ -114,8 +114,3 @@ def word_tokens(c: Column | str, lower: bool = False) -> Column:
     if lower:
         s = F.lower(s)
     return F.regexp_extract_all(s, F.lit(WORD_PATTERN), 0)
-
-
-def first_answer(c: Column | str) -> Column:
-    """First answer text of a ``struct<text: array<string>, ...>`` column."""
-    return F.coalesce(F.element_at(_c(c).getField("text"), 1), F.lit(""))

@@ -122,15 +122,6 @@ def spans_from_tags(df: DataFrame, tags: str, doc: str = "doc_id") -> DataFrame:
             .select(doc, "x.start", "x.end", "x.type"))
 
 
-def span_f1(tokens: DataFrame, gold_tag: str = "gold_tag", pred_tag: str = "pred_tag",
-            doc: str = "doc_id") -> DataFrame:
-    """Entity span micro F1 and per-type / macro F1 from exploded token
-    rows (window decoding)."""
-    g = bio_to_spans(tokens, gold_tag, doc)
-    p = bio_to_spans(tokens, pred_tag, doc)
-    return set_prf(g, p, [doc, "start", "end", "type"], by=["type"])
-
-
 def span_f1_arrays(df: DataFrame, gold_tags: str = "gold_tags", pred_tags: str = "pred_tags",
                    doc: str = "doc_id") -> DataFrame:
     """M17 from per-document tag arrays: spans are decoded inside the rows

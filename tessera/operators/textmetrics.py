@@ -35,17 +35,6 @@ def _empty():
     return F.array().cast("array<string>")
 
 
-def _shift_join(arr: Column, n: int, sep: str) -> Column:
-    """n-grams of an array as strings: the array sliced n times (offset 0 to
-    n-1, equal lengths) and folded with ``zip_with``. The lambdas only see
-    their own arguments, so no outer expression is re-evaluated per element."""
-    m = F.greatest(F.size(arr) - n + 1, F.lit(0))
-    grams = F.slice(arr, 1, m)
-    for k in range(1, n):
-        grams = F.zip_with(grams, F.slice(arr, k + 1, m), lambda a, b: F.concat(a, F.lit(sep), b))
-    return grams
-
-
 def word_grams(toks: Column, n: int) -> Column:
     """Word n-grams (tokens joined by a space) of a token array.
 
@@ -69,16 +58,6 @@ def char_grams(t: Column, n: int) -> Column:
     return F.when(F.length(t) >= n, F.regexp_extract_all(t, F.lit("(?s)(?=(.{%d}))" % n), 1)).otherwise(_empty())
 
 
-def shift_grams(arr: Column, n: int, sep: str) -> Column:
-    """n-grams of any array as strings: the array sliced n times and folded
-    with ``zip_with`` (lambdas see only their own arguments)."""
-    m = F.greatest(F.size(arr) - n + 1, F.lit(0))
-    grams = F.slice(arr, 1, m)
-    for k in range(1, n):
-        grams = F.zip_with(grams, F.slice(arr, k + 1, m), lambda a, b: F.concat(a, F.lit(sep), b))
-    return grams
-
-
 def _tagger(n: int, si: int):
     return lambda g: F.struct(F.lit(n).alias("n"), g.alias("g"), F.lit(si).alias("s"))
 

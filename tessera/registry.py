@@ -148,13 +148,6 @@ REGISTRY_SCHEMA = T.StructType([
 ])
 
 
-def registry_frame(spark: SparkSession) -> DataFrame:
-    """The registry as a 26-row DataFrame (fixed size, safe to broadcast)."""
-    rows = [(t.task_id, t.name, t.source, t.config, t.input_col, t.label_col, t.prefix,
-             t.system_prompt, t.max_tokens, t.train_cap) for t in TASKS]
-    return spark.createDataFrame(rows, REGISTRY_SCHEMA)
-
-
 def registry_label_table(spark: SparkSession, task_id: str) -> DataFrame:
     """Label map of a task as a (code_int, code, word) table: at most a handful
     of rows, so it is safe to broadcast."""
