@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..registry import END_TURN, IO_TEMPLATE_INPUT, IO_TEMPLATE_OUTPUT, START_MODEL, START_USER, Task
+from ..registry import END_TURN, IO_TEMPLATE_INPUT, IO_TEMPLATE_OUTPUT, START_MODEL, START_USER
 from .text import null_to_empty, strip
 
 
