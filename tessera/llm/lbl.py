@@ -32,6 +32,8 @@ from .common import saved, text_or_empty
 CLASSES = 1024
 #: Frequent words whose counts every scoring task holds.
 DICTIONARY = 200_000
+#: Words above that number that may be fetched because their counts are nearly one.
+TIES = 50_000
 #: Length of the vectors.
 WIDTH = 24
 #: Characters of text that a task works on at once, and words that it counts before it hands them on.
@@ -89,6 +91,28 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
+def most_frequent(counts: DataFrame, most: int) -> list[tuple[str, int]]:
+    """At most ``most`` words with the largest counts, in falling order.
+
+    A histogram over sixteenth powers of two (some hundreds of rows) gives the
+    count from which on words are fetched, so no task sends more than these.
+    Where words of nearly one count would exceed the bound by over ``TIES``
+    (as those that occur once do), they are left to the join altogether.
+    """
+    step = F.floor(F.log2("c") * 16)
+    words = counts.where(F.col("word") != END)
+    steps = sorted(((r["s"], r["n"]) for r in words.groupBy(step.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
+    total, least = 0, None
+    for s, n in steps:
+        if total >= most or total + n > most + TIES:
+            break
+        total, least = total + n, s
+    if least is None:
+        return []
+    table = words.where(step >= least).select("word", "c").toArrow()
+    return sorted(zip(table["word"].to_pylist(), table["c"].to_pylist()), key=lambda x: (-x[1], x[0]))[:most]
+
+
 class _Index(dict):
     """Word -> place in the dictionary, -1 for others."""
 
@@ -245,11 +269,11 @@ def score_documents(docs: DataFrame, classes: int = CLASSES, dictionary: int = D
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"),
                        F.coalesce(F.sum(F.when(F.col("word") == END, F.col("c"))), F.lit(0)).alias("e")).first()
     n, v, ends = int(total["n"]), int(total["v"]), int(total["e"])
-    frequent = counts.where(F.col("word") != END).orderBy(F.desc("c"), "word").limit(dictionary).collect()  # bounded
-    words = [r["word"].encode("utf-8", "surrogatepass") for r in frequent]
-    logc = np.log10(np.array([r["c"] for r in frequent], dtype=np.float64) + 1)
+    frequent = most_frequent(counts, dictionary)
+    words = [w.encode("utf-8", "surrogatepass") for w, _ in frequent]
+    logc = np.log10(np.array([c for _, c in frequent], dtype=np.float64) + 1)
     k = min(classes, len(words))
-    others_n = n - ends - sum(int(r["c"]) for r in frequent[:k])
+    others_n = n - ends - sum(c for _, c in frequent[:k])
     others_v = v - (ends > 0) - k
 
     pairs = saved(learn.select("text").mapInArrow(_pairs(words[:k]), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")), "lm_pairs")

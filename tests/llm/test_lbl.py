@@ -84,3 +84,14 @@ def test_awkward_and_empty(spark):
     got = score_documents(make_docs(spark, alone)).collect()
     same(alone, got)
     assert all(r.train_tokens == 0 and r.base_score == 0 for r in got)
+
+
+def test_most_frequent_is_bounded(spark, monkeypatch):
+    from tessera.llm import lbl
+
+    rows = [("", 900)] + [(f"top{i}", 1000 - i) for i in range(20)] + [(f"rare{i}", 1) for i in range(500)]
+    df = spark.createDataFrame(rows, "word string, c long")
+    monkeypatch.setattr(lbl, "TIES", 100)
+    assert lbl.most_frequent(df, 30) == [(f"top{i}", 1000 - i) for i in range(20)]
+    assert lbl.most_frequent(df, 5) == [(f"top{i}", 1000 - i) for i in range(5)]
+    assert lbl.most_frequent(df.limit(0), 5) == []
