@@ -13,8 +13,8 @@ Documents with equal sets are one class first, so thousands of copies are one
 row from there on. Links are found in two steps. First every member of a band
 key is compared with the key's smallest member only, and the verified links
 give components. Then, among keys that still hold several components, members
-of different components are compared, so a link between different texts is not
-lost, while no key lists the pairs inside a component.
+of different components are compared in blocks of bounded size, so a link
+between different texts is not lost, while no key lists its pairs.
 """
 
 from __future__ import annotations
@@ -41,6 +41,8 @@ BANDS = BUCKETS // ROWS
 BROADCAST_IDS = 1_000_000
 #: Words that a task remembers with their hash.
 REMEMBER = 300_000
+#: Shingles and members of a block of a key, about; a task compares two blocks.
+BLOCK_SHINGLES, BLOCK_MEMBERS = 250_000, 2048
 #: Characters of text that a task works on at once.
 CHUNK = 8_000_000
 
@@ -198,26 +200,29 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _alike(x: str, y: str, percent: int) -> Column:
-    """Sizes allow the similarity, and the short registers make it likely."""
-    n = [F.col(f"{s}.n_shingles") for s in (x, y)]
+    """Sizes allow the similarity, and the short registers make it likely.
+    ``x`` and ``y`` are what stands before the two sides' column names."""
+    n = [F.col(f"{s}n_shingles") for s in (x, y)]
     differ = F.lit(0)
     for k in "01":
-        differ = differ + F.bit_count(F.col(f"{x}.l{k}").bitwiseXOR(F.col(f"{y}.l{k}")).bitwiseOR(F.col(f"{x}.h{k}").bitwiseXOR(F.col(f"{y}.h{k}"))))
+        differ = differ + F.bit_count(F.col(f"{x}l{k}").bitwiseXOR(F.col(f"{y}l{k}")).bitwiseOR(F.col(f"{x}h{k}").bitwiseXOR(F.col(f"{y}h{k}"))))
     return (F.least(*n) * 100 >= F.greatest(*n) * percent) & (F.lit(BUCKETS) - differ >= least_agreeing(percent / 100))
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) of class nodes whose full sets are similar.
-
-    Texts are read again for the classes that occur in a pair; their ids are
-    broadcast if they are few, else joined."""
-    pairs = saved(pairs.select("a", "b").distinct(), "near_pairs")
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = saved(classes.select("node", "set_hash", "min_id").join(nodes, "node"), "near_wanted")
+def _sets_of(nodes: DataFrame, classes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """(node, shingles): the full sets of some classes, from their texts, which
+    are read again. Their ids are broadcast if they are few, else joined."""
+    wanted = saved(classes.select("node", "set_hash", "min_id").join(nodes.select("node").distinct(), "node"), "near_wanted")
     ids = wanted.select(F.col("min_id").alias("_id")).distinct()
     chosen = texts.join(few(ids, BROADCAST_IDS), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     sets = chosen.mapInArrow(_full_sets(size), "set_hash binary, shingles array<long>")
-    sets = saved(wanted.join(sets, "set_hash").dropDuplicates(["node"]).select("node", "shingles"), "near_sets")
+    return saved(wanted.join(sets, "set_hash").dropDuplicates(["node"]).select("node", "shingles"), "near_sets")
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) of class nodes whose full sets are similar."""
+    pairs = saved(pairs.select("a", "b").distinct(), "near_pairs")
+    sets = _sets_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")), classes, texts, size)
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb"))
@@ -225,6 +230,62 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int,
     return both.where(F.col("i") * 100 >= (F.col("n") - F.col("i")) * percent).select("a", "b")
 
 
+def _common(flat: np.ndarray, of: np.ndarray, m: int) -> np.ndarray:
+    """[set, set] sizes of intersections, by matrix products over slices of
+    the shingles that two sets or more hold."""
+    _, inverse, count = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = count[inverse] > 1
+    column = (np.cumsum(count > 1) - 1)[inverse[shared]]
+    row, order = of[shared], np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((m, m), dtype=np.float32)
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, 1024):
+        start, end = np.searchsorted(column, [lo, lo + 1024])
+        held = np.zeros((m, 1024), dtype=np.float32)
+        held[row[start:end], column[start:end] - lo] = 1
+        out += held @ held.T
+    return out
+
+
+def _links(percent: int):
+    """Links between members of different components in one pair of blocks of a key."""
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        node, comp, block = (group.column(c).to_numpy() for c in ("node", "comp", "block"))
+        lists = group.column("shingles").combine_chunks()
+        n = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        both = _common(lists.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(n)), n), len(n))
+        linked = both * 100 >= (n[:, None] + n[None, :] - both) * percent
+        linked &= (comp[:, None] != comp[None, :]) & (node[:, None] > node[None, :])
+        if group.column("lo")[0].as_py() != group.column("hi")[0].as_py():
+            linked &= block[:, None] != block[None, :]
+        a, b = np.nonzero(linked)
+        return pa.table({"a": node[a], "b": node[b]})
+
+    return run
+
+
+def _links_across(rest: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) between members of one key that are in different
+    components. ``rest`` has a row for each key that holds several components
+    and each of its members.
+
+    A member stays if the estimate likes any member of another component (a
+    semi join: a row per member, not per pair). Those that stay are compared
+    on their full sets in blocks of bounded size: a key with more members is
+    dealt to pairs of blocks, each a task's work of its own; only links leave
+    it."""
+    y = rest.select(*[F.col(c).alias(f"y_{c}") for c in rest.columns])
+    stay = saved(rest.alias("x").join(y.alias("y"), (F.col("key") == F.col("y_key")) & (F.col("node") != F.col("y_node")) & (
+        F.col("comp") != F.col("y_comp")) & _alike("", "y_", percent), "left_semi").select("key", "node", "comp", "n_shingles"), "near_stay")
+    sets = _sets_of(stay, classes, texts, size)
+    sizes = stay.groupBy("key").agg(F.greatest(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES), F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS)).alias("blocks"))
+    dealt = stay.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: F.struct(F.least("block", j).alias("lo"), F.greatest("block", j).alias("hi")))
+    dealt = dealt.select("key", "node", "comp", "block", F.explode(pairs).alias("p")).select("key", "node", "comp", "block", "p.lo", "p.hi")
+    return dealt.join(sets, "node").groupBy("key", "lo", "hi").applyInArrow(_links(percent), "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id, kept``.
 
@@ -252,7 +313,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
 
     # step 1: every member against the smallest of its key
     star = members.where("node > first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
-    likely = star.join(facts.alias("x"), star["a"] == F.col("x.node")).join(facts.alias("y"), star["b"] == F.col("y.node")).where(_alike("x", "y", percent))
+    likely = star.join(facts.alias("x"), star["a"] == F.col("x.node")).join(facts.alias("y"), star["b"] == F.col("y.node")).where(_alike("x.", "y.", percent))
     links = saved(_verified(likely, classes, texts, shingle_words, percent), "near_links")
     found = connected_components(links)
 
@@ -260,9 +321,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     labelled = saved(members.join(found, "node", "left").select("key", "node", F.coalesce("label", "node").alias("comp")), "near_labelled")
     open_keys = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
     rest = saved(labelled.join(open_keys, "key").join(facts, "node"), "near_rest")
-    x, y = rest.alias("x"), rest.alias("y")
-    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") > F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")) & _alike("x", "y", percent))
-    more = _verified(across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), classes, texts, shingle_words, percent)
+    more = saved(_links_across(rest, classes, texts, shingle_words, percent), "near_links")
     final = connected_components(links.union(more))
 
     named = classes.select("node", "set_hash", "min_id").join(final, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -276,7 +335,13 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` whose document stays, with their columns as they
     are; of repeated rows with one id one stays."""
-    names = docs.columns
-    kept = near_duplicates(docs, id_col=id_col, **options).where("kept").select(F.col("doc_id").alias("_near_id")).distinct()
-    rows = docs.join(kept, docs[id_col].cast("long").eqNullSafe(kept["_near_id"]), "left_semi")
-    return rows.select(*[F.col(f"`{c}`") for c in names]).dropDuplicates([id_col])
+    kept = near_duplicates(docs, id_col=id_col, **options).where("kept")
+    ids = saved(kept.groupBy(F.col("doc_id").alias("_near_id")).agg(F.count(F.lit(1)).alias("_near_n")), "near_kept")
+    own = docs[id_col].cast("long").eqNullSafe(F.col("_near_id"))
+    rows = docs.join(few(ids.select("_near_id"), BROADCAST_IDS), own, "left_semi")
+    again = ids.where("_near_n > 1").select("_near_id")
+    if not again.limit(1).count():
+        return rows
+    # only rows of repeated ids are shuffled
+    once, more = rows.join(few(again, BROADCAST_IDS), own, "left_anti"), rows.join(few(again, BROADCAST_IDS), own, "left_semi")
+    return once.unionByName(more.dropDuplicates([id_col]))

@@ -61,6 +61,22 @@ def test_components_equal_all_pairs(spark, size, percent, seed):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_blocks_of_a_key_find_the_same(spark, monkeypatch):
+    from tessera.llm import hyperminhash as m
+
+    monkeypatch.setattr(m, "BLOCK_SHINGLES", 60)
+    monkeypatch.setattr(m, "BLOCK_MEMBERS", 2)
+    rnd, base = random.Random(11), [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(150):  # a cloud of near copies around the bound
+        w = list(base)
+        for _ in range(rnd.choice([1, 1, 2, 3])):
+            w[rnd.randrange(60)] = rnd.choice("abcdefgh")
+        rows.append((i, " ".join(w)))
+    got = near_duplicates(make_docs(spark, rows).repartition(3), 3, 85).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute(rows, 3, 85)
+
+
 def test_registers_estimate_similarity():
     rnd = np.random.default_rng(1)
     for share in (0.3, 0.6, 0.85, 0.95):
