@@ -22,9 +22,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import let, saved, words
+from .common import few, let, saved, words
 from .sharding import permuted
 
+#: Copies (an id and five numbers each) that are broadcast to their texts.
+BROADCAST_ROWS = 1_000_000
 #: Rows that one window of the stream order holds, about.
 WINDOW_ROWS = 4096
 
@@ -181,6 +183,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", pieces: int = 32, *
     names = docs.columns
     plan = mix(docs, whole_documents=True, id_col=id_col, **options)
     chosen = plan.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("_mix_id"), F.explode("copies").alias("_mix"))
-    joined = docs.join(chosen, docs[id_col].eqNullSafe(chosen["_mix_id"]))
+    chosen = saved(chosen, "mix_copies")
+    joined = docs.join(few(chosen, BROADCAST_ROWS), docs[id_col].eqNullSafe(F.col("_mix_id")))
     # a shard is many tasks: pieces of it by the random place, sorted inside
     return joined.repartition("_mix.shard", F.pmod("_mix.place", F.lit(pieces))).sortWithinPartitions("_mix.shard", "_mix.place").select(*[F.col(f"`{c}`") for c in names])
