@@ -9,6 +9,10 @@ stretch are compared: each value of the item must stand for one value in the
 document and the other way round. Loosely similar text fails that; a
 re-parameterised question passes.
 
+Beside the template, the plain lower-case words are hashed: they agree where
+the template does not, as capitals in a copy say nothing about names there.
+Newlines, colons and quotes may end a sentence or not, so both readings count.
+
 DataFrame functions only. Windows of a document never leave its row unless
 they match: the benchmark side is broadcast while its counted size is below
 ``BROADCAST_ROWS``, beyond that both sides are shuffled by the hash.
@@ -28,6 +32,12 @@ BROADCAST_ROWS = 500_000
 BROADCAST_IDS = 1_000_000
 
 NUMBER, NAME, UNIT = "§d", "§n", "§u"
+#: What may end a sentence beside its mark.
+BREAKS = r"\n\r:\"“”„«»"
+#: A word in capitals, and one in a run of three or more.
+CAPITALS = r"\p{Lu}[\p{Lu}\p{N}]*+(?!\p{L})"
+_BEFORE = r"(?<![\p{L}\p{N}])\p{Lu}[\p{Lu}\p{N}]{0,30} "
+IN_RUN = rf"(?:{CAPITALS} {CAPITALS} {CAPITALS}|(?<={_BEFORE}){CAPITALS} {CAPITALS}|(?<={_BEFORE}\p{{Lu}}[\p{{Lu}}\p{{N}}]{{0,30}} ){CAPITALS})"
 #: Units: fixed values.
 UNITS = ["mm", "cm", "m", "km", "inch", "inches", "ft", "feet", "foot", "yard", "yards", "mile", "miles", "mg", "g", "kg", "gram", "grams",
          "ton", "tons", "lb", "lbs", "oz", "ml", "l", "liter", "liters", "litre", "litres", "s", "sec", "second", "seconds", "min", "minute",
@@ -52,10 +62,14 @@ def raw_words(text: Column) -> Column:
     return _split(_plain(text))
 
 
-def template_words(text: Column) -> Column:
+def template_words(text: Column, breaks: bool = False) -> Column:
     """The template: a capitalised word inside a sentence is a name, a number
-    (with points) a number, a unit right after a number a unit."""
-    t = F.regexp_replace(_plain(text), r"(?<=[\p{L}\p{N}] )\p{Lu}[\p{L}\p{N}]*+(?!\.\p{N})", NAME)
+    (with points) a number, a unit right after a number a unit. Words of a run
+    in capitals are no names. With ``breaks``, newlines, colons and quotes end
+    a sentence."""
+    if breaks:
+        text = F.regexp_replace(text, rf"[{BREAKS}]+", ". ")
+    t = F.regexp_replace(_plain(text), rf"(?<=[\p{{L}}\p{{N}}] )(?!{IN_RUN})\p{{Lu}}[\p{{L}}\p{{N}}]*+(?!\.\p{{N}})", NAME)
     t = F.regexp_replace(t, r"(?<![\p{L}\p{N}.])\p{N}++(?:\.\p{N}++)*+(?![\p{L}\p{N}])", NUMBER)
     t = F.regexp_replace(t, rf"(?i)(?<={NUMBER} )(?:{'|'.join(sorted(UNITS, key=len, reverse=True))})(?![\p{{L}}\p{{N}}])", UNIT)
     return _split(t)
@@ -65,57 +79,84 @@ def _literal(words: Column) -> Column:
     return F.size(F.filter(words, lambda w: ~w.startswith("§")))
 
 
-def _hashes(words: Column, width: int) -> Column:
-    """Hash of every window of ``width`` words, in order; none if there are fewer."""
-    at = F.sequence(F.lit(0), F.size(words) - width)
-    return F.when(F.size(words) < width, F.array().cast("array<bigint>")).otherwise(
-        F.transform(at, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(width)])))
+def _readings(text: Column) -> tuple[Column, Column]:
+    """The template of a text, and the one with sentence breaks, null where
+    they make no difference."""
+    inside = rf"[\p{{L}}\p{{N}}][^\p{{L}}\p{{N}}.!?{BREAKS}]*+[{BREAKS}][^\p{{L}}\p{{N}}.!?]*+\p{{Lu}}"
+    return template_words(text), F.when(text.rlike(inside), template_words(text, breaks=True))
+
+
+def _hashed(words: Column) -> Column:
+    """Hash of each word; windows are hashed from these."""
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
 def benchmark_windows(items: DataFrame, width: int = WINDOW) -> DataFrame:
-    """``hash, item_id, item_pos, width, n_windows`` of the items' windows in
-    which over half of the words are literal. An item of fewer words than
-    ``width`` is one window of its own width. Repeated items count once."""
-    words = items.select("item_id", template_words(text_or_empty(F.col("text"))).alias("w")).distinct().where(F.size("w") > 0) \
-        .withColumn("width", F.least(F.lit(width), F.size("w")))
-    every = words.withColumn("at", F.explode_outer(F.sequence(F.lit(0), F.size("w") - F.col("width")))) \
-        .withColumn("part", F.slice("w", F.col("at") + 1, F.col("width")))
-    # hashed word by word in the same way as the documents' windows
-    hashed = F.xxhash64(F.get("part", F.lit(0)))
-    for n in range(2, width + 1):
-        hashed = F.when(F.size("part") >= n, F.xxhash64(*[F.get("part", F.lit(k)) for k in range(n)])).otherwise(hashed)
-    useful = every.where(_literal(F.col("part")) * 2 > F.col("width")).select("item_id", F.col("at").alias("item_pos"), "width", hashed.alias("hash"))
-    counted = useful.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_windows"))
-    return useful.join(counted, "item_id").select("hash", "item_id", "item_pos", "width", "n_windows")
+    """``hash, item_id, version, item_pos, width, kind, n_windows`` of the items'
+    windows. Kind ``template``: windows in which over half of the words are
+    literal, under the hash of each reading and of the plain words; kind
+    ``plain``: every window of the plain words. An item of fewer words than
+    ``width`` is one window of its own width. Repeated items count once; texts
+    of one id count by version."""
+    text = text_or_empty(F.col("text"))
+    template, breaks = _readings(text)
+    words = items.select("item_id", F.xxhash64(text).alias("version"), template.alias("w"), F.coalesce(breaks, template).alias("b"), raw_words(text).alias("p")).distinct() \
+        .where(F.size("w") > 0).withColumn("width", F.least(F.lit(width), F.size("w")))
+    every = words.withColumn("item_pos", F.explode_outer(F.sequence(F.lit(0), F.size("w") - F.col("width"))))
+    part = lambda c: F.slice(c, F.col("item_pos") + 1, F.col("width"))
+
+    def hashed(c):
+        # word by word in the same way as the documents' windows; a null changes no hash
+        return F.xxhash64(*[F.get(_hashed(part(c)), F.lit(k)) for k in range(width)])
+
+    useful = lambda c: _literal(part(c)) * 2 > F.col("width")
+    none = F.array().cast("array<bigint>")
+    by_template = F.concat(F.when(useful("w"), F.array(hashed("w"), hashed("p"))).otherwise(none),
+                           F.when(useful("b"), F.array(hashed("b"), hashed("p"))).otherwise(none))
+    kinds = F.array(F.struct(F.lit("template").alias("kind"), F.array_distinct(by_template).alias("h")),
+                    F.struct(F.lit("plain").alias("kind"), F.array(hashed("p")).alias("h")))
+    rows = every.select("item_id", "version", "item_pos", "width", F.explode(kinds).alias("k")) \
+        .select("item_id", "version", "item_pos", "width", "k.kind", F.explode("k.h").alias("hash"))
+    counted = rows.groupBy(F.col("item_id").alias("_id"), F.col("version").alias("_version"), F.col("kind").alias("_kind")) \
+        .agg(F.countDistinct("item_pos").alias("n_windows"))
+    same = F.col("item_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version")) & (F.col("kind") == F.col("_kind"))
+    return rows.join(counted, same).select("hash", "item_id", "version", "item_pos", "width", "kind", "n_windows")
 
 
 def leaks(docs: DataFrame, items: DataFrame, least_share: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document and item that it leaks: ``doc_id, item_id,
     n_windows, matched, share, n_slots, n_changed``.
 
-    matched counts the item's windows on the best alignment, share is
-    matched / n_windows and reaches ``least_share``; n_slots counts the
-    placeholders of the aligned stretch, n_changed those with another value
-    (0: verbatim). Null or empty texts and items leak nothing; documents of
-    one id count as one. An empty table on either side gives no rows; other
-    columns are not read.
+    matched counts the item's windows on the best alignment, by template or
+    plain words, share is matched / n_windows and reaches ``least_share``;
+    n_slots counts the placeholders of the aligned stretch, n_changed those
+    with another value (0: verbatim). Null or empty texts and items leak
+    nothing; documents of one id count as one. An empty table on either side
+    gives no rows; other columns are not read.
     """
-    windows = saved(benchmark_windows(items.select("item_id", "text")), "benchmark_windows")
-    side = few(windows, BROADCAST_ROWS)
+    windows = saved(benchmark_windows(items.select("item_id", "text")).withColumnRenamed("version", "item_version"), "benchmark_windows")
+    side = few(windows.drop("width"), BROADCAST_ROWS)
     widths = sorted(r["width"] for r in windows.select("width").distinct().collect())  # WINDOW values at most
     text = text_or_empty(F.col(text_col))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
-    template = rows.select("doc_id", F.xxhash64("text").alias("version"), template_words(F.col("text")).alias("t"))
-    found = None
-    for width in widths or [WINDOW]:
-        hashes = template.select("doc_id", "version", let(F.col("t"), lambda t: _hashes(t, width)).alias("h"))  # noqa: B023
-        # outer: a plain explode would have the hashes computed twice, for a filter on their number
-        flat = hashes.select("doc_id", "version", F.posexplode_outer("h").alias("pos", "hash")).where("hash is not null")
-        hit = flat.join(side.where(F.col("width") == width), "hash").select(
-            "doc_id", "version", "item_id", "n_windows", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"))
-        found = hit if found is None else found.unionByName(hit)
-    once = found.groupBy("doc_id", "version", "item_id", "n_windows", "shift", "item_pos").agg(F.lit(1).alias("one"))
-    aligned = once.groupBy("doc_id", "version", "item_id", "n_windows", "shift").agg(F.count(F.lit(1)).alias("matched"))
+    template, breaks = _readings(F.col("text"))
+    forms = rows.select("doc_id", F.xxhash64("text").alias("version"), _hashed(template).alias("t"), _hashed(breaks).alias("b"), _hashed(raw_words(F.col("text"))).alias("p"))
+
+    def hashes(words: Column, width: int) -> Column:
+        """Hash of the window at every position; those that the end cuts short are windows of fewer words."""
+        return F.transform(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(width)]))
+
+    none = F.array().cast("array<bigint>")
+    every = F.concat(*[F.when(F.size(c) > 0, let(F.col(c), lambda x: hashes(x, n))).otherwise(none)  # noqa: B023
+                       for n in widths or [WINDOW] for c in "tpb"])
+    # outer: a plain explode would have the hashes computed twice, for a filter on their number
+    flat = forms.select("doc_id", "version", F.size("t").alias("n"), F.posexplode_outer(every).alias("at", "hash")).where("hash is not null") \
+        .select("doc_id", "version", (F.col("at") % F.col("n")).alias("pos"), "hash")
+    found = flat.join(side, "hash").select(
+        "doc_id", "version", "item_id", "item_version", "kind", "n_windows", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"))
+    alignment = ["doc_id", "version", "item_id", "item_version", "kind", "n_windows", "shift"]
+    once = found.groupBy(*alignment, "item_pos").agg(F.lit(1).alias("one"))
+    aligned = once.groupBy(*alignment).agg(F.count(F.lit(1)).alias("matched"))
     best = aligned.where(F.col("matched") >= least_share * F.col("n_windows"))
     best = saved(best, "leak_candidates")
 
@@ -124,9 +165,9 @@ def leaks(docs: DataFrame, items: DataFrame, least_share: float = 0.5, id_col: s
     said = texts.withColumn("version", F.xxhash64("text")).dropDuplicates(["doc_id", "version"]).select(
         F.col("doc_id").alias("_id"), F.col("version").alias("_version"), raw_words(F.col("text")).alias("dw"), template_words(F.col("text")).alias("dt"))
     asked = items.select(F.col("item_id").alias("_item"), text_or_empty(F.col("text")).alias("q")).distinct().select(
-        "_item", raw_words(F.col("q")).alias("iw"), template_words(F.col("q")).alias("it"))
+        "_item", F.xxhash64("q").alias("_item_version"), raw_words(F.col("q")).alias("iw"), template_words(F.col("q")).alias("it"))
     both = best.join(said, best["doc_id"].eqNullSafe(said["_id"]) & (best["version"] == said["_version"])).join(
-        asked, best["item_id"].eqNullSafe(asked["_item"]))
+        asked, best["item_id"].eqNullSafe(asked["_item"]) & (best["item_version"] == asked["_item_version"]))
     slots = F.filter(
         F.transform("iw", lambda w, i: F.struct(w.alias("i"), F.get("dw", i + F.col("shift")).alias("d"), F.get("it", i).alias("k"),
                                                 F.get("dt", i + F.col("shift")).alias("l"))),

@@ -88,3 +88,28 @@ def test_awkward_and_empty(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert leaks(base, none).count() == 0 and leaks(make_docs(spark, []), items(spark)).count() == 0
     assert without_leaks(base, none).count() == base.count()
+
+
+LONG = "a farmer sells 30 boxes of apples to the old market and keeps the other boxes for Anna and her two sons"
+
+
+def found(spark, docs, bench):
+    return {(r.doc_id, r.item_id): (r.n_slots, r.n_changed) for r in leaks(make_docs(spark, docs), spark.createDataFrame(bench, "item_id long, text string")).collect()}
+
+
+def test_capitals_and_sentence_breaks_do_not_hide_a_passage(spark):
+    quoted = "What did the old farmer carry home after the long day at the market?"
+    bench = [(1, LONG), (2, quoted)]
+    docs = [(1, f"{FILL} {LONG.upper()} {FILL}"), (2, LONG.title()), (3, f"Q: {quoted}"), (4, f"one line without a mark\n{quoted}"),
+            (5, f'he said "{quoted.replace(" ", chr(10))}"'), (6, LONG.upper().replace("30", "47")), (7, FILL.upper()), (8, FILL.title())]
+    assert set(found(spark, docs, bench)) == {(1, 1), (2, 1), (3, 2), (4, 2), (5, 2), (6, 1)}
+    df = spark.createDataFrame([("then IT IS THE END of Anna. Q: What",)], "text string")
+    r = df.select(template_words(F.col("text")).alias("t"), template_words(F.col("text"), breaks=True).alias("b")).first()
+    assert r.t == ["then", "it", "is", "the", "end", "of", "§n", "q", "§n"] and r.b == r.t[:-1] + ["what"]
+
+
+def test_planted_capitals_of_the_tables(spark):
+    """Every passage found by plain words is found, also in capitals."""
+    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF001}/benchmark.parquet").collect()][:40]
+    docs = [(i, t.upper()) for i, t in bench] + [(1000 + i, t.title()) for i, t in bench]
+    assert {(i, i) for i, _ in bench} | {(1000 + i, i) for i, _ in bench} <= set(found(spark, docs, bench))
