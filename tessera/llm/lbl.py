@@ -5,10 +5,11 @@ an end token are classes of their own, all others one class; a word of that
 class has the add-one share of its count in it, so the model gives every text
 a normalised probability. The model is log-bilinear in the previous token,
 ``score(w | h) = (C r_h) . q_w + b_w``. Its training set are the pairs of
-neighbouring classes of the whole corpus, counted by Spark; minibatches are
-drawn from these counts in numpy and trained by noise-contrastive estimation
-with unigram noise. One matrix product of all contexts with all words then
-gives the normalised log-probabilities that the scoring tasks look up.
+neighbouring classes of the whole corpus, counted by Spark; whole passes over
+all counted pairs, weighted by their counts, train it in numpy by
+noise-contrastive estimation with unigram noise. One matrix product of all
+contexts with all words then gives the normalised log-probabilities that the
+scoring tasks look up.
 
 Bounded: classes (``CLASSES``, so pairs are at most its square) and the
 dictionary of frequent words that tasks hold (``DICTIONARY``). Counts of all
@@ -161,12 +162,21 @@ def _sums(at: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     return np.stack([np.bincount(at, weights=x, minlength=size) for x in rows.T], axis=1)
 
 
-def train(cells: np.ndarray, counts: np.ndarray, size: int, steps: int = 600, batch: int = 4096, noise: int = 128, k: float = 16.0,
+def shares(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(cell, weight) of one pass: every cell with its whole count, in equal
+    parts of at most the mean count; twice as many as cells at most."""
+    parts = np.ceil(counts / counts.mean()).astype(np.int64).clip(1) if len(counts) else np.zeros(0, np.int64)
+    return np.repeat(np.arange(len(counts)), parts), np.repeat(counts / np.maximum(parts, 1), parts)
+
+
+def train(cells: np.ndarray, counts: np.ndarray, size: int, passes: int = 24, steps: int = 600, batch: int = 4096, noise: int = 128, k: float = 16.0,
           width: int = WIDTH, rate: float = 0.1, seed: int = 7) -> np.ndarray:
     """[context, word] table of log10 probabilities.
 
-    Noise-contrastive estimation: every drawn pair against ``k`` words of
-    noise from the unigram law (add-one, so no word is impossible), carried by
+    Whole passes over all cells in random order, each weighted by its count:
+    ``passes`` of them, or as many more as make up ``steps`` minibatches.
+    Noise-contrastive estimation: every pair against ``k`` words of noise
+    from the unigram law (add-one, so no word is impossible), carried by
     ``noise`` shared words per minibatch, so that scores are matrix products;
     Adagrad steps. Contexts that never occurred keep the unigram law nearly.
     """
@@ -178,21 +188,23 @@ def train(cells: np.ndarray, counts: np.ndarray, size: int, steps: int = 600, ba
     q = rng.normal(0, 0.1, (size, width))
     c, b = np.eye(width), np.log(unigram)
     grads = [np.full(x.shape, 1e-3) for x in (r, q, c, b)]
-    cumulative, unigram_sum = np.cumsum(counts), np.cumsum(unigram)
-    for _ in range(steps if len(cells) else 0):
-        drawn = cells[np.searchsorted(cumulative, rng.random(batch) * cumulative[-1], side="right").clip(0, len(cells) - 1)]
-        h, w = drawn // size, drawn % size
+    unigram_sum = np.cumsum(unigram)
+    at, weight = shares(counts)
+    weight /= weight.mean() if len(weight) else 1.0
+    each = -(-len(at) // batch)  # minibatches of a pass
+    for now in (x for _ in range(max(passes, -(-steps // each)) if each else 0) for x in np.array_split(rng.permutation(len(at)), each)):
+        h, w, much = cells[at[now]] // size, cells[at[now]] % size, weight[now]
         v = np.searchsorted(unigram_sum, rng.random(noise), side="right").clip(0, size - 1)
         rh = r[h]
         x = rh @ c.T
-        hit = 1 / (1 + np.exp(np.einsum("ij,ij->i", x, q[w]) + b[w] - log_noise[w]))  # 1 - P(from the data)
-        miss = -(k / noise) / (1 + np.exp(-(x @ q[v].T + (b[v] - log_noise[v])[None, :])))  # -P(from the data)
+        hit = much / (1 + np.exp(np.einsum("ij,ij->i", x, q[w]) + b[w] - log_noise[w]))  # 1 - P(from the data)
+        miss = -(k / noise) * much[:, None] / (1 + np.exp(-(x @ q[v].T + (b[v] - log_noise[v])[None, :])))  # -P(from the data)
         dx = hit[:, None] * q[w] + miss @ q[v]
         dq = _sums(w, hit[:, None] * x, size) + _sums(v, miss.T @ x, size)
         db = np.bincount(w, weights=hit, minlength=size) + np.bincount(v, weights=miss.sum(axis=0), minlength=size)
         dr = _sums(h, dx @ c, size)
         for value, grad, total in ((r, dr, grads[0]), (q, dq, grads[1]), (c, dx.T @ rh, grads[2]), (b, db, grads[3])):
-            grad /= batch ** 0.5
+            grad /= len(now) ** 0.5
             total += grad * grad
             value += rate * grad / np.sqrt(total)
     logits = (r @ c.T) @ q.T + b[None, :]

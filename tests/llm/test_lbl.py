@@ -9,7 +9,7 @@ from conftest import SF001
 from llm_fixtures import AWKWARD, make_docs
 from pyspark.sql import functions as F
 
-from tessera.llm.lbl import score_documents, train
+from tessera.llm.lbl import score_documents, shares, train
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -95,3 +95,21 @@ def test_most_frequent_is_bounded(spark, monkeypatch):
     assert lbl.most_frequent(df, 30) == [(f"top{i}", 1000 - i) for i in range(20)]
     assert lbl.most_frequent(df, 5) == [(f"top{i}", 1000 - i) for i in range(5)]
     assert lbl.most_frequent(df.limit(0), 5) == []
+
+
+def test_a_pass_takes_every_counted_pair():
+    counts = np.concatenate([np.ones(50_000), [5.0, 123_456.0, 7_000.0]])
+    at, weight = shares(counts)
+    assert np.allclose(np.bincount(at, weights=weight), counts) and weight.max() <= counts.mean() and len(at) <= 2 * len(counts)
+    assert len(shares(np.zeros(0))[0]) == 0
+
+
+def test_training_reaches_every_context(monkeypatch):
+    """One step asked for, a pass of several made: no counted context is left out."""
+    from tessera.llm import lbl
+
+    seen, real = set(), lbl._sums
+    monkeypatch.setattr(lbl, "_sums", lambda at, rows, size: (seen.update(at.tolist()), real(at, rows, size))[1])
+    size = 900
+    train(np.arange(size - 1) * size + 7, np.ones(size - 1), size, steps=1, batch=64, noise=8, width=2)
+    assert set(range(size - 1)) <= seen
