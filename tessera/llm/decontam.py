@@ -3,9 +3,10 @@
 A text becomes a template: numbers, names and units are replaced by typed
 placeholders, the rest is lower case without punctuation. Windows of eight
 template words are hashed and joined with those of the benchmark, so a
-question whose numbers or names were changed still matches. Matches on one
-alignment of document and item are counted, and the slots of the aligned
-stretch are compared: each value of the item must stand for one value in the
+question whose numbers or names were changed still matches. Matches on
+neighbouring alignments of document and item are added up, so that a word put
+in or left out breaks nothing, and the slots of the matched windows are
+compared: each value of the item must stand for one value in the
 document and the other way round. Loosely similar text fails that; a
 re-parameterised question passes.
 
@@ -26,6 +27,12 @@ from pyspark.sql import functions as F
 from .common import few, let, saved, text_or_empty
 
 WINDOW = 8
+#: Width of further windows for items of so many words that one edit may leave under half of the others.
+NARROW, NARROW_WORDS = 5, 3 * WINDOW - 2
+#: Words of an item in a row that are a leak whatever their share.
+QUOTE = 13
+#: Shifts that are added up: any two less than half of it apart.
+SHIFTS = 16
 #: Rows of the benchmark's window table (two numbers each and an id) that are broadcast.
 BROADCAST_ROWS = 500_000
 #: Ids of documents that are broadcast to fetch their texts.
@@ -37,7 +44,7 @@ BREAKS = r"\n\r:\"“”„«»"
 #: A word in capitals, and one in a run of three or more.
 CAPITALS = r"\p{Lu}[\p{Lu}\p{N}]*+(?!\p{L})"
 _BEFORE = r"(?<![\p{L}\p{N}])\p{Lu}[\p{Lu}\p{N}]{0,30} "
-IN_RUN = rf"(?:{CAPITALS} {CAPITALS} {CAPITALS}|(?<={_BEFORE}){CAPITALS} {CAPITALS}|(?<={_BEFORE}\p{{Lu}}[\p{{Lu}}\p{{N}}]{{0,30}} ){CAPITALS})"
+IN_RUN = rf"(?={CAPITALS})(?:{CAPITALS} {CAPITALS} {CAPITALS}|(?<={_BEFORE}){CAPITALS} {CAPITALS}|(?<={_BEFORE}\p{{Lu}}[\p{{Lu}}\p{{N}}]{{0,30}} ))"
 #: Units: fixed values.
 UNITS = ["mm", "cm", "m", "km", "inch", "inches", "ft", "feet", "foot", "yard", "yards", "mile", "miles", "mg", "g", "kg", "gram", "grams",
          "ton", "tons", "lb", "lbs", "oz", "ml", "l", "liter", "liters", "litre", "litres", "s", "sec", "second", "seconds", "min", "minute",
@@ -96,12 +103,15 @@ def benchmark_windows(items: DataFrame, width: int = WINDOW) -> DataFrame:
     windows. Kind ``template``: windows in which over half of the words are
     literal, under the hash of each reading and of the plain words; kind
     ``plain``: every window of the plain words. An item of fewer words than
-    ``width`` is one window of its own width. Repeated items count once; texts
-    of one id count by version."""
+    ``width`` is one window of its own width; one of up to ``NARROW_WORDS``
+    has windows of ``NARROW`` words beside the others. Repeated items count
+    once; texts of one id count by version."""
     text = text_or_empty(F.col("text"))
     template, breaks = _readings(text)
     words = items.select("item_id", F.xxhash64(text).alias("version"), template.alias("w"), F.coalesce(breaks, template).alias("b"), raw_words(text).alias("p")).distinct() \
-        .where(F.size("w") > 0).withColumn("width", F.least(F.lit(width), F.size("w")))
+        .where(F.size("w") > 0)
+    own = F.least(F.lit(width), F.size("w"))
+    words = words.withColumn("width", F.explode(F.when((F.size("w") > width) & (F.size("w") <= NARROW_WORDS), F.array(own, F.lit(NARROW))).otherwise(F.array(own))))
     every = words.withColumn("item_pos", F.explode_outer(F.sequence(F.lit(0), F.size("w") - F.col("width"))))
     part = lambda c: F.slice(c, F.col("item_pos") + 1, F.col("width"))
 
@@ -117,9 +127,10 @@ def benchmark_windows(items: DataFrame, width: int = WINDOW) -> DataFrame:
                     F.struct(F.lit("plain").alias("kind"), F.array(hashed("p")).alias("h")))
     rows = every.select("item_id", "version", "item_pos", "width", F.explode(kinds).alias("k")) \
         .select("item_id", "version", "item_pos", "width", "k.kind", F.explode("k.h").alias("hash"))
-    counted = rows.groupBy(F.col("item_id").alias("_id"), F.col("version").alias("_version"), F.col("kind").alias("_kind")) \
+    counted = rows.groupBy(F.col("item_id").alias("_id"), F.col("version").alias("_version"), F.col("kind").alias("_kind"), F.col("width").alias("_width")) \
         .agg(F.countDistinct("item_pos").alias("n_windows"))
-    same = F.col("item_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version")) & (F.col("kind") == F.col("_kind"))
+    same = F.col("item_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version")) & (F.col("kind") == F.col("_kind")) & \
+        (F.col("width") == F.col("_width"))
     return rows.join(counted, same).select("hash", "item_id", "version", "item_pos", "width", "kind", "n_windows")
 
 
@@ -127,15 +138,17 @@ def leaks(docs: DataFrame, items: DataFrame, least_share: float = 0.5, id_col: s
     """One row per document and item that it leaks: ``doc_id, item_id,
     n_windows, matched, share, n_slots, n_changed``.
 
-    matched counts the item's windows on the best alignment, by template or
-    plain words, share is matched / n_windows and reaches ``least_share``;
-    n_slots counts the placeholders of the aligned stretch, n_changed those
-    with another value (0: verbatim). Null or empty texts and items leak
+    matched counts the item's windows on the best alignment and those next to
+    it, by template or plain words; share is matched / n_windows and reaches
+    ``least_share``, unless ``QUOTE`` words in a row agree. One edit anywhere
+    leaves enough of an item of 14 words or more; shorter ones may be lost by
+    an edit in their middle. n_slots counts the placeholders of the matched
+    windows, n_changed those with another value (0: verbatim). Null or empty texts and items leak
     nothing; documents of one id count as one. An empty table on either side
     gives no rows; other columns are not read.
     """
     windows = saved(benchmark_windows(items.select("item_id", "text")).withColumnRenamed("version", "item_version"), "benchmark_windows")
-    side = few(windows.drop("width"), BROADCAST_ROWS)
+    side = few(windows, BROADCAST_ROWS)
     widths = sorted(r["width"] for r in windows.select("width").distinct().collect())  # WINDOW values at most
     text = text_or_empty(F.col(text_col))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
@@ -153,11 +166,16 @@ def leaks(docs: DataFrame, items: DataFrame, least_share: float = 0.5, id_col: s
     flat = forms.select("doc_id", "version", F.size("t").alias("n"), F.posexplode_outer(every).alias("at", "hash")).where("hash is not null") \
         .select("doc_id", "version", (F.col("at") % F.col("n")).alias("pos"), "hash")
     found = flat.join(side, "hash").select(
-        "doc_id", "version", "item_id", "item_version", "kind", "n_windows", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"))
-    alignment = ["doc_id", "version", "item_id", "item_version", "kind", "n_windows", "shift"]
-    once = found.groupBy(*alignment, "item_pos").agg(F.lit(1).alias("one"))
-    aligned = once.groupBy(*alignment).agg(F.count(F.lit(1)).alias("matched"))
-    best = aligned.where(F.col("matched") >= least_share * F.col("n_windows"))
+        "doc_id", "version", "item_id", "item_version", "kind", "width", "n_windows", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"))
+    # every shift is in two overlapping groups of shifts
+    group = F.array(F.floor(F.col("shift") / SHIFTS) * 2, F.floor((F.col("shift") + SHIFTS // 2) / SHIFTS) * 2 + 1)
+    alignment = ["doc_id", "version", "item_id", "item_version", "kind", "width", "n_windows"]
+    once = found.groupBy(*alignment, "shift", "item_pos").agg(F.lit(1).alias("one")).withColumn("group", F.explode(group))
+    aligned = once.groupBy(*alignment, "group").agg(F.countDistinct("item_pos").alias("matched"), F.sort_array(F.collect_set(F.struct("shift", "item_pos"))).alias("at"))
+    more = QUOTE - F.col("width")  # windows that follow the first of a quote
+    quoted = let(F.col("at"), lambda at: F.exists(F.sequence(F.lit(0), F.size(at) - 1), lambda i: F.coalesce(
+        (F.get(at, i)["shift"] == F.get(at, i + more)["shift"]) & (F.get(at, i)["item_pos"] + more == F.get(at, i + more)["item_pos"]), F.lit(False))))
+    best = aligned.where((F.col("matched") >= least_share * F.col("n_windows")) | ((F.col("matched") > more) & quoted))
     best = saved(best, "leak_candidates")
 
     ids = best.select(F.col("doc_id").alias("_id")).distinct()
@@ -168,20 +186,23 @@ def leaks(docs: DataFrame, items: DataFrame, least_share: float = 0.5, id_col: s
         "_item", F.xxhash64("q").alias("_item_version"), raw_words(F.col("q")).alias("iw"), template_words(F.col("q")).alias("it"))
     both = best.join(said, best["doc_id"].eqNullSafe(said["_id"]) & (best["version"] == said["_version"])).join(
         asked, best["item_id"].eqNullSafe(asked["_item"]) & (best["item_version"] == asked["_item_version"]))
+    # the words of the matched windows, each with its place in the document
+    words = F.array_distinct(F.flatten(F.transform("at", lambda x: F.transform(
+        F.sequence(F.lit(0), F.col("width") - 1), lambda n: F.struct((x["item_pos"] + n).alias("i"), (x["item_pos"] + n + x["shift"]).alias("j"))))))
     slots = F.filter(
-        F.transform("iw", lambda w, i: F.struct(w.alias("i"), F.get("dw", i + F.col("shift")).alias("d"), F.get("it", i).alias("k"),
-                                                F.get("dt", i + F.col("shift")).alias("l"))),
+        F.transform("words", lambda x: F.struct(F.get("iw", x["i"]).alias("i"), F.get("dw", x["j"]).alias("d"), F.get("it", x["i"]).alias("k"),
+                                                F.get("dt", x["j"]).alias("l"))),
         lambda s: s["k"].startswith("§") & (s["k"] == s["l"]))
-    pairs = both.withColumn("slots", slots)
+    pairs = both.withColumn("words", words).withColumn("slots", slots)
     kinds = lambda f: F.size(F.array_distinct(F.transform("slots", f)))
     n_pairs = kinds(lambda s: F.struct(s["k"], s["i"], s["d"]))
     consistent = (n_pairs == kinds(lambda s: F.struct(s["k"], s["i"]))) & (n_pairs == kinds(lambda s: F.struct(s["k"], s["d"])))
     changed = F.size(F.filter("slots", lambda s: s["i"] != s["d"]))
-    checked = pairs.where(consistent).select("doc_id", "item_id", "n_windows", "matched", F.size("slots").alias("n_slots"), changed.alias("n_changed"))
+    checked = pairs.where(consistent).select("doc_id", "item_id", "width", "n_windows", "matched", F.size("slots").alias("n_slots"), changed.alias("n_changed"))
+    share = F.col("matched") / F.col("n_windows")
     top = checked.groupBy("doc_id", "item_id").agg(
-        F.max(F.struct("matched", "n_windows", (-F.col("n_changed")).alias("c"), "n_slots")).alias("b"))
-    return top.select("doc_id", "item_id", "b.n_windows", "b.matched", (F.col("b.matched") / F.col("b.n_windows")).alias("share"),
-                      "b.n_slots", (-F.col("b.c")).alias("n_changed"))
+        F.max(F.struct(share.alias("share"), "width", "matched", "n_windows", (-F.col("n_changed")).alias("c"), "n_slots")).alias("b"))
+    return top.select("doc_id", "item_id", "b.n_windows", "b.matched", "b.share", "b.n_slots", (-F.col("b.c")).alias("n_changed"))
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:

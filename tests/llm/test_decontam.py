@@ -113,3 +113,21 @@ def test_planted_capitals_of_the_tables(spark):
     bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF001}/benchmark.parquet").collect()][:40]
     docs = [(i, t.upper()) for i, t in bench] + [(1000 + i, t.title()) for i, t in bench]
     assert {(i, i) for i, _ in bench} | {(1000 + i, i) for i, _ in bench} <= set(found(spark, docs, bench))
+
+
+def test_edits_and_partial_quotes(spark):
+    """One word changed, put in or left out anywhere, and 13 words of a long item."""
+    short = "which of the two wooden bridges over the quiet river was built before the war"
+    long = " ".join(f"{a}{b}" for a in ("red", "dry", "old", "new", "wet") for b in ("leaf", "moss", "sand", "wind", "rock", "fern", "lake", "reed"))
+    bench = [(1, short), (2, long)]
+    docs, want = [], set()
+    for item, text in bench:
+        w = text.split()
+        for i in range(len(w)):
+            for part in (w[:i] + ["other"] + w[i + 1:], w[:i] + w[i + 1:], w[:i] + ["more", "words"] + w[i:]):
+                want.add((len(docs), item))
+                docs.append((len(docs), f"{FILL} {' '.join(part)} {FILL}"))
+    w = long.split()
+    want.add((1000, 2))
+    docs += [(1000, f"{FILL} {' '.join(w[9:22])} {FILL}"), (1001, f"{FILL} {' '.join(w[9:21])} {FILL}"), (1002, " ".join(sorted(w)))]
+    assert set(found(spark, docs, bench)) == want
