@@ -131,3 +131,18 @@ def test_edits_and_partial_quotes(spark):
     want.add((1000, 2))
     docs += [(1000, f"{FILL} {' '.join(w[9:22])} {FILL}"), (1001, f"{FILL} {' '.join(w[9:21])} {FILL}"), (1002, " ".join(sorted(w)))]
     assert set(found(spark, docs, bench)) == want
+
+
+def test_slots_that_differ_do_not_hide_a_match(spark):
+    task = ("a farmer sells 30 boxes of apples and 45 boxes of pears to the old market in the town and then "
+            "keeps 12 boxes for the cold winter and gives 8 boxes to the school near the wide river")
+    own = task.split()[:24]
+    docs = [(1, " ".join(own) + " 30 boxes for 45 friends in 30 days and 45 weeks to come"),  # quoted, then numbers of its own
+            (2, task.replace("45", "31", 1).replace("8 boxes", "31 boxes")),  # two values became equal
+            (3, "add 7 red pens to 7 blue pens then take 7 green pens from 7 black pens and count every one"),  # all became equal
+            (4, ITEMS[0][1].replace("Boston", "Paris", 1)), (5, FILL)]  # one of two equal names was edited
+    got = found(spark, docs, [(1, task), (2, ITEMS[0][1]), (3, "add 3 red pens to 5 blue pens then take 4 green pens from 6 black pens and count every one")])
+    assert set(got) == {(1, 1), (2, 1), (4, 2)}
+    assert got[1, 1][1] == 0 and got[2, 1] == (4, 2) and got[4, 2] == (8, 1)
+    changed = task.replace("30", "5").replace("45", "6").replace("12", "9").replace("8 boxes", "9 boxes")
+    assert found(spark, [(6, changed)], [(1, task)]) == {(6, 1): (4, 4)}  # all changed, two of them to one value
