@@ -18,6 +18,9 @@ from .hyperminhash import near_duplicates
 from .decontam import leaks
 from .pii import find_personal_data
 from .lbl import score_documents
+from .runs import run_digests
+from .secrets import secret_digests
+from .spelling import spelling_variants, with_lost_letter
 
 
 def op9_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +82,25 @@ def op5_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(documents(spark, sf_dir))
 
 
+def op11_gram_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of every word of all documents, some words without a letter."""
+    return spelling_variants(documents(spark, sf_dir), changed=with_lost_letter)
+
+
+def op12_automaton_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and added spans of all documents."""
+    return secret_digests(documents(spark, sf_dir))
+
+
+def op13_repair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words of all documents, some of them tiled."""
+    return run_digests(documents(spark, sf_dir))
+
+
 QUERIES = {
+    "op11_gram_variants": (op11_gram_variants, None),
+    "op12_automaton_secrets": (op12_automaton_secrets, None),
+    "op13_repair_runs": (op13_repair_runs, None),
     "op5_log_bilinear": (op5_log_bilinear, None),
     "op6_boosted_spans": (op6_boosted_spans, None),
     "op4_template_leaks": (op4_template_leaks, None),
