@@ -1,26 +1,27 @@
 """Tokens, vocabulary and packing (K1-K8).
 
 K1-K3 and K6-K8 are column expressions and aggregations. K4 (BPE training)
-is one Spark job per merge over the table of distinct words, so the corpus
-size only matters once (K2); the word table is checkpointed to the shared
-folder every few rounds to cut lineage. K5 encodes words inside the
-partitions that hold them (Arrow batches) with the merge list broadcast — its
-size is bounded by the vocabulary size, not by the data.
+works on the table of distinct words, so the corpus size only matters once
+(K2): a pass reads from an inverted index the words that a merge can change
+and returns the change of the pair counts. K5 encodes words inside the
+partitions that hold them (Arrow batches) with the merge list in the closure;
+its size is bounded by the vocabulary size, not by the data.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
+from heapq import heapify, heappop, heappush, nsmallest
 
-import pandas as pd
-from pyspark import StorageLevel
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import word_tokens
 from ..registry import BPE_SPECIAL_TOKENS, BPE_VOCAB_SIZE
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 from .sequence import number_within
 
 
@@ -62,78 +63,210 @@ def merge_pair(symbols: Column, left: str, right: str) -> Column:
 
 # ------------------------------------------------------------------ K4
 
-def pair_counts_with_bounds(words: DataFrame, symbols: str = "symbols", freq: str = "freq") -> DataFrame:
-    """Pair counts plus, per pair (a, b), an upper bound on the count of any
-    pair that merging (a, b) creates: every occurrence of (x, ab) or (ab, y)
-    after the merge comes from a symbol triple (x, a, b) or (a, b, y) before
-    it, so the bound is the largest such triple count."""
-    s = F.col(symbols)
-    pairs = pair_counts(words, symbols, freq)
-    tri = F.transform(F.sequence(F.lit(1), F.size(s) - 2), lambda i: F.struct(
-        F.element_at(s, i).alias("x"), F.element_at(s, i + 1).alias("y"), F.element_at(s, i + 2).alias("z")))
-    t = (words.where(F.size(s) >= 3).select(F.explode_outer(tri).alias("t"), F.col(freq).alias("f"))
-         .where(F.col("t").isNotNull())
-         .groupBy("t.x", "t.y", "t.z").agg(F.sum("f").alias("c")))
-    as_suffix = t.groupBy(F.col("y").alias("left"), F.col("z").alias("right")).agg(F.max("c").alias("b1"))
-    as_prefix = t.groupBy(F.col("x").alias("left"), F.col("y").alias("right")).agg(F.max("c").alias("b2"))
-    return (pairs.join(as_suffix, ["left", "right"], "left").join(as_prefix, ["left", "right"], "left")
-            .select("left", "right", "count",
-                    F.greatest(F.coalesce("b1", F.lit(0)), F.coalesce("b2", F.lit(0))).cast("long").alias("bound")))
+#: Initial pairs that the driver holds, the most frequent first. Only pairs of
+#: two characters can be left out, and their counts never grow.
+KNOWN_PAIRS = 200_000
+#: Merges tried in one pass, at most.
+MOST_TRIED = 32
+
+
+def _in_order(merges: Sequence[tuple[str, str]]):
+    """word -> symbols after every merge, one after the other. Where no two
+    merges make the same symbol, that is what the lowest rank first gives."""
+    if len({a + b for a, b in merges}) == len(merges):
+        ranks = {m: i for i, m in enumerate(merges)}
+        return lambda word: merge_word(word, ranks)
+
+    def each(word: str) -> list[str]:
+        symbols = list(word)
+        for a, b in merges:
+            if a + b in word:
+                symbols = _merged(symbols, a, b)
+        return symbols
+
+    return each
+
+
+def merge_word(word: str, ranks: dict[tuple[str, str], int]) -> list[str]:
+    """Symbols of a word after its merges: always the pair of lowest rank, all
+    its occurrences from the left. Pairs wait in a heap over a linked list, so
+    a word of n letters takes n log n steps."""
+    symbols = list(word)
+    n = len(symbols)
+    if n < 2:
+        return symbols
+    heap = [(ranks[p], i) for i, p in enumerate(zip(symbols, symbols[1:])) if p in ranks]
+    if not heap:
+        return symbols
+    heapify(heap)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    alive: list[str | None] = list(symbols)
+    while heap:
+        rank, i = heappop(heap)
+        j = after[i]
+        # the entry may be out of date: its symbols are gone or changed
+        if alive[i] is None or j >= n or ranks.get((alive[i], alive[j])) != rank:
+            continue
+        alive[i], alive[j] = alive[i] + alive[j], None
+        k = after[i] = after[j]
+        if k < n:
+            before[k] = i
+            if (r := ranks.get((alive[i], alive[k]))) is not None:
+                heappush(heap, (r, i))
+        h = before[i]
+        if h >= 0 and (r := ranks.get((alive[h], alive[i]))) is not None:
+            heappush(heap, (r, h))
+    return [x for x in alive if x is not None]
+
+
+def _merged(symbols: list[str], left: str, right: str) -> list[str]:
+    out, i, n = [], 0, len(symbols)
+    while i < n:
+        if symbols[i] == left and i + 1 < n and symbols[i + 1] == right:
+            out.append(left + right)
+            i += 2
+        else:
+            out.append(symbols[i])
+            i += 1
+    return out
+
+
+def _pairs_of(merges):
+    """Arrow pass: pair counts of words under ``merges``, summed in the task."""
+    def run(batches):
+        symbols_after, total = _in_order(merges), Counter()
+        for batch in batches:
+            for word, freq in zip(batch.column("word").to_pylist(), batch.column("freq").to_pylist()):
+                symbols = symbols_after(word)
+                for p in zip(symbols, symbols[1:]):
+                    total[p] += freq
+        yield _pair_rows({(0, *p): c for p, c in total.items()})
+
+    return run
+
+
+def _pair_rows(total: dict) -> pa.RecordBatch:
+    cols = list(zip(*((step, left, right, c) for (step, left, right), c in total.items() if c))) or [()] * 4
+    types = [pa.int32(), pa.string(), pa.string(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, types)], names=["step", "left", "right", "count"])
+
+
+_PAIR_SCHEMA = "step int, left string, right string, count long"
+
+
+def _changes_of(merges, tried):
+    """Arrow pass over index rows: how each merge of ``tried``, applied after
+    ``merges`` and those before it, changes the pair counts."""
+    texts = [a + b for a, b in tried]
+    edges = [a[-1] + b[0] for a, b in tried]
+
+    def run(batches):
+        symbols_after, total = _in_order(merges), Counter()
+        for batch in batches:
+            for edge, word, freq in zip(*(batch.column(c).to_pylist() for c in ("edge", "word", "freq"))):
+                steps = [k for k, t in enumerate(texts) if t in word]
+                if not steps or edges[steps[0]] != edge:  # a word is looked at under one of its index rows
+                    continue
+                symbols = symbols_after(word)
+                for k in steps:
+                    new = _merged(symbols, *tried[k])
+                    if len(new) == len(symbols):
+                        continue
+                    for p in zip(symbols, symbols[1:]):
+                        total[k, *p] -= freq
+                    for p in zip(new, new[1:]):
+                        total[k, *p] += freq
+                    symbols = new
+        yield _pair_rows(total)
+
+    return run
+
+
+def edge_index(words: DataFrame) -> DataFrame:
+    """Inverted index (edge, word, freq): every word under each two characters
+    that stand side by side in it, sorted by them and written once. A word that
+    holds symbols a and b side by side lies under a's last and b's first
+    character, whatever has been merged, so the index is never rewritten, and
+    readers skip the row groups of other edges."""
+    spark = words.sparkSession
+    w = F.col("word")
+    edges = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(w) - 1), lambda i: F.substring(w, i, F.lit(2))))
+    rows = words.where(F.length(w) >= 2).select("word", "freq", F.explode_outer(edges).alias("edge")).where(F.col("edge").isNotNull())
+    parts = 4 * spark.sparkContext.defaultParallelism
+    path = scratch_path(spark, "bpe_index")
+    rows.repartitionByRange(parts, "edge", "word").sortWithinPartitions("edge", "word").select("edge", "word", "freq") \
+        .write.option("parquet.block.size", 1 << 20).parquet(path)
+    return spark.read.parquet(path)
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("step", "left", "right").agg(F.sum("count").alias("count"))
 
 
 def train_bpe(words: DataFrame, vocab_size: int = BPE_VOCAB_SIZE,
-              special: Sequence[str] = tuple(BPE_SPECIAL_TOKENS), checkpoint_every: int = 25,
-              candidates: int = 64):
-    """K4: BPE vocabulary from a (word, freq) table.
+              special: Sequence[str] = tuple(BPE_SPECIAL_TOKENS), known_pairs: int = KNOWN_PAIRS):
+    """K4: BPE vocabulary from a (word, freq) table of distinct words.
 
     Vocabulary = special tokens, then the alphabet (sorted), then one token
     per merge. Each merge is the most frequent adjacent pair, ties broken by
-    (left, right) order — exactly the one-merge-at-a-time rule — but one job
-    commits several merges when that provably gives the same result: the
-    candidates are the top pairs in order, cut at the first one that shares a
-    symbol with an earlier one or makes an existing symbol, or whose count
-    does not exceed the bound (``pair_counts_with_bounds``) of an earlier
-    kept merge. The word table is cached per pass and checkpointed to the
-    shared folder every ``checkpoint_every`` passes.
-    Returns (vocab, merges), both bounded by ``vocab_size``."""
+    (left, right) order: exactly the one-merge-at-a-time rule.
+
+    Pair counts are kept on the driver (the ``known_pairs`` most frequent pairs
+    of characters, and all pairs with a merged symbol) and change by
+    differences: a pass takes the pairs that lead the counts, reads from an
+    inverted index only the words that can hold one of them, merges them one
+    after the other, and returns the change of every pair count by each merge.
+    The driver replays the merges while each is indeed the leading pair; the
+    rest of the pass is void. Words are merged anew from the list of merges, so
+    there is no state but that list, and a lost executor loses nothing. If the
+    lead falls to the count of a pair that was left out, all pairs are counted
+    again. Returns (vocab, merges), both bounded by ``vocab_size``."""
     spark = words.sparkSession
-    ensure_checkpoint_dir(spark)
-    base = words.select("word", "freq", symbols_of(F.col("word")).alias("symbols"))
-    table = base.repartition("word").checkpoint()
-    alphabet = [r["c"] for r in table.select(F.explode("symbols").alias("c")).distinct().orderBy("c").collect()]
+    path = scratch_path(spark, "bpe_words")
+    words.select("word", "freq").write.parquet(path)
+    words = spark.read.parquet(path)
+    index = edge_index(words)
+    alphabet = sorted(r["c"] for r in words.select(F.explode(symbols_of(F.col("word"))).alias("c")).distinct().collect())
     vocab = list(special) + [c for c in alphabet if c not in special]
-    symbols_seen = set(vocab)
     merges: list[tuple[str, str]] = []
-    previous = None
-    passes = 0
+
+    def counted(most: int) -> tuple[dict, int]:
+        top = _summed(words.mapInArrow(_pairs_of(list(merges)), _PAIR_SCHEMA)).orderBy(F.col("count").desc(), "left", "right").limit(most + 1).collect()
+        return {(r["left"], r["right"]): r["count"] for r in top[:most]}, (top[most]["count"] if len(top) > most else 0)
+
+    def leading(n: int) -> list:
+        return nsmallest(n, counts.items(), key=lambda x: (-x[1], x[0]))
+
+    counts, left_out = counted(known_pairs)
+    tries = 4
     while len(vocab) < vocab_size:
-        table = table.persist(StorageLevel.MEMORY_AND_DISK)
-        top = (pair_counts_with_bounds(table).orderBy(F.col("count").desc(), "left", "right")
-               .limit(candidates).collect())
-        if previous is not None:
-            previous.unpersist()
-        previous = table
-        if not top:
+        best = leading(min(tries, vocab_size - len(vocab)))
+        if left_out and (not best or best[0][1] <= left_out):
+            known_pairs *= 4
+            counts, left_out = counted(known_pairs)
+            continue
+        if not best:
             break
-        room = vocab_size - len(vocab)
-        kept, used, worst = [], set(), -1
-        for r in top:
-            a, b, c = r["left"], r["right"], int(r["count"])
-            if kept and (a in used or b in used or (a + b) in symbols_seen or c <= worst or len(kept) >= room):
+        tried = [p for p, c in best if c > left_out]
+        edges = sorted({a[-1] + b[0] for a, b in tried})
+        rows = index.where(F.col("edge").isin(edges))
+        changes: dict[int, list] = {}
+        for r in _summed(rows.mapInArrow(_changes_of(list(merges), tried), _PAIR_SCHEMA)).collect():
+            changes.setdefault(r["step"], []).append(((r["left"], r["right"]), r["count"]))
+        done = 0
+        for k, pair in enumerate(tried):
+            if done and leading(1)[0][0] != pair:
                 break
-            kept.append((a, b))
-            used.update((a, b))
-            symbols_seen.add(a + b)
-            worst = max(worst, int(r["bound"]))
-        for a, b in kept:
-            merges.append((a, b))
-            vocab.append(a + b)
-            table = table.withColumn("symbols", merge_pair(F.col("symbols"), a, b))
-        passes += 1
-        if passes % checkpoint_every == 0:
-            table = table.checkpoint()
-    if previous is not None:
-        previous.unpersist()
+            merges.append(pair)
+            vocab.append(pair[0] + pair[1])
+            for p, c in changes.get(k, []):
+                # a pair of characters that is not held was left out; its count only falls
+                if p in counts or len(p[0]) > 1 or len(p[1]) > 1:
+                    counts[p] = counts.get(p, 0) + c
+                    if counts[p] <= 0:
+                        del counts[p]
+            done += 1
+        tries = min(MOST_TRIED, 2 * tries) if done == len(tried) else max(4, done + 2)
     return vocab, merges
 
 
@@ -158,34 +291,18 @@ def train_bpe_reference(words: DataFrame, vocab_size: int = BPE_VOCAB_SIZE,
 
 # ------------------------------------------------------------------ K5
 
-def _encode_word(word: str, ranks: dict, ids: dict, unk: int) -> list[int]:
-    syms = list(word)
-    while len(syms) > 1:
-        best, best_i = None, -1
-        for i in range(len(syms) - 1):
-            r = ranks.get((syms[i], syms[i + 1]))
-            if r is not None and (best is None or r < best):
-                best, best_i = r, i
-        if best is None:
-            break
-        a, b = syms[best_i], syms[best_i + 1]
-        out, i = [], 0
-        while i < len(syms):
-            if i < len(syms) - 1 and syms[i] == a and syms[i + 1] == b:
-                out.append(a + b)
-                i += 2
-            else:
-                out.append(syms[i])
-                i += 1
-        syms = out
-    return [ids.get(s, unk) for s in syms]
+#: Words that a task remembers with their ids; then it starts anew.
+REMEMBERED_WORDS = 200_000
+#: A longer word is encoded each time.
+LONGEST_REMEMBERED = 64
 
 
 def bpe_encode(df: DataFrame, text: str, vocab: Sequence[str], merges: Sequence[tuple[str, str]],
                keep: Sequence[str] = ("id",), unk_token: str = "[UNK]") -> DataFrame:
     """K5: text → token ids (unknown symbols → [UNK]). Words are encoded in
-    the partition that holds the row, with a per-task cache of distinct
-    words; the merge list travels in the closure (bounded by the vocabulary)."""
+    the partition that holds the row, so no token is shuffled; a task remembers
+    a bounded number of words. The merge list travels in the closure (bounded
+    by the vocabulary). A null or empty text has no ids."""
     ranks = {tuple(m): i for i, m in enumerate(merges)}
     ids = {t: i for i, t in enumerate(vocab)}
     unk = ids[unk_token]
@@ -193,22 +310,24 @@ def bpe_encode(df: DataFrame, text: str, vocab: Sequence[str], merges: Sequence[
     base = df.select(*keep, word_tokens(text).alias("_w"))
 
     def run(batches):
-        cache: dict = {}
-        for pdf in batches:
-            out = []
-            for words in pdf["_w"]:
-                seq: list[int] = []
-                for w in (words if words is not None else []):
-                    if w not in cache:
-                        cache[w] = _encode_word(w, ranks, ids, unk)
-                    seq.extend(cache[w])
-                out.append(seq)
-            res = pdf[keep].copy()
-            res["ids"] = pd.Series(out, dtype=object)
-            yield res
+        known: dict[str, list[int]] = {}
+
+        def encoded(word):
+            got = known.get(word)
+            if got is None:
+                got = [ids.get(s, unk) for s in merge_word(word, ranks)]
+                if len(word) <= LONGEST_REMEMBERED:
+                    if len(known) >= REMEMBERED_WORDS:
+                        known.clear()
+                    known[word] = got
+            return got
+
+        for batch in batches:
+            out = [[i for w in words or () for i in encoded(w)] for words in batch.column("_w").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(out, type=pa.list_(pa.int32()))], names=[*keep, "ids"])
 
     fields = [f for f in base.schema.fields if f.name in keep] + [T.StructField("ids", T.ArrayType(T.IntegerType()))]
-    return base.mapInPandas(run, T.StructType(fields))
+    return base.mapInArrow(run, T.StructType(fields))
 
 
 # ------------------------------------------------------------------ K6, K7
@@ -246,3 +365,35 @@ def pack(df: DataFrame, n_tokens: str, max_length: int, order_by: Sequence[str],
     part = F.least(F.col("e"), (F.col("block_id") + 1) * max_length) - F.greatest(F.col("s"), F.col("block_id") * max_length)
     return ex.groupBy("block_id").agg(F.sum(part).cast("long").alias("n_tokens"),
                                       F.count(F.lit(1)).alias("n_examples"))
+
+
+def pack_blocks(df: DataFrame, tokens: str, max_length: int, order_by: Sequence[str], end) -> DataFrame:
+    """K8 as data: token arrays in order, each followed by the token ``end``,
+    cut into blocks of ``max_length``. Output: ``block_id, tokens, examples``;
+    examples has, by place, the order columns of every example in the block and
+    the places [start, stop) of the block that it takes; only the last block
+    may be shorter. ``order_by`` must identify a row. A null array counts as an
+    empty one (its end token stays); an empty table gives no blocks.
+
+    Offsets come from the distributed numbering of (order columns, length); the
+    arrays are shuffled once to meet them and cut there, and once, as pieces,
+    to their blocks, whose size is bounded by ``max_length``."""
+    order_by = list(order_by)
+    element = df.schema[tokens].dataType.elementType
+    ended = F.concat(F.coalesce(F.col(tokens), F.array().cast(T.ArrayType(element))), F.array(F.lit(end).cast(element)))
+    rows = df.select(*order_by, ended.alias("_tokens"))
+    placed = number_within(rows.select(*order_by, F.size("_tokens").cast("long").alias("_len")), order_by, sums=["_len"])
+    placed = placed.select(*[F.col(c).alias(f"_o_{c}") for c in order_by], (F.col("cum__len") - F.col("_len")).alias("_from"))
+    same = F.lit(True)
+    for c in order_by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_o_{c}"))
+    both = rows.join(placed, same)
+    first, last = F.floor(F.col("_from") / max_length), F.floor((F.col("_from") + F.size("_tokens") - 1) / max_length)
+    cut = both.select(*order_by, "_from", "_tokens", F.explode(F.sequence(first, last)).alias("block_id"))
+    lo = F.greatest(F.col("_from"), F.col("block_id") * max_length)
+    hi = F.least(F.col("_from") + F.size("_tokens"), (F.col("block_id") + 1) * max_length)
+    piece = F.struct((lo - F.col("block_id") * max_length).cast("int").alias("start"), (hi - F.col("block_id") * max_length).cast("int").alias("stop"),
+                     *order_by, F.slice("_tokens", (lo - F.col("_from") + 1).cast("int"), (hi - lo).cast("int")).alias("tokens"))
+    blocks = cut.select("block_id", piece.alias("p")).groupBy("block_id").agg(F.array_sort(F.collect_list("p")).alias("p"))
+    return blocks.select("block_id", F.flatten(F.col("p.tokens")).alias("tokens"),
+                         F.transform("p", lambda x: F.struct(*[x[c].alias(c) for c in order_by], x["start"].alias("start"), x["stop"].alias("stop"))).alias("examples"))

@@ -53,29 +53,21 @@ def k3_pair_counts(spark, sf):
     return tk.pair_counts(w.select("word", "freq", tk.symbols_of(F.col("word")).alias("symbols")))
 
 
-_BPE_MODELS: dict[str, tuple] = {}
-
-
 def _bpe(spark, sf):
-    """Train once per input folder and process (the vocabulary is a model
-    artefact bounded by its size; k5 reuses what k4 learned)."""
-    if sf not in _BPE_MODELS:
-        words = tk.word_counts(read_table(spark, sf, "benchmark"))
-        _BPE_MODELS[sf] = tk.train_bpe(words)
-    return _BPE_MODELS[sf]
+    return tk.train_bpe(tk.word_counts(read_table(spark, sf, "documents")))
 
 
 @register("k4_train_bpe")
 def k4_train_bpe(spark, sf):
-    """Vocabulary learned from the benchmark texts (reference vocabulary size
-    and special tokens), as (rank, token) rows."""
+    """Vocabulary learned from all documents (vocabulary size and special
+    tokens of the recipes), as (rank, token) rows."""
     vocab, _merges = _bpe(spark, sf)
     return spark.createDataFrame(list(enumerate(vocab)), "rank int, token string")
 
 
 @register("k5_bpe_encode")
 def k5_bpe_encode(spark, sf):
-    """Documents encoded with the vocabulary of k4: ids per document."""
+    """Documents encoded with the vocabulary learned from them: ids per document."""
     vocab, merges = _bpe(spark, sf)
     d = read_table(spark, sf, "documents").withColumnRenamed("doc_id", "id")
     enc = tk.bpe_encode(d, "text", vocab, merges)
@@ -123,6 +115,24 @@ def k8_pack(spark, sf):
     return tk.pack(p, "n_tokens", _T01.max_tokens, ["id"])
 
 
+@register("k8_pack_blocks", f"""
+WITH {_T01_TEXT_SQL}, e AS (SELECT id, list_append({q.tokens('text')}, '[EOS]') AS tk FROM t01),
+c AS (SELECT id, tk, sum(len(tk)) OVER (ORDER BY id) - len(tk) AS s FROM e),
+x AS (SELECT id, unnest(tk) AS t, CAST(s AS BIGINT) + unnest(generate_series(0, len(tk) - 1)) AS pos FROM c),
+p AS (SELECT pos // 512 AS block_id, id, min(pos) % 512 AS a, max(pos) % 512 + 1 AS z FROM x GROUP BY ALL),
+ex AS (SELECT block_id, string_agg(id || ':' || a || ':' || z, ' ' ORDER BY a) AS examples FROM p GROUP BY block_id)
+SELECT x.block_id, CAST(count(*) AS BIGINT) AS n_tokens, string_agg(t, ' ' ORDER BY pos) AS block, any_value(examples) AS examples
+FROM (SELECT *, pos // 512 AS block_id FROM x) x JOIN ex USING (block_id) GROUP BY x.block_id
+""")
+def k8_pack_blocks(spark, sf):
+    """The packed blocks themselves, with the part of each example in them."""
+    p = _t01_prepared(spark, sf).select("id", word_tokens("text").alias("tokens"))
+    blocks = tk.pack_blocks(p, "tokens", _T01.max_tokens, ["id"], "[EOS]")
+    parts = F.transform("examples", lambda x: F.concat_ws(":", x["id"].cast("string"), x["start"].cast("string"), x["stop"].cast("string")))
+    return blocks.select("block_id", F.size("tokens").cast("long").alias("n_tokens"), F.array_join("tokens", " ").alias("block"),
+                         F.array_join(parts, " ").alias("examples"))
+
+
 # ---------------------------------------------------------------- S6-S8
 
 @register("s6_report_rollup", """

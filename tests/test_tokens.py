@@ -1,6 +1,10 @@
 """Tokens, BPE and packing."""
 
+import time
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import SF001
@@ -38,3 +42,64 @@ def test_pack_keeps_tokens(spark):
     assert blocks.agg(F.sum("n_tokens")).first()[0] == total
     assert blocks.where(F.col("n_tokens") > 512).count() == 0
     assert blocks.where(F.col("n_tokens") < 512).count() == 1
+
+
+def _encode_plain(word, ranks):
+    """Lowest-rank pair first, all its occurrences, by copying the symbols."""
+    syms = list(word)
+    while True:
+        best = min((ranks[p] for p in zip(syms, syms[1:]) if p in ranks), default=None)
+        if best is None:
+            return syms
+        syms = tk._merged(syms, *next(p for p, r in ranks.items() if r == best))
+
+
+_PIECES = st.sampled_from(["a", "b", "c", "ab", "bc", "abc", "aa", "cab"])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("abc", max_size=40), st.lists(st.tuples(_PIECES, _PIECES), max_size=12, unique=True))
+def test_heap_merges_equal_plain_merges(word, merges):
+    ranks = {m: i for i, m in enumerate(merges)}
+    assert tk.merge_word(word, ranks) == _encode_plain(word, ranks)
+
+
+def test_a_very_long_token_is_encoded_fast():
+    ranks = {("a", "b"): 0, ("ab", "ab"): 1, ("abab", "ab"): 2, ("b", "a"): 3}
+    start = time.time()
+    assert "".join(tk.merge_word("ab" * 20000, ranks)) == "ab" * 20000
+    assert time.time() - start < 1
+
+
+@pytest.mark.parametrize("texts", [
+    ["aaaa aaa aaaaaaa", "ab abab ababab bab", "abcabc abc bcabc xabc xabcd"],  # the same symbol made in two ways
+    ["a b c", "é è 日本 日本語 本語", "don't don't, end."], [], ["x"], [None, ""]])
+def test_differences_equal_recounting(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts] * 2, "text string")
+    words = tk.word_counts(df)
+    want = tk.train_bpe_reference(words, vocab_size=34)
+    assert tk.train_bpe(words, vocab_size=34) == want
+    assert tk.train_bpe(words, vocab_size=34, known_pairs=2) == want
+
+
+def test_training_on_documents_equals_recounting(spark):
+    words = tk.word_counts(spark.read.parquet(f"{SF001}/documents.parquet").select(F.substring("text", 1, 2000).alias("text"))).where("freq > 30")
+    words = words.where(~F.col("word").rlike("[^a-z]"))
+    vocab, merges = tk.train_bpe(words, vocab_size=60)
+    assert (vocab, merges) == tk.train_bpe_reference(words, vocab_size=60) and len(merges) > 20
+
+
+def test_packed_blocks_join_to_the_stream(spark):
+    rows = [(i, None if i == 3 else [i * 100 + k for k in range((i * 7) % 23)]) for i in range(1, 60)]
+    df = spark.createDataFrame(rows, "id long, ids array<int>").withColumn("tokens", F.lit("clash")).withColumn("block_id", F.lit(1))
+    blocks = sorted(tk.pack_blocks(df, "ids", 16, ["id"], -1).collect())
+    stream = [x for _, t in rows for x in [*(t or []), -1]]
+    assert [b.block_id for b in blocks] == list(range(-(-len(stream) // 16)))
+    assert [x for b in blocks for x in b.tokens] == stream and all(len(b.tokens) == 16 for b in blocks[:-1])
+    again = {}
+    for b in blocks:
+        assert [e.start for e in b.examples] == [0] + [e.stop for e in b.examples][:-1] and b.examples[-1].stop == len(b.tokens)
+        for e in b.examples:
+            again.setdefault(e.id, []).extend(b.tokens[e.start:e.stop])
+    assert again == {i: [*(t or []), -1] for i, t in rows}
+    assert tk.pack_blocks(df.where("id < 0"), "ids", 16, ["id"], -1).count() == 0
