@@ -24,6 +24,12 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row, also where the
+    body names it several times or inside lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column | str) -> Column:
     """Remove all leading/trailing white space (``trim`` removes blanks only)."""
     return F.regexp_replace(_c(c), r"^\s+|\s+$", "")

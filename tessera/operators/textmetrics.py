@@ -28,8 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import normalise_answer, null_to_empty, word_tokens
+from .alignment import common_length, word_distance
 from .classes import f_beta, safe_div
-from .kernels import edit_distance_udf, lcs_udf
 
 def _empty():
     return F.array().cast("array<string>")
@@ -160,10 +160,10 @@ def rouge_n(df: DataFrame, keys: Sequence[str], cand: str, ref: str, n: int) ->
 
 
 def rouge_l(df: DataFrame, cand: str, ref: str) -> DataFrame:
-    """M4: mean over pairs of the F1 of LCS length (LCS in an Arrow kernel)."""
+    """M4: mean over pairs of the F1 of LCS length (a column expression, see ``alignment``)."""
     c = word_tokens(cand, lower=True)
     r = word_tokens(ref, lower=True)
-    per = df.select(F.size(c).alias("nc"), F.size(r).alias("nr"), lcs_udf(c, r).alias("lcs"))
+    per = df.select(F.size(c).alias("nc"), F.size(r).alias("nr"), common_length(c, r).alias("lcs"))
     p = safe_div(F.col("lcs"), F.col("nc"))
     rr = safe_div(F.col("lcs"), F.col("nr"))
     return per.agg(F.count(F.lit(1)).alias("n_pairs"), F.avg(f_beta(p, rr)).alias("rouge_l"))
@@ -268,7 +268,7 @@ def word_edit_rate(df: DataFrame, cand: str, ref: str) -> DataFrame:
     """M7: Σ word edit distance / Σ reference words (TER without shifts)."""
     c = word_tokens(cand, lower=True)
     r = word_tokens(ref, lower=True)
-    per = df.select(edit_distance_udf(c, r).alias("edits"), F.size(r).alias("ref_words"))
+    per = df.select(word_distance(c, r).alias("edits"), F.size(r).alias("ref_words"))
     return per.agg(F.sum("edits").alias("edits"), F.sum("ref_words").alias("ref_words"),
                    safe_div(F.sum("edits"), F.sum("ref_words")).alias("word_edit_rate"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.text import word_tokens
 from ..operators import segments as sg
 from ..operators import structured as st
+from ..operators.alignment import text_edits
 from ..sources import fixtures as fx
 from ..sources.tables import read_table
 from . import sqlparts as q
@@ -128,6 +129,16 @@ def m11_edit_f05(spark, sf):
     return _prf_out(st.edit_f05(edits("gold_tag"), edits("pred_tag")), ["scope"])
 
 
+@register("m11_text_edits_f05")
+def m11_text_edits_f05(spark, sf):
+    """F0.5 over the edits of text pairs: source to reference against source
+    to hypothesis."""
+    srh = fx.src_ref_hyp(spark, sf)
+    keys = ["conv_id", "turn"]
+    gold, pred = (text_edits(srh, keys, "source", c) for c in ("reference", "hypothesis"))
+    return _prf_out(st.edit_f05(gold, pred, (*keys, "start", "end", "replacement")), ["scope"])
+
+
 # ---------------------------------------------------------------- M19, M21
 
 def _sql_pairs_frame(spark, sf):

@@ -71,7 +71,15 @@ for _n in (1, 2):
     register(f"m3_rouge_{_n}", _rouge_sql(_n))(_mk(_n))
 
 
-@register("m4_rouge_l")
+def _pair_words(a="candidate", b="reference"):
+    return f"SELECT {q.tokens(a, True)} AS a, {q.tokens(b, True)} AS b FROM pairs"
+
+
+@register("m4_rouge_l", f"""
+WITH RECURSIVE {q.PAIRS}, {q.aligned_words(_pair_words())}, {q.common_rows('lcs')},
+pr2 AS (SELECT CASE WHEN len(a) = 0 THEN 0.0 ELSE d / len(a) END AS p, CASE WHEN len(b) = 0 THEN 0.0 ELSE d / len(b) END AS r FROM {q.alignment_value('lcs')})
+SELECT CAST(count(*) AS BIGINT) AS n_pairs, round(avg(CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END), 6) AS rouge_l FROM pr2
+""")
 def m4_rouge_l(spark, sf):
     out = tm.rouge_l(fx.pairs(spark, sf), "candidate", "reference")
     return out.select("n_pairs", r6(F.col("rouge_l")).alias("rouge_l"))
@@ -118,7 +126,11 @@ def m6_chrf(spark, sf):
                       r6(F.col("chrf")).alias("chrf"))
 
 
-@register("m7_word_edit_rate")
+@register("m7_word_edit_rate", f"""
+WITH RECURSIVE {q.PAIRS}, {q.aligned_words(_pair_words())}, {q.distance_rows('dist')},
+s AS (SELECT CAST(sum(d) AS BIGINT) AS edits, CAST(sum(len(b)) AS BIGINT) AS ref_words FROM {q.alignment_value('dist')})
+SELECT edits, ref_words, round(CASE WHEN ref_words = 0 THEN 0.0 ELSE edits / ref_words END, 6) AS word_edit_rate FROM s
+""")
 def m7_word_edit_rate(spark, sf):
     out = tm.word_edit_rate(fx.pairs(spark, sf), "candidate", "reference")
     return out.select("edits", "ref_words", r6(F.col("word_edit_rate")).alias("word_edit_rate"))

@@ -164,3 +164,41 @@ def option_label(i: str, width: int = 7) -> str:
         digits.append(f"(CASE WHEN {n} > 0 THEN chr(CAST(65 + ({n} - 1) % 26 AS INTEGER)) ELSE '' END)")
         n = f"(CASE WHEN {n} > 0 THEN ({n} - 1) // 26 ELSE 0 END)"
     return " || ".join(reversed(digits))
+
+
+# --------------------------------------------------------------- alignment
+
+def aligned_words(pairs: str) -> str:
+    """CTEs pr (k, a, b, ...) from a relation with token lists a and b, and their words by place."""
+    return (f"pr AS (SELECT row_number() OVER () AS k, * FROM ({pairs})), "
+            "wa AS (SELECT k, unnest(a) AS w, unnest(generate_series(1, len(a))) AS i FROM pr WHERE len(a) > 0), "
+            "wb AS (SELECT k, unnest(b) AS w, unnest(generate_series(1, len(b))) AS j FROM pr WHERE len(b) > 0), "
+            "wb0 AS (SELECT k, 0 AS j, NULL::VARCHAR AS w FROM pr UNION ALL SELECT k, j, w FROM wb)")
+
+
+def alignment_rows(name: str, first: str, step: str, best: str) -> str:
+    """Recursive CTE (k, i, j, d): row i of the table of a dynamic programme
+    over word i of a. ``first`` is d of row 0, ``step`` d without the cell to
+    the left (up: above, corner: above left, eq: the words are equal), and
+    ``best`` the window that brings the left cells in."""
+    return (f"{name} AS (SELECT k, 0 AS i, j, {first} AS d FROM wb0 UNION ALL "
+            f"SELECT k, i, j, {best} AS d FROM (SELECT k, i, j, {step} AS t FROM ("
+            f"SELECT r.k, r.i + 1 AS i, r.j, r.d AS up, lag(r.d) OVER (PARTITION BY r.k ORDER BY r.j) AS corner, wa.w = wb0.w AS eq "
+            f"FROM {name} r JOIN wa ON wa.k = r.k AND wa.i = r.i + 1 JOIN wb0 ON wb0.k = r.k AND wb0.j = r.j) x) y)")
+
+
+def distance_rows(name: str) -> str:
+    """Edit distances d of all beginnings of a and b."""
+    return alignment_rows(name, "j", "CASE WHEN j = 0 THEN i ELSE least(up + 1, corner + CASE WHEN eq THEN 0 ELSE 1 END) END",
+                          "j + min(t - j) OVER (PARTITION BY k ORDER BY j)")
+
+
+def common_rows(name: str) -> str:
+    """Common subsequence lengths d of all beginnings of a and b."""
+    return alignment_rows(name, "0", "CASE WHEN j > 0 AND eq THEN greatest(up, corner + 1) ELSE up END", "max(t) OVER (PARTITION BY k ORDER BY j)")
+
+
+def alignment_value(name: str) -> str:
+    """(k, d) of the whole of a and b."""
+    return f"(SELECT pr.k, pr.a, pr.b, d FROM pr JOIN {name} USING (k) WHERE i = len(pr.a) AND j = len(pr.b))"
+
