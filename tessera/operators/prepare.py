@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.prompts import render_inference, render_inputs, render_prompt
-from ..functions.text import decode_label, decode_passthrough, null_to_empty, strip
-from ..registry import FALLBACK_EVALUATION, FALLBACK_TEST, FALLBACK_VALIDATION, NEUTRAL_WORD, Task, get_task
+from ..functions.text import decode_label, decode_passthrough, first_nonempty, first_present, null_to_empty, strip
+from ..registry import (FALLBACK_EVALUATION, FALLBACK_TEST, FALLBACK_VALIDATION, NEUTRAL_WORD, SENTIPOLC_LABELS, SST2_LABELS,
+                        STARS_TO_SENTIMENT, Task, get_task)
 from .sequence import number_within
 
 SPLITS = ("train", "validation", "test")
@@ -86,6 +87,39 @@ def prepare_task(df: DataFrame, task_id: str, keep: Sequence[str] = ("id", "spli
     return df.select(*kept, text.alias("text"))
 
 
+def _sentiment_of(c: Column, source: str) -> Column:
+    if source == "stars":
+        return decode_label(c.try_cast("int") + 1, STARS_TO_SENTIMENT, NEUTRAL_WORD)
+    return decode_label(c, SST2_LABELS if source == "sentence" else SENTIPOLC_LABELS, NEUTRAL_WORD)
+
+
+#: Layouts of sentiment sources: where the text is and what a label means.
+SENTIMENT_SOURCES = ("text", "sentence", "stars")
+
+
+def prepare_sentiment(df: DataFrame, source: str, keep: Sequence[str] = ("id", "split")) -> DataFrame:
+    """Task 01 from one of its sources.
+
+    ``text``: column text, else (absent) sentence; column label, else (absent)
+    polarity; three classes. ``sentence``: column sentence; two classes.
+    ``stars``: column text, else (null or blank) title; a rating from 0, or the
+    middle one where there is no column label. Unknown and null labels are
+    neutral, null texts empty."""
+    if source not in SENTIMENT_SOURCES:
+        raise ValueError(f"source {source!r} not valid; choose from: {', '.join(SENTIMENT_SOURCES)}")
+    task = get_task("01")
+    if source == "text":
+        text = first_present(df.columns, ["text", "sentence"], "")
+        label = first_present(df.columns, ["label", "polarity"], 2)
+    elif source == "sentence":
+        text, label = F.col("sentence"), F.col("label")
+    else:
+        text = first_nonempty(*[c for c in ("text", "title") if c in df.columns])
+        label = first_present(df.columns, ["label"], 3)
+    rendered = render_prompt(text, _sentiment_of(label, source), task.system_prompt, task.prefix)
+    return df.select(*[c for c in keep if c in df.columns], rendered.alias("text"))
+
+
 def prepare_inference(df: DataFrame, task_id: str, prefix: str | None = None,
                       keep: Sequence[str] = ("id",)) -> DataFrame:
     """Inference prompts (P3): prefix defaults to the training prefix."""
@@ -104,10 +138,25 @@ def _keep_keys(df: DataFrame, chosen: DataFrame, keys: Sequence[str]) -> DataFra
     return df.join(named, same, "left_semi")
 
 
+#: Most rows that are taken as a head; every task sends its first ones to one.
+HEAD_ROWS = 10_000
+
+
+def head(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
+    """First n rows, n at most ``HEAD_ROWS``, in ``order_by`` order: one pass
+    that keeps n rows a task, no job before the result is asked for."""
+    if n > HEAD_ROWS:
+        raise ValueError(f"a head has at most {HEAD_ROWS} rows; use cap")
+    return df.orderBy(*order_by).limit(n)
+
+
 def cap(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
     """First n rows in ``order_by`` order, which identifies a row (no-op when
-    smaller)."""
+    smaller). A short cap is a head; a longer one ranks the keys, with a job
+    that runs now."""
     order_by = list(order_by)
+    if n <= HEAD_ROWS:
+        return head(df, n, order_by)
     numbered = number_within(df.select(*order_by), order_by, pos_col="_cap_pos")
     return _keep_keys(df, numbered.where(F.col("_cap_pos") < n), order_by)
 
@@ -140,11 +189,13 @@ def head_by_ratio(first: DataFrame, second: DataFrame, num: int, den: int,
 
 def with_split_fallback(df: DataFrame, split: str, n: int, order_by: Sequence[str],
                         split_col: str = "split", source_split: str = "train") -> DataFrame:
-    """Rows of ``split`` when it has any, else the first n rows of
-    ``source_split`` relabelled. Lazy: the emptiness test is a scalar subquery."""
+    """Rows of ``split`` when it has any, else the first n (a fixed number
+    of at most ``HEAD_ROWS``) rows of ``source_split`` relabelled. Lazy: the
+    emptiness test is a scalar subquery, and the head of the source split is
+    taken below it."""
     present = df.where(F.col(split_col) == split)
     n_present = present.select(F.count(F.lit(1))).scalar()
-    fallback = (cap(df.where(F.col(split_col) == source_split), n, order_by)
+    fallback = (head(df.where(F.col(split_col) == source_split), n, order_by)
                 .withColumn(split_col, F.lit(split))
                 .where(n_present == 0))
     return present.unionByName(fallback)
@@ -153,7 +204,7 @@ def with_split_fallback(df: DataFrame, split: str, n: int, order_by: Sequence[st
 def prepare_evaluation(df: DataFrame, task_id: str, order_by: Sequence[str], split_col: str = "split") -> DataFrame:
     """Evaluation input: the test split, else the train head; capped (both at
     200 rows, the recipes' value) and rendered as inference prompts."""
-    rows = cap(with_split_fallback(df, "test", FALLBACK_EVALUATION, order_by, split_col), FALLBACK_EVALUATION, order_by)
+    rows = head(with_split_fallback(df, "test", FALLBACK_EVALUATION, order_by, split_col), FALLBACK_EVALUATION, order_by)
     return prepare_inference(rows, task_id, keep=order_by)
 
 

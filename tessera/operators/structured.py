@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import normalise_answer, null_to_empty, strip, word_tokens
+from ..functions.text import let, normalise_answer, null_to_empty, strip, word_tokens
 from .classes import f_beta, safe_div
 
 
@@ -165,33 +165,60 @@ _CLAUSES = ["select", "from", "where", "group by", "having", "order by", "limit"
 _SPLITTERS = {"where": r"\s+and\s+", "having": r"\s+and\s+"}
 
 
+#: Marks that stand for a comma, a blank and brackets where they do not split.
+_PLAIN, _HIDDEN = ", ()", "\ue000\ue001\ue002\ue003"
+
+
+def _outside(pieces: Column, change) -> Column:
+    """Pieces cut at quotes, joined again, with the ones outside literals changed."""
+    return F.array_join(F.transform(pieces, lambda x, i: F.when(i % 2 == 0, change(x)).otherwise(F.translate(x, _PLAIN, _HIDDEN))), "'")
+
+
 def _folded(q: Column) -> Column:
-    """White space collapsed, lower case outside single-quoted literals."""
-    parts = F.split(strip(F.regexp_replace(null_to_empty(q), r"\s+", " ")), "'", -1)
-    return F.array_join(F.transform(parts, lambda x, i: F.when(i % 2 == 0, F.lower(x)).otherwise(x)), "'")
+    """The query with white space collapsed and, outside single-quoted
+    literals, in lower case without blanks beside operators and inside
+    brackets; commas and blanks inside literals and brackets are hidden, so
+    that they end no item and start no clause."""
+    def tidy(x: Column) -> Column:
+        x = F.regexp_replace(F.lower(x), r"\s*([<>=!,]+)\s*", "$1")
+        return F.regexp_replace(F.regexp_replace(x, r"\(\s+", "("), r"\s+\)", ")")
+
+    text = _outside(F.split(strip(F.regexp_replace(null_to_empty(q), r"\s+", " ")), "'", -1), tidy)
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("out"))
+
+    def step(a: Column, x: Column) -> Column:
+        depth = a["depth"] + F.when(x == "(", 1).when((x == ")") & (a["depth"] > 0), -1).otherwise(0)
+        return F.struct(depth.alias("depth"), F.concat(a["out"], F.when(depth > 0, F.translate(x, _PLAIN[:2], _HIDDEN[:2])).otherwise(x)).alias("out"))
+
+    return F.aggregate(F.regexp_extract_all(text, F.lit(r"[^()]+|[()]"), 0), start, step, lambda a: a["out"])
 
 
 def clause_items(folded: Column, clause: str) -> Column:
     """Sorted distinct items of one clause of a folded query (empty when absent)."""
     later = "|".join(c for c in _CLAUSES[_CLAUSES.index(clause) + 1:])
     end = rf"(?: (?:{later}) |$)" if later else "$"
-    start = "^select " if clause == "select" else f" {clause} "
-    body = F.regexp_extract(folded, rf"{start}(.*?){end}", 1)
-    items = F.transform(F.split(body, _SPLITTERS.get(clause, ",")), lambda x: F.regexp_replace(strip(x), r"\s*([<>=!,()]+)\s*", "$1"))
+    first = "^select " if clause == "select" else f" {clause} "
+    body = F.regexp_extract(folded, rf"{first}(.*?){end}", 1)
+    items = F.transform(F.split(body, _SPLITTERS.get(clause, ",")), strip)
     return F.array_sort(F.array_distinct(F.filter(items, lambda x: x != "")))
 
 
 def clause_match(df: DataFrame, gold: str, pred: str) -> DataFrame:
-    """Exact set match — every clause has the same item set. A gold or
-    predicted text that is not SELECT .. FROM .. is not parsed and matches
-    nothing."""
-    g, p = _folded(F.col(gold)), _folded(F.col(pred))
+    """Exact set match — every clause has the same item set. Items are cut
+    at depth 0 outside literals; what stands in brackets (also a subquery) is
+    compared as text. A gold or predicted text that is not SELECT .. FROM .. is
+    not parsed and matches nothing."""
+    return df.withColumn("exact_set_match", let(F.struct(_folded(F.col(gold)).alias("g"), _folded(F.col(pred)).alias("p")), _same_clauses))
+
+
+def _same_clauses(x: Column) -> Column:
+    g, p = x["g"], x["p"]
     same = F.lit(True)
     for q in (g, p):
         same = same & (F.size(clause_items(q, "select")) > 0) & (F.size(clause_items(q, "from")) > 0)
     for c in _CLAUSES:
         same = same & (clause_items(g, c) == clause_items(p, c))
-    return df.select("*", same.alias("exact_set_match"))
+    return same
 
 
 # ------------------------------------------------------------------ M21

@@ -19,7 +19,7 @@ from ..operators import prepare as pp
 from ..registry import FALLBACK_EVALUATION, FALLBACK_TEST, FALLBACK_VALIDATION, TASKS, get_task
 from ..session import scratch_path
 from ..sources import fixtures as fx
-from ..sources.tables import load_prepared, read_table, save_prepared
+from ..sources.tables import load_prepared, read_table, save_prepared, read_checked
 from . import sqlparts as q
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,33 @@ def pp_read(spark, sf, task_id, config=None):
     return read_source(spark, task_id, f"{sf}/documents.parquet", config)
 
 
+@register("s1_read_csv", "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice FROM orders")
+def s1_read_csv(spark, sf):
+    """The orders written as CSV and read under a declared schema."""
+    columns = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double"
+    path = scratch_path(spark, "orders-csv")
+    read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_totalprice").cast("double").alias("o_totalprice")) \
+        .write.option("header", "true").csv(path)
+    return read_checked(spark, path, columns, "csv").rows
+
+
+@register("s1_read_jsonl", """
+SELECT 'row' AS kind, doc_id, lang, CAST(length(text) AS BIGINT) AS text_len, false AS cut FROM documents WHERE doc_id % 50 <> 0
+UNION ALL SELECT 'broken', NULL, NULL, NULL, true FROM documents WHERE doc_id % 50 = 0
+""")
+def s1_read_jsonl(spark, sf):
+    """The documents written as JSON lines, every 50th cut short, and read
+    under a declared schema: whole rows, and the broken lines that are kept."""
+    docs = read_table(spark, sf, "documents").select("doc_id", "lang", "text")
+    line = F.to_json(F.struct("doc_id", "lang", "text"))
+    path = scratch_path(spark, "documents-jsonl")
+    docs.select(F.when(F.col("doc_id") % 50 == 0, F.left(line, F.length(line) - 2)).otherwise(line).alias("value")).write.text(path)
+    rows, broken = read_checked(spark, path, "doc_id long, lang string, text string", "jsonl")
+    return rows.select(F.lit("row").alias("kind"), "doc_id", "lang", F.length("text").cast("long").alias("text_len"), F.lit(False).alias("cut")).unionByName(
+        broken.select(F.lit("broken").alias("kind"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("lang"),
+                      F.lit(None).cast("long").alias("text_len"), (~F.col("line").endswith("}")).alias("cut")))
+
+
 @register("s2_read_config", "SELECT doc_id, lang, n_chars FROM documents WHERE lang = 'fr'")
 def s2_read_config(spark, sf):
     return pp_read(spark, sf, "02", config="fr").select("doc_id", "lang", "n_chars")
@@ -352,14 +379,17 @@ def p21_language_filter(spark, sf):
     return d.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_chars").cast("long").alias("n_chars"))
 
 
-@register("p22_table_markdown", """
+P22_SQL = """
 SELECT l_orderkey AS table_id,
   '| l_linenumber | l_partkey | l_quantity | l_returnflag |' || chr(10) || '| --- | --- | --- | --- |' || chr(10) ||
   string_agg(line, chr(10) ORDER BY l_linenumber, line) AS markdown
 FROM (SELECT l_orderkey, l_linenumber, '| ' || CAST(l_linenumber AS VARCHAR) || ' | ' || CAST(l_partkey AS VARCHAR) || ' | ' ||
              CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || ' | ' || l_returnflag || ' |' AS line FROM lineitem)
 GROUP BY l_orderkey
-""")
+"""
+
+
+@register("p22_table_markdown", P22_SQL)
 def p22_table_markdown(spark, sf):
     from ..operators.chat import render_table_markdown
     li = read_table(spark, sf, "lineitem").select(
@@ -722,6 +752,90 @@ _two_inputs("07", ("Contesto", "Domanda"), "coalesce(reference2, '')", lambda: F
 _two_inputs("24", ("Affermazione", "Evidenza"), q.decode_passthrough("(conv_id % 4)", get_task("24").label_map), lambda: F.pmod("conv_id", F.lit(4)))
 
 
+def _with_inputs(tid: str, source: str, inputs: list[tuple[str, str, str]], answer_sql: str):
+    """A query of one task with all its inputs: (label, column, SQL) each; the
+    function gives the rows (id, the columns, the task's label column)."""
+    def deco(fn):
+        task = get_task(tid)
+        text = " || chr(10) || ".join(f"'{lab}: ' || {q.strip(q.nz(sql))}" for lab, _c, sql in inputs)
+
+        def build(spark, sf):
+            return pp.prepare_task(fn(spark, sf), tid, keep=("id",), inputs=[(c, lab) for lab, c, _sql in inputs])
+
+        build.__name__ = f"t{tid}_all_inputs"
+        register(build.__name__, f"WITH {q.PAIRS} SELECT id, {q.task_prompt(task, text, answer_sql)} AS text FROM ({source}) s")(build)
+        return fn
+    return deco
+
+
+_OPTIONS_SQL = f"array_to_string(list_transform(string_split(candidate, '. '), lambda x, i: {q.option_label('(i - 1)')} || ') ' || x), chr(10))"
+
+
+@_with_inputs("05", "SELECT conv_id || '-' || turn AS id, * FROM pairs",
+              [("Testo", "article", "reference"), ("Domanda", "question", "reference2"), ("Opzioni", "options", _OPTIONS_SQL)],
+              "chr(CAST(65 + conv_id % 4 AS INTEGER))")
+def _t05_inputs(spark, sf):
+    return fx.pairs(spark, sf).select(
+        F.concat_ws("-", "conv_id", "turn").alias("id"), F.col("reference").alias("article"), F.col("reference2").alias("question"),
+        pr.render_options(F.split("candidate", r"\. ", -1)).alias("options"), F.chr(F.lit(65) + F.pmod("conv_id", F.lit(4))).alias("answer"))
+
+
+@_with_inputs("15", "SELECT p_partkey AS id, * FROM part",
+              [("Schema", "schema", "'part(p_partkey, p_name, p_brand, p_size) -- ' || p_brand"), ("Domanda", "question", "'Quali parti hanno p_size = ' || p_size || '?'")],
+              "'SELECT p_name FROM part WHERE p_size = ' || p_size")
+def _t15_inputs(spark, sf):
+    size = F.col("p_size").cast("string")
+    return read_table(spark, sf, "part").select(
+        F.col("p_partkey").alias("id"), F.concat(F.lit("part(p_partkey, p_name, p_brand, p_size) -- "), "p_brand").alias("schema"),
+        F.concat(F.lit("Quali parti hanno p_size = "), size, F.lit("?")).alias("question"),
+        F.concat(F.lit("SELECT p_name FROM part WHERE p_size = "), size).alias("query"))
+
+
+@_with_inputs("18", f"SELECT o_orderkey AS id, markdown, o_orderstatus FROM orders JOIN ({P22_SQL}) t ON table_id = o_orderkey",
+              [("Tabella", "table", "markdown"), ("Domanda", "question", "'Quale stato ha la tabella ' || id || '?'")], "o_orderstatus")
+def _t18_inputs(spark, sf):
+    tables = p22_table_markdown(spark, sf)
+    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return orders.join(tables, F.col("table_id") == F.col("o_orderkey")).select(
+        F.col("o_orderkey").alias("id"), F.col("markdown").alias("table"),
+        F.concat(F.lit("Quale stato ha la tabella "), F.col("o_orderkey").cast("string"), F.lit("?")).alias("question"),
+        F.struct(F.array("o_orderstatus").alias("text")).alias("answers"))
+
+
+_EVENT_SCHEMA = '{"type": "object", "properties": {"k": {"type": "integer"}}}'
+
+
+@_with_inputs("19", "SELECT event_id AS id, * FROM events",
+              [("Schema JSON", "schema", q.lit(_EVENT_SCHEMA)), ("Testo", "input", "event_type")], "props")
+def _t19_inputs(spark, sf):
+    return read_table(spark, sf, "events").select(F.col("event_id").alias("id"), F.lit(_EVENT_SCHEMA).alias("schema"),
+                                                  F.col("event_type").alias("input"), F.col("props").alias("output"))
+
+
+@_with_inputs("23", "SELECT conv_id || '-' || turn AS id, * FROM pairs",
+              [("Documenti", "context", "candidate"), ("Domanda", "question", "reference")], "coalesce(reference2, '')")
+def _t23_inputs(spark, sf):
+    return fx.pairs(spark, sf).select(
+        F.concat_ws("-", "conv_id", "turn").alias("id"), F.col("candidate").alias("context"), F.col("reference").alias("question"),
+        F.struct(F.array(F.coalesce("reference2", F.lit(""))).alias("text")).alias("answers"))
+
+
+def _sentiment_query(source: str, text_sql: str, label_sql: str, columns):
+    def build(spark, sf):
+        return pp.prepare_sentiment(fx.labelled(spark, sf).select(F.col("doc_id").alias("id"), *columns()), source, keep=("id",))
+
+    build.__name__ = f"t01_source_{source}"
+    register(build.__name__, f"WITH {q.LABELLED} SELECT doc_id AS id, {q.task_prompt(get_task('01'), text_sql, label_sql)} AS text FROM labelled")(build)
+
+
+_sentiment_query("sentence", "text", "CASE quality WHEN 0 THEN 'negativo' WHEN 1 THEN 'positivo' ELSE 'neutro' END",
+                 lambda: [F.col("text").alias("sentence"), F.col("quality").alias("label")])
+_sentiment_query("stars", "CASE WHEN doc_id % 3 = 0 THEN source ELSE text END",
+                 "CASE doc_id % 6 WHEN 0 THEN 'negativo' WHEN 1 THEN 'negativo' WHEN 2 THEN 'neutro' WHEN 5 THEN 'neutro' ELSE 'positivo' END",
+                 lambda: [F.when(F.col("doc_id") % 3 == 0, F.lit("  ")).otherwise(F.col("text")).alias("text"), F.col("source").alias("title"),
+                          F.pmod("doc_id", F.lit(6)).alias("label")])
+
+
 @_task("01", _LAB_SQL, "text", _T01_LABEL_SQL)
 def _t01(spark, sf):
     return fx.with_split(_t01_frame(spark, sf), "id")

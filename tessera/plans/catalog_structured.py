@@ -174,6 +174,41 @@ def m19_clause_match(spark, sf):
                  r6(F.avg(F.col("exact_set_match").cast("double"))).alias("exact_set_match"))
 
 
+_CLAUSE_ITEMS = ["p_name", "count(p_size, p_type)", "max(p_size)", "concat(p_name, ' from ', p_brand)"]
+
+
+def _item_bits(bits):
+    """Items whose bit is set, as an array."""
+    chosen = [F.when(F.floor(bits / 2 ** i) % 2 == 1, F.lit(x)) for i, x in enumerate(_CLAUSE_ITEMS)]
+    return F.array_compact(F.array(*chosen))
+
+
+def _clause_sets_sql():
+    def bits(b):
+        return "list_filter([" + ", ".join(f"CASE WHEN ({b}) // {2 ** i} % 2 = 1 THEN {q.lit(x)} END" for i, x in enumerate(_CLAUSE_ITEMS)) + "], lambda x: x IS NOT NULL)"
+
+    brand = "'p_brand=' || p_brand || ', from x'"
+    return f"""
+WITH s AS (SELECT p_partkey, list_sort({bits('p_partkey % 15 + 1')}) AS g, list_sort({bits('p_partkey * 7 % 15 + 1')}) AS p,
+  list_sort([{brand}, 'p_size>' || p_size]) AS gw,
+  list_sort(['p_size>' || (p_size + CASE WHEN p_partkey % 4 = 0 THEN 1 ELSE 0 END), {brand}]) AS pw FROM part)
+SELECT p_partkey, g = p AND gw = pw AS exact_set_match FROM s"""
+
+
+@register("m19_clause_sets", _clause_sets_sql())
+def m19_clause_sets(spark, sf):
+    """Queries whose item sets follow from the keys, with function calls and
+    literals that hold commas and clause words; items in another order and
+    spacing on the predicted side."""
+    p = read_table(spark, sf, "part")
+    brand = F.concat(F.lit("p_brand = '"), F.col("p_brand"), F.lit(", from x'"))
+    size = lambda more: F.concat(F.lit("p_size > "), (F.col("p_size") + more).cast("string"))
+    gold = F.concat(F.lit("SELECT "), F.array_join(_item_bits(F.col("p_partkey") % 15 + 1), ", "), F.lit(" FROM part WHERE "), brand, F.lit(" AND "), size(F.lit(0)))
+    changed = F.when(F.col("p_partkey") % 4 == 0, 1).otherwise(0)
+    pred = F.concat(F.lit("select\n "), F.array_join(F.reverse(_item_bits(F.col("p_partkey") * 7 % 15 + 1)), " ,"), F.lit("\nfrom part where  "), size(changed), F.lit(" and "), brand)
+    return st.clause_match(p.select("p_partkey", gold.alias("gold"), pred.alias("pred")), "gold", "pred").select("p_partkey", "exact_set_match")
+
+
 _PASS_SQL = """
 WITH per AS (SELECT o_custkey, count(*) AS n, sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS c FROM orders GROUP BY o_custkey),
 ks AS (SELECT unnest([1, 10]) AS k)

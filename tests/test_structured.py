@@ -105,3 +105,17 @@ def test_json_validity_and_fields(spark):
     assert [r.valid for r in v] == [True, False, False]
     micro = [r for r in st.field_prf(df, "example_id", "gold", "pred").collect() if r.scope == "micro"][0]
     assert (micro.tp, micro.fp, micro.fn) == (1, 1, 2)
+
+
+def test_clause_match_at_depth_and_in_quotes(spark):
+    rows = [("SELECT count(a, b), c FROM t", "SELECT c, count( a,b ) FROM t", True),
+            ("SELECT count(a, b), c FROM t", "SELECT count(a, c), b FROM t", False),
+            ("SELECT a FROM t WHERE x = 'p, q from r'", "select a from t where x = 'p, q from r'", True),
+            ("SELECT a FROM t WHERE x = 'p, q from r'", "SELECT a FROM t WHERE x = 'q from r, p'", False),
+            ("SELECT a FROM t WHERE x = 'it''s and more' AND y = 1", "SELECT a FROM t WHERE y = 1 AND x = 'it''s and more'", True),
+            ("SELECT a FROM t WHERE x = '(' AND y = 1", "SELECT a FROM t WHERE y = 1 AND x = '('", True),
+            ("SELECT a FROM t WHERE b IN (SELECT c FROM u WHERE d = 1 AND e = 2) AND f = 3", "SELECT a FROM t WHERE f = 3 AND b IN (SELECT c FROM u WHERE d = 1 AND e = 2)", True),
+            ("SELECT a FROM t WHERE b IN (SELECT c FROM u) LIMIT 2", "SELECT a FROM t WHERE b IN (SELECT c FROM u LIMIT 2)", False),
+            (None, "SELECT a FROM t", False), ("SELECT f(g(a, b), h) FROM t", "SELECT f( g(a , b),h ) FROM t", True), ("SELECT a) FROM t", "SELECT a FROM t", False)]
+    got = st.clause_match(spark.createDataFrame(rows, "g string, p string, want boolean"), "g", "p").collect()
+    assert [r.exact_set_match for r in got] == [r.want for r in got]
