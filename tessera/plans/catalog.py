@@ -66,7 +66,7 @@ def s1_read_csv(spark, sf):
 
 @register("s1_read_jsonl", """
 SELECT 'row' AS kind, doc_id, lang, CAST(length(text) AS BIGINT) AS text_len, false AS cut FROM documents WHERE doc_id % 50 <> 0
-UNION ALL SELECT 'broken', NULL, NULL, NULL, true FROM documents WHERE doc_id % 50 = 0
+UNION ALL SELECT 'broken', -1, '', 0, true FROM documents WHERE doc_id % 50 = 0
 """)
 def s1_read_jsonl(spark, sf):
     """The documents written as JSON lines, every 50th cut short, and read
@@ -77,8 +77,8 @@ def s1_read_jsonl(spark, sf):
     docs.select(F.when(F.col("doc_id") % 50 == 0, F.left(line, F.length(line) - 2)).otherwise(line).alias("value")).write.text(path)
     rows, broken = read_checked(spark, path, "doc_id long, lang string, text string", "jsonl")
     return rows.select(F.lit("row").alias("kind"), "doc_id", "lang", F.length("text").cast("long").alias("text_len"), F.lit(False).alias("cut")).unionByName(
-        broken.select(F.lit("broken").alias("kind"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("lang"),
-                      F.lit(None).cast("long").alias("text_len"), (~F.col("line").endswith("}")).alias("cut")))
+        broken.select(F.lit("broken").alias("kind"), F.lit(-1).cast("long").alias("doc_id"), F.lit("").alias("lang"),
+                      F.lit(0).cast("long").alias("text_len"), (~F.col("line").endswith("}")).alias("cut")))
 
 
 @register("s2_read_config", "SELECT doc_id, lang, n_chars FROM documents WHERE lang = 'fr'")
