@@ -17,6 +17,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -144,31 +145,43 @@ def grade(quality: Column, toxic: Column) -> Column:
     return F.when(quality.isNull() | toxic.isNull(), None).when(quality == 0, 0).when(toxic != 0, 1).otherwise(2)
 
 
+def _described(batches):
+    """(id, grade, features) of rated texts."""
+    for batch in batches:
+        rows = [features(t) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("grade"), pa.array(rows, type=pa.list_(pa.int32()))], names=["_id", "grade", "features"])
+
+
 def rated_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, seed: int = 5) -> DataFrame:
-    """(text, grade) of at most ``rows`` rated documents, by a hash of the id;
-    a document with several ratings occurs once for each. Only the ids are
-    ranked; texts are fetched for the chosen ones."""
+    """(grade, features) of at most ``rows`` rated documents, by a hash of the
+    id; a document with several ratings occurs once for each, and rows that
+    share an id count one by one towards ``rows``. Ids are ranked first; texts
+    are read for the chosen ones and described where they lie, so that only
+    numbers reach the training task."""
     rated = labels.select(F.col("doc_id").alias("_id"), grade(F.col("quality"), F.col("toxic")).alias("grade")).where("_id is not null and grade is not null")
-    chosen = saved(rated.orderBy(F.xxhash64(F.lit(seed), "_id"), "_id", "grade").limit(rows), "rated_ids")
+    by_hash = F.xxhash64(F.lit(seed), "_id")
+    chosen = saved(rated.orderBy(by_hash, "_id", "grade").limit(rows), "rated_ids")
     # at most ``rows`` rows of two numbers
-    return docs.select(F.col("doc_id").alias("_id"), text_or_empty(F.col("text")).alias("text")).join(F.broadcast(chosen), "_id")
+    texts = docs.select(F.col("doc_id").alias("_id"), text_or_empty(F.col("text")).alias("text")).join(F.broadcast(chosen), "_id")
+    described = saved(texts.mapInArrow(_described, "_id long, grade int, features array<int>"), "rated_features")
+    return described.orderBy(by_hash, "_id", "grade", "features").limit(rows).select("grade", "features")
 
 
 def _train(batches):
-    rows, grades = [], []
+    grades, rows = [], []
     for batch in batches:
-        for t, g in zip(batch["text"], batch["grade"]):
-            rows.append(features(t))
-            grades.append(g)
-    order = sorted(range(len(rows)), key=lambda i: (grades[i], len(rows[i]), rows[i].tobytes()))
-    model = fit([rows[i] for i in order], np.array([grades[i] for i in order], dtype=np.int64))
-    yield pd.DataFrame({"weights": [model.weights.astype("<f4").tobytes()], "thresholds": [model.thresholds.astype("<f8").tobytes()]})
+        grades.append(batch.column("grade").to_numpy())
+        lists = batch.column("features")
+        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+        rows += [flat[lo:hi] for lo, hi in zip(ends[:-1], ends[1:])]
+    model = fit(rows, np.concatenate(grades).astype(np.int64) if grades else np.array([], dtype=np.int64))
+    yield pa.RecordBatch.from_pydict({"weights": [model.weights.astype("<f4").tobytes()], "thresholds": [model.thresholds.astype("<f8").tobytes()]})
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Ordinal:
     """Fit on the sample, in one task (its input is bounded by ``rows``)."""
     sample = rated_sample(docs, labels, rows)
-    got = sample.repartition(1).mapInPandas(_train, "weights binary, thresholds binary").collect()
+    got = sample.coalesce(1).mapInArrow(_train, "weights binary, thresholds binary").collect()
     if not got:
         return fit([], np.array([], dtype=np.int64))
     return Ordinal(np.frombuffer(got[0]["weights"], "<f4").astype(np.float64), np.frombuffer(got[0]["thresholds"], "<f8"))
@@ -202,7 +215,27 @@ def rate_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.6, r
     return rated.select("doc_id", "r.expected_grade", "r.tail_probability", (F.col("r.tail_probability") >= threshold).alias("kept"))
 
 
-def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.6, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns as they are."""
-    rate = scorer(docs.sparkSession, train(docs, labels, rows))
-    return docs.where(rate(F.col("text"))["tail_probability"] >= threshold)
+#: Texts that a task rates at once while it filters rows.
+RATED_AT_ONCE = 500
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.6, rows: int = SAMPLE_ROWS, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, with their columns as they are.
+
+    Each row is decided by its own text, also where rows share an id or have
+    none; a null text is rated as an empty one; repeated rows stay or go
+    together; texts are rated whole. No usable labels: every row stays. An
+    empty table gives no rows; other columns pass through."""
+    model = train(docs, labels, rows)
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds))
+    at = docs.columns.index(text_col)
+
+    def keep(batches):
+        own = Ordinal(*shared.value)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, RATED_AT_ONCE):
+                part = batch.slice(lo, RATED_AT_ONCE)
+                tails = own.tails(own.score([t or "" for t in part.column(at).to_pylist()]))
+                yield part.filter(pa.array(tails[:, -1] >= threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
