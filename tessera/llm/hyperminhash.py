@@ -24,9 +24,11 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import few, saved, text_or_empty
 from .components import connected_components
@@ -40,11 +42,14 @@ BANDS = BUCKETS // ROWS
 #: Ids of documents that are fetched by a broadcast; more go through a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Words that a task remembers with their hash.
-REMEMBER = 300_000
+REMEMBER = 100_000
 #: Shingles and members of a block of a key, about; a task compares two blocks.
-BLOCK_SHINGLES, BLOCK_MEMBERS = 250_000, 2048
+BLOCK_SHINGLES, BLOCK_MEMBERS = 250_000, 512
+#: Members of a part of a large key, rows of a group of small keys, and members
+#: that are compared with those after them at once, by their short registers.
+PART_MEMBERS, GROUP_ROWS, STRIPE = 2048, 8192, 128
 #: Characters of text that a task works on at once.
-CHUNK = 8_000_000
+CHUNK = 2_000_000
 
 _U = np.uint64
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
@@ -134,15 +139,14 @@ def least_agreeing(similarity: float) -> int:
 
 
 def _chunks(batch):
-    texts = batch.column("text").to_pylist()
-    lo = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= CHUNK:
-            yield lo, texts[lo:i + 1]
-            lo, size = i + 1, 0
-    if lo < len(texts):
-        yield lo, texts[lo:]
+    """(first row, texts) of slices of about ``CHUNK`` characters."""
+    column = batch.column("text")
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
+    lo, base = 0, 0
+    while lo < len(column):
+        hi = min(len(column), int(np.searchsorted(ends, base + CHUNK)) + 1)
+        yield lo, column.slice(lo, hi - lo).to_pylist()
+        lo, base = hi, int(ends[hi - 1])
 
 
 def _digest(s: np.ndarray) -> bytes:
@@ -247,37 +251,110 @@ def _common(flat: np.ndarray, of: np.ndarray, m: int) -> np.ndarray:
     return out
 
 
+def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the links (a, b) to keep so that they join the same nodes
+    without a circle: union-find in the order given."""
+    root: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = root[up]
+            x = up
+        return x
+
+    keep = np.zeros(len(a), dtype=bool)
+    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        x, y = top(x), top(y)
+        if x != y:
+            root[x] = y
+            keep[i] = True
+    return keep
+
+
 def _links(percent: int):
-    """Links between members of different components in one pair of blocks of a key."""
+    """Links between members of different components in one pair of blocks of
+    a key: a spanning forest of the components, fewer links than members."""
     def run(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
         node, comp, block = (group.column(c).to_numpy() for c in ("node", "comp", "block"))
         lists = group.column("shingles").combine_chunks()
-        n = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        both = _common(lists.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(n)), n), len(n))
-        linked = both * 100 >= (n[:, None] + n[None, :] - both) * percent
-        linked &= (comp[:, None] != comp[None, :]) & (node[:, None] > node[None, :])
-        if group.column("lo")[0].as_py() != group.column("hi")[0].as_py():
-            linked &= block[:, None] != block[None, :]
-        a, b = np.nonzero(linked)
-        return pa.table({"a": node[a], "b": node[b]})
+        n = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.float32)
+        both = _common(lists.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(n)), n.astype(np.int64)), len(n))
+        crossed = group.column("lo")[0].as_py() != group.column("hi")[0].as_py()
+        found_a, found_b = [], []
+        for lo in range(0, len(n), STRIPE):  # a few rows of the matrix at once
+            rows = slice(lo, lo + STRIPE)
+            linked = both[rows] * 100 >= (n[rows, None] + n[None, :] - both[rows]) * percent
+            linked &= (comp[rows, None] != comp[None, :]) & (node[rows, None] > node[None, :])
+            if crossed:
+                linked &= block[rows, None] != block[None, :]
+            a, b = np.nonzero(linked)
+            found_a.append(a + lo)
+            found_b.append(b)
+        a, b = np.concatenate(found_a), np.concatenate(found_b)
+        keep = _forest(comp[a], comp[b])
+        return pa.table({"a": node[a[keep]], "b": node[b[keep]]})
 
     return run
 
 
+def _likely(percent: int):
+    """Members of a group of keys that the estimate likes together with a
+    member of another component."""
+    least = least_agreeing(percent / 100)
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by("key").combine_chunks()
+        key, comp, n, part = (group.column(c).to_numpy() for c in ("key", "comp", "n_shingles", "part"))
+        low = [group.column(c).to_numpy().view(_U) for c in ("l0", "l1")]
+        high = [group.column(c).to_numpy().view(_U) for c in ("h0", "h1")]
+        crossed = group.column("lo")[0].as_py() != group.column("hi")[0].as_py()
+        end, stay = np.searchsorted(key, key, side="right"), np.zeros(len(key), dtype=bool)
+        for lo in range(0, len(key), STRIPE):
+            hi = min(lo + STRIPE, len(key))
+            last = int(end[hi - 1])
+            x, y = (slice(lo, hi), None), (None, slice(lo, last))
+            ok = (key[x] == key[y]) & (comp[x] != comp[y])
+            ok &= np.minimum(n[x], n[y]) * 100 >= np.maximum(n[x], n[y]) * percent
+            if crossed:
+                ok &= part[x] != part[y]
+            if not ok.any():
+                continue
+            differ = sum(np.bitwise_count((p[x] ^ p[y]) | (q[x] ^ q[y])) for p, q in zip(low, high))
+            ok &= BUCKETS - differ.astype(np.int64) >= least
+            stay[lo:hi] |= ok.any(axis=1)
+            stay[lo:last] |= ok.any(axis=0)
+        return group.filter(pa.array(stay)).select(["key", "node", "comp", "n_shingles"])
+
+    return run
+
+
+def _dealt(rest: DataFrame) -> DataFrame:
+    """Rows of keys with the group that compares them: keys that fit share a
+    group by a hash; a larger key is cut in parts by a hash of the member, and
+    every pair of parts is a group (own, lo, hi)."""
+    groups = max(1, -(-rest.count() // GROUP_ROWS))
+    large = saved(rest.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > PART_MEMBERS)
+                  .select(F.col("key").alias("large_key"), F.ceil(F.col("held") / PART_MEMBERS).alias("parts")), "near_large")
+    rows = rest.join(large, F.col("key") == F.col("large_key"), "left")
+    parts = F.coalesce("parts", F.lit(1).cast("long"))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), parts))
+    pairs = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda k: F.struct(F.least("part", k).alias("lo"), F.greatest("part", k).alias("hi")))
+    own = F.when(parts > 1, F.struct(F.lit(1).alias("large"), F.col("key").alias("k"))).otherwise(F.struct(F.lit(0).alias("large"), F.pmod(F.xxhash64("key"), F.lit(groups)).alias("k")))
+    return rows.select(*rest.columns, "part", own.alias("own"), F.explode(pairs).alias("p")).select(*rest.columns, "part", "own.large", "own.k", "p.lo", "p.hi")
+
+
 def _links_across(rest: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (a, b) between members of one key that are in different
     components. ``rest`` has a row for each key that holds several components
     and each of its members.
 
-    A member stays if the estimate likes any member of another component (a
-    semi join: a row per member, not per pair). Those that stay are compared
-    on their full sets in blocks of bounded size: a key with more members is
-    dealt to pairs of blocks, each a task's work of its own; only links leave
-    it."""
-    y = rest.select(*[F.col(c).alias(f"y_{c}") for c in rest.columns])
-    stay = saved(rest.alias("x").join(y.alias("y"), (F.col("key") == F.col("y_key")) & (F.col("node") != F.col("y_node")) & (
-        F.col("comp") != F.col("y_comp")) & _alike("", "y_", percent), "left_semi").select("key", "node", "comp", "n_shingles"), "near_stay")
+    A member stays if the estimate likes any member of another component; keys
+    are dealt to groups of bounded size for that, a large one to pairs of its
+    parts, and a row per member leaves them, not per pair. Those that stay are
+    compared on their full sets in blocks of bounded size, in the same way;
+    only links leave them, fewer than members."""
+    stay = saved(_dealt(rest).groupBy("large", "k", "lo", "hi").applyInArrow(_likely(percent), "key long, node long, comp long, n_shingles long").distinct(), "near_stay")
     sets = _sets_of(stay, classes, texts, size)
     sizes = stay.groupBy("key").agg(F.greatest(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES), F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS)).alias("blocks"))
     dealt = stay.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
@@ -287,7 +364,13 @@ def _links_across(rest: DataFrame, classes: DataFrame, texts: DataFrame, size: i
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``doc_id, n_shingles, component_id, kept``.
+    """One row per input row: ``doc_id, n_shingles, component_id, kept``; cases
+    as in ``components_of_rows``, which also has the hash of the row's set."""
+    return components_of_rows(docs, shingle_words, percent, id_col, text_col).drop("set_hash")
+
+
+def components_of_rows(docs: DataFrame, shingle_words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: ``doc_id, n_shingles, set_hash, component_id, kept``.
 
     Two documents are linked if 100 * |common shingles| >= percent * |all
     shingles|; component_id is the smallest id that links reach (itself
@@ -314,7 +397,13 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     # step 1: every member against the smallest of its key
     star = members.where("node > first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
     likely = star.join(facts.alias("x"), star["a"] == F.col("x.node")).join(facts.alias("y"), star["b"] == F.col("y.node")).where(_alike("x.", "y.", percent))
-    links = saved(_verified(likely, classes, texts, shingle_words, percent), "near_links")
+    likely = saved(likely.select("a", "b"), "near_likely")
+    # one link of each member first, then those whose ends are still apart
+    first = saved(_verified(likely.groupBy("a").agg(F.min("b").alias("b")), classes, texts, shingle_words, percent), "near_links")
+    joined = connected_components(first)
+    side = lambda c: joined.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
+    apart = likely.join(side("a"), "a", "left").join(side("b"), "b", "left").where(F.coalesce("a_label", "a") != F.coalesce("b_label", "b")).select("a", "b")
+    links = saved(first.union(_verified(apart, classes, texts, shingle_words, percent)), "near_links")
     found = connected_components(links)
 
     # step 2: keys that hold several components
@@ -329,19 +418,40 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     by_set = named.join(smallest, "label").select("set_hash", "component_id")
     rows = sketch.select("doc_id", "set_hash", "n_shingles").join(by_set, "set_hash", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return rows.select("doc_id", "n_shingles", "set_hash", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def _with_set_hash(at: int, size: int):
+    """Rows as they are and the hash of the set of column ``at``."""
+    def run(batches):
+        words = _Words()
+        for batch in batches:
+            only_text = pa.RecordBatch.from_arrays([batch.column(at)], names=["text"])
+            for lo, texts in _chunks(only_text):
+                hashes = pa.array([_digest(s) for s in shingle_sets(texts, size, words)], type=pa.binary())
+                part = batch.slice(lo, len(texts))
+                yield pa.RecordBatch.from_arrays([*part.columns, hashes], names=[*batch.schema.names, "_near_set"])
+
+    return run
+
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` whose document stays, with their columns as they are.
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` whose document stays, with their columns as they
-    are; of repeated rows with one id one stays."""
-    kept = near_duplicates(docs, id_col=id_col, **options).where("kept")
-    ids = saved(kept.groupBy(F.col("doc_id").alias("_near_id")).agg(F.count(F.lit(1)).alias("_near_n")), "near_kept")
+    Of rows with one id and one set one stays; rows that share an id (or have
+    none) and hold different texts are decided text by text. Null, empty and
+    blank texts are linked with nothing, so each id of them stays. An empty
+    table gives no rows. Only rows of shared ids are shuffled."""
+    rows = saved(components_of_rows(docs, shingle_words, percent, id_col, text_col).select(F.col("doc_id").alias("_near_id"), F.col("set_hash").alias("_near_hash"), "kept"), "near_kept")
+    ids = saved(rows.groupBy("_near_id").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept")).where("kept or n > 1"), "near_ids")
     own = docs[id_col].cast("long").eqNullSafe(F.col("_near_id"))
-    rows = docs.join(few(ids.select("_near_id"), BROADCAST_IDS), own, "left_semi")
-    again = ids.where("_near_n > 1").select("_near_id")
-    if not again.limit(1).count():
-        return rows
-    # only rows of repeated ids are shuffled
-    once, more = rows.join(few(again, BROADCAST_IDS), own, "left_anti"), rows.join(few(again, BROADCAST_IDS), own, "left_semi")
-    return once.unionByName(more.dropDuplicates([id_col]))
+    once = docs.join(few(ids.where("n = 1 and kept").select("_near_id"), BROADCAST_IDS), own, "left_semi")
+    shared = ids.where("n > 1").select("_near_id")
+    if not shared.limit(1).count():
+        return once
+    names = docs.columns
+    several = docs.join(few(shared, BROADCAST_IDS), own, "left_semi")
+    hashed = several.mapInArrow(_with_set_hash(names.index(text_col), shingle_words), T.StructType([*docs.schema.fields, T.StructField("_near_set", T.BinaryType())]))
+    kept = rows.where("kept").select("_near_id", "_near_hash").distinct()
+    stay = hashed.join(kept, hashed[id_col].cast("long").eqNullSafe(F.col("_near_id")) & (F.col("_near_set") == F.col("_near_hash")), "left_semi")
+    return once.unionByName(stay.dropDuplicates([id_col, "_near_set"]).select(*[F.col(f"`{c}`") for c in names]))

@@ -5,6 +5,7 @@ import pytest
 from llm_fixtures import AWKWARD, make_docs
 from pyspark.sql import functions as F
 
+from tessera.llm import hyperminhash
 from tessera.llm.components import connected_components
 from tessera.llm.hyperminhash import BUCKETS, band_keys, least_agreeing, near_duplicates, one_of_each, registers, shingle_sets, short_registers
 
@@ -133,3 +134,32 @@ def test_awkward_and_empty(spark):
     assert kept.columns == base.columns and kept.count() == len(AWKWARD) - 1
     assert near_duplicates(make_docs(spark, []), 3, 85).count() == 0
     assert one_of_each(make_docs(spark, [])).count() == 0
+
+
+def test_different_texts_of_one_id_stay(spark):
+    text = lambda k: " ".join(f"{k}{i}" for i in range(40))
+    rows = [(None, text("a")), (None, text("b")), (7, text("c")), (7, text("d")), (7, text("d")), (3, text("c") + " more"), (9, text("e")), (None, None), (2, "")]
+    left = one_of_each(make_docs(spark, rows)).collect()
+    got = sorted((r.doc_id or 0, (r.text or "")[:2]) for r in left)
+    assert got == [(0, ""), (0, "a0"), (0, "b0"), (2, ""), (3, "c0"), (7, "d0"), (9, "e0")]
+
+
+def test_links_of_a_block_are_a_forest():
+    a, b = np.nonzero(np.tri(60, k=-1))
+    assert hyperminhash._forest(a, b).sum() == 59
+
+
+@pytest.mark.parametrize("members", [60, 240])
+def test_links_grow_with_the_members(spark, monkeypatch, members):
+    rnd, seen = random.Random(1), []
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for d in range(members):
+        w = list(base)
+        for _ in range(rnd.randint(1, 14)):
+            w[rnd.randrange(120)] = f"x{rnd.randrange(10**6)}"
+        rows.append((d, " ".join(w)))
+    plain = hyperminhash.connected_components
+    monkeypatch.setattr(hyperminhash, "connected_components", lambda links: (seen.append(links.count()), plain(links))[1])
+    near_duplicates(make_docs(spark, rows), shingle_words=5, percent=80).count()
+    assert max(seen) < 2 * members
