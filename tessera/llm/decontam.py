@@ -148,6 +148,14 @@ def leaks(docs: DataFrame, items: DataFrame, least_share: float = 0.5, id_col: s
     nothing; documents of one id count as one. An empty table on either side
     gives no rows; other columns are not read.
     """
+    share = F.col("matched") / F.col("n_windows")
+    top = leaking_texts(docs, items, least_share, id_col, text_col).groupBy("doc_id", "item_id").agg(
+        F.max(F.struct(share.alias("share"), "width", "matched", "n_windows", (-F.col("n_changed")).alias("c"), "n_slots")).alias("b"))
+    return top.select("doc_id", "item_id", "b.n_windows", "b.matched", "b.share", "b.n_slots", (-F.col("b.c")).alias("n_changed"))
+
+
+def leaking_texts(docs: DataFrame, items: DataFrame, least_share: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """What ``leaks`` is made of, for every id and text (``version``: its hash)."""
     windows = saved(benchmark_windows(items.select("item_id", "text")).withColumnRenamed("version", "item_version"), "benchmark_windows")
     side = few(windows, BROADCAST_ROWS)
     widths = sorted(r["width"] for r in windows.select("width").distinct().collect())  # WINDOW values at most
@@ -200,14 +208,15 @@ def leaks(docs: DataFrame, items: DataFrame, least_share: float = 0.5, id_col: s
     # one value for each of the item's; two of them may have become equal
     consistent = (n_pairs == kinds(lambda s: F.struct(s["k"], s["i"]))) & (n_pairs <= kinds(lambda s: F.struct(s["k"], s["d"])) + 1)
     changed = F.size(F.filter("slots", lambda s: s["i"] != s["d"]))
-    checked = pairs.where((changed * 2 < F.size("slots")) | consistent).select("doc_id", "item_id", "width", "n_windows", "matched", F.size("slots").alias("n_slots"), changed.alias("n_changed"))
-    share = F.col("matched") / F.col("n_windows")
-    top = checked.groupBy("doc_id", "item_id").agg(
-        F.max(F.struct(share.alias("share"), "width", "matched", "n_windows", (-F.col("n_changed")).alias("c"), "n_slots")).alias("b"))
-    return top.select("doc_id", "item_id", "b.n_windows", "b.matched", "b.share", "b.n_slots", (-F.col("b.c")).alias("n_changed"))
-
-
-def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that leak no item, with their columns as they are."""
-    bad = saved(leaks(docs, items, id_col=id_col, **options).select(F.col("doc_id").alias("_leak_id")).distinct(), "leak_ids")
-    return docs.join(few(bad, BROADCAST_IDS), docs[id_col].eqNullSafe(F.col("_leak_id")), "left_anti")
+    return pairs.where((changed * 2 < F.size("slots")) | consistent).select("doc_id", "version", "item_id", "width", "n_windows", "matched", F.size("slots").alias("n_slots"), changed.alias("n_changed"))
+
+
+def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` whose text leaks no item, with their columns as
+    they are. Rows that share an id (or have none) are decided text by text;
+    null and empty texts stay; repeated rows stay or go together; an empty
+    table gives no rows, without items every row stays."""
+    found = leaking_texts(docs, items, id_col=id_col, text_col=text_col, **options)
+    bad = saved(found.select(F.col("doc_id").alias("_leak_id"), F.col("version").alias("_leak_version")).distinct(), "leak_ids")
+    same = docs[id_col].eqNullSafe(F.col("_leak_id")) & (F.xxhash64(text_or_empty(docs[text_col])) == F.col("_leak_version"))
+    return docs.join(few(bad, BROADCAST_IDS), same, "left_anti")

@@ -175,15 +175,25 @@ def _copy(c: Column, block_words: int, whole: bool, seed: int) -> Column:
                     F.xxhash64(F.lit(seed + 1), F.col("doc_id"), c).alias("place"))
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", pieces: int = 32, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", pieces: int = 32, **options) -> DataFrame:
     """The mix as rows of ``docs``, one for each copy, with all columns of
     ``docs``: whole documents, dealt to the output shards and in random order
-    inside each. A row is found again by its id; rows that share an id are
-    treated alike, as one draw of the first of them."""
+    inside each.
+
+    A row is found again by its id and source, and by its size where these are
+    shared; rows equal in all three are treated alike, as the draw that comes
+    first in the order of draws, so reruns agree. Null and empty texts have no
+    words and go as their place says. An empty table gives no rows."""
     names = docs.columns
-    plan = mix(docs, whole_documents=True, id_col=id_col, **options)
-    chosen = plan.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("_mix_id"), F.explode("copies").alias("_mix"))
-    chosen = saved(chosen, "mix_copies")
-    joined = docs.join(few(chosen, BROADCAST_ROWS), docs[id_col].eqNullSafe(F.col("_mix_id")))
+    plan = mix(docs, whole_documents=True, id_col=id_col, text_col=text_col, source_col=source_col, **options)
+    drawn = plan.groupBy("doc_id", "source", "size").agg(F.min("copies").alias("copies"))
+    drawn = saved(drawn.select(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_size"), "copies"), "mix_draws")
+    sizes = drawn.groupBy("_mix_id", "_mix_source").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("_mix_id").alias("_i"), F.col("_mix_source").alias("_s"), F.lit(True).alias("_shared"))
+    told = drawn.join(few(sizes, BROADCAST_ROWS), F.col("_mix_id").eqNullSafe(F.col("_i")) & F.col("_mix_source").eqNullSafe(F.col("_s")), "left")
+    chosen = saved(told.select("_mix_id", "_mix_source", F.when(F.col("_shared"), F.col("_mix_size")).alias("_mix_size"), F.explode("copies").alias("_mix")), "mix_copies")
+    # words are counted again only where a size decides
+    same = docs[id_col].eqNullSafe(F.col("_mix_id")) & docs[source_col].cast("string").eqNullSafe(F.col("_mix_source"))
+    same = same & F.when(F.col("_mix_size").isNull(), F.lit(True)).otherwise(F.size(words(docs[text_col])) == F.col("_mix_size"))
+    joined = docs.join(few(chosen, BROADCAST_ROWS), same)
     # a shard is many tasks: pieces of it by the random place, sorted inside
     return joined.repartition("_mix.shard", F.pmod("_mix.place", F.lit(pieces))).sortWithinPartitions("_mix.shard", "_mix.place").select(*[F.col(f"`{c}`") for c in names])

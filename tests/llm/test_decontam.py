@@ -36,7 +36,7 @@ def test_template_and_values_are_aligned(spark, texts):
 DOCS = [
     (10, f"{FILL} {ITEMS[0][1]} {FILL}"),  # verbatim
     (11, f"{FILL} {ITEMS[0][1].replace('Boston', 'Paris').replace('Denver', 'Rome').replace('120', '88').replace('45', '9').replace(' 7 ', ' 3 ')}"),  # other values
-    (12, f"{FILL} {ITEMS[0][1].replace('Boston', 'Paris', 1)}"),  # one Boston became Paris, the other did not
+    (12, f"{FILL} {ITEMS[0][1].replace('Boston', 'Paris', 1)}"),  # one edited name
     (13, FILL), (14, f"x {ITEMS[1][1].upper()}"), (15, ITEMS[1][1].replace(" ", "  \n")),
     (16, "please name the largest moon of all"), (17, "1 2 3 4 5 6 7 8 9 10 11"), (18, " ".join(ITEMS[1][1].split()[:9])),
     (19, "word " * 30000 + ITEMS[1][1] + " word" * 30000),
@@ -48,10 +48,10 @@ def test_leaks_and_slots(spark, monkeypatch, most):
     monkeypatch.setattr(decontam, "BROADCAST_ROWS", most)
     monkeypatch.setattr(decontam, "BROADCAST_IDS", most)
     got = {(r.doc_id, r.item_id): (r.n_slots, r.n_changed) for r in leaks(make_docs(spark, DOCS), items(spark)).collect()}
-    assert set(got) == {(10, 1), (11, 1), (15, 2), (16, 3), (19, 2)}
+    assert set(got) == {(10, 1), (11, 1), (12, 1), (14, 2), (15, 2), (16, 3), (19, 2)}
     assert got[10, 1] == (8, 0) and got[11, 1] == (8, 6)
     left = without_leaks(make_docs(spark, DOCS), items(spark))
-    assert sorted(r.doc_id for r in left.collect()) == [12, 13, 14, 17, 18]
+    assert sorted(r.doc_id for r in left.collect()) == [13, 17, 18]
 
 
 def brute(rows, bench, width=8):
@@ -84,7 +84,7 @@ def test_awkward_and_empty(spark):
     got = {(r.doc_id, r.item_id) for r in leaks(base, items(spark)).collect()}
     assert got == {(None, 2), (5, 2)}
     left = without_leaks(base, items(spark))
-    assert left.columns == base.columns and sorted(r.doc_id for r in left.collect()) == [1, 2, 3, 4, 6, 7]
+    assert left.columns == base.columns and sorted(r.doc_id or 0 for r in left.collect()) == [0, 1, 2, 3, 4, 5, 5, 6, 7]  # only the leaking texts of null and 5 go
     none = spark.createDataFrame([], "item_id long, text string")
     assert leaks(base, none).count() == 0 and leaks(make_docs(spark, []), items(spark)).count() == 0
     assert without_leaks(base, none).count() == base.count()
@@ -146,3 +146,9 @@ def test_slots_that_differ_do_not_hide_a_match(spark):
     assert got[1, 1][1] == 0 and got[2, 1] == (4, 2) and got[4, 2] == (8, 1)
     changed = task.replace("30", "5").replace("45", "6").replace("12", "9").replace("8 boxes", "9 boxes")
     assert found(spark, [(6, changed)], [(1, task)]) == {(6, 1): (4, 4)}  # all changed, two of them to one value
+
+
+def test_rows_that_share_an_id_are_decided_by_their_text(spark):
+    rows = [(None, f"{FILL} {ITEMS[0][1]}"), (None, "a clean text without an id"), (7, ITEMS[1][1]), (7, "another clean text"), (8, None)]
+    left = without_leaks(make_docs(spark, rows), items(spark)).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in left) == [(0, "a clean text without an id"), (7, "another clean text"), (8, "")]

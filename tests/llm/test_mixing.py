@@ -70,3 +70,10 @@ def test_awkward_and_empty(spark):
     assert sorted(r["size"] for r in got) == sorted(len((r[1] or "").split()) for r in rows)
     assert mix(make_docs(spark, [])).count() == 0
     assert mixed_documents(make_docs(spark, [])).count() == 0
+
+
+def test_rows_that_share_an_id_are_drawn_apart(spark):
+    rows = [(7, "a b c", "s"), (7, "d e f g h", "s"), (None, "i j", "t"), (None, "k l m n", "t"), (1, "o p q r s t", "s")]
+    docs = make_docs(spark, rows)
+    first, again = (sorted(r.text for r in mixed_documents(docs, share=2.0, max_repeat=2).collect()) for _ in range(2))
+    assert first == again and len(set(first)) >= 4 and all(first.count(t) <= 2 for t in first)
