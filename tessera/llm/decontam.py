@@ -62,7 +62,7 @@ def _plain(text: Column) -> Column:
 def _split(text: Column) -> Column:
     """Lower-case words; marks go, but for the points inside numbers."""
     bare = F.regexp_replace(F.lower(text), r"(?<!\p{N})\.|\.(?!\p{N})|[!?]", " ")
-    return F.array_remove(F.split(bare, " +"), "")
+    return F.array_remove(F.split(bare, " "), "")
 
 
 def raw_words(text: Column) -> Column:
@@ -75,23 +75,35 @@ def template_words(text: Column, breaks: bool = False) -> Column:
     (with points) a number, a unit right after a number a unit. Words of a run
     in capitals are no names. With ``breaks``, newlines, colons and quotes end
     a sentence."""
-    if breaks:
-        text = F.regexp_replace(text, rf"[{BREAKS}]+", ". ")
-    t = F.regexp_replace(_plain(text), rf"(?<=[\p{{L}}\p{{N}}] )(?!{IN_RUN})\p{{Lu}}[\p{{L}}\p{{N}}]*+(?!\.\p{{N}})", NAME)
-    t = F.regexp_replace(t, r"(?<![\p{L}\p{N}.])\p{N}++(?:\.\p{N}++)*+(?![\p{L}\p{N}])", NUMBER)
-    t = F.regexp_replace(t, rf"(?i)(?<={NUMBER} )(?:{'|'.join(sorted(UNITS, key=len, reverse=True))})(?![\p{{L}}\p{{N}}])", UNIT)
+    return _template(_plain(_with_breaks(text) if breaks else text))
+
+
+def _with_breaks(text: Column) -> Column:
+    return F.regexp_replace(text, rf"[{BREAKS}]+", ". ")
+
+
+def _template(plain: Column) -> Column:
+    """Each pattern first looks at one character, which fails at most places."""
+    t = F.regexp_replace(plain, rf"(?=\p{{Lu}})(?<=[\p{{L}}\p{{N}}] )(?!{IN_RUN})\p{{Lu}}[\p{{L}}\p{{N}}]*+(?!\.\p{{N}})", NAME)
+    t = F.regexp_replace(t, r"(?=\p{N})(?<![\p{L}\p{N}.])\p{N}++(?:\.\p{N}++)*+(?![\p{L}\p{N}])", NUMBER)
+    t = F.regexp_replace(t, rf"({NUMBER} )(?i:{'|'.join(sorted(UNITS, key=len, reverse=True))})(?![\p{{L}}\p{{N}}])", f"$1{UNIT}")
     return _split(t)
 
 
-def _literal(words: Column) -> Column:
-    return F.size(F.filter(words, lambda w: ~w.startswith("§")))
+def _readings(rows: DataFrame) -> DataFrame:
+    """``rows`` with three readings of ``text``, all of as many words: ``p``,
+    the plain words; ``t``, the template, null where it holds no placeholder
+    and so says the same; ``b``, the template with sentence breaks, null where
+    they make no difference. One column a step, so that each is computed once."""
+    between = rf"[\p{{L}}\p{{N}}][^\p{{L}}\p{{N}}.!?{BREAKS}]*+[{BREAKS}][^\p{{L}}\p{{N}}.!?]*+\p{{Lu}}"
+    broken = F.when(F.col("text").rlike(f"[{BREAKS}]") & F.col("text").rlike(between), _template(_plain(_with_breaks(F.col("text")))))
+    slots = F.col("plain").rlike(r"\p{N}|(?=\p{Lu})(?<=[\p{L}\p{N}] )\p{Lu}")
+    return rows.withColumn("plain", _plain(F.col("text"))) \
+        .withColumns({"p": _split(F.col("plain")), "t": F.when(slots, _template(F.col("plain"))), "b": broken}).drop("plain")
 
 
-def _readings(text: Column) -> tuple[Column, Column]:
-    """The template of a text, and the one with sentence breaks, null where
-    they make no difference."""
-    inside = rf"[\p{{L}}\p{{N}}][^\p{{L}}\p{{N}}.!?{BREAKS}]*+[{BREAKS}][^\p{{L}}\p{{N}}.!?]*+\p{{Lu}}"
-    return template_words(text), F.when(text.rlike(inside), template_words(text, breaks=True))
+def _literal(words: Column) -> Column:
+    return F.size(F.filter(words, lambda w: ~w.startswith("§")))
 
 
 def _hashed(words: Column) -> Column:
@@ -99,6 +111,34 @@ def _hashed(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
+def _windows(words: Column, widths: list[int]) -> Column:
+    """For every width an array with the hash of the window at each position.
+
+    Hashes of two neighbouring stretches are hashed to that of both: 2, 4 and
+    8 words from the halves, other widths from those parts. Windows that the
+    end cuts short have values too, which match none that is whole."""
+    def after(x, k):
+        return F.slice(x, k + 1, F.greatest(F.size(x) - k, F.lit(0)))
+
+    def joined(x, y, k):
+        return F.zip_with(x, after(y, k), lambda a, b: F.xxhash64(a, b))
+
+    def window(parts, width):
+        sizes = [k for k in sorted(parts, reverse=True) if width & k]
+        got, covered = parts[sizes[0]], sizes[0]
+        for k in sizes[1:]:
+            got, covered = joined(got, parts[k], covered), covered + k
+        return got
+
+    def doubled(parts):
+        last = max(parts)
+        if last * 2 > max(widths):
+            return F.array(*[window(parts, n) for n in widths])
+        return let(joined(parts[last], parts[last], last), lambda x: doubled({**parts, last * 2: x}))
+
+    return let(words, lambda x: doubled({1: x}))
+
+
 def benchmark_windows(items: DataFrame, width: int = WINDOW) -> DataFrame:
     """``hash, item_id, version, item_pos, width, kind, n_windows`` of the items'
     windows. Kind ``template``: windows in which over half of the words are
@@ -108,17 +148,17 @@ def benchmark_windows(items: DataFrame, width: int = WINDOW) -> DataFrame:
     has windows of ``NARROW`` words beside the others. Repeated items count
     once; texts of one id count by version."""
     text = text_or_empty(F.col("text"))
-    template, breaks = _readings(text)
-    words = items.select("item_id", F.xxhash64(text).alias("version"), template.alias("w"), F.coalesce(breaks, template).alias("b"), raw_words(text).alias("p")).distinct() \
-        .where(F.size("w") > 0)
+    read = _readings(items.select("item_id", text.alias("text")).distinct())
+    template = F.coalesce("t", "p")
+    words = read.select("item_id", F.xxhash64("text").alias("version"), template.alias("w"), F.coalesce("b", template).alias("b"), "p").where(F.size("p") > 0)
     own = F.least(F.lit(width), F.size("w"))
     words = words.withColumn("width", F.explode(F.when((F.size("w") > width) & (F.size("w") <= NARROW_WORDS), F.array(own, F.lit(NARROW))).otherwise(F.array(own))))
     every = words.withColumn("item_pos", F.explode_outer(F.sequence(F.lit(0), F.size("w") - F.col("width"))))
     part = lambda c: F.slice(c, F.col("item_pos") + 1, F.col("width"))
 
     def hashed(c):
-        # word by word in the same way as the documents' windows; a null changes no hash
-        return F.xxhash64(*[F.get(_hashed(part(c)), F.lit(k)) for k in range(width)])
+        whole = _windows(_hashed(part(c)), list(range(1, width + 1)))
+        return F.get(F.get(whole, F.col("width") - 1), F.lit(0))
 
     useful = lambda c: _literal(part(c)) * 2 > F.col("width")
     none = F.array().cast("array<bigint>")
@@ -161,18 +201,17 @@ def leaking_texts(docs: DataFrame, items: DataFrame, least_share: float = 0.5, i
     widths = sorted(r["width"] for r in windows.select("width").distinct().collect())  # WINDOW values at most
     text = text_or_empty(F.col(text_col))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
-    template, breaks = _readings(F.col("text"))
-    forms = rows.select("doc_id", F.xxhash64("text").alias("version"), _hashed(template).alias("t"), _hashed(breaks).alias("b"), _hashed(raw_words(F.col("text"))).alias("p"))
+    forms = _readings(rows).select("doc_id", F.xxhash64("text").alias("version"), *[_hashed(F.col(c)).alias(c) for c in "ptb"])
+    every = forms.select("doc_id", "version", F.size("p").alias("n"), *[F.when(F.col(c).isNotNull(), _windows(F.col(c), widths or [WINDOW])).alias(c) for c in "ptb"])
 
-    def hashes(words: Column, width: int) -> Column:
-        """Hash of the window at every position; those that the end cuts short are windows of fewer words."""
-        return F.transform(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(width)]))
+    def others(c):
+        """Null where the window reads as the plain words do."""
+        differs = lambda x, y: F.zip_with(x, y, lambda a, b: F.when(a != b, a))
+        return F.coalesce(F.zip_with(c, "p", differs), F.array().cast("array<array<bigint>>"))
 
-    none = F.array().cast("array<bigint>")
-    every = F.concat(*[F.when(F.size(c) > 0, let(F.col(c), lambda x: hashes(x, n))).otherwise(none)  # noqa: B023
-                       for n in widths or [WINDOW] for c in "tpb"])
+    hashes = F.flatten(F.concat("p", others("t"), others("b")))
     # outer: a plain explode would have the hashes computed twice, for a filter on their number
-    flat = forms.select("doc_id", "version", F.size("t").alias("n"), F.posexplode_outer(every).alias("at", "hash")).where("hash is not null") \
+    flat = every.select("doc_id", "version", "n", F.posexplode_outer(hashes).alias("at", "hash")).where("hash is not null") \
         .select("doc_id", "version", (F.col("at") % F.col("n")).alias("pos"), "hash")
     found = flat.join(side, "hash").select(
         "doc_id", "version", "item_id", "item_version", "kind", "width", "n_windows", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"))
