@@ -11,6 +11,7 @@ is that number plus the ids of the earlier files (one row per file).
 
 from __future__ import annotations
 
+import json
 import sys
 import types
 import zlib
@@ -31,6 +32,10 @@ REMEMBER = 400_000
 LONG_WORD = 48
 #: Marks that may end a word.
 MARKS = ".,;:!?#$%&*|"
+#: Steps before the merges for which words are encoded by parts and in lower case, as the library writes them: fixed values.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLITS = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
 
 
 def worker_state(name: str) -> dict:
@@ -39,6 +44,22 @@ def worker_state(name: str) -> dict:
     return sys.modules.setdefault("_tessera_worker_" + name, types.ModuleType(name)).__dict__
 
 
+class _Words(dict):
+    """Ids of words, and of the generation before. A word that neither has
+    gets an empty cell, which is filled once the batch is looked up."""
+
+    def __init__(self, old: dict | None = None):
+        super().__init__()
+        self.old, self.fresh = old or {}, {}
+
+    def __missing__(self, word: str) -> bytes | bytearray:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.fresh[word] = bytearray()
+        self[word] = ids
+        return ids
+
+
 class WordEncoder:
     """Encodes texts with the tokenizers library, word by word from memory.
 
@@ -52,11 +73,11 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.words = _Words()
         self.tails: dict[str, bytes] = {}
         self.code = [np.array([i], dtype="<u4").tobytes() for i in range(self.tokenizer.get_vocab_size())]
         self.parts = self._takes_parts()
+        self.starts = {t.content[0] for t in self.tokenizer.get_added_tokens_decoder().values()}
 
     def _whole(self, words: list[str], into: dict[str, bytes]) -> None:
         """Encode ``words`` as texts of some words and cut the ids by their offsets."""
@@ -79,15 +100,15 @@ class WordEncoder:
         the library's merges directly."""
         if not self.parts:
             return self._whole(words, into)
-        merge, code, old, rest = self.tokenizer.model.tokenize, self.code, self.old, []
+        merge, code, known, old, rest = self.tokenizer.model.tokenize, self.code, self.words.get, self.words.old.get, []
         for w in words:
             core = w.rstrip(MARKS)
             low = core.lower()
             if not (low.isascii() and low.isalpha()):
                 rest.append(w)
                 continue
-            ids = into.get(low) or old.get(low)
-            if ids is None:
+            ids = into.get(low) or known(low) or old(low)
+            if not ids:
                 ids = into[low] = b"".join([code[t.id] for t in merge(low)])
             into[w] = ids if core == w else ids + self._marks(w[len(core):])
         # the others: any core that ends in a letter or digit, and whole words
@@ -107,35 +128,45 @@ class WordEncoder:
         return ids
 
     def _takes_parts(self) -> bool:
-        """The steps before the merges are those that ``_learn`` relies on."""
-        norm, pre = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
-        if norm is None or pre is None or norm.normalize_str("AbcZ") != "abcz":
-            return False
-        split = [x for x, _ in pre.pre_tokenize_str("abcz,.!")]
-        return split == ["abcz", ",.!"] and [t.id for t in self.tokenizer.model.tokenize("abcz")] == self.tokenizer.encode("abcz", add_special_tokens=False).ids
+        """The steps before the merges are those that ``_learn`` and
+        ``_folded`` rely on; any other tokenizer encodes whole words."""
+        kinds = json.loads(self.tokenizer.to_str())
+        return kinds["normalizer"] == {"type": "Sequence", "normalizers": NORMALIZERS} and \
+            kinds["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": [SPLITS, BYTES]}
+
+    def _folded(self, text: str) -> str:
+        """``text`` with A-Z as a-z, so that a word is remembered in one form;
+        the library does the same before its merges. A text stays as it is if
+        it has a mark that joins the letter before it (U+0300 to U+036F; some
+        join only the small letter), or a character with which a token starts
+        that is looked for in the text as given."""
+        raw = text.encode()
+        if not self.parts or b"\xcc" in raw or b"\xcd" in raw or any(c in text for c in self.starts):
+            return text
+        return raw.lower().decode()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        need = set().union(*split)
-        long_words = {w for w in need if len(w) > LONG_WORD}
-        known, old = self.young, self.old
-        fresh = []
-        for w in need - known.keys() - long_words:
-            ids = old.get(w)
-            if ids is None:
-                fresh.append(w)
-            else:
-                known[w] = ids
-        self._learn(fresh, known)
-        if long_words:
-            extra: dict[str, bytes] = {}
-            self._whole(list(long_words), extra)
-            known = {**{w: known[w] for w in need - long_words}, **extra}
-        look = known.__getitem__
-        out = [b"".join(map(look, ws)) for ws in split]
-        if len(self.young) > REMEMBER // 2:
-            self.young, self.old = {}, self.young
+        split = [self._folded(t).replace("\n", " ").split(" ") for t in texts]
+        words = self.words
+        parts = [list(map(words.__getitem__, ws)) for ws in split]  # one look-up a word
+        fresh, learnt = words.fresh, {}
+        try:
+            self._learn(list(fresh), learnt)
+        except BaseException:
+            self.words = _Words()  # no empty cell outlives the batch
+            raise
+        for w, cell in fresh.items():
+            cell += learnt[w]
+        out = [b"".join(p) for p in parts]
+        words.update(learnt)
+        for w in learnt:
+            if len(w) > LONG_WORD:
+                del words[w]
+        words.fresh = {}
+        if len(words) > REMEMBER // 2:
+            words.old = {}
+            self.words = _Words(words)
         return out
 
 

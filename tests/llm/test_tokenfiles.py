@@ -17,7 +17,7 @@ FAST = WordEncoder(PATH)
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.one_of(st.text(max_size=40), st.sampled_from(["<|startoftext|>", "it's", "Ñ\ń", "a\tb  c", "É é", "x" * 60])), max_size=6))
+@given(st.lists(st.one_of(st.text(max_size=40), st.sampled_from(["<|startoftext|>", "it's", "Ñ\ń", "a\tb  c", "É é", "x" * 60, "ABC,", "H\u0331 J\u030c", "h\u0331", "\u212a", "İI", "<|ENDOFTEXT|>"])), max_size=6))
 def test_words_give_the_ids_of_the_text(parts):
     texts = [" ".join(parts), "".join(parts), "\n".join(parts)]
     want = [PLAIN.encode(t, add_special_tokens=False).ids for t in texts]
@@ -61,7 +61,24 @@ def test_memory_is_bounded(monkeypatch):
     for i in range(20):
         texts = [" ".join(f"w{i}x{j}" for j in range(40)), "same words again"]
         assert [np.frombuffer(b, "<u4").tolist() for b in e.encode(texts)] == [PLAIN.encode(t, add_special_tokens=False).ids for t in texts]
-        assert len(e.young) + len(e.old) <= 200
+        assert len(e.words) + len(e.words.old) <= 200
+
+
+def test_no_empty_cell_outlives_a_failure(monkeypatch):
+    e = WordEncoder(PATH)
+    with monkeypatch.context() as m:
+        m.setattr(e, "_whole", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            e.encode(["plain words", "né 12"])
+    assert [np.frombuffer(b, "<u4").tolist() for b in e.encode(["plain words né 12"])] == [PLAIN.encode("plain words né 12", add_special_tokens=False).ids]
+
+
+def test_other_steps_before_the_merges_take_whole_words():
+    from tokenizers import normalizers
+
+    e = WordEncoder(PATH)
+    e.tokenizer.normalizer = normalizers.Sequence([normalizers.NFKC(), normalizers.Lowercase()])
+    assert e._takes_parts() is False and WordEncoder(PATH).parts
 
 
 @pytest.mark.parametrize("text", ["", " ", "\n\n"])
