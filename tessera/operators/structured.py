@@ -10,12 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.text import let, normalise_answer, null_to_empty, strip, word_tokens
 from .classes import f_beta, safe_div
+from .sequence import number_within
 
 
 # ------------------------------------------------------------------ M15
@@ -124,11 +128,17 @@ def spans_from_tags(df: DataFrame, tags: str, doc: str = "doc_id") -> DataFrame:
 
 def span_f1_arrays(df: DataFrame, gold_tags: str = "gold_tags", pred_tags: str = "pred_tags",
                    doc: str = "doc_id") -> DataFrame:
-    """M17 from per-document tag arrays: spans are decoded inside the rows
-    (``span_array``); only spans reach the shuffle of the set kernel."""
-    g = spans_from_tags(df, gold_tags, doc)
-    p = spans_from_tags(df, pred_tags, doc)
-    return set_prf(g, p, [doc, "start", "end", "type"], by=["type"])
+    """M17 from per-document tag arrays: the spans of both arrays are decoded
+    inside the row (``span_array``) and exploded at once with a flag for their
+    side, so documents are read once and only spans reach the aggregation."""
+    def flagged(tags: str, g: int) -> Column:
+        return F.transform(span_array(F.col(tags)), lambda x: F.struct(
+            x["start"].alias("start"), x["end"].alias("end"), x["type"].alias("type"), F.lit(g).alias("g")))
+
+    spans = (df.select(doc, F.explode_outer(F.concat(flagged(gold_tags, 1), flagged(pred_tags, 0))).alias("x"))
+             .where(F.col("x").isNotNull()).select(doc, "x.*"))
+    flags = spans.groupBy(doc, "start", "end", "type").agg(F.max("g").alias("g"), F.max(1 - F.col("g")).alias("p"))
+    return prf_from_flags(flags, by=["type"])
 
 
 # ------------------------------------------------------------------ M18
@@ -385,27 +395,65 @@ def grounding_overlap(df: DataFrame, answer: str, context: str) -> DataFrame:
 
 # ------------------------------------------------------------------ M35
 
-def _cosine(a: Column, b: Column) -> Column:
-    def dot(x, y):
-        return F.aggregate(F.zip_with(x, y, lambda u, v: u * v), F.lit(0.0), lambda acc, z: acc + z)
-    den = F.sqrt(dot(a, a) * dot(b, b))
-    return F.when(den == 0, F.lit(0.0)).otherwise(dot(a, b) / den)
+#: Vectors of one side in a block; two blocks meet in one matrix product.
+VECTOR_BLOCK = 512
+
+
+def _unit(v: Column) -> Column:
+    """The vector divided by its length; one of zeros stays as it is."""
+    n = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
+    return F.transform(F.array(n), lambda d: F.transform(v, lambda x: F.when(d > 0, x / d).otherwise(F.lit(0.0))))[0]
+
+
+def best_matches(vectors: DataFrame, pair: str = "pair_id", side: str = "side", vid: str = "vec_id",
+                 vec: str = "embedding") -> DataFrame:
+    """(pair, side, vid, best): every vector's greatest cosine to a vector of the other side.
+
+    Vectors are normalised once and dealt to blocks of ``VECTOR_BLOCK`` by their
+    place in the pair; a block of candidates and one of references give a
+    matrix product and one row per vector (its maximum there), never a row per
+    cell. So a task holds two blocks, however large the pair. A vector of zeros
+    has cosine 0; null vectors, nulls in a vector and vectors without a partner
+    give no row; vectors of one pair must be equally long."""
+    v = vectors.select(F.col(pair).alias("pair"), F.col(side).alias("side"), F.col(vid).alias("vid"),
+                       F.col(vec).cast("array<double>").alias("v")).where(F.col("v").isNotNull() & ~F.exists("v", F.isnull))
+    v = number_within(v.select("pair", "side", "vid", _unit(F.col("v")).alias("v")), ["vid"], ["pair", "side"])
+    blocks = (v.groupBy("pair", "side", F.floor(F.col("pos") / VECTOR_BLOCK).alias("block"))
+              .agg(F.collect_list(F.struct("vid", "v")).alias("rows")))
+
+    def of(name: str) -> DataFrame:
+        return blocks.where(F.col("side") == name).select("pair", F.col("rows.vid").alias(f"{name}_vid"), F.col("rows.v").alias(f"{name}_v"))
+
+    both = of("cand").join(of("ref"), "pair")
+    schema = T.StructType([both.schema["pair"], T.StructField("side", T.StringType()),
+                           T.StructField("vid", v.schema["vid"].dataType), T.StructField("best", T.DoubleType())])
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one = batch.slice(i, 1)
+                c, r = (np.reshape(v.flatten().to_numpy(), (len(v), -1)) for v in (one.column(f"{s}_v").flatten() for s in ("cand", "ref")))
+                cells = c @ r.T
+                for s, best in (("cand", cells.max(axis=1)), ("ref", cells.max(axis=0))):
+                    n = len(best)
+                    yield pa.RecordBatch.from_arrays(
+                        [one.column("pair").take(pa.array([0] * n)), pa.array([s] * n), one.column(f"{s}_vid").flatten(), pa.array(best)],
+                        names=["pair", "side", "vid", "best"])
+
+    return (both.mapInArrow(run, schema).groupBy("pair", "side", "vid").agg(F.max("best").alias("best"))
+            .select(F.col("pair").alias(pair), F.col("side").alias(side), F.col("vid").alias(vid), "best"))
 
 
 def soft_match(vectors: DataFrame, pair: str = "pair_id", side: str = "side", vid: str = "vec_id",
                vec: str = "embedding") -> DataFrame:
     """Greedy soft matching over supplied vectors inside each pair:
     precision = mean over candidate vectors of the best cosine to a
-    reference vector, recall the other way, F1 per pair, mean over pairs.
-    The theta join is keyed by pair, so its size is the product of the two
-    sides of one pair only."""
-    v = vectors.select(pair, side, vid, F.col(vec).cast("array<double>").alias("v"))
-    c = v.where(F.col(side) == "cand").select(pair, F.col(vid).alias("cid"), F.col("v").alias("cv"))
-    r = v.where(F.col(side) == "ref").select(pair, F.col(vid).alias("rid"), F.col("v").alias("rv"))
-    sims = c.join(r, pair).select(pair, "cid", "rid", _cosine(F.col("cv"), F.col("rv")).alias("s"))
-    prec = sims.groupBy(pair, "cid").agg(F.max("s").alias("b")).groupBy(pair).agg(F.avg("b").alias("precision"))
-    rec = sims.groupBy(pair, "rid").agg(F.max("s").alias("b")).groupBy(pair).agg(F.avg("b").alias("recall"))
-    pr = prec.join(rec, pair)
+    reference vector, recall the other way, F1 per pair, mean over pairs that
+    have both sides (``best_matches``)."""
+    per = best_matches(vectors, pair, side, vid, vec).groupBy(pair).agg(
+        F.avg(F.when(F.col(side) == "cand", F.col("best"))).alias("precision"),
+        F.avg(F.when(F.col(side) == "ref", F.col("best"))).alias("recall"))
     f1 = f_beta(F.col("precision"), F.col("recall"))
-    return pr.agg(F.count(F.lit(1)).alias("n_pairs"), F.avg("precision").alias("precision"),
-                  F.avg("recall").alias("recall"), F.avg(f1).alias("f1"))
+    return per.agg(F.count(F.lit(1)).alias("n_pairs"), F.avg("precision").alias("precision"),
+                   F.avg("recall").alias("recall"), F.avg(f1).alias("f1"))
+

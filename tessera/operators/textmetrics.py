@@ -4,7 +4,8 @@ Shape of every job: the pair rows (key, candidate, reference[, source]) are
 hash-partitioned on the pair key once; n-grams are then exploded and counted
 per (pair, n, gram) and per (pair, n) with aggregations that reuse that
 partitioning, so exploded n-grams never cross the network. Corpus scores are
-one more aggregate over per-pair/per-order sums (a handful of rows).
+one more aggregate over per-order sums (a handful of rows). chrF++, whose
+grams are as many as its characters times six, counts them in Arrow batches.
 
 Contracts (the reference names these metrics without code):
 - tokens: lower-cased word/punctuation pre-tokens; ROUGE/BLEU/GLEU/SARI/chrF
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from ..functions.text import normalise_answer, null_to_empty, word_tokens
 from .alignment import common_length, word_distance
 from .classes import f_beta, safe_div
+from .gramsets import gram_overlaps, word_ids
 
 def _empty():
     return F.array().cast("array<string>")
@@ -52,28 +54,28 @@ def squeeze(s: Column) -> Column:
     return F.regexp_replace(null_to_empty(s), r"\s", "")
 
 
-def char_grams(t: Column, n: int) -> Column:
-    """Character n-grams of an already squeezed string (overlapping
-    lookahead matches, one per position)."""
-    return F.when(F.length(t) >= n, F.regexp_extract_all(t, F.lit("(?s)(?=(.{%d}))" % n), 1)).otherwise(_empty())
-
-
 def _tagger(n: int, si: int):
     return lambda g: F.struct(F.lit(n).alias("n"), g.alias("g"), F.lit(si).alias("s"))
 
 
-def gram_counts(df: DataFrame, keys: Sequence[str], sides: dict[str, dict[int, Column]]) -> DataFrame:
+def gram_counts(df: DataFrame, keys: Sequence[str], sides: dict[str, dict[int, Column]],
+                every: Sequence[int] = ()) -> DataFrame:
     """Count n-grams per (keys, n, gram) for several sides of one row.
 
     ``sides`` maps a side name to {order: array<string> of grams}. Output
     columns: keys, n, gram, one count column per side. One explode, one
-    aggregation; partitioning on ``keys`` is set up front."""
+    aggregation; partitioning on ``keys`` is set up front. For the orders in
+    ``every`` each row also gives one null gram that counts for no side, so
+    that a pair without grams of an order keeps a row with zero sums; rows that
+    repeat a key count as one."""
     keys = list(keys)
     names = list(sides)
     parts = []
     for si, name in enumerate(names):
         for n, arr in sides[name].items():
             parts.append(F.transform(arr, _tagger(n, si)))
+    if every:
+        parts += [F.transform(F.array(F.lit(None).cast("string")), _tagger(n, -1)) for n in every]
     exploded = (df.repartition(*keys)
                 .select(*keys, F.explode_outer(F.concat(*parts)).alias("x"))
                 .where(F.col("x").isNotNull())
@@ -82,24 +84,15 @@ def gram_counts(df: DataFrame, keys: Sequence[str], sides: dict[str, dict[int, C
     return exploded.groupBy(*keys, "n", "g").agg(*aggs)
 
 
-def _pair_keys_complete(df: DataFrame, keys: Sequence[str], orders: Sequence[int]) -> DataFrame:
-    """(keys, n) for every pair and order, so pairs without any gram of an
-    order still count (with zero sums)."""
-    return df.select(*keys, F.explode(F.array(*[F.lit(n) for n in orders])).alias("n"))
+def overlap_counts(df: DataFrame, keys: Sequence[str], cand: Column, ref: Column, orders: Sequence[int]) -> DataFrame:
+    """Word-gram counts of both sides (c, r) per (pair, n, gram), with a null gram per pair and order."""
+    base = df.select(*keys, word_tokens(cand, lower=True).alias("_c"), word_tokens(ref, lower=True).alias("_r"))
+    return gram_counts(base, keys, {"c": {n: word_grams(F.col("_c"), n) for n in orders},
+                                    "r": {n: word_grams(F.col("_r"), n) for n in orders}}, every=orders)
 
 
-def overlap_stats(df: DataFrame, keys: Sequence[str], cand: Column, ref: Column, orders: Sequence[int],
-                  tokeniser=None) -> DataFrame:
-    """Per (pair, n): clipped overlap, candidate total, reference total."""
-    keys = list(keys)
-    tok = tokeniser or (lambda c: word_tokens(c, lower=True))
-    base = df.select(*keys, tok(cand).alias("_c"), tok(ref).alias("_r"))
-    counts = gram_counts(base, keys, {"c": {n: word_grams(F.col("_c"), n) for n in orders},
-                                      "r": {n: word_grams(F.col("_r"), n) for n in orders}})
-    stats = counts.groupBy(*keys, "n").agg(F.sum(F.least("c", "r")).alias("overlap"), F.sum("c").alias("c_total"),
-                                           F.sum("r").alias("r_total"))
-    grid = _pair_keys_complete(df, keys, orders)
-    return grid.join(stats, keys + ["n"], "left").fillna(0, ["overlap", "c_total", "r_total"])
+def _overlap_sums():
+    return [F.sum(F.least("c", "r")).alias("overlap"), F.sum("c").alias("c_total"), F.sum("r").alias("r_total")]
 
 
 # ------------------------------------------------------------------ M1, M2
@@ -125,35 +118,36 @@ def token_f1(df: DataFrame, keys: Sequence[str], cand: str, golds: Sequence[str]
     whose golds are all null scores 0). All golds are counted in one explode."""
     keys = list(keys)
     names = [f"r{i}" for i in range(len(golds))]
-    base = df.select(*keys, _norm_tokens(F.col(cand)).alias("_c"),
-                     *[F.when(F.col(g).isNotNull(), _norm_tokens(F.col(g))).alias(f"_{n}") for g, n in zip(golds, names)],
+    base = df.select(*keys, _norm_tokens(F.col(cand)).alias("_c"), *[_norm_tokens(F.col(g)).alias(f"_{n}") for g, n in zip(golds, names)],
                      *[F.col(g).isNotNull().alias(f"_has_{n}") for g, n in zip(golds, names)])
     sides = {"c": {1: F.col("_c")}}
     for n in names:
-        sides[n] = {1: F.coalesce(F.col(f"_{n}"), _empty())}
-    counts = gram_counts(base, keys, sides)
-    ov = counts.groupBy(*keys).agg(*[F.sum(F.least("c", n)).alias(f"ov_{n}") for n in names])
-    j = base.join(ov, keys, "left").fillna(0, [f"ov_{n}" for n in names])
-    nc = F.size("_c")
+        sides[n] = {1: F.when(F.col(f"_has_{n}"), F.col(f"_{n}")).otherwise(_empty())}
+        # one gram of order 0 says that this gold is there
+        sides[f"has_{n}"] = {0: F.when(F.col(f"_has_{n}"), F.array(F.lit(""))).otherwise(_empty())}
+    counts = gram_counts(base, keys, sides, every=[1])
+    per = counts.groupBy(*keys).agg(F.sum("c").alias("nc"), *[x for n in names for x in (
+        F.sum(n).alias(f"n_{n}"), F.sum(F.least("c", n)).alias(f"ov_{n}"), F.sum(f"has_{n}").alias(f"has_{n}"))])
+    nc = F.col("nc")
     f1s = []
     for n in names:
-        nr = F.size(F.col(f"_{n}"))
+        nr = F.col(f"n_{n}")
         p = safe_div(F.col(f"ov_{n}"), nc)
         r = safe_div(F.col(f"ov_{n}"), nr)
-        f1 = (F.when(~F.col(f"_has_{n}"), F.lit(None).cast("double"))
+        f1 = (F.when(F.col(f"has_{n}") == 0, F.lit(None).cast("double"))
               .when((nc == 0) & (nr == 0), F.lit(1.0))
               .when((nc == 0) | (nr == 0), F.lit(0.0))
               .otherwise(f_beta(p, r)))
         f1s.append(f1)
     best = F.greatest(*f1s) if len(f1s) > 1 else f1s[0]
-    return j.agg(F.count(F.lit(1)).alias("n"), F.avg(F.coalesce(best, F.lit(0.0))).alias("token_f1"))
+    return per.agg(F.count(F.lit(1)).alias("n"), F.avg(F.coalesce(best, F.lit(0.0))).alias("token_f1"))
 
 
 # ------------------------------------------------------------------ M3, M4
 
 def rouge_n(df: DataFrame, keys: Sequence[str], cand: str, ref: str, n: int) -> DataFrame:
     """M3: mean over pairs of the F1 of clipped n-gram overlap."""
-    st = overlap_stats(df, keys, F.col(cand), F.col(ref), [n])
+    st = overlap_counts(df, keys, F.col(cand), F.col(ref), [n]).groupBy(*keys).agg(*_overlap_sums())
     p = safe_div(F.col("overlap"), F.col("c_total"))
     r = safe_div(F.col("overlap"), F.col("r_total"))
     return st.agg(F.count(F.lit(1)).alias("n_pairs"), F.avg(f_beta(p, r)).alias(f"rouge_{n}"))
@@ -189,9 +183,7 @@ def _bleu_from_orders(per_order: DataFrame, max_n: int, num: str = "overlap", de
 def bleu(df: DataFrame, keys: Sequence[str], cand: str, ref: str, max_n: int = 4) -> DataFrame:
     """M5: corpus BLEU (n = 1..max_n, brevity penalty, no smoothing)."""
     orders = list(range(1, max_n + 1))
-    st = overlap_stats(df, keys, F.col(cand), F.col(ref), orders)
-    per_order = st.groupBy("n").agg(F.sum("overlap").alias("overlap"), F.sum("c_total").alias("c_total"),
-                                    F.sum("r_total").alias("r_total"))
+    per_order = overlap_counts(df, list(keys), F.col(cand), F.col(ref), orders).groupBy("n").agg(*_overlap_sums())
     return _bleu_from_orders(per_order, max_n)
 
 
@@ -244,17 +236,16 @@ def gleu_plus(df: DataFrame, keys: Sequence[str], hyp: str, ref: str, source: st
 def chrf(df: DataFrame, keys: Sequence[str], cand: str, ref: str, char_n: int = 6, word_n: int = 2,
          beta: float = 2.0) -> DataFrame:
     """M6: chrF++ — corpus precision/recall per order (characters 1..char_n,
-    words 1..word_n), averaged over orders with n-grams on both sides, F-β."""
-    keys = list(keys)
-    base = df.select(*keys, squeeze(F.col(cand)).alias("_cs"), squeeze(F.col(ref)).alias("_rs"),
-                     word_tokens(cand, lower=True).alias("_c"), word_tokens(ref, lower=True).alias("_r"))
-    sides = {"c": {**{n: char_grams(F.col("_cs"), n) for n in range(1, char_n + 1)},
-                   **{100 + n: word_grams(F.col("_c"), n) for n in range(1, word_n + 1)}},
-             "r": {**{n: char_grams(F.col("_rs"), n) for n in range(1, char_n + 1)},
-                   **{100 + n: word_grams(F.col("_r"), n) for n in range(1, word_n + 1)}}}
-    counts = gram_counts(base, keys, sides)
-    per = counts.groupBy("n").agg(F.sum(F.least("c", "r")).alias("ov"), F.sum("c").alias("ct"),
-                                  F.sum("r").alias("rt"))
+    words 1..word_n), averaged over orders with n-grams on both sides, F-β.
+
+    Pairs are counted where they lie, in Arrow batches (``gram_overlaps``): no
+    row per gram and no shuffle but the sums per order. A null text counts as
+    an empty one; repeated rows count as often as they occur; a table without
+    any gram gives 0. ``keys`` is not needed any more and kept for callers."""
+    base = df.select(squeeze(F.col(cand)).alias("c_text"), squeeze(F.col(ref)).alias("r_text"),
+                     word_ids(cand).alias("c_words"), word_ids(ref).alias("r_words"))
+    per = (base.mapInArrow(gram_overlaps(char_n, word_n), "n int, ov long, ct long, rt long")
+           .groupBy("n").agg(F.sum("ov").alias("ov"), F.sum("ct").alias("ct"), F.sum("rt").alias("rt")))
     valid = per.where((F.col("ct") > 0) & (F.col("rt") > 0))
     pr = valid.agg(F.avg(F.col("ov") / F.col("ct")).alias("precision"), F.avg(F.col("ov") / F.col("rt")).alias("recall"),
                    F.count(F.lit(1)).alias("n_orders"))
@@ -284,7 +275,7 @@ def sari(df: DataFrame, keys: Sequence[str], source: str, hyp: str, ref: str, ma
     base = df.select(*keys, tok(F.col(source)).alias("_s"), tok(F.col(hyp)).alias("_h"), tok(F.col(ref)).alias("_r"))
     counts = gram_counts(base, keys, {"s": {n: word_grams(F.col("_s"), n) for n in orders},
                                       "h": {n: word_grams(F.col("_h"), n) for n in orders},
-                                      "r": {n: word_grams(F.col("_r"), n) for n in orders}})
+                                      "r": {n: word_grams(F.col("_r"), n) for n in orders}}, every=orders)
     s, h, r = (F.col("s") > 0), (F.col("h") > 0), (F.col("r") > 0)
 
     def cnt(cond):
@@ -293,11 +284,10 @@ def sari(df: DataFrame, keys: Sequence[str], source: str, hyp: str, ref: str, ma
         cnt(h & s & r).alias("keep_ok"), cnt(h & s).alias("keep_h"), cnt(s & r).alias("keep_r"),
         cnt(h & ~s & r).alias("add_ok"), cnt(h & ~s).alias("add_h"), cnt(r & ~s).alias("add_r"),
         cnt(s & ~h & ~r).alias("del_ok"), cnt(s & ~h).alias("del_h"))
-    grid = _pair_keys_complete(df, keys, orders).join(per, keys + ["n"], "left").fillna(0)
     f_keep = f_beta(safe_div(F.col("keep_ok"), F.col("keep_h")), safe_div(F.col("keep_ok"), F.col("keep_r")))
     f_add = f_beta(safe_div(F.col("add_ok"), F.col("add_h")), safe_div(F.col("add_ok"), F.col("add_r")))
     p_del = safe_div(F.col("del_ok"), F.col("del_h"))
-    per_n = grid.select(*keys, ((f_keep + f_add + p_del) / 3.0).alias("s_n"))
+    per_n = per.select(*keys, ((f_keep + f_add + p_del) / 3.0).alias("s_n"))
     per_row = per_n.groupBy(*keys).agg(F.avg("s_n").alias("sari"))
     return per_row.agg(F.count(F.lit(1)).alias("n"), F.avg("sari").alias("sari"))
 

@@ -9,6 +9,7 @@ from ..functions.text import word_tokens
 from ..operators import prepare as pp
 from ..operators import tokens as tk
 from ..registry import get_task
+from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import reports as rp
 from ..sources.synthetic import synthetic
@@ -143,7 +144,7 @@ SELECT status, CAST(count(*) AS BIGINT) AS n_runs, round(sum(elapsed_sec), 6) AS
        round(max(elapsed_sec), 6) AS max_elapsed, arg_max(task_id, (elapsed_sec, task_id)) AS slowest FROM r GROUP BY status
 """)
 def s6_report_rollup(spark, sf):
-    path = rp.fresh_path(spark, "run-reports")
+    path = scratch_path(spark, "run-reports")
     rp.write_reports(rp.reports_from_events(read_table(spark, sf, "events")), path)
     return rp.report_rollup(spark, path)
 
@@ -159,7 +160,7 @@ SELECT run_id, CAST(step AS BIGINT) AS step, round(loss, 6) AS loss, round(num_t
        round(exp(loss), 6) AS perplexity FROM s
 """)
 def s7_run_log_explode(spark, sf):
-    path = rp.fresh_path(spark, "run-logs")
+    path = scratch_path(spark, "run-logs")
     rp.write_logs(rp.logs_from_events(read_table(spark, sf, "events")), path)
     x = rp.explode_run_log(spark, path)
     return x.select("run_id", "step", *[r6(F.col(c)).alias(c) for c in

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.sequence import number_within
-from ..session import scratch_path
 
 REPORT_SCHEMA = T.StructType([
     T.StructField("task_id", T.StringType()),
@@ -35,6 +34,10 @@ LOG_SCHEMA = T.StructType([
 ])
 
 
+#: Lines of a run log in one JSON object.
+LOG_PART = 1000
+
+
 def reports_from_events(events: DataFrame) -> DataFrame:
     """One dry-run-shaped report per run (user): FAILED when the run logged an
     error, steps = events, elapsed = Σ value / 1000."""
@@ -63,38 +66,38 @@ def report_rollup(spark: SparkSession, path: str) -> DataFrame:
 
 
 def logs_from_events(events: DataFrame) -> DataFrame:
-    """One trainer-state-shaped log per (user, day): steps in (ts, event_id)
-    order, loss = value / 100, num_tokens = running Σ (k + 1)."""
+    """Trainer-state-shaped logs per (user, day): steps in (ts, event_id)
+    order, loss = value / 100, num_tokens = running Σ (k + 1). A log of more
+    than ``LOG_PART`` lines goes on in further parts, each an object of its own
+    with the last step it holds, so that no run is gathered whole."""
     run = F.concat(F.col("user_id").cast("string"), F.lit("_"), F.date_format("ts", "yyyyMMdd"))
     e = events.select(run.alias("run_id"), "ts", "event_id", (F.col("value") / 100.0).alias("loss"),
                       (F.get_json_object("props", "$.k").try_cast("long") + 1).alias("k"))
     # steps and running token counts per run without a per-run window task
     e = number_within(e, ["ts", "event_id"], ["run_id"], sums=["k"], pos_col="_pos")
     e = e.withColumn("step", (F.col("_pos") + 1).cast("long")).withColumn("num_tokens", F.col("cum_k").cast("double"))
-    return e.groupBy("run_id").agg(
+    return e.groupBy("run_id", F.floor(F.col("_pos") / LOG_PART).alias("_part")).agg(
         F.max("step").alias("global_step"),
-        F.array_sort(F.collect_list(F.struct("step", "loss", "num_tokens"))).alias("log_history"))
+        F.array_sort(F.collect_list(F.struct("step", "loss", "num_tokens"))).alias("log_history")).drop("_part")
 
 
 def explode_run_log(spark: SparkSession, path: str) -> DataFrame:
     """One row per logged step with tokens in the interval since the
-    previous log line and perplexity exp(loss)."""
+    previous log line and perplexity exp(loss).
+
+    Lines are paired with the line before by a numbering, not inside a run's
+    row: steps need not be contiguous, a run may lie in any number of objects,
+    and its length is not bounded. A first line counts from 0; a log without
+    lines gives no row."""
     logs = spark.read.schema(LOG_SCHEMA).json(path)
-    # a log is one row: its lines are sorted and paired with the line before
-    # inside the row (steps need not be contiguous)
-    lines = F.transform(F.array(F.array_sort("log_history")), lambda h: F.transform(h, lambda x, i: F.struct(
-        x["step"].alias("step"), x["loss"].alias("loss"), x["num_tokens"].alias("num_tokens"),
-        F.get(h, i - 1)["num_tokens"].alias("prev_num_tokens"))))[0]
-    prev = (logs.select("run_id", F.explode_outer(lines).alias("h")).where(F.col("h").isNotNull())
-            .select("run_id", "h.*"))
+    lines = (logs.select("run_id", F.explode_outer("log_history").alias("h")).where(F.col("h").isNotNull())
+             .select("run_id", "h.*"))
+    prev = number_within(lines, ["step"], ["run_id"], lags=["num_tokens"])
     return prev.select("run_id", "step", "loss", "num_tokens",
                        (F.col("num_tokens") - F.coalesce(F.col("prev_num_tokens"), F.lit(0.0))).alias("interval_tokens"),
                        F.exp("loss").alias("perplexity"))
 
 
 def write_logs(df: DataFrame, path: str) -> None:
+    """S7 sink: JSON, one object per line."""
     df.write.mode("overwrite").json(path)
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return scratch_path(spark, name)

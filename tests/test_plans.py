@@ -6,7 +6,8 @@ import __spark_entry__ as entry
 from conftest import SF0001
 from tessera.plans.catalog import QUERIES
 
-ALLOWED_PY = {"m11_text_edits_f05", "k5_bpe_encode"}  # alignment and merges in Arrow batches
+# alignment, merges, gram counts and blocks of vectors in Arrow batches
+ALLOWED_PY = {"m11_text_edits_f05", "k5_bpe_encode", "m6_chrf_plus_plus", "m35_soft_match"}
 
 
 def _plan(df):

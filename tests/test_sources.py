@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SF0001
 from tessera.operators import prepare as pp
 from tessera.session import scratch_path
+from tessera.sources import reports as rp
 from tessera.sources import tables as tb
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -75,3 +76,22 @@ def test_heads_run_no_job(spark):
     assert out.count() == 200 and both.agg(F.max("id")).first()[0] == 49 and both.count() == 50
     with pytest.raises(ValueError):
         pp.head(df, 10**6, ["id"])
+
+
+@pytest.mark.parametrize("part", [rp.LOG_PART, 2])
+def test_run_logs_in_parts(spark, monkeypatch, part):
+    monkeypatch.setattr(rp, "LOG_PART", part)
+    events = spark.createDataFrame(
+        [(i, 1 if i < 7 else 2, f"2024-01-01 00:00:{i // 2:02d}", 100.0 * i, f'{{"k": {i}}}') for i in range(9)],
+        "event_id long, user_id long, ts string, value double, props string").withColumn("ts", F.to_timestamp("ts"))
+    path = scratch_path(spark, "test-logs")
+    rp.write_logs(rp.logs_from_events(events), path)
+    assert spark.read.schema(rp.LOG_SCHEMA).json(path).count() == (2 if part > 9 else 5)
+    got = sorted((r.run_id, r.step, r.num_tokens, r.interval_tokens) for r in rp.explode_run_log(spark, path).collect())
+    want, held = [], {}
+    for i in range(9):
+        run = "1_20240101" if i < 7 else "2_20240101"
+        n, total = held.get(run, (0, 0.0))
+        held[run] = (n + 1, total + i + 1)
+        want.append((run, n + 1, total + i + 1, i + 1.0))
+    assert got == sorted(want)

@@ -1,6 +1,7 @@
 """Set/span/judgement metrics on hand-made rows."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,6 +83,43 @@ def test_soft_match_identity(spark):
     assert st.soft_match(df).first().f1 == pytest.approx(1.0)
 
 
+def _plain_soft_match(rows):
+    """Mean precision, recall and F1 over pairs, cell by cell."""
+    def cosine(a, b):
+        n = math.sqrt(sum(x * x for x in a) * sum(x * x for x in b))
+        return sum(x * y for x, y in zip(a, b)) / n if n else 0.0
+    scores = []
+    for p in sorted({r[0] for r in rows if r[0] is not None}):
+        c, r = ([x[3] for x in rows if x[0] == p and x[1] == s and x[3] is not None] for s in ("cand", "ref"))
+        if c and r:
+            pr, rc = (sum(max(cosine(a, b) for b in other) for a in one) / len(one) for one, other in ((c, r), (r, c)))
+            scores.append((pr, rc, 2 * pr * rc / (pr + rc) if pr + rc else 0.0))
+    return len(scores), [sum(x[k] for x in scores) / len(scores) for k in range(3)]
+
+
+@pytest.mark.parametrize("block", [st.VECTOR_BLOCK, 3])
+def test_soft_match_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(st, "VECTOR_BLOCK", block)
+    draw = random.Random(5)
+    vec = lambda: [float(draw.randint(-3, 3)) for _ in range(4)]
+    rows = [(1, draw.choice(("cand", "ref")), i, vec()) for i in range(40)]  # one pair of many blocks
+    rows += [(2, "cand", 100, vec()), (2, "ref", 101, [0.0] * 4), (3, "cand", 102, vec()), (4, "cand", 103, None), (4, "ref", 104, vec()),
+             (None, "cand", 105, vec()), (None, "ref", 106, vec()), (5, "cand", 107, vec()), (5, "ref", 108, vec()), (5, "ref", 109, None)]
+    df = spark.createDataFrame(rows, "pair_id int, side string, vec_id int, embedding array<double>")
+    got = st.soft_match(df).first()
+    n, means = _plain_soft_match(rows)
+    assert got.n_pairs == n == 3
+    assert [got.precision, got.recall, got.f1] == pytest.approx(means)
+    assert st.soft_match(df.limit(0)).first().n_pairs == 0
+
+
+def test_span_f1_reads_the_documents_once(spark):
+    rows = [(1, ["B-x", "I-x", "O", "B-y"], ["B-x", "I-x", "O", "B-x"]), (2, [], None), (3, None, ["B-y"]), (4, ["I-y"], ["B-y"])]
+    df = spark.createDataFrame(rows, "doc_id int, gold_tags array<string>, pred_tags array<string>")
+    out = {(r.scope, r.type): (r.tp, r.fp, r.fn) for r in st.span_f1_arrays(df).collect()}
+    assert out == {("type", "x"): (1, 1, 0), ("type", "y"): (1, 1, 1), ("micro", None): (2, 2, 1), ("macro", None): (2, 2, 1)}
+
+
 def test_clause_match(spark):
     df = spark.createDataFrame([("SELECT a, b FROM t WHERE x = 1 AND y = 2", "select b,a from t where y = 2 and x = 1"),
                                 ("SELECT a FROM t ORDER BY a", "SELECT a FROM t")], "g string, p string")

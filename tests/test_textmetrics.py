@@ -1,10 +1,15 @@
 """Text metrics: hand values and properties."""
 
 import math
+from collections import Counter
 
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tessera.operators import gramsets
 from tessera.operators import textmetrics as tm
 
 
@@ -68,12 +73,52 @@ def test_gulpease(spark):
 def test_gram_builders_agree(spark):
     df = spark.createDataFrame([("a bb c, d! e",), ("",), ("x",), ("àé ßü  ç",)], "t string")
     from tessera.functions.text import word_tokens
-    toks = df.select(word_tokens("t", lower=True).alias("w"), tm.squeeze(F.col("t")).alias("s")).collect()
+    toks = df.select(word_tokens("t", lower=True).alias("w")).collect()
     for r in toks:
         for n in range(1, 5):
             exp_w = [" ".join(r.w[i:i + n]) for i in range(len(r.w) - n + 1)]
             got_w = spark.createDataFrame([(r.w,)], "w array<string>").select(tm.word_grams(F.col("w"), n)).first()[0]
             assert got_w == exp_w
-            exp_c = [r.s[i:i + n] for i in range(len(r.s) - n + 1)]
-            got_c = spark.createDataFrame([(r.s,)], "s string").select(tm.char_grams(F.col("s"), n)).first()[0]
-            assert got_c == exp_c
+
+
+def _plain_overlaps(pairs, char_n, word_n):
+    """Sums per order by counting the grams of each pair."""
+    sums = {}
+    for c, r, cw, rw in pairs:
+        for a, b, offset, most in ((c or "", r or "", 0, char_n), (cw or [], rw or [], 100, word_n)):
+            for n in range(1, most + 1):
+                x, y = (Counter(tuple(t[i:i + n]) for i in range(len(t) - n + 1)) for t in (a, b))
+                row = sums.setdefault(offset + n, [0, 0, 0])
+                for k, v in enumerate(((x & y).total(), x.total(), y.total())):
+                    row[k] += v
+    return sums
+
+
+_text = st.text(alphabet="ab€𝄞", max_size=30) | st.none()
+_ids = st.lists(st.integers(-2**63, 2**63 - 1) | st.integers(0, 2), max_size=12) | st.none()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(_text, _text, _ids, _ids), max_size=12), st.integers(1, 60), st.integers(1, 5))
+def test_gram_overlaps_against_counters(pairs, symbols, rows):
+    schema = pa.schema([("c_text", pa.string()), ("r_text", pa.string()), ("c_words", pa.list_(pa.int64())), ("r_words", pa.list_(pa.int64()))])
+    table = pa.Table.from_pylist([dict(zip(schema.names, p)) for p in pairs], schema=schema)
+    before, gramsets.SYMBOLS = gramsets.SYMBOLS, symbols
+    try:
+        out = list(gramsets.gram_overlaps(6, 2)(iter(table.to_batches(max_chunksize=rows))))
+    finally:
+        gramsets.SYMBOLS = before
+    got = {r["n"]: [r["ov"], r["ct"], r["rt"]] for b in out for r in b.to_pylist()}
+    assert {n: v for n, v in got.items() if any(v)} == {n: v for n, v in _plain_overlaps(pairs, 6, 2).items() if any(v)}
+
+
+def test_pairs_without_grams_still_count(spark):
+    df = _pairs(spark, [(1, "a b", "a b", None), (2, None, "", None), (None, "a", "a", None), (4, "x y", "", None)])
+    assert tuple(tm.rouge_n(df, ["k"], "c", "r", 2).first()) == (4, pytest.approx(0.25))
+    assert tm.bleu(df, ["k"], "c", "r").first().bleu == 0.0  # no gram of order 4 anywhere
+    assert tm.sari(df.withColumnRenamed("r", "s").withColumn("r", F.col("s")), ["k"], "s", "c", "r").first().n == 4
+    assert tm.chrf(df, ["k"], "c", "r").first().n_orders >= 1
+    empty = df.limit(0)
+    assert tm.chrf(empty, ["k"], "c", "r").first().chrf == 0.0
+    assert tm.rouge_n(empty, ["k"], "c", "r", 1).first().n_pairs == 0
+    assert tm.token_f1(empty, ["k"], "c", ["r"]).first().n == 0
