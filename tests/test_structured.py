@@ -113,7 +113,7 @@ def test_soft_match_blocks(spark, monkeypatch, block):
     assert st.soft_match(df.limit(0)).first().n_pairs == 0
 
 
-def test_span_f1_reads_the_documents_once(spark):
+def test_span_f1_of_missing_and_empty_tags(spark):
     rows = [(1, ["B-x", "I-x", "O", "B-y"], ["B-x", "I-x", "O", "B-x"]), (2, [], None), (3, None, ["B-y"]), (4, ["I-y"], ["B-y"])]
     df = spark.createDataFrame(rows, "doc_id int, gold_tags array<string>, pred_tags array<string>")
     out = {(r.scope, r.type): (r.tp, r.fp, r.fn) for r in st.span_f1_arrays(df).collect()}
