@@ -7,10 +7,10 @@ segments (opening marker, escaped text, closing marker) with a loss flag each.
 Control strings inside texts are broken up by an escape that is undone when
 the output is read back.
 
-Turns pass through a task one batch at a time, sorted inside their
-conversation; a task holds the machine's state, never a conversation, so a
-conversation of any length takes bounded memory. Its digests are sequential by
-definition: they are made by the one task that its rows stream through.
+A numbering gives every turn its place and the role before it, so turns are
+formatted wherever they lie, one batch at a time. Only the digests of a
+conversation are sequential by definition: they are made by the one task that
+its rows stream through, in bounded memory.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.sequence import number_within
 from .common import saved
 
 #: Role -> (opening marker, closing marker, text counts for the loss).
@@ -74,19 +75,15 @@ def parse(piece: str) -> tuple[str, str]:
 
 
 def _format(batches):
-    conv, state, seq, first = None, "start", 0, True
     for batch in batches:
         out = {"conv_id": [], "seq": [], "role": [], "error": [], "segments": []}
-        for c, role, text in zip(*(batch.column(k).to_pylist() for k in ("conv_id", "role", "text"))):
+        for c, seq, before, role, text in zip(*(batch.column(k).to_pylist() for k in ("conv_id", "seq", "before", "role", "text"))):
             role, text = role or "", text or ""
-            if first or c != conv:
-                conv, state, seq, first = c, "start", 0, False
             out["conv_id"].append(c)
             out["seq"].append(seq)
             out["role"].append(role)
-            out["error"].append(step(state, role))
+            out["error"].append(step(before, role))
             out["segments"].append([{"text": t, "loss": x} for t, x in segments(role, text)])
-            state, seq = role, seq + 1
         yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
             ("conv_id", pa.int64()), ("seq", pa.int64()), ("role", pa.string()), ("error", pa.string()),
             ("segments", pa.list_(pa.struct([("text", pa.string()), ("loss", pa.bool_())])))]))
@@ -101,11 +98,15 @@ def format_chat(conversations: DataFrame) -> DataFrame:
     the machine found wrong with the order at this turn, else it is null; the
     turn is formatted all the same and the machine goes on from its role. An
     empty table gives no rows; other columns are not read.
+
+    The machine's state is the role before, which a numbering hands to every
+    turn; so a conversation is formatted by as many tasks as its rows lie in.
     """
     turns = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", F.col("role").cast("string").alias("role"),
                                  F.col("text").cast("string").alias("text"))
-    ordered = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return ordered.select("conv_id", "role", "text").mapInArrow(_format, SEGMENTS)
+    placed = number_within(turns, ["turn", "role", "text"], ["conv_id"], pos_col="seq", lags=["role"])
+    before = F.when(F.col("seq") == 0, "start").otherwise(F.coalesce("prev_role", F.lit("")))
+    return placed.select("conv_id", "seq", before.alias("before"), "role", "text").mapInArrow(_format, SEGMENTS)
 
 
 class _Digest:

@@ -54,3 +54,20 @@ def test_errors_and_empty(spark):
     got = {r.seq: r.error for r in format_chat(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == {0: None, 1: None, 2: "user after user", 3: None}
     assert formatted_and_back(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_long_conversation_is_formatted_in_many_tasks(spark):
+    roles = ["user", "assistant", "user", None, "system", ""]
+    rows = [(c, t // 2, roles[(t * t + c) % 6], "turn") for c in (5, None) for t in range(3000)]
+    turns = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    got = {(r.conv_id, r.seq): (r.role, r.error) for r in format_chat(turns).collect()}
+    want = {}
+    for c in (5, None):
+        state = "start"
+        kept = sorted((r for r in rows if r[0] == c), key=lambda r: (r[1], r[2] is not None, r[2] or ""))
+        for i, r in enumerate(kept):
+            role = r[2] or ""
+            want[c, i] = (role, step(state, role))
+            state = role
+    assert got == want
+    assert format_chat(turns).withColumn("task", F.spark_partition_id()).where("conv_id = 5").select("task").distinct().count() > 1
