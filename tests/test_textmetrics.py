@@ -122,3 +122,33 @@ def test_pairs_without_grams_still_count(spark):
     assert tm.chrf(empty, ["k"], "c", "r").first().chrf == 0.0
     assert tm.rouge_n(empty, ["k"], "c", "r", 1).first().n_pairs == 0
     assert tm.token_f1(empty, ["k"], "c", ["r"]).first().n == 0
+
+
+_WORDS = [None, "", "a", "a a a b", "a b a b a b", "b a, b a!", "x y z", "a" * 40 + " b a b", "a a a b b b b"]
+
+
+def test_gram_sums_against_counters(spark):
+    rows = [(i % 23 if i % 7 else None, _WORDS[i % 9], _WORDS[i * 5 % 8], _WORDS[i // 9 % 9]) for i in range(81)]  # keys repeat and are null
+    df = spark.createDataFrame(rows, "k int, h string, r string, s string")
+    tokens = {c: tm.word_tokens(F.col(c), lower=True) for c in "hrs"}
+    got = tm.gram_sums(df, ["k"], tokens, [1, 2, 3], {
+        "hr": lambda h, r, s: F.least(h, r), "pen": lambda h, r, s: F.greatest(F.lit(0), F.least(h, s) - F.least(h, r)),
+        "h": lambda h, r, s: h, "sets": lambda h, r, s: (h > 0) & (s == 0)}).collect()
+    want = {}
+    for k, *toks in df.select("k", *tokens.values()).collect():
+        for n in (1, 2, 3):
+            for c, t in zip(want.setdefault((k, n), [Counter(), Counter(), Counter()]), toks):
+                c.update(tuple(t[i:i + n]) for i in range(len(t) - n + 1))
+    assert {(x.k, x.n): (x.hr, x.pen, x.h, x.sets) for x in got} == {
+        at: ((h & r).total(), ((h & s) - (h & r)).total(), h.total(), len(set(h) - set(s))) for at, (h, r, s) in want.items()}
+    assert len(got) == len(want)
+
+
+def test_grams_are_counted_inside_the_row_of_the_pair(spark):
+    df = spark.createDataFrame([(1, "a b c", "a b", "c"), (2, "a", None, "b")], "k int, h string, r string, s string")
+    jobs = {"bleu": tm.bleu(df, ["k"], "h", "r"), "rouge": tm.rouge_n(df, ["k"], "h", "r", 2), "f1": tm.token_f1(df, ["k"], "h", ["r", "s"]),
+            "ibleu": tm.ibleu(df, ["k"], "h", "r", "s"), "gleu": tm.gleu_plus(df, ["k"], "h", "r", "s"), "sari": tm.sari(df, ["k"], "s", "h", "r")}
+    for name, job in jobs.items():
+        plan = job._jdf.queryExecution().optimizedPlan().toString()
+        assert "explode" not in plan, name  # no row per gram
+        assert plan.count("collect_list") == 1, name  # the pairs are read and counted once
