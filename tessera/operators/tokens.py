@@ -2,18 +2,18 @@
 
 K1-K3 and K6-K8 are column expressions and aggregations. K4 (BPE training)
 works on the table of distinct words, so the corpus size only matters once
-(K2): a pass reads from an inverted index the words that a merge can change
-and returns the change of the pair counts. K5 encodes words inside the
+(K2): a pass merges the words a batch at a time as one array and returns the
+change of the pair counts. K5 encodes words inside the
 partitions that hold them (Arrow batches) with the merge list in the closure;
 its size is bounded by the vocabulary size, not by the data.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Sequence
 from heapq import heapify, heappop, heappush, nsmallest
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,23 +68,8 @@ def merge_pair(symbols: Column, left: str, right: str) -> Column:
 KNOWN_PAIRS = 200_000
 #: Merges tried in one pass, at most.
 MOST_TRIED = 32
-
-
-def _in_order(merges: Sequence[tuple[str, str]]):
-    """word -> symbols after every merge, one after the other. Where no two
-    merges make the same symbol, that is what the lowest rank first gives."""
-    if len({a + b for a, b in merges}) == len(merges):
-        ranks = {m: i for i, m in enumerate(merges)}
-        return lambda word: merge_word(word, ranks)
-
-    def each(word: str) -> list[str]:
-        symbols = list(word)
-        for a, b in merges:
-            if a + b in word:
-                symbols = _merged(symbols, a, b)
-        return symbols
-
-    return each
+#: Merges after which the words are written anew, so that a pass repeats few.
+WRITE_EVERY = 48
 
 
 def merge_word(word: str, ranks: dict[tuple[str, str], int]) -> list[str]:
@@ -131,72 +116,138 @@ def _merged(symbols: list[str], left: str, right: str) -> list[str]:
     return out
 
 
-def _pairs_of(merges):
-    """Arrow pass: pair counts of words under ``merges``, summed in the task."""
+def _packed(symbols: np.ndarray, lengths: np.ndarray, freqs: np.ndarray, kind: str) -> pa.RecordBatch:
+    """The words of a batch in one row: their symbols as one array with -1
+    before, between and after them, and their frequencies."""
+    ends = np.cumsum(lengths + 1)
+    flat = np.full(ends[-1] + 1 if len(ends) else 1, -1, dtype=kind)
+    inside = np.ones(len(flat), dtype=bool)
+    inside[0] = False
+    inside[ends] = False
+    flat[inside] = symbols
+    return pa.RecordBatch.from_arrays([pa.array([flat.tobytes()], type=pa.binary()), pa.array([freqs.astype(np.int64).tobytes()], type=pa.binary())],
+                                      names=["symbols", "freqs"])
+
+
+def _merge_flat(flat: np.ndarray, weights: np.ndarray, a: int, b: int, new: int):
+    """One merge in all words of a batch, left to right. Returns the arrays
+    after it and the places of the merges, before and after (None: nowhere)."""
+    hits = np.flatnonzero((flat[:-1] == a) & (flat[1:] == b))
+    if not len(hits):
+        return flat, weights, None, None
+    if a == b:  # in a row of equal symbols every second pair
+        first = np.concatenate([[True], hits[1:] != hits[:-1] + 1])
+        start = np.maximum.accumulate(np.where(first, np.arange(len(hits)), 0))
+        hits = hits[(np.arange(len(hits)) - start) % 2 == 0]
+    kept = np.ones(len(flat), dtype=bool)
+    kept[hits + 1] = False
+    after = flat.copy()
+    after[hits] = new
+    return after[kept], weights[kept], hits, hits - np.arange(len(hits))
+
+
+class _PairSums:
+    """Sums of (step, left, right), each one number, added up in pieces."""
+
+    def __init__(self):
+        self.keys, self.sums, self.held = [], [], 0
+
+    def add(self, step: int, flat: np.ndarray, weights: np.ndarray, places: np.ndarray, sign: int = 1) -> None:
+        """The pairs of symbols at ``places`` and after."""
+        left, right = flat[places].astype(np.int64), flat[places + 1].astype(np.int64)
+        real = (left >= 0) & (right >= 0)
+        self._hold((step << 48) | (left[real] << 24) | right[real], sign * weights[places[real]])
+        if self.held > 2_000_000:
+            self.total()
+
+    def _hold(self, keys: np.ndarray, sums: np.ndarray) -> None:
+        if len(keys):
+            order = np.argsort(keys, kind="stable")
+            keys = keys[order]
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            self.keys.append(keys[first])
+            self.sums.append(np.add.reduceat(sums[order], first))
+            self.held += len(first)
+
+    def total(self) -> pa.RecordBatch:
+        keys, sums = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (self.keys, self.sums))
+        self.keys, self.sums, self.held = [], [], 0
+        self._hold(keys, sums)
+        keys, sums = (x[0] if x else np.zeros(0, dtype=np.int64) for x in (self.keys, self.sums))
+        self.held = 0  # what is summed up does not count
+        changed = sums != 0
+        keys = keys[changed]
+        return pa.RecordBatch.from_arrays([pa.array((keys >> 48).astype(np.int32)), pa.array(((keys >> 24) & 0xFFFFFF).astype(np.int32)),
+                                           pa.array((keys & 0xFFFFFF).astype(np.int32)), pa.array(sums[changed])], names=["step", "left", "right", "count"])
+
+
+_PAIR_SCHEMA = "step int, left int, right int, count long"
+_STATE_SCHEMA = "symbols binary, freqs binary"
+
+
+def _read_state(batches, merges, kind: str):
+    """The words of each row after ``merges``, and beside each symbol the frequency of its word."""
+    for batch in batches:
+        for symbols, freqs in zip(batch.column("symbols"), batch.column("freqs")):
+            flat = np.frombuffer(symbols.as_buffer(), dtype=kind)
+            weights = np.append(0, np.repeat(np.frombuffer(freqs.as_buffer(), dtype=np.int64), np.diff(np.flatnonzero(flat < 0))))
+            for m in merges:
+                flat, weights, _, _ = _merge_flat(flat, weights, *m)
+            yield flat, weights
+
+
+def _characters(alphabet: Sequence[str], kind: str):
+    """Arrow pass: words to the numbers of their characters in the alphabet (sorted), a row for each batch."""
+    points = np.array([ord(c) for c in alphabet], dtype=np.uint32)
+
     def run(batches):
-        symbols_after, total = _in_order(merges), Counter()
         for batch in batches:
-            for word, freq in zip(batch.column("word").to_pylist(), batch.column("freq").to_pylist()):
-                symbols = symbols_after(word)
-                for p in zip(symbols, symbols[1:]):
-                    total[p] += freq
-        yield _pair_rows({(0, *p): c for p, c in total.items()})
+            words = batch.column("word").to_pylist()
+            flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+            yield _packed(np.searchsorted(points, flat), np.array([len(w) for w in words], dtype=np.int64),
+                          batch.column("freq").to_numpy(zero_copy_only=False), kind)
 
     return run
 
 
-def _pair_rows(total: dict) -> pa.RecordBatch:
-    cols = list(zip(*((step, left, right, c) for (step, left, right), c in total.items() if c))) or [()] * 4
-    types = [pa.int32(), pa.string(), pa.string(), pa.int64()]
-    return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, types)], names=["step", "left", "right", "count"])
-
-
-_PAIR_SCHEMA = "step int, left string, right string, count long"
+def _merged_state(merges, kind: str):
+    """Arrow pass: the words after ``merges``; those of one symbol are left out, as they hold no pair."""
+    def run(batches):
+        for flat, weights in _read_state(batches, merges, kind):
+            ends = np.flatnonzero(flat < 0)
+            lengths, freqs = np.diff(ends) - 1, weights[ends[1:]]
+            kept = lengths > 1
+            yield _packed(flat[flat >= 0][np.repeat(kept, lengths)], lengths[kept], freqs[kept], kind)
 
+    return run
 
-def _changes_of(merges, tried):
-    """Arrow pass over index rows: how each merge of ``tried``, applied after
-    ``merges`` and those before it, changes the pair counts."""
-    texts = [a + b for a, b in tried]
-    edges = [a[-1] + b[0] for a, b in tried]
 
+def _pairs_of(merges, kind: str):
+    """Arrow pass: pair counts of the words under ``merges``, summed in the task."""
     def run(batches):
-        symbols_after, total = _in_order(merges), Counter()
-        for batch in batches:
-            for edge, word, freq in zip(*(batch.column(c).to_pylist() for c in ("edge", "word", "freq"))):
-                steps = [k for k, t in enumerate(texts) if t in word]
-                if not steps or edges[steps[0]] != edge:  # a word is looked at under one of its index rows
-                    continue
-                symbols = symbols_after(word)
-                for k in steps:
-                    new = _merged(symbols, *tried[k])
-                    if len(new) == len(symbols):
-                        continue
-                    for p in zip(symbols, symbols[1:]):
-                        total[k, *p] -= freq
-                    for p in zip(new, new[1:]):
-                        total[k, *p] += freq
-                    symbols = new
-        yield _pair_rows(total)
+        sums = _PairSums()
+        for flat, weights in _read_state(batches, merges, kind):
+            sums.add(0, flat, weights, np.arange(len(flat) - 1))
+        yield sums.total()
 
     return run
 
 
-def edge_index(words: DataFrame) -> DataFrame:
-    """Inverted index (edge, word, freq): every word under each two characters
-    that stand side by side in it, sorted by them and written once. A word that
-    holds symbols a and b side by side lies under a's last and b's first
-    character, whatever has been merged, so the index is never rewritten, and
-    readers skip the row groups of other edges."""
-    spark = words.sparkSession
-    w = F.col("word")
-    edges = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(w) - 1), lambda i: F.substring(w, i, F.lit(2))))
-    rows = words.where(F.length(w) >= 2).select("word", "freq", F.explode_outer(edges).alias("edge")).where(F.col("edge").isNotNull())
-    parts = 4 * spark.sparkContext.defaultParallelism
-    path = scratch_path(spark, "bpe_index")
-    rows.repartitionByRange(parts, "edge", "word").sortWithinPartitions("edge", "word").select("edge", "word", "freq") \
-        .write.option("parquet.block.size", 1 << 20).parquet(path)
-    return spark.read.parquet(path)
+def _changes_of(merges, tried, kind: str):
+    """Arrow pass: how each merge of ``tried``, applied after ``merges`` and
+    those before it, changes the pair counts: only pairs at a merged place do."""
+    def run(batches):
+        sums = _PairSums()
+        for flat, weights in _read_state(batches, merges, kind):
+            for step, m in enumerate(tried):
+                after, weights_after, old, new = _merge_flat(flat, weights, *m)
+                if old is not None:
+                    sums.add(step, flat, weights, np.unique(np.concatenate([old - 1, old, old + 1])), -1)
+                    sums.add(step, after, weights_after, np.unique(np.concatenate([new - 1, new])))
+                flat, weights = after, weights_after
+        yield sums.total()
+
+    return run
 
 
 def _summed(rows: DataFrame) -> DataFrame:
@@ -213,26 +264,47 @@ def train_bpe(words: DataFrame, vocab_size: int = BPE_VOCAB_SIZE,
 
     Pair counts are kept on the driver (the ``known_pairs`` most frequent pairs
     of characters, and all pairs with a merged symbol) and change by
-    differences: a pass takes the pairs that lead the counts, reads from an
-    inverted index only the words that can hold one of them, merges them one
-    after the other, and returns the change of every pair count by each merge.
-    The driver replays the merges while each is indeed the leading pair; the
-    rest of the pass is void. Words are merged anew from the list of merges, so
-    there is no state but that list, and a lost executor loses nothing. If the
-    lead falls to the count of a pair that was left out, all pairs are counted
-    again. Returns (vocab, merges), both bounded by ``vocab_size``."""
+    differences: a pass takes the pairs that lead the counts, merges them one
+    after the other in all words, an Arrow batch of words at a time as one
+    array, and returns the change of every pair count by each merge. The driver
+    replays the merges while each is indeed the leading pair; the rest of the
+    pass is void. A pass repeats the merges since the words were last written
+    (``WRITE_EVERY``) and keeps no state, so a lost executor loses nothing. If
+    the lead falls to the count of a pair that was left out, all pairs are
+    counted again. Returns (vocab, merges), both bounded by ``vocab_size``."""
     spark = words.sparkSession
     path = scratch_path(spark, "bpe_words")
     words.select("word", "freq").write.parquet(path)
     words = spark.read.parquet(path)
-    index = edge_index(words)
     alphabet = sorted(r["c"] for r in words.select(F.explode(symbols_of(F.col("word"))).alias("c")).distinct().collect())
     vocab = list(special) + [c for c in alphabet if c not in special]
     merges: list[tuple[str, str]] = []
+    # symbols are numbered by their text: one that two merges make is one symbol
+    letters = sorted(c for c in alphabet if c)
+    symbols = list(letters)
+    number = {c: i for i, c in enumerate(symbols)}
+
+    # a pass makes one merge at least and tries no more than MOST_TRIED
+    kind = "<i2" if len(letters) + (MOST_TRIED + 1) * vocab_size < 1 << 15 else "<i4"
+
+    def numbered(pairs) -> list[tuple[int, int, int]]:
+        for a, b in pairs:
+            if a + b not in number:
+                number[a + b] = len(symbols)
+                symbols.append(a + b)
+        return [(number[a], number[b], number[a + b]) for a, b in pairs]
+
+    def written(rows: DataFrame) -> DataFrame:
+        at = scratch_path(spark, "bpe_state")
+        rows.write.parquet(at)
+        return spark.read.parquet(at)
+
+    state = written(words.where(F.length("word") >= 2).mapInArrow(_characters(letters, kind), _STATE_SCHEMA))
+    n_written = 0
 
     def counted(most: int) -> tuple[dict, int]:
-        top = _summed(words.mapInArrow(_pairs_of(list(merges)), _PAIR_SCHEMA)).orderBy(F.col("count").desc(), "left", "right").limit(most + 1).collect()
-        return {(r["left"], r["right"]): r["count"] for r in top[:most]}, (top[most]["count"] if len(top) > most else 0)
+        top = _summed(state.mapInArrow(_pairs_of(numbered(merges[n_written:]), kind), _PAIR_SCHEMA)).orderBy(F.col("count").desc(), "left", "right").limit(most + 1).collect()
+        return {(symbols[r["left"]], symbols[r["right"]]): r["count"] for r in top[:most]}, (top[most]["count"] if len(top) > most else 0)
 
     def leading(n: int) -> list:
         return nsmallest(n, counts.items(), key=lambda x: (-x[1], x[0]))
@@ -248,11 +320,12 @@ def train_bpe(words: DataFrame, vocab_size: int = BPE_VOCAB_SIZE,
         if not best:
             break
         tried = [p for p, c in best if c > left_out]
-        edges = sorted({a[-1] + b[0] for a, b in tried})
-        rows = index.where(F.col("edge").isin(edges))
+        if len(merges) - n_written >= WRITE_EVERY:
+            state = written(state.mapInArrow(_merged_state(numbered(merges[n_written:]), kind), _STATE_SCHEMA))
+            n_written = len(merges)
         changes: dict[int, list] = {}
-        for r in _summed(rows.mapInArrow(_changes_of(list(merges), tried), _PAIR_SCHEMA)).collect():
-            changes.setdefault(r["step"], []).append(((r["left"], r["right"]), r["count"]))
+        for r in _summed(state.mapInArrow(_changes_of(numbered(merges[n_written:]), numbered(tried), kind), _PAIR_SCHEMA)).collect():
+            changes.setdefault(r["step"], []).append(((symbols[r["left"]], symbols[r["right"]]), r["count"]))
         done = 0
         for k, pair in enumerate(tried):
             if done and leading(1)[0][0] != pair:

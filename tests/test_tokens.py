@@ -1,7 +1,9 @@
 """Tokens, BPE and packing."""
 
 import time
+from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -103,3 +105,35 @@ def test_packed_blocks_join_to_the_stream(spark):
             again.setdefault(e.id, []).extend(b.tokens[e.start:e.stop])
     assert again == {i: [*(t or []), -1] for i, t in rows}
     assert tk.pack_blocks(df.where("id < 0"), "ids", 16, ["id"], -1).count() == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.integers(0, 2), max_size=12), st.integers(1, 5)), max_size=8), st.lists(st.tuples(st.integers(0, 4), st.integers(0, 4)), min_size=1, max_size=3))
+def test_merges_of_a_batch_equal_merges_of_words(words, pairs):
+    tried = [(a, b, 3 + k) for k, (a, b) in enumerate(pairs)]
+    flat = np.concatenate([[0], *[[*w, 0] for w, _ in words]]).astype("<i2")
+    batch = tk._packed(np.array([x for w, _ in words for x in w], dtype=np.int64), np.array([len(w) for w, _ in words], dtype=np.int64),
+                       np.array([f for _, f in words], dtype=np.int64), "<i2")
+    assert len(np.frombuffer(batch.column("symbols")[0].as_py(), "<i2")) == len(flat)
+    got = {(r["step"], r["left"], r["right"]): r["count"] for b in tk._changes_of([], tried, "<i2")([batch]) for r in b.to_pylist()}
+    want = Counter()
+    for w, f in words:
+        symbols = [chr(97 + x) for x in w]
+        for k, (a, b, new) in enumerate(tried):
+            merged, i = [], 0
+            while i < len(symbols):
+                hit = symbols[i:i + 2] == [chr(97 + a), chr(97 + b)]
+                merged.append(chr(97 + new) if hit else symbols[i])
+                i += 1 + hit
+            for p, sign in ((symbols, -f), (merged, f)):
+                for x, y in zip(p, p[1:]):
+                    want[k, ord(x) - 97, ord(y) - 97] += sign
+            symbols = merged
+    assert got == {k: c for k, c in want.items() if c}
+
+
+def test_words_written_anew_give_the_same_merges(spark, monkeypatch):
+    words = tk.word_counts(spark.createDataFrame([("the cat and the hat then there were three banana bandana aaaa aa a",)], "text string"))
+    want = tk.train_bpe_reference(words, vocab_size=45)
+    monkeypatch.setattr(tk, "WRITE_EVERY", 3)
+    assert tk.train_bpe(words, vocab_size=45) == want
