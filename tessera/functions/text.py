@@ -31,8 +31,11 @@ def let(value: Column, body) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """Remove all leading/trailing white space (``trim`` removes blanks only)."""
-    return F.regexp_replace(_c(c), r"^\s+|\s+$", "")
+    """Remove all leading/trailing white space (``trim`` removes blanks only).
+
+    White space inside the text is tried once a run, from its first character
+    and without a way back: a long run takes no longer than its length."""
+    return F.regexp_replace(_c(c), r"^\s++|(?<!\s)\s++$", "")
 
 
 def null_to_empty(c: Column | str) -> Column:

@@ -1,5 +1,7 @@
 """Prompt rendering and label decoding on hand-made rows."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from tessera.functions import prompts as pr
@@ -73,3 +75,16 @@ def test_option_labels_do_not_wrap(spark):
     some = [0, 25, 26, 701, 702, 18277, 18278, 475253, 475254, 475255, 12356629, 12356630, 2**31 - 1]
     df = spark.createDataFrame([(n,) for n in some], "id int")
     assert [r[0] for r in df.select(pr.option_label(F.col("id"))).collect()] == [label(n) for n in some]
+
+
+def test_strip_equals_the_plain_pattern_and_takes_long_runs(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.functions.text import strip
+    texts = [a + m + b for a in ("", " ", "\n\t ", "\u2028") for m in ("", "x", "x  y", "\u0085", "x\r\ny", "\u00a0") for b in ("", " ", "\n", " \r\n", " \u2028", "\u0085 ", "\x0b\f", " \n\u2029")]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    assert all(r.a == r.b for r in df.select(strip("t").alias("a"), F.regexp_replace("t", r"^\s+|\s+$", "").alias("b")).collect())
+    long = spark.range(1).select(F.concat(F.lit("a"), F.repeat(F.lit(" "), 300_000), F.lit("b")).alias("t"))
+    start = time.time()
+    assert long.select(F.length(strip("t"))).first()[0] == 300_002
+    assert time.time() - start < 20
