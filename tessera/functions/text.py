@@ -35,7 +35,7 @@ def strip(c: Column | str) -> Column:
 
     White space inside the text is tried once a run, from its first character
     and without a way back: a long run takes no longer than its length."""
-    return F.regexp_replace(_c(c), r"^\s++|(?<!\s)\s++$", "")
+    return F.regexp_replace(_c(c), r"^\s++|\s(?<!\s\s)\s*+$", "")
 
 
 def null_to_empty(c: Column | str) -> Column:

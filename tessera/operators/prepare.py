@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.prompts import render_inference, render_inputs, render_prompt
-from ..functions.text import decode_label, decode_passthrough, first_nonempty, first_present, null_to_empty, strip
+from ..functions.text import decode_label, decode_passthrough, first_nonempty, first_present, null_to_empty
 from ..registry import (FALLBACK_EVALUATION, FALLBACK_TEST, FALLBACK_VALIDATION, NEUTRAL_WORD, SENTIPOLC_LABELS, SST2_LABELS,
                         STARS_TO_SENTIMENT, Task, get_task)
 from .sequence import number_within
@@ -55,7 +55,7 @@ def resolve_input(df: DataFrame, task: Task) -> Column:
     if task.input_col not in df.columns:
         return first
     text = as_text(df, task.input_col, "input")
-    return F.when(strip(text) == "", first).otherwise(text)
+    return F.when(~text.rlike(r"\S"), first).otherwise(text)  # ends at the first character that is no white space
 
 
 def resolve_label(df: DataFrame, task: Task) -> Column:
