@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from heapq import heapify, heappop, heappush, nsmallest
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -368,14 +369,17 @@ def train_bpe_reference(words: DataFrame, vocab_size: int = BPE_VOCAB_SIZE,
 REMEMBERED_WORDS = 200_000
 #: A longer word is encoded each time.
 LONGEST_REMEMBERED = 64
+#: Words of a batch that are encoded at a time; one longer text is taken alone.
+WORDS_AT_A_TIME = 500_000
 
 
 def bpe_encode(df: DataFrame, text: str, vocab: Sequence[str], merges: Sequence[tuple[str, str]],
                keep: Sequence[str] = ("id",), unk_token: str = "[UNK]") -> DataFrame:
     """K5: text → token ids (unknown symbols → [UNK]). Words are encoded in
     the partition that holds the row, so no token is shuffled; a task remembers
-    a bounded number of words. The merge list travels in the closure (bounded
-    by the vocabulary). A null or empty text has no ids."""
+    a bounded number of words, looks each distinct word of some texts up once and
+    puts the ids of all together as arrays. The merge list travels in the closure
+    (bounded by the vocabulary). A null or empty text has no ids."""
     ranks = {tuple(m): i for i, m in enumerate(merges)}
     ids = {t: i for i, t in enumerate(vocab)}
     unk = ids[unk_token]
@@ -395,9 +399,28 @@ def bpe_encode(df: DataFrame, text: str, vocab: Sequence[str], merges: Sequence[
                     known[word] = got
             return got
 
+        def of_texts(texts: pa.ListArray) -> pa.ListArray:
+            n_words = texts.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            words = texts.flatten().dictionary_encode()
+            each = [encoded(w) for w in words.dictionary.to_pylist()]
+            n_ids = np.array([len(x) for x in each], dtype=np.int64)
+            all_ids = np.fromiter(chain.from_iterable(each), dtype=np.int32, count=int(n_ids.sum()))
+            place = words.indices.to_numpy(zero_copy_only=False)
+            n = n_ids[place]
+            ends = np.append(0, np.cumsum(n))
+            # every word takes its stretch of ``all_ids``
+            at = np.arange(ends[-1]) + np.repeat((np.cumsum(n_ids) - n_ids)[place] - ends[:-1], n)
+            cuts = ends[np.append(0, np.cumsum(n_words))]
+            return pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(all_ids[at]))
+
         for batch in batches:
-            out = [[i for w in words or () for i in encoded(w)] for words in batch.column("_w").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(out, type=pa.list_(pa.int32()))], names=[*keep, "ids"])
+            held = np.append(0, np.cumsum(batch.column("_w").value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)))
+            lo = 0
+            while lo < batch.num_rows:
+                hi = max(lo + 1, int(np.searchsorted(held, held[lo] + WORDS_AT_A_TIME, side="right")) - 1)
+                part = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), of_texts(part.column("_w"))], names=[*keep, "ids"])
+                lo = hi
 
     fields = [f for f in base.schema.fields if f.name in keep] + [T.StructField("ids", T.ArrayType(T.IntegerType()))]
     return base.mapInArrow(run, T.StructType(fields))

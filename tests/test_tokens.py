@@ -137,3 +137,14 @@ def test_words_written_anew_give_the_same_merges(spark, monkeypatch):
     want = tk.train_bpe_reference(words, vocab_size=45)
     monkeypatch.setattr(tk, "WRITE_EVERY", 3)
     assert tk.train_bpe(words, vocab_size=45) == want
+
+
+def test_texts_in_pieces_give_the_ids_of_their_words(spark, monkeypatch):
+    texts = ["the cat and the hat", None, "", "zz the", "a" * 70 + " a", "the " * 40, "banana bandana \U0001d11e", "  "]
+    df = spark.createDataFrame([(i, texts[i % 8]) for i in range(40)], "id int, text string")
+    vocab, merges = tk.train_bpe(tk.word_counts(df.where("id not in (3, 6)")), vocab_size=30)
+    ranks, ids = {m: i for i, m in enumerate(merges)}, {t: i for i, t in enumerate(vocab)}
+    want = {r.id: [ids.get(s, 0) for w in r.w for s in tk.merge_word(w, ranks)] for r in df.select("id", word_tokens("text").alias("w")).collect()}
+    for most in (3, 500_000):
+        monkeypatch.setattr(tk, "WORDS_AT_A_TIME", most)
+        assert {r.id: r.ids for r in tk.bpe_encode(df.coalesce(1), "text", vocab, merges).collect()} == want
