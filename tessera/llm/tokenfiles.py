@@ -12,6 +12,7 @@ is that number plus the ids of the earlier files (one row per file).
 from __future__ import annotations
 
 import json
+import re
 import sys
 import types
 import zlib
@@ -19,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,8 +32,17 @@ SCHEMA = "doc_id long, tie long, start_in_file long, n_tokens long, ids array<in
 REMEMBER = 400_000
 #: Longer words are encoded each time.
 LONG_WORD = 48
-#: Marks that may end a word.
-MARKS = ".,;:!?#$%&*|"
+#: Words encoded by parts: printable ASCII but "<", with which added tokens start, and the letters of Latin-1, each
+#: of which is one letter after the steps before the merges, whatever stands beside it.
+TAKEN = re.compile("[!-;=-~À-ÖØ-öø-ÿ]+")
+#: The parts of such a word in lower case: ``SPLITS`` for these characters.
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+#: Marks before which a word may end: bytes of the marks, of A-Z and "\n" folded, of letters and digits, and of the
+#: second half of a letter of ``TAKEN`` whose first half is 0xC3.
+MARK_BYTES = bytes(c in b".,;:!?#$%&*|" for c in range(256))
+FOLD_BYTES = bytes(c + 32 if 65 <= c <= 90 else 32 if c == 10 else c for c in range(256))
+ALNUM = np.array([c < 128 and chr(c).isalnum() for c in range(256)])
+HALF = np.array([0x80 <= c <= 0xBF and c not in (0x97, 0xB7) for c in range(256)])
 #: Steps before the merges for which words are encoded by parts and in lower case, as the library writes them: fixed values.
 NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
 SPLITS = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
@@ -45,19 +56,11 @@ def worker_state(name: str) -> dict:
 
 
 class _Words(dict):
-    """Ids of words, and of the generation before. A word that neither has
-    gets an empty cell, which is filled once the batch is looked up."""
+    """Ids of words, and of the generation before."""
 
     def __init__(self, old: dict | None = None):
         super().__init__()
-        self.old, self.fresh = old or {}, {}
-
-    def __missing__(self, word: str) -> bytes | bytearray:
-        ids = self.old.get(word)
-        if ids is None:
-            ids = self.fresh[word] = bytearray()
-        self[word] = ids
-        return ids
+        self.old = old or {}
 
 
 class WordEncoder:
@@ -65,19 +68,21 @@ class WordEncoder:
 
     Valid for tokenizers that remove white space before their merges, so that
     no token crosses a blank or a line end: then the ids of a text are those
-    of its words. Each distinct word goes through the library once while it is
-    remembered; memory is bounded by ``REMEMBER`` words.
+    of its words. Some texts at a time are split and their distinct words
+    numbered by Arrow; a distinct word is looked up once for these texts, and
+    goes through the library once while it is remembered. Memory is bounded by
+    ``REMEMBER`` words.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.words = _Words()
-        self.tails: dict[str, bytes] = {}
-        self.code = [np.array([i], dtype="<u4").tobytes() for i in range(self.tokenizer.get_vocab_size())]
-        self.parts = self._takes_parts()
         self.starts = {t.content[0] for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.parts = self._takes_parts() and self.starts <= {"<"}
+        spelt = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelling = [(c, spelt(c)[0][0]) for c in map(chr, range(0xDF, 0x100))]
 
     def _whole(self, words: list[str], into: dict[str, bytes]) -> None:
         """Encode ``words`` as texts of some words and cut the ids by their offsets."""
@@ -93,81 +98,115 @@ class WordEncoder:
                 lo_id = hi_id
 
     def _learn(self, words: list[str], into: dict[str, bytes]) -> None:
-        """Ids of words, by their parts: a run of marks after a letter or
-        digit is a token run of its own, and the rest of an ASCII word counts
-        in lower case, so most forms of a word are encoded once. Lower-case
-        ASCII letters pass the steps before the merges unchanged and go to
-        the library's merges directly."""
+        """Ids of words, by their parts: each part is a token run of its own
+        and is encoded once, in lower case, as it reaches the library's merges
+        after the steps before them. Words with other characters go through
+        all steps of the library."""
         if not self.parts:
             return self._whole(words, into)
-        merge, code, known, old, rest = self.tokenizer.model.tokenize, self.code, self.words.get, self.words.old.get, []
+        known, old, taken, split = self.words.get, self.words.old.get, TAKEN.fullmatch, PARTS.findall
+        alone, mixed, rest = [], [], []
         for w in words:
-            core = w.rstrip(MARKS)
-            low = core.lower()
-            if not (low.isascii() and low.isalpha()):
+            if w.isalpha() and w.isascii() and w.islower():
+                alone.append(w)
+            elif taken(w):
+                parts = split(w.lower())
+                if parts[0] == w:
+                    alone.append(w)
+                else:
+                    mixed.append((w, parts))
+            else:
                 rest.append(w)
-                continue
-            ids = into.get(low) or known(low) or old(low)
-            if not ids:
-                ids = into[low] = b"".join([code[t.id] for t in merge(low)])
-            into[w] = ids if core == w else ids + self._marks(w[len(core):])
-        # the others: any core that ends in a letter or digit, and whole words
-        cores = {w: w.rstrip(MARKS) for w in rest}
-        cores = {w: c if c and c[-1].isalnum() and "<" not in w else w for w, c in cores.items()}
-        known: dict[str, bytes] = {}
-        self._whole(list(set(cores.values())), known)
-        for w, c in cores.items():
-            into[w] = known[c] if c == w else known[c] + self._marks(w[len(c):])
-
-    def _marks(self, tail: str) -> bytes:
-        ids = self.tails.get(tail)
-        if ids is None:
-            ids = np.asarray(self.tokenizer.encode(tail, add_special_tokens=False).ids, dtype="<u4").tobytes()
-            if len(self.tails) < 10_000:
-                self.tails[tail] = ids
-        return ids
+        fresh = dict.fromkeys(alone)
+        for _, parts in mixed:
+            for part in parts:
+                if part not in fresh and part not in into:
+                    ids = known(part) or old(part)
+                    if ids:
+                        into[part] = ids
+                    else:
+                        fresh[part] = None
+        self._merge(list(fresh), into)
+        into.update((w, b"".join([into[part] for part in parts])) for w, parts in mixed)
+        self._whole(rest, into)
+
+    def _merge(self, parts: list[str], into: dict[str, bytes]) -> None:
+        """Ids of parts of words by the library's merges alone."""
+        spelt = "\n".join(parts)
+        if not spelt.isascii():
+            for letter, as_bytes in self.spelling:
+                spelt = spelt.replace(letter, as_bytes)
+        merge, ids, ends = self.tokenizer.model.tokenize, [], [0]
+        for part in spelt.split("\n") if parts else []:
+            ids += [t.id for t in merge(part)]
+            ends.append(4 * len(ids))
+        raw = np.array(ids, dtype="<u4").tobytes()
+        into.update((part, raw[lo:hi]) for part, lo, hi in zip(parts, ends, ends[1:]))
 
     def _takes_parts(self) -> bool:
         """The steps before the merges are those that ``_learn`` and
-        ``_folded`` rely on; any other tokenizer encodes whole words."""
-        kinds = json.loads(self.tokenizer.to_str())
-        return kinds["normalizer"] == {"type": "Sequence", "normalizers": NORMALIZERS} and \
-            kinds["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": [SPLITS, BYTES]}
-
-    def _folded(self, text: str) -> str:
-        """``text`` with A-Z as a-z, so that a word is remembered in one form;
-        the library does the same before its merges. A text stays as it is if
-        it has a mark that joins the letter before it (U+0300 to U+036F; some
-        join only the small letter), or a character with which a token starts
-        that is looked for in the text as given."""
-        raw = text.encode()
-        if not self.parts or b"\xcc" in raw or b"\xcd" in raw or any(c in text for c in self.starts):
-            return text
-        return raw.lower().decode()
+        ``_spaced`` rely on; any other tokenizer encodes whole words."""
+        steps = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        # their pickled state is JSON; that of the whole tokenizer would hold its vocabulary too
+        return None not in steps and [json.loads(s.__getstate__()) for s in steps] == [
+            {"type": "Sequence", "normalizers": NORMALIZERS}, {"type": "Sequence", "pretokenizers": [SPLITS, BYTES]}]
+
+    def _spaced(self, texts: list[str]) -> pa.Array:
+        """``texts`` with line ends as blanks, A-Z as a-z and a blank before
+        the marks that follow a letter or digit, so that a word is remembered
+        in one form: the library folds letters and ends a token run there too.
+        A text stays as it is, but for line ends, if it has a mark that joins
+        the character before it (U+0300 to U+036F; some join only the small
+        letter), or a character with which a token starts that is looked for
+        in the text as given."""
+        raw, plain = [], []
+        for t in texts:
+            b = t.encode()
+            plain.append(self.parts and b"\xcc" not in b and b"\xcd" not in b and not any(c in t for c in self.starts))
+            raw.append(b.translate(FOLD_BYTES) if plain[-1] else b.replace(b"\n", b" "))
+        data = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        ends = np.concatenate([[0], np.cumsum([len(b) for b in raw], dtype=np.int64)])
+        at = np.flatnonzero(np.frombuffer(data.tobytes().translate(MARK_BYTES), dtype=bool))
+        at = at[at > 1]
+        at = at[ALNUM[data[at - 1]] | (HALF[data[at - 1]] & (data[at - 2] == 0xC3))]
+        at = at[np.array(plain, dtype=bool)[np.searchsorted(ends, at, side="right") - 1]]
+        data = np.insert(data, at, 32)
+        return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(ends + np.searchsorted(at, ends)), pa.py_buffer(data))
+
+    def _look_up(self, distinct: list[str]) -> list[bytes]:
+        """Ids of distinct words; those not remembered are learnt."""
+        words, learnt = self.words, {}
+        cells = list(map(words.get, distinct))
+        missing = [i for i, ids in enumerate(cells) if ids is None]
+        if missing:
+            new = [distinct[i] for i in missing]
+            before = list(map(words.old.get, new))
+            learnt.update((w, ids) for w, ids in zip(new, before) if ids is not None)
+            self._learn([w for w, ids in zip(new, before) if ids is None], learnt)
+            for i, w in zip(missing, new):
+                cells[i] = learnt[w]
+            words.update(learnt)
+            for w in [w for w in learnt if len(w) > LONG_WORD]:
+                del words[w]
+            if len(words) > REMEMBER // 2:
+                words.old = {}
+                self.words = _Words(words)
+        return cells
+
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each text has."""
+        split = pc.split_pattern(self._spaced(texts), " ")
+        found = split.flatten().dictionary_encode()
+        cells = self._look_up(found.dictionary.to_numpy(zero_copy_only=False).tolist())
+        size = np.fromiter(map(len, cells), dtype=np.int64, count=len(cells)) // 4
+        pool = pa.LargeListArray.from_arrays(np.concatenate([[0], np.cumsum(size)]), np.frombuffer(b"".join(cells), dtype="<i4"))
+        before = np.concatenate([[0], np.cumsum(size[found.indices.to_numpy()])])
+        return pool.take(found.indices).flatten().to_numpy(), np.diff(before[split.offsets.to_numpy()])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        split = [self._folded(t).replace("\n", " ").split(" ") for t in texts]
-        words = self.words
-        parts = [list(map(words.__getitem__, ws)) for ws in split]  # one look-up a word
-        fresh, learnt = words.fresh, {}
-        try:
-            self._learn(list(fresh), learnt)
-        except BaseException:
-            self.words = _Words()  # no empty cell outlives the batch
-            raise
-        for w, cell in fresh.items():
-            cell += learnt[w]
-        out = [b"".join(p) for p in parts]
-        words.update(learnt)
-        for w in learnt:
-            if len(w) > LONG_WORD:
-                del words[w]
-        words.fresh = {}
-        if len(words) > REMEMBER // 2:
-            words.old = {}
-            self.words = _Words(words)
-        return out
+        ids, n = self.encode_flat(texts)
+        return [part.tobytes() for part in np.split(ids, np.cumsum(n)[:-1])] if texts else []
 
 
 def _encoder(path: str) -> WordEncoder:
@@ -190,17 +229,15 @@ def _batches(texts: list[str], most: int = 4_000_000) -> Iterator[tuple[int, int
 
 
 def _encode(path: str, end_id: int):
-    end = np.array([end_id], dtype="<u4").tobytes()
-
     def run(batches):
         encoder, before = _encoder(path), 0
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for lo, hi in _batches(texts):
-                raw = [b + end for b in encoder.encode(texts[lo:hi])]
-                n = np.array([len(b) // 4 for b in raw], dtype=np.int64)
+                ids, n = encoder.encode_flat(texts[lo:hi])
+                ids = pa.array(np.insert(ids, np.cumsum(n), end_id))
+                n = n + 1
                 ends = np.cumsum(n)
-                ids = pa.array(np.frombuffer(b"".join(raw), dtype="<i4"))
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").slice(lo, hi - lo), batch.column("tie").slice(lo, hi - lo),
                     pa.array(before + ends - n), pa.array(n),

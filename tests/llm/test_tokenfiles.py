@@ -24,6 +24,36 @@ def test_words_give_the_ids_of_the_text(parts):
     assert [np.frombuffer(b, "<u4").tolist() for b in FAST.encode(texts)] == want
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(alphabet="aszTLDRéßàíÿÀÖ×÷ªµ²\u212b'.,-_=@(|<\u0338\u0301 \n\t19\xa0\x85…šŠİŉ", max_size=25), max_size=5))
+def test_marks_and_letters_give_the_ids_of_the_text(texts):
+    want = [PLAIN.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(b, "<u4").tolist() for b in FAST.encode(texts)] == want
+    ids, n = FAST.encode_flat(texts)
+    assert ids.tolist() == [i for w in want for i in w] and n.tolist() == [len(w) for w in want]
+
+
+def test_letters_are_letters_of_the_library():
+    for c in map(chr, range(0x21, 0x100)):
+        for t in (f"a{c}", f"{c}a", f"a{c}.", f"'{c}s", f"A{c}é,"):
+            assert np.frombuffer(WordEncoder.encode(FAST, [t])[0], "<u4").tolist() == PLAIN.encode(t, add_special_tokens=False).ids
+
+
+def test_only_words_with_other_characters_take_all_steps(monkeypatch):
+    e, seen = WordEncoder(PATH), []
+    monkeypatch.setattr(e, "_whole", lambda words, into: (seen.extend(words), WordEncoder._whole(e, words, into)))
+    texts = ["Größe, größe it's IT'S né. (869) ana.bo@mail6.example.com", "größe password=90a4 … und"]
+    assert [np.frombuffer(b, "<u4").tolist() for b in e.encode(texts)] == [PLAIN.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [w for w in seen if w] == ["…"]
+
+
+def test_a_distinct_word_of_some_texts_is_looked_up_once(monkeypatch):
+    e, seen = WordEncoder(PATH), []
+    monkeypatch.setattr(e, "_look_up", lambda words: seen.extend(words) or WordEncoder._look_up(e, words))
+    e.encode(["The cat, the Cat.", "cat\nTHE cat"] * 50)
+    assert sorted(seen) == sorted({"the", "cat", ",", "."})
+
+
 def brute(rows):
     out, start = [], 0
     for i, t in sorted(((r[0], r[1] or "") for r in rows), key=lambda r: (r[0] is not None, r[0] or 0)):
@@ -81,6 +111,15 @@ def test_other_steps_before_the_merges_take_whole_words():
     assert e._takes_parts() is False and WordEncoder(PATH).parts
 
 
+def test_other_added_tokens_take_whole_words(tmp_path):
+    other = Tokenizer.from_file(PATH)
+    other.add_special_tokens(["[pad]"])
+    other.save(str(tmp_path / "t.json"))
+    texts = ["a [pad] b", "x[pad], (it's)."]
+    got = WordEncoder(str(tmp_path / "t.json")).encode(texts)
+    assert [np.frombuffer(b, "<u4").tolist() for b in got] == [other.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("text", ["", " ", "\n\n"])
 def test_blank_texts(text):
     assert FAST.encode([text]) == [b""]
